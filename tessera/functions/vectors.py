@@ -140,3 +140,21 @@ def slice_positions(a, positions: Sequence[int]) -> Column:
 def round_array(a, digits: int = 6) -> Column:
     """Round each element; ``+ 0.0`` folds a negative zero into zero."""
     return F.transform(_c(a), lambda x: F.round(x, digits) + F.lit(0.0))
+
+
+def matrix_literal(m) -> Column:
+    """A literal ``array<array<double>>`` holding the columns of ``m``
+    (shape (d, c) -> c arrays of d values)."""
+    import numpy as np
+
+    m = np.asarray(m, dtype=float)
+    return F.array(*[as_array(m[:, k]) for k in range(m.shape[1])])
+
+
+def affine_scores(x, weights, bias) -> Column:
+    """``x . W + b`` per row as an array of ``c`` scores, from literal
+    weights (small, fixed parameters)."""
+    x = _c(x)
+    b = as_array(bias)
+    return F.transform(matrix_literal(weights),
+                       lambda wc, k: dot(x, wc) + F.element_at(b, k + 1))
