@@ -1 +1,360 @@
-"""(filled below)"""
+"""Regression jobs: stages and pipelines, the one-pass gradient descent,
+cross-validation from one scan, and MLlib's own estimators."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import RegexTokenizer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import functions as F
+
+from tessera.functions import vectors as V
+from tessera.operators import regression as RG
+from tessera.operators import stages as S
+from tessera.plans import inputs as I
+from tessera.plans import weights as W
+from tessera.plans.gd_sql import (cv_cte, gd_cte, gd_error_curve_sql, gd_predict_sql,
+                                  gd_weights_sql)
+from tessera.plans.registry import register
+from tessera.session import table
+
+D = 8          # regression width on embeddings
+ROUNDS = 100   # rounds of the hand-written descent
+ALPHA = 1.0
+
+
+def _r6(c):
+    return (F.round(c, 6) + F.lit(0.0))
+
+
+def _x_sql(d: int) -> str:
+    return f"list_transform(embedding[1:{d}], lambda v: CAST(v AS DOUBLE))"
+
+
+TRAIN8_SQL = (f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x "
+              f"FROM embeddings WHERE vec_id % 5 < 4")
+ALL8_SQL = f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x FROM embeddings"
+
+
+def _train8(spark, sf_dir):
+    r = I.embedding_rows(spark, sf_dir, D)
+    return r.filter(I.is_train("vec_id"))
+
+
+def _curve_df(spark, err):
+    rows = [(int(i), float(round(e, 6)) + 0.0) for i, e in enumerate(err)]
+    return spark.createDataFrame(rows, "iter int, rmse double")
+
+
+def _weights_df(spark, w):
+    rows = [(int(i), float(round(v, 6)) + 0.0) for i, v in enumerate(w)]
+    return spark.createDataFrame(rows, "i int, weight double")
+
+
+# -- R1: key split ------------------------------------------------------------------
+
+@register("key_split", """
+  SELECT CASE WHEN vec_id % 5 < 4 THEN 'train' ELSE 'test' END AS part, count(*) AS n
+  FROM embeddings GROUP BY 1""")
+def key_split(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.groupBy(F.when(I.is_train("vec_id"), "train").otherwise("test").alias("part")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- U1: double -> double function as a stage ------------------------------------------
+
+@register("udf_double", """
+  SELECT o_orderkey, round(o_totalprice / 1000.0 - 250.0, 6) + 0.0 AS price_k FROM orders""")
+def udf_double(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    st = S.ColumnTransform(inputCol="o_totalprice", outputCol="price_k",
+                           expr="round({x} / 1000.0 - 250.0, 6) + 0.0")
+    return st.transform(o).select("o_orderkey", "price_k")
+
+
+# -- U2: vector -> double function as a stage (vectorised Python) ---------------------
+
+@register("udf_vector", """
+  SELECT vec_id, round(sqrt(list_dot_product(x, x)), 6) + 0.0 AS norm
+  FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings) e""")
+def udf_vector(spark, sf_dir):
+    r = I.embedding_rows(spark, sf_dir)
+    st = S.PandasColumnTransform(lambda m: np.round(np.sqrt((m * m).sum(axis=1)), 6) + 0.0,
+                                 inputCol="x", outputCol="norm", rowwise_arrays=True)
+    return st.transform(r).select("vec_id", "norm")
+
+
+# -- U3: label shift with the minimum of the training part --------------------------
+
+@register("label_shift", """
+  SELECT o_orderkey, y AS year, y - min(y) FILTER (WHERE o_orderkey % 5 < 4) OVER () AS label
+  FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders) o""")
+def label_shift(spark, sf_dir):
+    songs = I.song_table(spark, sf_dir).select("o_orderkey", "year")
+    train, _ = RG.key_split(songs, "o_orderkey")
+    model = S.LabelShift(inputCol="year", outputCol="label").fit(train)
+    return model.transform(songs).select("o_orderkey", "year", "label")
+
+
+# -- R2: preparation pipeline: text row -> label + features ---------------------------
+
+def prep_stages(features_out="features", start=1):
+    return [
+        RegexTokenizer(inputCol="value", outputCol="tokens", pattern=","),
+        S.Array2Vector(inputCol="tokens", outputCol="vector"),
+        S.ArraySlicer(inputCol="vector", outputCol="year", indices=[0]),
+        S.FirstElement(inputCol="year", outputCol="double"),
+        S.LabelShift(inputCol="double", outputCol="label"),
+        S.ArraySlicer(inputCol="vector", outputCol=features_out, start=start),
+    ]
+
+
+@register("prep_pipeline", """
+  SELECT vec_id, CAST(label AS DOUBLE) - min(CAST(label AS DOUBLE)) FILTER (WHERE vec_id % 5 < 4) OVER () AS label,
+         list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS features
+  FROM embeddings""")
+def prep_pipeline(spark, sf_dir):
+    lines = I.embedding_lines(spark, sf_dir)
+    train, _ = RG.key_split(lines, "vec_id")
+    model = Pipeline(stages=prep_stages()).fit(train)
+    return model.transform(lines).select("vec_id", "label", "features")
+
+
+# -- R5: RMSE of (label, prediction) ----------------------------------------------------
+
+W_LIN_SQL = f"list_transform(range({D}), lambda j: {W.linear_weights_sql('j')})"
+
+
+@register("rmse", f"""
+  SELECT round(sqrt(avg(power(y - list_dot_product(x, {W_LIN_SQL}), 2))), 6) + 0.0 AS rmse
+  FROM ({ALL8_SQL}) t""")
+def rmse(spark, sf_dir):
+    r = I.embedding_rows(spark, sf_dir, D)
+    p = r.select("label", V.predict_linear(list(W.linear_weights(D)), "x").alias("prediction"))
+    return RG.rmse(p).select(_r6(F.col("rmse")).alias("rmse"))
+
+
+# -- R6: Gram summary and the gradient at fixed weights --------------------------------
+
+@register("gram_matrix", f"""
+  SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j,
+         round(sum(x[a.i + 1] * x[b.j + 1]), 6) + 0.0 AS g
+  FROM ({ALL8_SQL}) t, range({D}) a(i), range({D}) b(j) GROUP BY a.i, b.j""")
+def gram_matrix(spark, sf_dir):
+    st = RG.gram_stats(I.embedding_rows(spark, sf_dir, D), "label", "x")[0]
+    rows = [(i, j, float(round(st.G[i, j], 6)) + 0.0) for i in range(st.d) for j in range(st.d)]
+    return spark.createDataFrame(rows, "i int, j int, g double")
+
+
+@register("gradient", f"""
+  SELECT CAST(a.i AS INTEGER) AS i,
+         round(sum(x[a.i + 1] * (list_dot_product(x, {W_LIN_SQL}) - y)), 6) + 0.0 AS g
+  FROM ({ALL8_SQL}) t, range({D}) a(i) GROUP BY a.i""")
+def gradient(spark, sf_dir):
+    st = RG.gram_stats(I.embedding_rows(spark, sf_dir, D), "label", "x")[0]
+    g = st.G @ W.linear_weights(D) - st.b
+    return spark.createDataFrame([(i, float(round(v, 6)) + 0.0) for i, v in enumerate(g)],
+                                 "i int, g double")
+
+
+# -- R7: gradient descent, one pass --------------------------------------------------
+
+def _fit_gd(spark, sf_dir):
+    est = RG.GDLinearRegression(featuresCol="x", labelCol="label", maxIter=ROUNDS, stepSize=ALPHA)
+    return est.fit(_train8(spark, sf_dir))
+
+
+@register("gd_weights", gd_weights_sql(TRAIN8_SQL, D, ROUNDS, ALPHA))
+def gd_weights(spark, sf_dir):
+    return _weights_df(spark, _fit_gd(spark, sf_dir).weights)
+
+
+@register("gd_error_curve", gd_error_curve_sql(TRAIN8_SQL, D, ROUNDS, ALPHA))
+def gd_error_curve(spark, sf_dir):
+    return _curve_df(spark, _fit_gd(spark, sf_dir).trainingError)
+
+
+# -- R8/R9: text rows -> prep -> polynomial features -> descent, then test rows ------
+
+POLY_ROWS = """SELECT vec_id, CAST(label AS DOUBLE) - (SELECT min(label) FROM embeddings WHERE vec_id % 5 < 4) AS y,
+       [a, a*a, b, a*b, b*b, c, a*c, b*c, c*c] AS x
+FROM (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
+             CAST(embedding[3] AS DOUBLE) AS c FROM embeddings) e"""
+POLY_TRAIN = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 < 4"
+POLY_TEST = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 >= 4"
+
+
+def poly_pipeline():
+    stages = prep_stages(features_out="npFeatures")
+    stages[-1] = S.ArraySlicer(inputCol="vector", outputCol="npFeatures", indices=[1, 2, 3])
+    return Pipeline(stages=stages + [
+        S.PolyExpand2(inputCol="npFeatures", outputCol="features"),
+        RG.GDLinearRegression(maxIter=ROUNDS, stepSize=ALPHA)])
+
+
+def _fit_poly(spark, sf_dir):
+    lines = I.embedding_lines(spark, sf_dir)
+    train, test = RG.key_split(lines, "vec_id")
+    return poly_pipeline().fit(train), test
+
+
+@register("gd_poly_pipeline", gd_weights_sql(POLY_TRAIN, 9, ROUNDS, ALPHA))
+def gd_poly_pipeline(spark, sf_dir):
+    model, _ = _fit_poly(spark, sf_dir)
+    return _weights_df(spark, model.stages[-1].weights)
+
+
+@register("gd_test_predictions", gd_predict_sql(POLY_TRAIN, POLY_TEST, 9, ROUNDS, ALPHA))
+def gd_test_predictions(spark, sf_dir):
+    model, test = _fit_poly(spark, sf_dir)
+    return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
+
+
+# -- R10-R12: grid x folds from one scan ----------------------------------------------
+
+CV_ROUNDS = [25, 50, 100]
+CV_ALPHAS = [0.5, 1.0, 2.0]
+CV_GRID = [{"rounds": r, "alpha": a} for a in CV_ALPHAS for r in CV_ROUNDS]
+
+
+def param_grid_table(spark, grid):
+    """The grid as a small table (``ParamGridBuilder`` as rows)."""
+    keys = sorted(grid[0])
+    return spark.createDataFrame([(i, *[g[k] for k in keys]) for i, g in enumerate(grid)],
+                                 ["grid_id", *keys])
+
+
+def _grid_values(grid, cols):
+    return ", ".join("(" + ", ".join([str(i)] + [repr(g[c]) for c in cols]) + ")"
+                     for i, g in enumerate(grid))
+
+
+CV_ROWS = f"""SELECT CAST(al.v AS INTEGER) AS v, al.alpha, CAST(vec_id % 3 AS INTEGER) AS fold,
+       CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x
+FROM embeddings, (VALUES {', '.join(f'({i}, {a})' for i, a in enumerate(CV_ALPHAS))}) al(v, alpha)
+WHERE vec_id % 5 < 4"""
+
+CV_GRID_SQL = cv_cte(CV_ROWS, D, max(CV_ROUNDS)) + f"""
+, res AS (
+  SELECT g.grid_id, CAST(g.rounds AS INTEGER) AS rounds, g.alpha, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
+  FROM val JOIN (SELECT DISTINCT v, alpha FROM tr) va USING (v)
+  JOIN (VALUES {_grid_values(CV_GRID, ['rounds', 'alpha'])}) g(grid_id, rounds, alpha)
+    ON g.rounds = val.rounds AND g.alpha = va.alpha
+  GROUP BY g.grid_id, g.rounds, g.alpha)
+"""
+
+
+def _cv_result(spark, sf_dir):
+    r = _train8(spark, sf_dir).withColumn("fold", I.fold_of("vec_id"))
+    res = RG.cv_one_pass(r, "fold", CV_GRID, "label", "x")
+    rows = [(int(t.grid_id), int(t.rounds), float(t.alpha), float(round(t.avg_rmse, 6)) + 0.0)
+            for t in res.itertuples()]
+    return spark.createDataFrame(rows, "grid_id int, rounds int, alpha double, avg_rmse double")
+
+
+@register("cv_gd_grid", CV_GRID_SQL + "SELECT CAST(grid_id AS INTEGER) AS grid_id, rounds, alpha, avg_rmse FROM res")
+def cv_gd_grid(spark, sf_dir):
+    return _cv_result(spark, sf_dir)
+
+
+@register("cv_best", CV_GRID_SQL + """SELECT CAST(grid_id AS INTEGER) AS grid_id, rounds, alpha, avg_rmse
+  FROM res ORDER BY avg_rmse, grid_id LIMIT 1""")
+def cv_best(spark, sf_dir):
+    return _cv_result(spark, sf_dir).orderBy("avg_rmse", "grid_id").limit(1)
+
+
+# -- R13: polynomial features inside the search (degree 1 vs 2, same scan) -----------
+
+POLY_GRID = [{"degree": d, "rounds": r} for d in (1, 2) for r in (50, 100)]
+CV_POLY_ROWS = f"""SELECT CAST(dg.degree AS INTEGER) AS v, 1.0 AS alpha, CAST(vec_id % 3 AS INTEGER) AS fold,
+       CAST(label AS DOUBLE) AS y,
+       CASE WHEN dg.degree = 1 THEN [a, b, c] ELSE [a, a*a, b, a*b, b*b, c, a*c, b*c, c*c] END AS x
+FROM (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
+             CAST(embedding[3] AS DOUBLE) AS c FROM embeddings WHERE vec_id % 5 < 4) e,
+     (VALUES (1), (2)) dg(degree)"""
+
+
+@register("cv_poly", cv_cte(CV_POLY_ROWS, 9, 100) + f"""
+SELECT CAST(g.grid_id AS INTEGER) AS grid_id, CAST(g.degree AS INTEGER) AS degree,
+       CAST(g.rounds AS INTEGER) AS rounds, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
+FROM val JOIN (VALUES {_grid_values(POLY_GRID, ['degree', 'rounds'])}) g(grid_id, degree, rounds)
+  ON g.degree = val.v AND g.rounds = val.rounds
+GROUP BY g.grid_id, g.degree, g.rounds""")
+def cv_poly(spark, sf_dir):
+    r = _train8(spark, sf_dir).select("vec_id", "label", F.slice("x", 1, 3).alias("x3"))
+    r = r.select("label", I.fold_of("vec_id").alias("fold"), V.poly_expand_2("x3").alias("x"))
+    grid = [{"features": f"deg{g['degree']}", "rounds": g["rounds"], "alpha": 1.0, "degree": g["degree"]}
+            for g in POLY_GRID]
+    # degree-1 terms sit at positions 0, 2, 5 of the degree-2 expansion
+    res = RG.cv_one_pass(r, "fold", grid, "label", "x",
+                         feature_sets={"deg1": [0, 2, 5], "deg2": list(range(9))})
+    rows = [(int(t.grid_id), int(t.degree), int(t.rounds), float(round(t.avg_rmse, 6)) + 0.0)
+            for t in res.itertuples()]
+    return spark.createDataFrame(rows, "grid_id int, degree int, rounds int, avg_rmse double")
+
+
+# -- R3/R4 with MLlib: elastic net, ordinary least squares, summary, CV ---------------
+
+def _ml_rows(spark, sf_dir):
+    r = I.embedding_rows(spark, sf_dir)
+    return r.select("vec_id", "label", array_to_vector("x").alias("features"))
+
+
+def _elastic(max_iter=50, reg=0.1, mix=0.1):
+    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=mix)
+
+
+@register("linreg_elastic")
+def linreg_elastic(spark, sf_dir):
+    rows = _ml_rows(spark, sf_dir)
+    train, test = RG.key_split(rows, "vec_id")
+    model = _elastic().fit(train)
+    return model.transform(test).select("vec_id", "label", "prediction")
+
+
+@register("linreg_summary")
+def linreg_summary(spark, sf_dir):
+    rows = _ml_rows(spark, sf_dir)
+    train, test = RG.key_split(rows, "vec_id")
+    model = _elastic().fit(train)
+    s = model.summary
+    test_rmse = RegressionEvaluator(metricName="rmse").evaluate(model.transform(test))
+    return spark.createDataFrame(
+        [(float(s.rootMeanSquaredError), float(test_rmse), int(model.getMaxIter()),
+          float(model.getRegParam()), int(model.numFeatures), int(s.totalIterations))],
+        "train_rmse double, test_rmse double, max_iter int, reg_param double, "
+        "num_features int, total_iterations int")
+
+
+@register("linreg_ols", """
+  SELECT round(regr_slope(l_extendedprice, l_quantity), 4) + 0.0 AS slope,
+         round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0 AS intercept
+  FROM lineitem""")
+def linreg_ols(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    va = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
+    lr = LinearRegression(featuresCol="features", labelCol="l_extendedprice",
+                          solver="normal", regParam=0.0)
+    m = lr.fit(va.transform(li))
+    return spark.createDataFrame(
+        [(float(round(m.coefficients[0], 4)) + 0.0, float(round(m.intercept, 4)) + 0.0)],
+        "slope double, intercept double")
+
+
+@register("cv_mllib")
+def cv_mllib(spark, sf_dir):
+    rows = _ml_rows(spark, sf_dir).filter(I.is_train("vec_id")) \
+        .withColumn("fold", I.fold_of("vec_id"))
+    lr = LinearRegression(elasticNetParam=0.1)
+    grid = ParamGridBuilder().addGrid(lr.maxIter, [10, 50]).addGrid(lr.regParam, [0.1, 0.9]).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(),
+                        foldCol="fold", parallelism=4)
+    cvm = cv.fit(rows)
+    out = [(i, int(pm[lr.maxIter]), float(pm[lr.regParam]), float(m))
+           for i, (pm, m) in enumerate(zip(grid, cvm.avgMetrics))]
+    return spark.createDataFrame(out, "grid_id int, max_iter int, reg_param double, avg_rmse double")
