@@ -1 +1,374 @@
-"""(filled below)"""
+"""Classification jobs on the 10-class image stand-in (embeddings as 64
+pixels / an 8x8 grid): scoring, softmax training (GD, Adam, decay), metrics,
+sweeps, dense networks, convolution and the idx image source."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tessera.functions import vectors as V
+from tessera.operators import classification as CL
+from tessera.operators import conv as CV
+from tessera.operators import networks as NN
+from tessera.operators.regression import key_split
+from tessera.plans import inputs as I
+from tessera.plans import weights as W
+from tessera.plans.registry import register
+from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte
+from tessera.plans.vectors import EMB, SCORES_SQL
+from tessera.session import shared_dir, table
+from tessera.sources import idx as idx_src
+
+D = 64
+C = 10
+
+
+def _rows(spark, sf_dir):
+    return I.embedding_rows(spark, sf_dir)
+
+
+def _fixed_layer():
+    return [(W.class_weights(D), W.class_bias())]
+
+
+def _scores(spark, sf_dir):
+    """C1 scoring: one numpy matmul per Arrow batch (weights in the closure)."""
+    r = _rows(spark, sf_dir)
+    s = NN.score_rows(r, _fixed_layer(), digits=None)
+    return s.join(r.select("vec_id", F.col("label").cast("int").alias("label")), "vec_id")
+
+
+def _r6(c):
+    return F.round(c, 6) + F.lit(0.0)
+
+
+# -- C1 -----------------------------------------------------------------------------------
+
+@register("class_scores", f"""
+  SELECT vec_id, list_transform({SCORES_SQL}, lambda q: round(q, 6) + 0.0) AS scores FROM {EMB}""")
+def class_scores(spark, sf_dir):
+    return NN.score_rows(_rows(spark, sf_dir), _fixed_layer())
+
+
+# -- C5 / C6 with fixed weights -------------------------------------------------------
+
+SCORED = f"(SELECT vec_id, ilabel AS label, {SCORES_SQL} AS z FROM {EMB}) s"
+
+
+@register("cross_entropy_eps", f"""
+  SELECT round(avg(-ln(p[label + 1] + 1e-5)), 6) + 0.0 AS loss
+  FROM (SELECT label, {SOFTMAX_P} AS p FROM {SCORED}) t""")
+def cross_entropy_eps(spark, sf_dir):
+    s = _scores(spark, sf_dir).select("label", V.softmax("scores").alias("p"))
+    return s.agg(_r6(F.avg(-F.log(F.element_at("p", F.col("label") + 1) + F.lit(CL.EPS)))).alias("loss"))
+
+
+@register("cross_entropy_scores", f"""
+  SELECT round(avg(list_max(z) + ln(list_sum(list_transform(z, lambda u: exp(u - list_max(z))))) - z[label + 1]), 6) + 0.0 AS loss
+  FROM {SCORED}""")
+def cross_entropy_scores(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.agg(_r6(F.avg(V.log_sum_exp("scores") - F.element_at("scores", F.col("label") + 1))).alias("loss"))
+
+
+@register("accuracy", f"""
+  SELECT round(avg(CAST(list_position(z, list_max(z)) - 1 = label AS DOUBLE)), 6) + 0.0 AS accuracy
+  FROM {SCORED}""")
+def accuracy(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.agg(_r6(F.avg((V.argmax("scores") == F.col("label")).cast("double"))).alias("accuracy"))
+
+
+@register("accuracy_by_class", f"""
+  SELECT label, count(*) AS n,
+         round(avg(CAST(list_position(z, list_max(z)) - 1 = label AS DOUBLE)), 6) + 0.0 AS accuracy
+  FROM {SCORED} GROUP BY label""")
+def accuracy_by_class(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
+                                  _r6(F.avg((V.argmax("scores") == F.col("label")).cast("double"))).alias("accuracy"))
+
+
+# -- C2 / C3: softmax regression trained in rounds -------------------------------------
+
+SM_ROUNDS = 5
+
+
+def _train_rows(spark, sf_dir):
+    r = CL.prepare_rows(_rows(spark, sf_dir), "label", "x", key="vec_id")
+    train, test = key_split(r, "k")
+    return train, test
+
+
+def _run_softmax(spark, sf_dir, runs, rounds, eps, eval_every=None):
+    train, test = _train_rows(spark, sf_dir)
+    train, test = train.persist(), test.persist()
+    try:
+        evals = {"train": train, "test": test} if eval_every else None
+        return CL.train_softmax(train, runs, rounds, D, C, eps=eps, eval_sets=evals,
+                                eval_every=eval_every or 1)
+    finally:
+        train.unpersist()
+        test.unpersist()
+
+
+def _weights_sql(runs_values, eps):
+    return softmax_cte(runs_values, SM_ROUNDS, eps) + f"""
+SELECT CAST(jj.j AS INTEGER) AS j, CAST(cc.c AS INTEGER) AS c, round(W[cc.c + 1][jj.j + 1], 6) + 0.0 AS w
+FROM sm, range({C}) cc(c), range({D + 1}) jj(j) WHERE k = {SM_ROUNDS}"""
+
+
+@register("softmax_gd", _weights_sql("(0, 0.5, 0, NULL, NULL)", eps=True))
+def softmax_gd(spark, sf_dir):
+    Ws, bs, _ = _run_softmax(spark, sf_dir, [CL.Run(rate=0.5)], SM_ROUNDS, eps=CL.EPS)
+    return spark.createDataFrame(CL.weights_long(Ws[0], bs[0]), "j int, c int, w double")
+
+
+@register("softmax_adam", _weights_sql("(0, 0.005, 1, NULL, NULL)", eps=True))
+def softmax_adam(spark, sf_dir):
+    Ws, bs, _ = _run_softmax(spark, sf_dir, [CL.Run(rate=0.005, optimizer="adam")], SM_ROUNDS, eps=CL.EPS)
+    return spark.createDataFrame(CL.weights_long(Ws[0], bs[0]), "j int, c int, w double")
+
+
+@register("softmax_mllib")
+def softmax_mllib(spark, sf_dir):
+    r = _rows(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
+    train, test = key_split(r, "vec_id")
+    m = LogisticRegression(family="multinomial", maxIter=100, regParam=0.0).fit(train)
+    return m.transform(test).select("vec_id", F.col("label").cast("int").alias("label"),
+                                    F.col("prediction").cast("int").alias("prediction"))
+
+
+# -- C9: batches and the training curve ---------------------------------------------------
+
+@register("minibatch_ids", """
+  SELECT vec_id, CAST(vec_id // 100 AS INTEGER) AS batch_id FROM embeddings""")
+def minibatch_ids(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.floor(F.col("vec_id") / 100).cast("int").alias("batch_id"))
+
+
+CURVE_ROUNDS, CURVE_EVERY = 6, 2
+
+
+@register("softmax_training_curve", softmax_cte("(0, 0.5, 0, NULL, NULL)", CURVE_ROUNDS, True) + f"""
+, ev AS ({eval_sql('xs', 'sm.k IN (1, 3, 5)')}),
+  evt AS ({eval_sql('te', 'sm.k IN (1, 3, 5)')})
+SELECT CAST(k - 1 AS INTEGER) AS round, 'train' AS split, round(accuracy, 6) + 0.0 AS accuracy,
+       round(loss, 6) + 0.0 AS loss FROM ev
+UNION ALL
+SELECT CAST(k - 1 AS INTEGER), 'test', round(accuracy, 6) + 0.0, round(loss, 6) + 0.0 FROM evt""")
+def softmax_training_curve(spark, sf_dir):
+    _, _, metrics = _run_softmax(spark, sf_dir, [CL.Run(rate=0.5)], CURVE_ROUNDS, eps=CL.EPS,
+                                 eval_every=CURVE_EVERY)
+    rows = [(int(i), split, float(round(a, 6)) + 0.0, float(round(le, 6)) + 0.0)
+            for _, i, split, a, le, _ in metrics]
+    return spark.createDataFrame(rows, "round int, split string, accuracy double, loss double")
+
+
+# -- C10: sweep sharing one pass per round --------------------------------------------
+
+SWEEP_RATES = [0.005, 0.01, 0.05]
+SWEEP_STEPS = [2, 4]
+SWEEP_DECAY = [0.9, 0.5]
+SWEEP_ROUNDS = 6
+SWEEP = [(r, s, d) for r in SWEEP_RATES for s in SWEEP_STEPS for d in SWEEP_DECAY]
+SWEEP_VALUES = ", ".join(f"({i}, {r}, 1, {s}, {d})" for i, (r, s, d) in enumerate(SWEEP))
+SWEEP_SQL = softmax_cte(SWEEP_VALUES, SWEEP_ROUNDS, False) + f"""
+, evt AS ({eval_sql('te', f'sm.k >= 1')})"""
+
+
+def _sweep_metrics(spark, sf_dir):
+    runs = [CL.Run(rate=r, optimizer="adam", decay_steps=s, decay_rate=d) for r, s, d in SWEEP]
+    train, test = _train_rows(spark, sf_dir)
+    train, test = train.persist(), test.persist()
+    try:
+        _, _, metrics = CL.train_softmax(train, runs, SWEEP_ROUNDS, D, C, eps=None,
+                                         eval_sets={"test": test}, eval_every=1)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    rows = [(int(r), int(i), float(round(a, 6)) + 0.0, float(round(ls, 6)) + 0.0)
+            for r, i, _, a, _, ls in metrics]
+    return spark.createDataFrame(rows, "run_id int, round int, test_accuracy double, test_loss double")
+
+
+@register("sweep_softmax", SWEEP_SQL + """
+SELECT CAST(run AS INTEGER) AS run_id, CAST(k - 1 AS INTEGER) AS round,
+       round(accuracy, 6) + 0.0 AS test_accuracy, round(loss_scores, 6) + 0.0 AS test_loss FROM evt""")
+def sweep_softmax(spark, sf_dir):
+    return _sweep_metrics(spark, sf_dir)
+
+
+@register("sweep_report", SWEEP_SQL + """
+, rep AS (SELECT run, max(round(accuracy, 6) + 0.0) AS max_accuracy,
+                 max_by(round(accuracy, 6) + 0.0, k) AS last_accuracy FROM evt GROUP BY run)
+SELECT CAST(rep.run AS INTEGER) AS run_id, CAST(runs.rate AS DOUBLE) AS rate, CAST(runs.decay_steps AS INTEGER) AS decay_steps,
+       CAST(runs.decay_rate AS DOUBLE) AS decay_rate, last_accuracy, max_accuracy
+FROM rep JOIN runs ON runs.run = rep.run ORDER BY max_accuracy DESC, run_id""")
+def sweep_report(spark, sf_dir):
+    m = _sweep_metrics(spark, sf_dir)
+    grid = spark.createDataFrame([(i, float(r), int(s), float(d)) for i, (r, s, d) in enumerate(SWEEP)],
+                                 "run_id int, rate double, decay_steps int, decay_rate double")
+    rep = m.groupBy("run_id").agg(F.max_by("test_accuracy", "round").alias("last_accuracy"),
+                                  F.max("test_accuracy").alias("max_accuracy"))
+    return rep.join(grid, "run_id").select("run_id", "rate", "decay_steps", "decay_rate",
+                                           "last_accuracy", "max_accuracy") \
+        .orderBy(F.desc("max_accuracy"), "run_id")
+
+
+# -- C7: dense network scoring (fixed weights) and fitting ------------------------------
+
+MLP_SIZES = [64, 200, 100, 60, 30, 10]
+
+
+def mlp_layers():
+    return [(W.layer_weights(a, b, salt=i + 1), W.layer_bias(b, salt=i + 1))
+            for i, (a, b) in enumerate(zip(MLP_SIZES[:-1], MLP_SIZES[1:]))]
+
+
+def _mlp_sql(hidden: str) -> str:
+    act = {"relu": "greatest({a}, 0.0)", "sigmoid": "1.0 / (1.0 + exp(-({a})))"}[hidden]
+    q = f"SELECT vec_id, x AS h0 FROM {EMB}"
+    n_layers = len(MLP_SIZES) - 1
+    for li, (a, b) in enumerate(zip(MLP_SIZES[:-1], MLP_SIZES[1:])):
+        salt = li + 1
+        pre = (f"list_dot_product(h{li}, list_transform(range({a}), lambda i: {W.layer_weights_sql('i', 'o', salt)}))"
+               f" + {W.layer_bias_sql('o', salt)}")
+        expr = pre if li == n_layers - 1 else act.format(a=pre)
+        q = f"SELECT vec_id, list_transform(range({b}), lambda o: {expr}) AS h{li + 1} FROM ({q}) l{li}"
+    return f"SELECT vec_id, list_transform(h{n_layers}, lambda q: round(q, 6) + 0.0) AS scores FROM ({q}) fin"
+
+
+@register("mlp_forward_relu", _mlp_sql("relu"))
+def mlp_forward_relu(spark, sf_dir):
+    return NN.score_rows(_rows(spark, sf_dir), mlp_layers(), hidden="relu")
+
+
+@register("mlp_forward_sigmoid", _mlp_sql("sigmoid"))
+def mlp_forward_sigmoid(spark, sf_dir):
+    return NN.score_rows(_rows(spark, sf_dir), mlp_layers(), hidden="sigmoid")
+
+
+@register("mlp_fit_sigmoid")
+def mlp_fit_sigmoid(spark, sf_dir):
+    r = _rows(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
+    train, test = key_split(r, "vec_id")
+    m = MultilayerPerceptronClassifier(layers=MLP_SIZES, maxIter=50, seed=7).fit(train)
+    return m.transform(test).select("vec_id", F.col("label").cast("int").alias("label"),
+                                    F.col("prediction").cast("int").alias("prediction"))
+
+
+def _dense_fit(spark, sf_dir, keep_prob, rounds=20):
+    train, test = _train_rows(spark, sf_dir)
+    train = train.persist()
+    try:
+        layers, hist = NN.dense_net_fit(train, MLP_SIZES, rounds, rate=0.005, optimizer="adam",
+                                        hidden="relu", keep_prob=keep_prob, seed=11,
+                                        decay_steps=10 if keep_prob < 1 else None,
+                                        decay_rate=0.96 if keep_prob < 1 else None)
+    finally:
+        train.unpersist()
+    scored = NN.score_rows(test.withColumnRenamed("k", "vec_id"), layers, hidden="relu", digits=None)
+    return scored.join(test.select(F.col("k").alias("vec_id"), "label"), "vec_id") \
+        .select("vec_id", "label", V.argmax("scores").alias("prediction"))
+
+
+@register("mlp_fit_relu")
+def mlp_fit_relu(spark, sf_dir):
+    return _dense_fit(spark, sf_dir, keep_prob=1.0)
+
+
+@register("mlp_fit_dropout")
+def mlp_fit_dropout(spark, sf_dir):
+    return _dense_fit(spark, sf_dir, keep_prob=0.75)
+
+
+# -- C11: convolution as a join; C12: a stack of them, scored densely ------------------
+
+def conv_kernel(k, ci, co, salt):
+    a = np.arange(k)[:, None, None, None]
+    b = np.arange(k)[None, :, None, None]
+    c = np.arange(ci)[None, None, :, None]
+    d = np.arange(co)[None, None, None, :]
+    return (((3 * a + 5 * b + 7 * c + 11 * d + salt) % 9) - 4) / 8.0
+
+
+def conv_kernel_sql(k, ci, co, salt):
+    return (f"SELECT CAST(a.ky AS INTEGER) AS ky, CAST(b.kx AS INTEGER) AS kx, CAST(c.ci AS INTEGER) AS ci, "
+            f"CAST(d.co AS INTEGER) AS co, "
+            f"(((3 * a.ky + 5 * b.kx + 7 * c.ci + 11 * d.co + {salt}) % 9) - 4) / 8.0 AS w "
+            f"FROM range({k}) a(ky), range({k}) b(kx), range({ci}) c(ci), range({co}) d(co)")
+
+
+def conv_bias(co, salt):
+    return (((np.arange(co) + salt) % 5) - 2) / 16.0
+
+
+def _conv_sql(k, co, stride, salt):
+    out, pad = CV.same_geometry(8, k, stride)
+    return f"""
+WITH px AS (SELECT vec_id AS id, CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x,
+                   0 AS ci, CAST(embedding[i] AS DOUBLE) AS v
+            FROM embeddings, range(1, 65) t(i)),
+kr AS ({conv_kernel_sql(k, 1, co, salt)}),
+j AS (SELECT id, co, y - ky + {pad} AS ny, x - kx + {pad} AS nx, v * w AS vw FROM px JOIN kr USING (ci))
+SELECT id AS vec_id, CAST(ny // {stride} AS INTEGER) AS oy, CAST(nx // {stride} AS INTEGER) AS ox,
+       CAST(co AS INTEGER) AS co,
+       round(greatest(sum(vw) + ((((co + {salt}) % 5) - 2) / 16.0), 0.0), 6) + 0.0 AS value
+FROM j WHERE ny >= 0 AND nx >= 0 AND ny % {stride} = 0 AND nx % {stride} = 0
+  AND ny < {out * stride} AND nx < {out * stride}
+GROUP BY id, ny // {stride}, nx // {stride}, co"""
+
+
+def _conv_query(spark, sf_dir, k, co, stride, salt):
+    r = _rows(spark, sf_dir)
+    px = CV.pixels_long(r, "vec_id", "x", 8, 8, 1)
+    kern = CV.kernel_table(spark, conv_kernel(k, 1, co, salt))
+    out = CV.conv2d_join(px, kern, 8, 8, k, stride, bias=conv_bias(co, salt), relu=True)
+    return out.select(F.col("id").alias("vec_id"), "oy", "ox", "co", _r6(F.col("value")).alias("value"))
+
+
+@register("grid_conv2d_s1", _conv_sql(3, 4, 1, 1))
+def grid_conv2d_s1(spark, sf_dir):
+    return _conv_query(spark, sf_dir, 3, 4, 1, 1)
+
+
+@register("grid_conv2d_s2", _conv_sql(5, 2, 2, 2))
+def grid_conv2d_s2(spark, sf_dir):
+    return _conv_query(spark, sf_dir, 5, 2, 2, 2)
+
+
+def conv_stack():
+    """Three convolutions 5x5x1x4 (s1), 5x5x4x8 (s2), 4x4x8x12 (s2) on 8x8,
+    then dense 48 -> 200 ReLU -> 10."""
+    convs = [(conv_kernel(5, 1, 4, 1), conv_bias(4, 1), 1),
+             (conv_kernel(5, 4, 8, 2) / 4.0, conv_bias(8, 2), 2),
+             (conv_kernel(4, 8, 12, 3) / 8.0, conv_bias(12, 3), 2)]
+    dense = [(W.layer_weights(2 * 2 * 12, 200, 4), W.layer_bias(200, 4)),
+             (W.layer_weights(200, 10, 5), W.layer_bias(10, 5))]
+    return convs, dense
+
+
+@register("conv_stack_scores")
+def conv_stack_scores(spark, sf_dir):
+    convs, dense = conv_stack()
+    return CV.score_conv_stack(_rows(spark, sf_dir), convs, dense, 8, 8)
+
+
+# -- S4: idx image files written from the table and read back --------------------------
+
+@register("src_idx_images", """
+  SELECT label, list_transform(embedding, lambda v: round(floor(abs(CAST(v AS DOUBLE)) * 255) / 255.0, 6) + 0.0) AS pixels
+  FROM embeddings""")
+def src_idx_images(spark, sf_dir):
+    r = _rows(spark, sf_dir).select(
+        F.transform("x", lambda v: F.floor(F.abs(v) * 255).cast("int")).alias("pixels"),
+        F.col("label").cast("int").alias("label"))
+    path = shared_dir(spark, "idx")
+    idx_src.write_idx(r, path, "pixels", "label", 8, 8)
+    back = idx_src.read_idx(spark, path)
+    return back.select("label", V.round_array("pixels").alias("pixels"))
