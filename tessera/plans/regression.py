@@ -20,7 +20,7 @@ from tessera.plans import weights as W
 from tessera.plans.gd_sql import (cv_cte, gd_cte, gd_error_curve_sql, gd_predict_sql,
                                   gd_weights_sql)
 from tessera.plans.registry import register
-from tessera.session import table
+from tessera.session import spread, table
 
 D = 8          # regression width on embeddings
 ROUNDS = 100   # rounds of the hand-written descent
@@ -336,7 +336,7 @@ def linreg_summary(spark, sf_dir):
          round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0 AS intercept
   FROM lineitem""")
 def linreg_ols(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice"))
     va = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol="l_extendedprice",
                           solver="normal", regParam=0.0)

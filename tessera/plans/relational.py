@@ -9,7 +9,7 @@ from tessera.functions import text as T
 from tessera.operators import relational as R
 from tessera.plans import inputs as I
 from tessera.plans.registry import register
-from tessera.session import shared_dir, table
+from tessera.session import shared_dir, spread, table
 from tessera.sources import csv as csv_src
 from tessera.sources import inline, text as text_src
 
@@ -198,7 +198,7 @@ def strip_quotes(spark, sf_dir):
          string_split(text, ' ')[-1] AS last_field
   FROM documents""")
 def split_fields(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     f = T.split_fields("text", " ")
     return d.select("doc_id", f.alias("f")).select(
         "doc_id", F.size("f").alias("n_fields"), F.col("f")[0].alias("first_field"),
@@ -215,7 +215,7 @@ def split_fields(spark, sf_dir):
                            lambda t: length(t) >= 1) AS tok
         FROM documents) d""")
 def regex_tokenize(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     tok = T.regex_tokenize("text", r"\s+")
     return d.select("doc_id", tok.alias("tok")).select(
         "doc_id", F.size("tok").alias("n_tokens"), F.col("tok")[0].alias("first_token"),

@@ -243,16 +243,16 @@ def scores_col(x="x"):
   SELECT vec_id, {_rl(SOFTMAX_SQL)} AS probs
   FROM (SELECT vec_id, {SCORES_SQL} AS z FROM {EMB}) s""")
 def softmax_rows(spark, sf_dir):
-    r = _rows(spark, sf_dir)
-    return r.select("vec_id", V.round_array(V.softmax(scores_col())).alias("probs"))
+    z = _rows(spark, sf_dir).select("vec_id", scores_col().alias("z"))
+    return z.select("vec_id", V.round_array(V.softmax("z")).alias("probs"))
 
 
 @register("argmax_label", f"""
   SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred
   FROM (SELECT vec_id, {SCORES_SQL} AS z FROM {EMB}) s""")
 def argmax_label(spark, sf_dir):
-    r = _rows(spark, sf_dir)
-    return r.select("vec_id", V.argmax(scores_col()).alias("pred"))
+    z = _rows(spark, sf_dir).select("vec_id", scores_col().alias("z"))
+    return z.select("vec_id", V.argmax("z").alias("pred"))
 
 
 # -- V9: activations ------------------------------------------------------------------

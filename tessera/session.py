@@ -67,3 +67,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Read one of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df):
+    """Round-robin a DataFrame over the cores when its scan produced fewer
+    partitions than the session's parallelism (a single-row-group file).
+    On a cluster, where inputs come in thousands of splits, this is a no-op,
+    so it never adds a shuffle there."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
