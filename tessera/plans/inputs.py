@@ -21,10 +21,16 @@ TRAIN_KEEP = 4
 FOLD_MOD = 3        # fold = key % 3
 
 
-def song_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+def song_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Numeric song columns derived from orders: ``(o_orderkey, year_raw,
-    f1, f2, f3)`` as doubles."""
+    f1, f2, f3)`` as doubles.  ``years`` (inclusive) restricts the rows by
+    the order date - the same rows as a filter on the derived year, but one
+    the parquet scan can apply (pushed filter, row-group skipping)."""
     o = table(spark, sf_dir, "orders")
+    if years is not None:
+        lo, hi = years
+        o = o.filter((F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01").cast("timestamp"))
+                     & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01").cast("timestamp")))
     return o.select(
         "o_orderkey",
         (F.year("o_orderdate").cast("double")
@@ -53,9 +59,9 @@ def song_lines(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
     return v.select(*cols)
 
 
-def song_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def song_table(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """``year int, feat1 float, feat2 float, feat3 float`` (with key)."""
-    v = song_values(spark, sf_dir)
+    v = song_values(spark, sf_dir, years)
     return v.select(
         "o_orderkey",
         F.col("year_raw").cast("float").cast("int").alias("year"),

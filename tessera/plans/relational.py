@@ -14,8 +14,8 @@ from tessera.sources import csv as csv_src
 from tessera.sources import inline, text as text_src
 
 
-def _songs(spark, sf_dir):
-    return I.song_table(spark, sf_dir)
+def _songs(spark, sf_dir, years=None):
+    return I.song_table(spark, sf_dir, years)
 
 
 def _songs_view(spark, sf_dir):
@@ -31,7 +31,7 @@ SONGS = f"({I.SONG_TABLE_SQL}) songs"
   SELECT year, count(*) AS n FROM {SONGS}
   WHERE year >= 2000 AND year <= 2010 GROUP BY year ORDER BY year""")
 def songs_per_year(spark, sf_dir):
-    s = R.filter_between(_songs(spark, sf_dir), "year", 2000, 2010)
+    s = R.filter_between(_songs(spark, sf_dir, (2000, 2010)), "year", 2000, 2010)
     return R.count_per_group(s, "year")
 
 
@@ -62,7 +62,7 @@ def count_songs_sql(spark, sf_dir):
 @register("songs_in_range", f"""
   SELECT count(*) AS n FROM {SONGS} WHERE year >= 1998 AND year <= 2000""")
 def songs_in_range(spark, sf_dir):
-    return R.count_rows(R.filter_between(_songs(spark, sf_dir), "year", 1998, 2000))
+    return R.count_rows(R.filter_between(_songs(spark, sf_dir, (1998, 2000)), "year", 1998, 2000))
 
 
 @register("songs_in_range_sql", f"""
@@ -168,7 +168,7 @@ def src_csv_semicolon(spark, sf_dir):
   SELECT n_nationkey, n_name, n_regionkey FROM nation""")
 def drop_header(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
-    header = spark.createDataFrame([('"n_nationkey";"n_name";"n_regionkey"',)], "value string")
+    header = spark.createDataFrame([('"n_nationkey";"n_name";"n_regionkey"',)], "value string").coalesce(1)
     body = nation.select(F.concat_ws(";", *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
                                            for c in ("n_nationkey", "n_name", "n_regionkey")]
                                      ).alias("value"))
