@@ -92,7 +92,7 @@ def udf_vector(spark, sf_dir):
 # -- U3: label shift with the minimum of the training part --------------------------
 
 @register("label_shift", """
-  SELECT o_orderkey, y AS year, y - min(y) FILTER (WHERE o_orderkey % 5 < 4) OVER () AS label
+  SELECT o_orderkey, y AS year, CAST(y AS DOUBLE) - min(y) FILTER (WHERE o_orderkey % 5 < 4) OVER () AS label
   FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders) o""")
 def label_shift(spark, sf_dir):
     songs = I.song_table(spark, sf_dir).select("o_orderkey", "year")
@@ -241,7 +241,7 @@ WHERE vec_id % 5 < 4"""
 
 CV_GRID_SQL = cv_cte(CV_ROWS, D, max(CV_ROUNDS)) + f"""
 , res AS (
-  SELECT g.grid_id, CAST(g.rounds AS INTEGER) AS rounds, g.alpha, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
+  SELECT g.grid_id, CAST(g.rounds AS INTEGER) AS rounds, CAST(g.alpha AS DOUBLE) AS alpha, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
   FROM val JOIN (SELECT DISTINCT v, alpha FROM tr) va USING (v)
   JOIN (VALUES {_grid_values(CV_GRID, ['rounds', 'alpha'])}) g(grid_id, rounds, alpha)
     ON g.rounds = val.rounds AND g.alpha = va.alpha

@@ -197,7 +197,7 @@ def vec_add(spark, sf_dir):
     return _rows(spark, sf_dir).select("vec_id", V.add("x", F.reverse("x")).alias("added"))
 
 
-@register("vec_fill", f"SELECT vec_id, list_transform(x, lambda v: 0.5) AS filled FROM {EMB}")
+@register("vec_fill", f"SELECT vec_id, list_transform(x, lambda v: CAST(0.5 AS DOUBLE)) AS filled FROM {EMB}")
 def vec_fill(spark, sf_dir):
     return _rows(spark, sf_dir).select("vec_id", V.fill(F.size("x"), 0.5).alias("filled"))
 
