@@ -73,6 +73,7 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
     Ws = np.asarray(Ws, dtype=np.float64)
     bs = np.asarray(bs, dtype=np.float64)
     R, d, c = Ws.shape
+    Wcat = Ws.transpose(1, 0, 2).reshape(d, R * c)
 
     def per_task(batches):
         gW = np.zeros((R, d, c)) if with_grad else None
@@ -91,21 +92,21 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
             Y = np.zeros((len(y), c))
             Y[np.arange(len(y)), y] = 1.0
             n += len(y)
-            for r in range(R):
-                Z = X @ Ws[r] + bs[r]
-                P = softmax_np(Z)
-                py = P[np.arange(len(y)), y]
-                le[r] += float(-np.log(py + EPS).sum())
-                zmax = Z.max(axis=1)
-                ls[r] += float((zmax + np.log(np.exp(Z - zmax[:, None]).sum(axis=1))
-                                - Z[np.arange(len(y)), y]).sum())
-                hit[r] += float((np.argmax(Z, axis=1) == y).sum())
-                if with_grad:
-                    D = P - Y
-                    if eps is not None:
-                        D = D * (py / (py + eps))[:, None]
-                    gW[r] += X.T @ D
-                    gb[r] += D.sum(axis=0)
+            rows_ = np.arange(len(y))
+            # all runs in one matmul: (n, d) @ (d, R*c)
+            Z = (X @ Wcat).reshape(len(y), R, c) + bs[None, :, :]
+            P = softmax_np(Z)
+            py = P[rows_, :, y]                                  # (n, R)
+            le += -np.log(py + EPS).sum(axis=0)
+            zmax = Z.max(axis=2)
+            ls += (zmax + np.log(np.exp(Z - zmax[:, :, None]).sum(axis=2)) - Z[rows_, :, y]).sum(axis=0)
+            hit += (np.argmax(Z, axis=2) == y[:, None]).sum(axis=0)
+            if with_grad:
+                D = P - Y[:, None, :]
+                if eps is not None:
+                    D = D * (py / (py + eps))[:, :, None]
+                gW += (X.T @ D.reshape(len(y), R * c)).reshape(d, R, c).transpose(1, 0, 2)
+                gb += D.sum(axis=0)
         parts = [le, ls, hit, [n]]
         if with_grad:
             parts = [gW.ravel(), gb.ravel()] + parts

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
+from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
 DEFAULT_MAX_GRAM_WIDTH = 2048
@@ -75,11 +76,15 @@ def _stack(xs: pd.Series) -> np.ndarray:
     return np.stack(xs.to_numpy()).astype(np.float64, copy=False)
 
 
+_WIDTH_KEY = 1 << 24  # key = group * 2^24 + width
+
+
 def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
               group: str | None = None) -> DataFrame:
-    """``(grp, d, k, value)``: upper-triangle ``G``, ``b``, ``y'y`` and ``n``
-    summed per group.  Each task emits one constant-size block; the shuffle
-    only carries those blocks."""
+    """Per-task partial sums of ``[upper-triangle G, b, y'y, n]``, one
+    block vector per (group, width) and task, keyed ``(key, blk, part)`` with
+    ``key = group * 2^24 + width``.  A task emits a handful of rows whatever
+    its size, and partial aggregation happens before the shuffle."""
 
     def per_task(batches):
         acc: dict[int, list] = {}
@@ -100,39 +105,30 @@ def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
                 cur[2] += X.T @ y
                 cur[3] += float(y @ y)
                 cur[4] += float(len(y))
+        frames = []
         for g, (d, G, b, yy, n) in acc.items():
             iu, ju = np.triu_indices(d)
-            keys = np.concatenate([iu * d + ju, d * d + np.arange(d), [d * d + d, d * d + d + 1]])
-            vals = np.concatenate([G[iu, ju], b, [yy, n]])
-            yield pd.DataFrame({"grp": np.full(len(keys), g, dtype=np.int32),
-                                "d": np.full(len(keys), d, dtype=np.int32),
-                                "k": keys.astype(np.int64), "value": vals})
+            frames.append(emit_blocks(np.concatenate([G[iu, ju], b, [yy, n]]), key=g * _WIDTH_KEY + d))
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
 
-    parts = _prepared(df, label, features, group).mapInPandas(
-        per_task, "grp int, d int, k long, value double")
-    return parts.groupBy("grp", "d", "k").agg(F.sum("value").alias("value"))
+    return _prepared(df, label, features, group).mapInPandas(per_task, BLOCK_SCHEMA)
 
 
 def collect_gram(sums: DataFrame) -> dict[int, GramStats]:
-    """Bring the summed blocks to the driver: ``#groups x (d(d+1)/2 + d + 2)``
-    numbers, bounded by the width and the group count."""
-    rows = sums.collect()
-    by: dict[int, dict] = {}
-    for r in rows:
-        e = by.setdefault(r["grp"], {"d": set(), "kv": {}})
-        e["d"].add(r["d"])
-        e["kv"][r["k"]] = r["value"]
-    out = {}
-    for g, e in by.items():
-        if len(e["d"]) != 1:
+    """Sum the blocks and unpack per group: ``#groups x (d(d+1)/2 + d + 2)``
+    numbers reach the driver, bounded by the width and the group count."""
+    out: dict[int, GramStats] = {}
+    for key, v in sum_blocks(sums).items():
+        g, d = divmod(int(key), _WIDTH_KEY)
+        if g in out:
             raise ValueError("rows of uneven feature width across tasks")
-        d = e["d"].pop()
-        kv = e["kv"]
+        t = d * (d + 1) // 2
         G = np.zeros((d, d))
-        for i, j in zip(*np.triu_indices(d)):
-            G[i, j] = G[j, i] = kv.get(int(i * d + j), 0.0)
-        b = np.array([kv.get(d * d + i, 0.0) for i in range(d)])
-        out[g] = GramStats(G, b, kv.get(d * d + d, 0.0), kv.get(d * d + d + 1, 0.0))
+        iu, ju = np.triu_indices(d)
+        G[iu, ju] = v[:t]
+        G[ju, iu] = v[:t]
+        out[g] = GramStats(G, v[t:t + d].copy(), float(v[t + d]), float(v[t + d + 1]))
     return out
 
 
