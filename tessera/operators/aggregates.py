@@ -11,7 +11,7 @@ reach the driver - a bound set by the model size, not the data.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 
-def emit_blocks(vec: np.ndarray, block: int = BLOCK, key: int = 0) -> pd.DataFrame:
+def emit_blocks(vec: np.ndarray, block: int = BLOCK, key: int = 0) -> pa.RecordBatch:
     """A task's partial-sum vector as ``(key, blk, part)`` rows."""
     vec = np.asarray(vec, dtype=np.float64).ravel()
     n = max(1, -(-len(vec) // block))
-    return pd.DataFrame({"key": np.full(n, key, dtype=np.int64),
-                         "blk": np.arange(n, dtype=np.int64),
-                         "part": [vec[i * block:(i + 1) * block] for i in range(n)]})
+    offsets = np.minimum(np.arange(n + 1, dtype=np.int64) * block, len(vec)).astype(np.int32)
+    parts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(vec))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, key, dtype=np.int64)), pa.array(np.arange(n, dtype=np.int64)), parts],
+        names=["key", "blk", "part"])
 
 
 BLOCK_SCHEMA = "key long, blk long, part array<double>"

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
@@ -42,15 +43,6 @@ def softmax_np(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _stack(xs: pd.Series) -> np.ndarray:
-    if len(xs) == 0:
-        return np.zeros((0, 0))
-    lens = xs.map(len).to_numpy()
-    if (lens != lens[0]).any():
-        raise ValueError("rows of uneven feature width")
-    return np.stack(xs.to_numpy()).astype(np.float64, copy=False)
-
-
 def prepare_rows(df: DataFrame, label: str = "label", features: str = "x",
                  key: str | None = None) -> DataFrame:
     """``(k, label int, x array<double>)`` - the shape the passes read."""
@@ -82,13 +74,11 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
         ls = np.zeros(R)
         hit = np.zeros(R)
         n = 0.0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            X = _stack(pdf["x"])
-            if X.shape[1] != d:
-                raise ValueError("feature width does not match the weights")
-            y = pdf["label"].to_numpy(np.int64)
+            X = AB.matrix(batch, "x", d)
+            y = AB.vector(batch, "label", np.int64)
             Y = np.zeros((len(y), c))
             Y[np.arange(len(y)), y] = 1.0
             n += len(y)
@@ -112,7 +102,7 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
             parts = [gW.ravel(), gb.ravel()] + parts
         yield emit_blocks(np.concatenate([np.asarray(p, dtype=np.float64).ravel() for p in parts]))
 
-    total = sum_blocks(rows.select("label", "x").mapInPandas(per_task, BLOCK_SCHEMA))
+    total = sum_blocks(rows.select("label", "x").mapInArrow(per_task, BLOCK_SCHEMA))
     v = total.get(0)
     if v is None:
         raise ValueError("no rows")

@@ -15,10 +15,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import arrow_batches as AB
+
 
 def same_geometry(size: int, k: int, stride: int):
     out = math.ceil(size / stride)
@@ -102,12 +104,13 @@ def score_conv_stack(rows: DataFrame, convs, dense, h: int, w: int, key: str = "
                      features: str = "x", digits: int = 6) -> DataFrame:
     """``(key, scores)`` by the stacked network, one numpy pass per batch."""
     def per_batch(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            X = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            X = AB.matrix(batch, features)
             Z = np.round(conv_stack_forward(X, convs, dense, h, w), digits) + 0.0
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "scores": list(Z)})
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)),
+                                              AB.list_column(Z)], names=[key, "scores"])
 
     kt = rows.schema[key].dataType.simpleString()
-    return rows.select(key, features).mapInPandas(per_batch, f"{key} {kt}, scores array<double>")
+    return rows.select(key, features).mapInArrow(per_batch, f"{key} {kt}, scores array<double>")

@@ -10,11 +10,12 @@ gradient vector, summed block-wise in parallel reducers.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
-from tessera.operators.classification import EPS, _Adam, _stack, softmax_np, stepped_rate
+from tessera.operators.classification import EPS, _Adam, softmax_np, stepped_rate
 
 
 def _act(name):
@@ -41,16 +42,17 @@ def score_rows(rows: DataFrame, layers, hidden: str = "relu", key: str = "vec_id
     layers = [(np.asarray(W, float), np.asarray(b, float)) for W, b in layers]
 
     def per_batch(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            Z = forward_np(_stack(pdf[features]), layers, hidden)
+            Z = forward_np(AB.matrix(batch, features), layers, hidden)
             if digits is not None:
                 Z = np.round(Z, digits) + 0.0
-            yield pd.DataFrame({key: pdf[key].to_numpy(), out: list(Z)})
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)),
+                                              AB.list_column(Z)], names=[key, out])
 
     kt = rows.schema[key].dataType.simpleString()
-    return rows.select(key, features).mapInPandas(per_batch, f"{key} {kt}, {out} array<double>")
+    return rows.select(key, features).mapInArrow(per_batch, f"{key} {kt}, {out} array<double>")
 
 
 def truncated_normal(rng, shape, std=0.1):
@@ -148,12 +150,13 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
         def per_task(batches, cur=cur, i=i):
             acc = None
             loss = hits = n = 0.0
-            for pdf in batches:
-                if pdf.empty:
+            for batch in batches:
+                if batch.num_rows == 0:
                     continue
-                X = _stack(pdf["x"])
-                y = pdf["label"].to_numpy(np.int64)
-                g, l_, h_ = backprop_np(X, y, pdf["k"].to_numpy(), cur, hidden, keep_prob, i, seed, c)
+                X = AB.matrix(batch, "x")
+                y = AB.vector(batch, "label", np.int64)
+                keys = AB.vector(batch, "k", np.int64)
+                g, l_, h_ = backprop_np(X, y, keys, cur, hidden, keep_prob, i, seed, c)
                 flat = np.concatenate([a.ravel() for pair in g for a in pair])
                 acc = flat if acc is None else acc + flat
                 loss += l_
@@ -163,7 +166,7 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
                 acc = np.zeros(sum(sizes_flat))
             yield emit_blocks(np.concatenate([acc, [loss, hits, n]]))
 
-        v = sum_blocks(rows.select("k", "label", "x").mapInPandas(per_task, BLOCK_SCHEMA))[0]
+        v = sum_blocks(rows.select("k", "label", "x").mapInArrow(per_task, BLOCK_SCHEMA))[0]
         n = v[-1]
         if n == 0:
             raise ValueError("no training rows")

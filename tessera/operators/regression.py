@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
+from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
@@ -69,13 +70,6 @@ def _prepared(df: DataFrame, label: str, features: str, group: str | None) -> Da
                      as_array_col(df, features).alias("x"))
 
 
-def _stack(xs: pd.Series) -> np.ndarray:
-    lens = xs.map(len).to_numpy()
-    if len(lens) and (lens != lens[0]).any():
-        raise ValueError("rows of uneven feature width")
-    return np.stack(xs.to_numpy()).astype(np.float64, copy=False)
-
-
 _WIDTH_KEY = 1 << 24  # key = group * 2^24 + width
 
 
@@ -88,13 +82,17 @@ def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
 
     def per_task(batches):
         acc: dict[int, list] = {}
-        for pdf in batches:
-            pdf = pdf.dropna()
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            for g, sub in pdf.groupby("grp", sort=False):
-                X = _stack(sub["x"])
-                y = sub["y"].to_numpy(np.float64)
+            grp = AB.vector(batch, "grp", np.int64)
+            y_all = AB.vector(batch, "y")
+            X_all = AB.matrix(batch, "x")
+            if np.isnan(y_all).any():
+                raise ValueError("null labels")
+            for g in np.unique(grp):
+                sel = grp == g
+                X, y = (X_all, y_all) if sel.all() else (X_all[sel], y_all[sel])
                 cur = acc.get(int(g))
                 if cur is not None and cur[0] != X.shape[1]:
                     raise ValueError("rows of uneven feature width")
@@ -105,14 +103,11 @@ def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
                 cur[2] += X.T @ y
                 cur[3] += float(y @ y)
                 cur[4] += float(len(y))
-        frames = []
         for g, (d, G, b, yy, n) in acc.items():
             iu, ju = np.triu_indices(d)
-            frames.append(emit_blocks(np.concatenate([G[iu, ju], b, [yy, n]]), key=g * _WIDTH_KEY + d))
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
+            yield emit_blocks(np.concatenate([G[iu, ju], b, [yy, n]]), key=g * _WIDTH_KEY + d)
 
-    return _prepared(df, label, features, group).mapInPandas(per_task, BLOCK_SCHEMA)
+    return _prepared(df, label, features, group).mapInArrow(per_task, BLOCK_SCHEMA)
 
 
 def collect_gram(sums: DataFrame) -> dict[int, GramStats]:
@@ -171,23 +166,18 @@ def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str
         g = np.zeros(d)
         sse = 0.0
         n = 0.0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            X = _stack(pdf[features])
-            if X.shape[1] != d:
-                raise ValueError("rows of uneven feature width")
-            r = X @ w - pdf[label].to_numpy(np.float64)
+            X = AB.matrix(batch, features, d)
+            r = X @ w - AB.vector(batch, label)
             g += X.T @ r
             sse += float(r @ r)
             n += len(r)
-        yield pd.DataFrame({"k": np.arange(d + 2, dtype=np.int64),
-                            "value": np.concatenate([g, [sse, n]])})
+        yield emit_blocks(np.concatenate([g, [sse, n]]))
 
-    rows = df.select(label, features).mapInPandas(per_task, "k long, value double") \
-        .groupBy("k").agg(F.sum("value").alias("value")).collect()
-    kv = {r["k"]: r["value"] for r in rows}
-    return np.array([kv[i] for i in range(d)]), kv[d], kv[d + 1]
+    v = sum_blocks(df.select(label, features).mapInArrow(per_task, BLOCK_SCHEMA))[0]
+    return v[:d], float(v[d]), float(v[d + 1])
 
 
 def descend_distributed(df: DataFrame, iters: int, alpha: float = 1.0):
