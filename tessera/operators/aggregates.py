@@ -42,3 +42,18 @@ def sum_blocks(parts: DataFrame) -> dict[int, np.ndarray]:
     for r in summed.collect():
         out.setdefault(r["key"], {})[r["blk"]] = r["s"].toArray()
     return {k: np.concatenate([v[b] for b in sorted(v)]) for k, v in out.items()}
+
+
+def cap_tasks(df: DataFrame, waves: int = 4) -> DataFrame:
+    """Limit a partial-sum pass to ``waves x cores`` tasks.
+
+    Each task of such a pass emits one model-sized vector, so the shuffle
+    carries ``#tasks x width`` numbers; with 100k input splits and a wide
+    model that dwarfs the model itself.  ``coalesce`` merges input splits
+    into fewer tasks without a shuffle, so the partial sums scale with the
+    cluster's cores instead of the input's file count, and every core still
+    gets ``waves`` tasks for load balance."""
+    cap = max(1, waves * df.sparkSession.sparkContext.defaultParallelism)
+    # coalesce never raises the count, so this is a no-op below the cap; the
+    # count is not inspected (that would run any shuffle below ``df``).
+    return df.coalesce(cap)

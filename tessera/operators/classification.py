@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
 EPS = 1e-5  # the constant inside log(p + eps) of the first classifier's loss
@@ -102,7 +102,7 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
             parts = [gW.ravel(), gb.ravel()] + parts
         yield emit_blocks(np.concatenate([np.asarray(p, dtype=np.float64).ravel() for p in parts]))
 
-    total = sum_blocks(rows.select("label", "x").mapInArrow(per_task, BLOCK_SCHEMA))
+    total = sum_blocks(cap_tasks(rows.select("label", "x")).mapInArrow(per_task, BLOCK_SCHEMA))
     v = total.get(0)
     if v is None:
         raise ValueError("no rows")

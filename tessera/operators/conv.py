@@ -50,12 +50,17 @@ def conv2d_join(pixels: DataFrame, kernel: DataFrame, h: int, w: int, k: int, st
     ``(id, oy, ox, co, value)``."""
     oh, pt = same_geometry(h, k, stride)
     ow, pl = same_geometry(w, k, stride)
-    j = pixels.join(F.broadcast(kernel), "ci")
+    # A tap (ky, kx) reaches an output only when y + pad - ky is a multiple
+    # of the stride: joining on the residues keeps 1/stride^2 of the pairs
+    # instead of filtering them after the join.
+    px = pixels.withColumn("ry", F.pmod(F.col("y") + F.lit(pt), F.lit(stride))) \
+        .withColumn("rx", F.pmod(F.col("x") + F.lit(pl), F.lit(stride)))
+    kr = kernel.withColumn("ry", F.pmod("ky", F.lit(stride))).withColumn("rx", F.pmod("kx", F.lit(stride)))
+    j = px.join(F.broadcast(kr), ["ci", "ry", "rx"])
     ny = F.col("y") - F.col("ky") + F.lit(pt)
     nx = F.col("x") - F.col("kx") + F.lit(pl)
     j = j.select("id", "co", ny.alias("ny"), nx.alias("nx"), (F.col("v") * F.col("w")).alias("vw"))
-    j = j.filter((F.col("ny") >= 0) & (F.col("nx") >= 0) & (F.pmod("ny", F.lit(stride)) == 0)
-                 & (F.pmod("nx", F.lit(stride)) == 0)
+    j = j.filter((F.col("ny") >= 0) & (F.col("nx") >= 0)
                  & (F.col("ny") < oh * stride) & (F.col("nx") < ow * stride))
     out = j.groupBy("id", (F.col("ny") / stride).cast("int").alias("oy"),
                     (F.col("nx") / stride).cast("int").alias("ox"), "co") \

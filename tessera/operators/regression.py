@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
 DEFAULT_MAX_GRAM_WIDTH = 2048
@@ -107,7 +107,7 @@ def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
             iu, ju = np.triu_indices(d)
             yield emit_blocks(np.concatenate([G[iu, ju], b, [yy, n]]), key=g * _WIDTH_KEY + d)
 
-    return _prepared(df, label, features, group).mapInArrow(per_task, BLOCK_SCHEMA)
+    return cap_tasks(_prepared(df, label, features, group)).mapInArrow(per_task, BLOCK_SCHEMA)
 
 
 def collect_gram(sums: DataFrame) -> dict[int, GramStats]:
@@ -176,7 +176,7 @@ def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str
             n += len(r)
         yield emit_blocks(np.concatenate([g, [sse, n]]))
 
-    v = sum_blocks(df.select(label, features).mapInArrow(per_task, BLOCK_SCHEMA))[0]
+    v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA))[0]
     return v[:d], float(v[d]), float(v[d + 1])
 
 
