@@ -52,57 +52,70 @@ def prepare_rows(df: DataFrame, label: str = "label", features: str = "x",
 
 
 def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | None = None,
-                 with_grad: bool = True) -> dict:
+                 with_grad: bool = True, n_splits: int = 1) -> dict:
     """One job for ``R`` weight sets at once.
 
     ``Ws``: (R, d, c), ``bs``: (R, c).  Returns summed gradients of the
-    per-row loss (``gW`` (R, d, c), ``gb`` (R, c)), the summed loss under
-    both forms (``loss_eps`` uses ``-log(p_y + 1e-5)``, ``loss_scores``
-    uses ``logsumexp(z) - z_y``), hit counts and ``n``.  With ``eps`` the
-    row gradient is ``(P - Y) * p_y / (p_y + eps)`` (the gradient of the
+    per-row loss over split 0 (``gW`` (R, d, c), ``gb`` (R, c)) and, per
+    split (rows carry a ``split`` column when ``n_splits > 1``), the summed
+    loss under both forms (``loss_eps`` uses ``-log(p_y + 1e-5)``,
+    ``loss_scores`` uses ``logsumexp(z) - z_y``), hit counts and ``n``
+    (arrays of shape (n_splits, R) / (n_splits,)).  With ``eps`` the row
+    gradient is ``(P - Y) * p_y / (p_y + eps)`` (the gradient of the
     ``log(p + eps)`` loss), else ``P - Y``.
     """
     Ws = np.asarray(Ws, dtype=np.float64)
     bs = np.asarray(bs, dtype=np.float64)
     R, d, c = Ws.shape
+    S = n_splits
     Wcat = Ws.transpose(1, 0, 2).reshape(d, R * c)
 
     def per_task(batches):
-        gW = np.zeros((R, d, c)) if with_grad else None
-        gb = np.zeros((R, c)) if with_grad else None
-        le = np.zeros(R)
-        ls = np.zeros(R)
-        hit = np.zeros(R)
-        n = 0.0
+        gW = np.zeros((R, d, c))
+        gb = np.zeros((R, c))
+        le = np.zeros((S, R))
+        ls = np.zeros((S, R))
+        hit = np.zeros((S, R))
+        n = np.zeros(S)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = AB.matrix(batch, "x", d)
             y = AB.vector(batch, "label", np.int64)
-            Y = np.zeros((len(y), c))
-            Y[np.arange(len(y)), y] = 1.0
-            n += len(y)
+            sp = AB.vector(batch, "split", np.int64) if S > 1 else np.zeros(len(y), dtype=np.int64)
             rows_ = np.arange(len(y))
             # all runs in one matmul: (n, d) @ (d, R*c)
             Z = (X @ Wcat).reshape(len(y), R, c) + bs[None, :, :]
             P = softmax_np(Z)
             py = P[rows_, :, y]                                  # (n, R)
-            le += -np.log(py + EPS).sum(axis=0)
             zmax = Z.max(axis=2)
-            ls += (zmax + np.log(np.exp(Z - zmax[:, :, None]).sum(axis=2)) - Z[rows_, :, y]).sum(axis=0)
-            hit += (np.argmax(Z, axis=2) == y[:, None]).sum(axis=0)
+            l_eps = -np.log(py + EPS)
+            l_sc = zmax + np.log(np.exp(Z - zmax[:, :, None]).sum(axis=2)) - Z[rows_, :, y]
+            h = (np.argmax(Z, axis=2) == y[:, None])
+            for k in range(S):
+                m = sp == k
+                if m.any():
+                    le[k] += l_eps[m].sum(axis=0)
+                    ls[k] += l_sc[m].sum(axis=0)
+                    hit[k] += h[m].sum(axis=0)
+                    n[k] += m.sum()
             if with_grad:
-                D = P - Y[:, None, :]
+                m = sp == 0
+                Xt, yt, Pt = (X, y, P) if m.all() else (X[m], y[m], P[m])
+                D = Pt.copy()
+                D[np.arange(len(yt)), :, yt] -= 1.0
                 if eps is not None:
-                    D = D * (py / (py + eps))[:, :, None]
-                gW += (X.T @ D.reshape(len(y), R * c)).reshape(d, R, c).transpose(1, 0, 2)
+                    pyt = py[m] if not m.all() else py
+                    D = D * (pyt / (pyt + eps))[:, :, None]
+                gW += (Xt.T @ D.reshape(len(yt), R * c)).reshape(d, R, c).transpose(1, 0, 2)
                 gb += D.sum(axis=0)
-        parts = [le, ls, hit, [n]]
+        parts = [le, ls, hit, n]
         if with_grad:
-            parts = [gW.ravel(), gb.ravel()] + parts
+            parts = [gW, gb] + parts
         yield emit_blocks(np.concatenate([np.asarray(p, dtype=np.float64).ravel() for p in parts]))
 
-    total = sum_blocks(cap_tasks(rows.select("label", "x")).mapInArrow(per_task, BLOCK_SCHEMA))
+    cols = ["label", "x"] + (["split"] if S > 1 else [])
+    total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA))
     v = total.get(0)
     if v is None:
         raise ValueError("no rows")
@@ -112,8 +125,14 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
         o += R * d * c
         out["gb"] = v[o:o + R * c].reshape(R, c)
         o += R * c
-    out["loss_eps"], out["loss_scores"], out["hits"] = v[o:o + R], v[o + R:o + 2 * R], v[o + 2 * R:o + 3 * R]
-    out["n"] = v[o + 3 * R]
+    for name in ("loss_eps", "loss_scores", "hits"):
+        out[name] = v[o:o + S * R].reshape(S, R)
+        o += S * R
+    out["n"] = v[o:o + S]
+    if S == 1:
+        for name in ("loss_eps", "loss_scores", "hits"):
+            out[name] = out[name][0]
+        out["n"] = out["n"][0]
     return out
 
 
@@ -149,12 +168,16 @@ class _Adam:
 
 def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int = 10,
                   eps: float | None = None, eval_sets: dict[str, DataFrame] | None = None,
-                  eval_every: int = 1, batch_col_rows: DataFrame | None = None,
-                  n_batches: int | None = None):
+                  eval_every: int = 1, n_batches: int | None = None):
     """Train every run for ``rounds`` rounds from zero weights; the gradient
     is the mean over the round's rows.  With ``n_batches`` the rows carry a
     batch id ``k`` and round ``i`` uses batch ``i mod n_batches``.
 
+    Evaluation shares the training scan: the rows of every eval set ride
+    along in each round's pass (split ids 1..), which yields their metrics
+    at the pass's weights; the metrics after round ``i``'s update are those
+    of pass ``i + 1``, and one metrics-only pass follows the last round.
+
     Returns the final ``(Ws, bs)`` and a metrics list of
     ``(run, round, split, accuracy, loss_eps, loss_scores)`` taken after the
     update of every round ``i`` with ``i % eval_every == 0``.
@@ -163,11 +186,33 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     Ws = np.zeros((R, d, c))
     bs = np.zeros((R, c))
     adams = {r: _Adam([(d, c), (c,)]) for r, run in enumerate(runs) if run.optimizer == "adam"}
+    names = list(eval_sets or {})
+    S = 1 + len(names)
+    combined = rows.withColumn("split", F.lit(0))
+    for j, name in enumerate(names):
+        combined = combined.unionByName(eval_sets[name].withColumn("split", F.lit(j + 1)))
+    wanted = {i + 1 for i in range(rounds) if i % eval_every == 0} if names else set()
     metrics = []
-    for i in range(rounds):
-        src = rows if n_batches is None else rows.filter(F.pmod(F.col("k"), F.lit(n_batches)) == i % n_batches)
-        res = softmax_pass(src, Ws, bs, eps=eps)
-        n = res["n"]
+
+    def record(res, after_round):
+        for j, name in enumerate(names):
+            nn = res["n"][j + 1]
+            for r in range(R):
+                metrics.append((r, after_round, name, res["hits"][j + 1][r] / nn,
+                                res["loss_eps"][j + 1][r] / nn, res["loss_scores"][j + 1][r] / nn))
+
+    for i in range(rounds + (1 if rounds in wanted else 0)):
+        src = combined if i in wanted else rows.withColumn("split", F.lit(0))
+        if n_batches is not None:
+            src = src.filter((F.col("split") != 0)
+                             | (F.pmod(F.col("k"), F.lit(n_batches)) == i % n_batches))
+        last = i == rounds
+        res = softmax_pass(src, Ws, bs, eps=eps, with_grad=not last, n_splits=S)
+        if i in wanted:
+            record(res, i - 1)
+        if last:
+            break
+        n = res["n"][0] if S > 1 else res["n"]
         for r, run in enumerate(runs):
             gW, gb = res["gW"][r] / n, res["gb"][r] / n
             rate = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
@@ -175,12 +220,7 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
                 Ws[r], bs[r] = adams[r].step([Ws[r], bs[r]], [gW, gb], rate)
             else:
                 Ws[r], bs[r] = Ws[r] - rate * gW, bs[r] - rate * gb
-        if eval_sets and i % eval_every == 0:
-            for split, eval_rows in eval_sets.items():
-                ev = softmax_pass(eval_rows, Ws, bs, with_grad=False)
-                for r in range(R):
-                    metrics.append((r, i, split, ev["hits"][r] / ev["n"],
-                                    ev["loss_eps"][r] / ev["n"], ev["loss_scores"][r] / ev["n"]))
+    metrics.sort(key=lambda t: (t[1], names.index(t[2]), t[0]))
     return Ws, bs, metrics
 
 
