@@ -37,9 +37,12 @@ def forward_np(X, layers, hidden="relu"):
 
 
 def score_rows(rows: DataFrame, layers, hidden: str = "relu", key: str = "vec_id",
-               features: str = "x", out: str = "scores", digits: int | None = 6) -> DataFrame:
-    """``(key, scores array<double>)`` by the network ``layers``."""
+               features: str = "x", out: str = "scores", digits: int | None = 6,
+               carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, *carry, scores array<double>)`` by the network ``layers``;
+    ``carry`` columns pass through the batch untouched (no re-join)."""
     layers = [(np.asarray(W, float), np.asarray(b, float)) for W, b in layers]
+    keep = [key, *carry]
 
     def per_batch(batches):
         for batch in batches:
@@ -48,11 +51,11 @@ def score_rows(rows: DataFrame, layers, hidden: str = "relu", key: str = "vec_id
             Z = forward_np(AB.matrix(batch, features), layers, hidden)
             if digits is not None:
                 Z = np.round(Z, digits) + 0.0
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)),
-                                              AB.list_column(Z)], names=[key, out])
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays(cols + [AB.list_column(Z)], names=keep + [out])
 
-    kt = rows.schema[key].dataType.simpleString()
-    return rows.select(key, features).mapInArrow(per_batch, f"{key} {kt}, {out} array<double>")
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.select(*keep, features).mapInArrow(per_batch, f"{fields}, `{out}` array<double>")
 
 
 def truncated_normal(rng, shape, std=0.1):

@@ -36,9 +36,8 @@ def _fixed_layer():
 
 def _scores(spark, sf_dir):
     """C1 scoring: one numpy matmul per Arrow batch (weights in the closure)."""
-    r = _rows(spark, sf_dir)
-    s = NN.score_rows(r, _fixed_layer(), digits=None)
-    return s.join(r.select("vec_id", F.col("label").cast("int").alias("label")), "vec_id")
+    r = _rows(spark, sf_dir).withColumn("label", F.col("label").cast("int"))
+    return NN.score_rows(r, _fixed_layer(), digits=None, carry=("label",))
 
 
 def _r6(c):
@@ -272,9 +271,9 @@ def _dense_fit(spark, sf_dir, keep_prob, rounds=20):
                                         decay_rate=0.96 if keep_prob < 1 else None)
     finally:
         train.unpersist()
-    scored = NN.score_rows(test.withColumnRenamed("k", "vec_id"), layers, hidden="relu", digits=None)
-    return scored.join(test.select(F.col("k").alias("vec_id"), "label"), "vec_id") \
-        .select("vec_id", "label", V.argmax("scores").alias("prediction"))
+    scored = NN.score_rows(test.withColumnRenamed("k", "vec_id"), layers, hidden="relu", digits=None,
+                           carry=("label",))
+    return scored.select("vec_id", "label", V.argmax("scores").alias("prediction"))
 
 
 @register("mlp_fit_relu")

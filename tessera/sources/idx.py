@@ -90,28 +90,34 @@ def write_idx(df: DataFrame, path: str, pixels: str = "pixels", label: str = "la
 
 def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
     """``(file, idx, label int, pixels array<double>)`` from the part files
-    under ``path``; pixels are scaled to 0..1 when ``scale``."""
+    under ``path``; pixels are scaled to 0..1 when ``scale``.
+
+    The image and label files of one part are paired by their stem before
+    parsing: the shuffle moves the compressed file bytes (a few bytes per
+    image) rather than parsed pixel rows, and one task then decodes the pair
+    and zips images with labels.  A group is one file pair, so its size is
+    set by how the files were written, not by the whole set."""
     root = path.rstrip("/")
 
-    def parse(batches):
-        for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"]):
-                kind, arr = decode(bytes(content))
-                stem = p.rsplit("/", 1)[-1].split("-images-")[0].split("-labels-")[0]
-                n = arr.shape[0]
-                if kind == "images":
-                    flat = arr.reshape(n, -1).astype(np.float64)
-                    if scale:
-                        flat = flat / 255.0
-                    yield pd.DataFrame({"file": [stem] * n, "idx": np.arange(n), "kind": ["images"] * n,
-                                        "label": np.full(n, -1), "pixels": list(flat)})
-                else:
-                    yield pd.DataFrame({"file": [stem] * n, "idx": np.arange(n), "kind": ["labels"] * n,
-                                        "label": arr.astype(np.int64), "pixels": [None] * n})
-
-    schema = "file string, idx long, kind string, label long, pixels array<double>"
+    def parse_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        images = labels = None
+        stem = pdf["stem"].iloc[0]
+        for content in pdf["content"]:
+            kind, arr = decode(bytes(content))
+            if kind == "images":
+                images = arr
+            else:
+                labels = arr
+        if images is None or labels is None or len(images) != len(labels):
+            raise ValueError(f"idx part {stem}: images and labels do not pair up")
+        n = len(labels)
+        flat = images.reshape(n, -1).astype(np.float64)
+        if scale:
+            flat = flat / 255.0
+        return pd.DataFrame({"file": [stem] * n, "idx": np.arange(n, dtype=np.int64),
+                             "label": labels.astype(np.int32), "pixels": list(flat)})
+
     files = spark.read.format("binaryFile").load(f"{root}/*-ubyte.gz")
-    rows = files.select("path", "content").mapInPandas(parse, schema)
-    images = rows.filter(F.col("kind") == "images").select("file", "idx", "pixels")
-    labels = rows.filter(F.col("kind") == "labels").select("file", "idx", F.col("label").cast("int").alias("label"))
-    return images.join(labels, ["file", "idx"])
+    stem = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)-(images|labels)-", 1)
+    return files.select(stem.alias("stem"), "content").groupBy("stem").applyInPandas(
+        parse_pair, "file string, idx long, label int, pixels array<double>")
