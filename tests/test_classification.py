@@ -120,3 +120,35 @@ def test_stepped_rate():
     assert CL.stepped_rate(0.1, 0, 2, 0.5) == 0.1
     assert CL.stepped_rate(0.1, 3, 2, 0.5) == 0.05
     assert CL.stepped_rate(0.1, 4, 2, 0.5) == 0.025
+
+
+def test_softmax_pass_unchanged_under_repartitioning(spark):
+    tr, _, _ = _rows(spark)
+    W = np.random.default_rng(3).normal(size=(2, 64, 10)) * 0.1
+    b = np.zeros((2, 10))
+    base = CL.softmax_pass(tr, W, b, eps=1e-5)
+    for n in (1, 7):
+        other = CL.softmax_pass(tr.repartition(n), W, b, eps=1e-5)
+        assert np.allclose(base["gW"], other["gW"]) and np.allclose(base["gb"], other["gb"])
+        assert np.array_equal(base["hits"], other["hits"]) and base["n"] == other["n"]
+
+
+def test_shared_eval_pass_matches_separate_evaluation(spark):
+    r = CL.prepare_rows(I.embedding_rows(spark, SF), "label", "x", key="vec_id")
+    tr, te = key_split(r, "k")
+    Ws, bs, metrics = CL.train_softmax(tr, [CL.Run(rate=0.5)], 4, 64, 10, eps=1e-5,
+                                       eval_sets={"test": te}, eval_every=2)
+    assert [(m[1], m[2]) for m in metrics] == [(0, "test"), (2, "test")]
+    # the metric after the last recorded round equals a direct evaluation
+    W2, b2, _ = CL.train_softmax(tr, [CL.Run(rate=0.5)], 3, 64, 10, eps=1e-5)
+    ev = CL.softmax_pass(te, W2, b2, with_grad=False)
+    assert abs(metrics[-1][3] - ev["hits"][0] / ev["n"]) < 1e-12
+    assert abs(metrics[-1][4] - ev["loss_eps"][0] / ev["n"]) < 1e-12
+
+
+def test_dense_fit_unchanged_under_repartitioning(spark):
+    tr, _, _ = _rows(spark)
+    a, _ = NN.dense_net_fit(tr, [64, 16, 10], 3, 0.01, keep_prob=0.75, seed=5)
+    b, _ = NN.dense_net_fit(tr.repartition(7), [64, 16, 10], 3, 0.01, keep_prob=0.75, seed=5)
+    for (W1, b1), (W2, b2) in zip(a, b):
+        assert np.allclose(W1, W2) and np.allclose(b1, b2)
