@@ -1,7 +1,7 @@
 """tessera: Spark-first data preparation, regression and classification jobs.
 
 Everything runs as DataFrame/SQL plans; numpy is used only inside Arrow
-batches (``mapInPandas``) or on small, size-bounded driver state such as a
+batches (``mapInArrow``) or on small, size-bounded driver state such as a
 d x d Gram matrix or a weight matrix.
 """
 

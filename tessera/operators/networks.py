@@ -1,7 +1,7 @@
 """Dense networks: layered scoring in Arrow batches, and training by
 summed per-task back-propagation gradients (GD or Adam, optional dropout).
 
-Scoring is one ``mapInPandas`` over the rows with the layer weights captured
+Scoring is one ``mapInArrow`` over the rows with the layer weights captured
 in the closure (their size is fixed by the architecture).  Training runs one
 job per round; each task back-propagates its own rows and emits one flat
 gradient vector, summed block-wise in parallel reducers.

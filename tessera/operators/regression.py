@@ -2,7 +2,7 @@
 
 For the squared loss the gradient is ``G w - b`` with ``G = X'X`` and
 ``b = X'y``, and ``RMSE^2 = (y'y - 2 b'w + w'G w) / n``.  One distributed pass
-(``mapInPandas`` partial sums per task, then ``groupBy(k).sum``) yields
+(``mapInArrow`` partial sums per task, summed per block id) yields
 ``G, b, y'y, n``; every round then runs on the driver in ``d x d`` - a size
 bound set by the width, never by the row count.  Above ``max_gram_width``
 features the rounds run as one distributed gradient job each instead.

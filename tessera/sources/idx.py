@@ -1,10 +1,9 @@
 """idx-ubyte image and label files (optionally gzip), the format of the
 classic handwritten-digit and clothing image sets.
 
-Reading: ``binaryFile`` gives one row per file; one task parses one file in
-``mapInPandas`` (so parallelism is across files - large sets come as many
-part files), emitting ``(file stem, index, ...)`` rows.  Images and labels
-are matched on (stem, index).  Writing: every partition writes its own pair
+Reading: ``binaryFile`` gives one row per file; the image and label files of
+a part are grouped by stem and one task decodes the pair (so parallelism is
+across parts - large sets come as many part files).  Writing: every partition writes its own pair
 of part files through ``pyarrow.fs`` (local, HDFS or object stores alike);
 a retried task rewrites the same names, so a lost executor leaves no debris.
 """
