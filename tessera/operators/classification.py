@@ -11,7 +11,7 @@ and emits one block vector; blocks are summed in parallel
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -143,7 +143,6 @@ class Run:
     optimizer: str = "gd"            # "gd" or "adam"
     decay_steps: int | None = None
     decay_rate: float | None = None
-    params: dict = field(default_factory=dict)
 
 
 class _Adam:
@@ -168,10 +167,12 @@ class _Adam:
 
 def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int = 10,
                   eps: float | None = None, eval_sets: dict[str, DataFrame] | None = None,
-                  eval_every: int = 1, n_batches: int | None = None):
+                  eval_every: int = 1, batch_size: int | None = None):
     """Train every run for ``rounds`` rounds from zero weights; the gradient
-    is the mean over the round's rows.  With ``n_batches`` the rows carry a
-    batch id ``k`` and round ``i`` uses batch ``i mod n_batches``.
+    is the mean over the round's rows.  With ``batch_size`` the batch of a
+    row is ``k div batch_size`` (its key) and round ``i`` uses batch
+    ``i mod #batches``; the filter runs on the persisted rows, so a round
+    reads its batch, not the source.
 
     Evaluation shares the training scan: the rows of every eval set ride
     along in each round's pass (split ids 1..), which yields their metrics
@@ -192,6 +193,13 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     for j, name in enumerate(names):
         combined = combined.unionByName(eval_sets[name].withColumn("split", F.lit(j + 1)))
     wanted = {i + 1 for i in range(rounds) if i % eval_every == 0} if names else set()
+    batch_ids = []
+    if batch_size is not None:
+        # the distinct batch ids: one small aggregate (#rows / batch_size values)
+        batch_ids = sorted(r[0] for r in rows.select(
+            F.floor(F.col("k") / F.lit(batch_size)).alias("b")).distinct().collect())
+        if not batch_ids:
+            raise ValueError("no training rows")
     metrics = []
 
     def record(res, after_round):
@@ -203,9 +211,10 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
 
     for i in range(rounds + (1 if rounds in wanted else 0)):
         src = combined if i in wanted else rows.withColumn("split", F.lit(0))
-        if n_batches is not None:
+        if batch_size is not None:
+            b = batch_ids[i % len(batch_ids)]
             src = src.filter((F.col("split") != 0)
-                             | (F.pmod(F.col("k"), F.lit(n_batches)) == i % n_batches))
+                             | (F.floor(F.col("k") / F.lit(batch_size)) == F.lit(b)))
         last = i == rounds
         res = softmax_pass(src, Ws, bs, eps=eps, with_grad=not last, n_splits=S)
         if i in wanted:

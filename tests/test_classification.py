@@ -152,3 +152,19 @@ def test_dense_fit_unchanged_under_repartitioning(spark):
     b, _ = NN.dense_net_fit(tr.repartition(7), [64, 16, 10], 3, 0.01, keep_prob=0.75, seed=5)
     for (W1, b1), (W2, b2) in zip(a, b):
         assert np.allclose(W1, W2) and np.allclose(b1, b2)
+
+
+def test_minibatch_rounds_match_numpy(spark):
+    tr, _, _ = _rows(spark)
+    pdf = tr.toPandas()
+    k = pdf["k"].to_numpy()
+    X, y = np.stack(pdf["x"].to_numpy()), pdf["label"].to_numpy()
+    Ws, bs, _ = CL.train_softmax(tr, [CL.Run(rate=0.5)], 5, 64, 10, batch_size=100)
+    ids = sorted(set(k // 100))
+    W, b = np.zeros((64, 10)), np.zeros(10)
+    for i in range(5):
+        m = (k // 100) == ids[i % len(ids)]
+        P = CL.softmax_np(X[m] @ W + b)
+        D = P - np.eye(10)[y[m]]
+        W, b = W - 0.5 * X[m].T @ D / m.sum(), b - 0.5 * D.sum(0) / m.sum()
+    assert np.allclose(Ws[0], W, atol=1e-12) and np.allclose(bs[0], b, atol=1e-12)
