@@ -73,6 +73,13 @@ def conv2d_join(pixels: DataFrame, kernel: DataFrame, h: int, w: int, k: int, st
     return out
 
 
+def as_pixels(conv_out: DataFrame) -> DataFrame:
+    """A layer's ``(id, oy, ox, co, value)`` output as the next layer's
+    ``(id, y, x, ci, v)`` input, so join-form layers chain."""
+    return conv_out.select("id", F.col("oy").alias("y"), F.col("ox").alias("x"),
+                           F.col("co").alias("ci"), F.col("value").alias("v"))
+
+
 def conv2d_np(X: np.ndarray, W: np.ndarray, stride: int) -> np.ndarray:
     """Batch ``X`` (n, h, w, ci), kernel (k, k, ci, co) -> (n, oh, ow, co)."""
     n, h, w, ci = X.shape

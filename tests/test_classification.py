@@ -8,6 +8,7 @@ from tessera.operators import conv as CV
 from tessera.operators import networks as NN
 from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
+from pyspark.sql import functions as F  # noqa: F401
 
 from conftest import SF
 
@@ -168,3 +169,28 @@ def test_minibatch_rounds_match_numpy(spark):
         D = P - np.eye(10)[y[m]]
         W, b = W - 0.5 * X[m].T @ D / m.sum(), b - 0.5 * D.sum(0) / m.sum()
     assert np.allclose(Ws[0], W, atol=1e-12) and np.allclose(bs[0], b, atol=1e-12)
+
+
+def test_two_layer_join_stack_matches_dense(spark):
+    r = I.embedding_rows(spark, SF).limit(10)
+    pdf = r.toPandas()
+    rng = np.random.default_rng(9)
+    W1, b1 = rng.normal(size=(3, 3, 1, 2)), rng.normal(size=2)
+    W2, b2 = rng.normal(size=(3, 3, 2, 3)), rng.normal(size=3)
+    px = CV.pixels_long(r, "vec_id", "x", 8, 8, 1)
+    l1 = CV.conv2d_join(px, CV.kernel_table(spark, W1), 8, 8, 3, 1, bias=b1, relu=True)
+    l2 = CV.conv2d_join(CV.as_pixels(l1), CV.kernel_table(spark, W2), 8, 8, 3, 2, bias=b2, relu=True)
+    got = l2.toPandas()
+    X = np.stack(pdf["x"].to_numpy()).reshape(-1, 8, 8, 1)
+    a1 = np.maximum(CV.conv2d_np(X, W1, 1) + b1, 0)
+    a2 = np.maximum(CV.conv2d_np(a1, W2, 2) + b2, 0)
+    pos = {v: i for i, v in enumerate(pdf["vec_id"])}
+    assert len(got) == 10 * 4 * 4 * 3
+    for t in got.itertuples():
+        assert abs(a2[pos[t.id], t.oy, t.ox, t.co] - t.value) < 1e-9
+
+
+def test_one_class_labels_train(spark):
+    r = CL.prepare_rows(I.embedding_rows(spark, SF).withColumn("label", F.lit(3)), "label", "x", key="vec_id")
+    Ws, bs, _ = CL.train_softmax(r, [CL.Run(rate=0.5)], 3, 64, 10)
+    assert np.argmax(bs[0]) == 3 and np.all(np.isfinite(Ws))

@@ -70,3 +70,13 @@ def test_linreg_summary_shape(spark):
 def test_dense_fit_learns_something(spark):
     df = QUERIES["mlp_fit_relu"](spark, SF).toPandas()
     assert len(df) == 100 and df["prediction"].between(0, 9).all()
+
+
+def test_mllib_backed_queries(spark):
+    cv = QUERIES["cv_mllib"](spark, SF).toPandas()
+    assert len(cv) == 4 and np.isfinite(cv["avg_rmse"]).all()
+    sm = QUERIES["softmax_mllib"](spark, SF).toPandas()
+    n_test = spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 5 >= 4").count()
+    assert len(sm) == n_test and sm["prediction"].between(0, 9).all()
+    el = QUERIES["linreg_elastic"](spark, SF).toPandas()
+    assert len(el) == n_test and np.isfinite(el["prediction"]).all()

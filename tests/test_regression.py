@@ -104,3 +104,18 @@ def test_key_split_is_stable(spark):
     a2, _ = RG.key_split(e.repartition(5), "vec_id")
     assert sorted(r[0] for r in a.select("vec_id").collect()) == sorted(r[0] for r in a2.select("vec_id").collect())
     assert a.count() + b.count() == e.count()
+
+
+def test_cv_needs_two_folds(spark):
+    r, _, _ = _data(spark, SF, 4)
+    one = r.withColumn("fold", F.lit(0))
+    with pytest.raises(ValueError):
+        RG.cv_one_pass(one, "fold", [{"rounds": 5, "alpha": 1.0}], "label", "x")
+
+
+def test_cv_with_an_empty_fold_uses_the_others(spark):
+    r, _, _ = _data(spark, SF, 4)
+    # folds 0 and 2 only: the search runs over the folds that have rows
+    two = r.withColumn("fold", F.when(I.fold_of("vec_id") == 1, 0).otherwise(I.fold_of("vec_id")))
+    res = RG.cv_one_pass(two, "fold", [{"rounds": 5, "alpha": 1.0}], "label", "x")
+    assert len(res) == 1 and np.isfinite(res["avg_rmse"][0])
