@@ -53,7 +53,11 @@ def cap_tasks(df: DataFrame, waves: int = 4) -> DataFrame:
     into fewer tasks without a shuffle, so the partial sums scale with the
     cluster's cores instead of the input's file count, and every core still
     gets ``waves`` tasks for load balance."""
-    cap = max(1, waves * df.sparkSession.sparkContext.defaultParallelism)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no context handle (e.g. a Connect session)
+        return df
+    cap = max(1, waves * cores)
     # coalesce never raises the count, so this is a no-op below the cap; the
     # count is not inspected (that would run any shuffle below ``df``).
     return df.coalesce(cap)

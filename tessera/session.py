@@ -74,11 +74,14 @@ def spread(df):
     than the session's parallelism (a single-row-group file).  On a cluster,
     where inputs come in thousands of splits, this is a no-op, so it never
     adds a shuffle there.  Plans that already shuffle are returned as is."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        # counting partitions below a shuffle would run it; leave as is
-        return df
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "Exchange" in plan:
+            # counting partitions below a shuffle would run it; leave as is
+            return df
+        if df.rdd.getNumPartitions() < par:
+            return df.repartition(par)
+    except Exception:  # noqa: BLE001 - no JVM handles (e.g. a Connect session)
+        pass
     return df
