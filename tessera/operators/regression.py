@@ -276,7 +276,8 @@ def key_split(df: DataFrame, key: str, modulus: int = 5, keep: int = 4):
 # --------------------------------------------------------- one-pass searching --
 
 def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label",
-                features: str = "features", feature_sets: dict | None = None) -> pd.DataFrame:
+                features: str = "features", feature_sets: dict | None = None,
+                return_total: bool = False):
     """Cross-validate gradient descent over ``grid`` (dicts with ``rounds``,
     ``alpha`` and optionally ``features`` naming an entry of
     ``feature_sets``) from one pass grouped by fold.  For each fold the
@@ -284,6 +285,10 @@ def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "la
     the fold's own summary.  Returns one row per grid point with the mean
     RMSE over folds (a driver-side table of ``len(grid)`` rows)."""
     per_fold = gram_stats(df, label, features, fold_col)
+    return _cv_from_stats(per_fold, grid, feature_sets, return_total)
+
+
+def _cv_from_stats(per_fold, grid, feature_sets=None, return_total=False):
     folds = sorted(per_fold)
     if len(folds) < 2:
         raise ValueError("cross-validation needs at least two non-empty folds")
@@ -309,4 +314,23 @@ def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "la
     for gid, p in enumerate(grid):
         s = scores[(p.get("features"), float(p["alpha"]), int(p["rounds"]))]
         out.append({**p, "grid_id": gid, "avg_rmse": float(np.mean(s))})
-    return pd.DataFrame(out)
+    res = pd.DataFrame(out)
+    return (res, total) if return_total else res
+
+
+def cv_refit_best(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label",
+                  features: str = "features", feature_sets: dict | None = None,
+                  digits: int = 6):
+    """Search the grid, then refit the best point (lowest mean RMSE, rounded
+    to ``digits``; ties to the lower grid id) on all training rows - from
+    the same one-pass summary, so search and refit read the data once.
+    Returns ``(results, best row, GDLinearRegressionModel)``."""
+    res, total = cv_one_pass(df, fold_col, grid, label, features, feature_sets, return_total=True)
+    ranked = res.assign(_r=res["avg_rmse"].round(digits)).sort_values(["_r", "grid_id"])
+    best = ranked.iloc[0]
+    idx = (feature_sets or {}).get(best.get("features")) if "features" in best else None
+    stats = total.subset(idx) if idx is not None else total
+    w, err, _ = descend(stats, int(best["rounds"]), float(best["alpha"]))
+    model = GDLinearRegressionModel(w, err)
+    model._set(featuresCol=features, labelCol=label)
+    return res, best, model

@@ -50,11 +50,12 @@ def cv_cte(rows_sql: str, max_width: int, max_rounds: int) -> str:
     ``rows_sql`` yields ``(v, alpha, fold, y, x)``: one copy of each training
     row per variant ``v`` (a feature set and step).  For every variant and
     held-out fold ``f`` the summary is built from the other folds and the
-    rounds run to ``max_rounds``; ``gd(v, f, k, w)`` holds every round."""
+    rounds run to ``max_rounds``; ``gd(v, f, k, w)`` holds every round.
+    Fold ``-1`` holds out nothing: it is the refit on all training rows."""
     m = max_width
     return f"""
 WITH RECURSIVE tr AS ({rows_sql}),
-fl AS (SELECT DISTINCT fold AS f FROM tr),
+fl AS (SELECT DISTINCT fold AS f FROM tr UNION ALL SELECT -1),
 trn AS (SELECT fl.f, tr.* FROM tr JOIN fl ON tr.fold <> fl.f),
 gl AS (SELECT v, f, a.i, b.j, sum(x[a.i + 1] * x[b.j + 1]) AS g
        FROM trn, range({m}) a(i), range({m}) b(j)

@@ -257,6 +257,26 @@ def _cv_result(spark, sf_dir):
     return spark.createDataFrame(rows, "grid_id int, rounds int, alpha double, avg_rmse double")
 
 
+TEST8_SQL = (f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x "
+             f"FROM embeddings WHERE vec_id % 5 >= 4")
+
+
+@register("cv_best_test_predictions", CV_GRID_SQL + f"""
+, best AS (SELECT grid_id, rounds, alpha FROM res ORDER BY avg_rmse, grid_id LIMIT 1),
+  bw AS (SELECT gd.w FROM gd JOIN (SELECT DISTINCT v, alpha FROM tr) va USING (v)
+         JOIN best ON best.alpha = va.alpha AND best.rounds = gd.k WHERE gd.f = -1)
+SELECT t.vec_id, t.y AS label, round(list_dot_product(t.x, bw.w), 6) + 0.0 AS prediction
+FROM ({TEST8_SQL}) t, bw""")
+def cv_best_test_predictions(spark, sf_dir):
+    """Test predictions from the tuned model (the best grid point refit on
+    all training rows), not from an untuned one."""
+    rows = I.embedding_rows(spark, sf_dir, D)
+    train, test = RG.key_split(rows, "vec_id")
+    _, _, model = RG.cv_refit_best(train.withColumn("fold", I.fold_of("vec_id")), "fold", CV_GRID,
+                                   "label", "x")
+    return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
+
+
 @register("cv_gd_grid", CV_GRID_SQL + "SELECT CAST(grid_id AS INTEGER) AS grid_id, rounds, alpha, avg_rmse FROM res")
 def cv_gd_grid(spark, sf_dir):
     return _cv_result(spark, sf_dir)

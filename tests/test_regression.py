@@ -119,3 +119,13 @@ def test_cv_with_an_empty_fold_uses_the_others(spark):
     two = r.withColumn("fold", F.when(I.fold_of("vec_id") == 1, 0).otherwise(I.fold_of("vec_id")))
     res = RG.cv_one_pass(two, "fold", [{"rounds": 5, "alpha": 1.0}], "label", "x")
     assert len(res) == 1 and np.isfinite(res["avg_rmse"][0])
+
+
+def test_cv_refit_best_equals_direct_fit(spark):
+    r, X, y = _data(spark, SF01, 4)
+    r = r.withColumn("fold", I.fold_of("vec_id"))
+    grid = [{"rounds": 10, "alpha": 1.0}, {"rounds": 40, "alpha": 1.0}, {"rounds": 20, "alpha": 0.5}]
+    res, best, model = RG.cv_refit_best(r, "fold", grid, "label", "x")
+    assert best["grid_id"] == res.assign(q=res["avg_rmse"].round(6)).sort_values(["q", "grid_id"]).iloc[0]["grid_id"]
+    w, _ = brute_gd(X, y, int(best["rounds"]), float(best["alpha"]))
+    assert np.allclose(model.weights, w, rtol=1e-10)
