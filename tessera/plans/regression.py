@@ -179,6 +179,20 @@ def gd_error_curve(spark, sf_dir):
     return _curve_df(spark, _fit_gd(spark, sf_dir).trainingError)
 
 
+@register("gd_rmse_parts", gd_cte(TRAIN8_SQL, D, ROUNDS, ALPHA) + f"""
+SELECT CASE WHEN a.vec_id % 5 < 4 THEN 'train' ELSE 'test' END AS part,
+       round(sqrt(avg(power(a.y - list_dot_product(a.x, gd.w), 2))), 6) + 0.0 AS rmse
+FROM gd, ({ALL8_SQL}) a WHERE gd.k = {ROUNDS} GROUP BY 1""")
+def gd_rmse_parts(spark, sf_dir):
+    """RMSE of the fitted model on both parts, in one grouped pass."""
+    model = _fit_gd(spark, sf_dir)
+    rows = I.embedding_rows(spark, sf_dir, D)
+    pred = model.transform(rows).select(
+        F.when(I.is_train("vec_id"), "train").otherwise("test").alias("part"), "label", "prediction")
+    return pred.groupBy("part").agg(
+        _r6(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))).alias("rmse"))
+
+
 # -- R8/R9: text rows -> prep -> polynomial features -> descent, then test rows ------
 
 POLY_ROWS = """SELECT vec_id, CAST(label AS DOUBLE) - (SELECT min(label) FROM embeddings WHERE vec_id % 5 < 4) AS y,
