@@ -171,8 +171,9 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     """Train every run for ``rounds`` rounds from zero weights; the gradient
     is the mean over the round's rows.  With ``batch_size`` the batch of a
     row is ``k div batch_size`` (its key) and round ``i`` uses batch
-    ``i mod #batches``; the filter runs on the persisted rows, so a round
-    reads its batch, not the source.
+    ``min + i mod (max - min + 1)``; the filter runs on the persisted rows,
+    so a round reads its batch, not the source.  (Small batches suit one
+    machine; on a cluster the full-batch form is the efficient one.)
 
     Evaluation shares the training scan: the rows of every eval set ride
     along in each round's pass (split ids 1..), which yields their metrics
@@ -193,13 +194,14 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     for j, name in enumerate(names):
         combined = combined.unionByName(eval_sets[name].withColumn("split", F.lit(j + 1)))
     wanted = {i + 1 for i in range(rounds) if i % eval_every == 0} if names else set()
-    batch_ids = []
+    b_lo = b_span = None
     if batch_size is not None:
-        # the distinct batch ids: one small aggregate (#rows / batch_size values)
-        batch_ids = sorted(r[0] for r in rows.select(
-            F.floor(F.col("k") / F.lit(batch_size)).alias("b")).distinct().collect())
-        if not batch_ids:
+        # the range of batch ids: one aggregate, two numbers to the driver
+        b = F.floor(F.col("k") / F.lit(batch_size))
+        lo_hi = rows.agg(F.min(b), F.max(b)).first()
+        if lo_hi[0] is None:
             raise ValueError("no training rows")
+        b_lo, b_span = int(lo_hi[0]), int(lo_hi[1]) - int(lo_hi[0]) + 1
     metrics = []
 
     def record(res, after_round):
@@ -212,7 +214,7 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     for i in range(rounds + (1 if rounds in wanted else 0)):
         src = combined if i in wanted else rows.withColumn("split", F.lit(0))
         if batch_size is not None:
-            b = batch_ids[i % len(batch_ids)]
+            b = b_lo + i % b_span
             src = src.filter((F.col("split") != 0)
                              | (F.floor(F.col("k") / F.lit(batch_size)) == F.lit(b)))
         last = i == rounds
@@ -222,6 +224,8 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
         if last:
             break
         n = res["n"][0] if S > 1 else res["n"]
+        if n == 0:
+            continue  # a batch id with no rows (a gap in the keys): no step
         for r, run in enumerate(runs):
             gW, gb = res["gW"][r] / n, res["gb"][r] / n
             rate = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
