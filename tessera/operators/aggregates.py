@@ -34,8 +34,36 @@ def emit_blocks(vec: np.ndarray, block: int = BLOCK, key: int = 0) -> pa.RecordB
 BLOCK_SCHEMA = "key long, blk long, part array<double>"
 
 
-def sum_blocks(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sum ``(key, blk, part)`` rows per (key, blk) and reassemble per key."""
+DIRECT_SUM_LIMIT = 8 * 1024 * 1024  # doubles (64 MB) the driver may add up itself
+
+
+def _task_count(df: DataFrame) -> int | None:
+    """Partitions of ``df`` if that is known without running anything
+    (no shuffle below it), else None."""
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "Exchange" in plan:
+            return None
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handles
+        return None
+
+
+def sum_blocks(parts: DataFrame, width: int | None = None) -> dict[int, np.ndarray]:
+    """Sum ``(key, blk, part)`` rows per (key, blk) and reassemble per key.
+
+    When the partial sums are provably small - ``#tasks x width`` at most
+    ``DIRECT_SUM_LIMIT`` doubles, ``width`` being the numbers one task emits
+    - they are collected and added on the driver (one stage, no shuffle);
+    otherwise the blocks are summed in parallel reducers."""
+    tasks = _task_count(parts) if width is not None else None
+    if tasks is not None and tasks * width <= DIRECT_SUM_LIMIT:
+        acc: dict[int, dict[int, np.ndarray]] = {}
+        for r in parts.collect():
+            cur = acc.setdefault(r["key"], {})
+            v = np.asarray(r["part"], dtype=np.float64)
+            cur[r["blk"]] = cur[r["blk"]] + v if r["blk"] in cur else v
+        return {k: np.concatenate([v[b] for b in sorted(v)]) for k, v in acc.items()}
     summed = parts.groupBy("key", "blk").agg(
         Summarizer.sum(array_to_vector(F.col("part"))).alias("s"))
     out: dict[int, dict[int, np.ndarray]] = {}

@@ -115,7 +115,8 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
         yield emit_blocks(np.concatenate([np.asarray(p, dtype=np.float64).ravel() for p in parts]))
 
     cols = ["label", "x"] + (["split"] if S > 1 else [])
-    total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA))
+    width = (R * d * c + R * c if with_grad else 0) + 3 * S * R + S
+    total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA), width)
     v = total.get(0)
     if v is None:
         raise ValueError("no rows")

@@ -169,7 +169,8 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
                 acc = np.zeros(sum(sizes_flat))
             yield emit_blocks(np.concatenate([acc, [loss, hits, n]]))
 
-        v = sum_blocks(cap_tasks(rows.select("k", "label", "x")).mapInArrow(per_task, BLOCK_SCHEMA))[0]
+        v = sum_blocks(cap_tasks(rows.select("k", "label", "x")).mapInArrow(per_task, BLOCK_SCHEMA),
+                       sum(sizes_flat) + 3)[0]
         n = v[-1]
         if n == 0:
             raise ValueError("no training rows")

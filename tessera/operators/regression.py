@@ -176,7 +176,7 @@ def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str
             n += len(r)
         yield emit_blocks(np.concatenate([g, [sse, n]]))
 
-    v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA))[0]
+    v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA), d + 2)[0]
     return v[:d], float(v[d]), float(v[d + 1])
 
 

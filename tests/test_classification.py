@@ -194,3 +194,16 @@ def test_one_class_labels_train(spark):
     r = CL.prepare_rows(I.embedding_rows(spark, SF).withColumn("label", F.lit(3)), "label", "x", key="vec_id")
     Ws, bs, _ = CL.train_softmax(r, [CL.Run(rate=0.5)], 3, 64, 10)
     assert np.argmax(bs[0]) == 3 and np.all(np.isfinite(Ws))
+
+
+def test_direct_and_distributed_sums_agree(spark, monkeypatch):
+    import tessera.operators.aggregates as AG
+
+    tr, _, _ = _rows(spark)
+    W = np.random.default_rng(4).normal(size=(3, 64, 10)) * 0.1
+    b = np.zeros((3, 10))
+    direct = CL.softmax_pass(tr.repartition(5), W, b, eps=1e-5)
+    monkeypatch.setattr(AG, "DIRECT_SUM_LIMIT", 0)
+    shuffled = CL.softmax_pass(tr.repartition(5), W, b, eps=1e-5)
+    assert np.allclose(direct["gW"], shuffled["gW"]) and np.allclose(direct["gb"], shuffled["gb"])
+    assert np.array_equal(direct["hits"], shuffled["hits"]) and direct["n"] == shuffled["n"]
