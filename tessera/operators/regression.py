@@ -110,11 +110,11 @@ def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
     return cap_tasks(_prepared(df, label, features, group)).mapInArrow(per_task, BLOCK_SCHEMA)
 
 
-def collect_gram(sums: DataFrame) -> dict[int, GramStats]:
+def collect_gram(sums: DataFrame, width: int | None = None) -> dict[int, GramStats]:
     """Sum the blocks and unpack per group: ``#groups x (d(d+1)/2 + d + 2)``
     numbers reach the driver, bounded by the width and the group count."""
     out: dict[int, GramStats] = {}
-    for key, v in sum_blocks(sums).items():
+    for key, v in sum_blocks(sums, width).items():
         g, d = divmod(int(key), _WIDTH_KEY)
         if g in out:
             raise ValueError("rows of uneven feature width across tasks")
@@ -128,8 +128,13 @@ def collect_gram(sums: DataFrame) -> dict[int, GramStats]:
 
 
 def gram_stats(df: DataFrame, label: str = "label", features: str = "features",
-               group: str | None = None) -> dict[int, GramStats]:
-    return collect_gram(gram_sums(df, label, features, group))
+               group: str | None = None, width_hint: int | None = None) -> dict[int, GramStats]:
+    """``width_hint``: the feature width when known (one group), which lets a
+    small summary be added up in one stage."""
+    width = None
+    if width_hint is not None and group is None:
+        width = width_hint * (width_hint + 1) // 2 + width_hint + 2
+    return collect_gram(gram_sums(df, label, features, group), width)
 
 
 # ------------------------------------------------------------- descent rounds --
@@ -229,7 +234,7 @@ class GDLinearRegression(Estimator, _GDParams):
         if not first:
             raise ValueError("no training rows")
         if first[0]["d"] <= self.getOrDefault(self.maxGramWidth):
-            stats = gram_stats(prepared, "y", "x")[0]
+            stats = gram_stats(prepared, "y", "x", width_hint=first[0]["d"])[0]
             w, err, _ = descend(stats, iters, alpha)
         else:
             prepared = prepared.persist()
