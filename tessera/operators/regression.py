@@ -29,6 +29,7 @@ from tessera.functions import vectors as V
 from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
+from tessera.session import materialize, release
 
 DEFAULT_MAX_GRAM_WIDTH = 2048
 
@@ -237,11 +238,11 @@ class GDLinearRegression(Estimator, _GDParams):
             stats = gram_stats(prepared, "y", "x", width_hint=first[0]["d"])[0]
             w, err, _ = descend(stats, iters, alpha)
         else:
-            prepared = prepared.persist()
+            prepared = materialize(prepared)
             try:
                 w, err = descend_distributed(prepared, iters, alpha)
             finally:
-                prepared.unpersist()
+                release(prepared)
         model = GDLinearRegressionModel(w, err)
         return self._copyValues(model)
 

@@ -19,7 +19,7 @@ from tessera.plans import weights as W
 from tessera.plans.registry import register
 from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte
 from tessera.plans.vectors import EMB, SCORES_SQL
-from tessera.session import shared_dir, table
+from tessera.session import materialize, release, shared_dir, table
 from tessera.sources import idx as idx_src
 
 D = 64
@@ -104,14 +104,14 @@ def _train_rows(spark, sf_dir):
 
 def _run_softmax(spark, sf_dir, runs, rounds, eps, eval_every=None):
     train, test = _train_rows(spark, sf_dir)
-    train, test = train.persist(), test.persist()
+    train, test = materialize(train), materialize(test)
     try:
         evals = {"train": train, "test": test} if eval_every else None
         return CL.train_softmax(train, runs, rounds, D, C, eps=eps, eval_sets=evals,
                                 eval_every=eval_every or 1)
     finally:
-        train.unpersist()
-        test.unpersist()
+        release(train)
+        release(test)
 
 
 def _weights_sql(runs_values, eps):
@@ -183,13 +183,13 @@ SWEEP_SQL = softmax_cte(SWEEP_VALUES, SWEEP_ROUNDS, False) + f"""
 def _sweep_metrics(spark, sf_dir):
     runs = [CL.Run(rate=r, optimizer="adam", decay_steps=s, decay_rate=d) for r, s, d in SWEEP]
     train, test = _train_rows(spark, sf_dir)
-    train, test = train.persist(), test.persist()
+    train, test = materialize(train), materialize(test)
     try:
         _, _, metrics = CL.train_softmax(train, runs, SWEEP_ROUNDS, D, C, eps=None,
                                          eval_sets={"test": test}, eval_every=1)
     finally:
-        train.unpersist()
-        test.unpersist()
+        release(train)
+        release(test)
     rows = [(int(r), int(i), float(round(a, 6)) + 0.0, float(round(ls, 6)) + 0.0)
             for r, i, _, a, _, ls in metrics]
     return spark.createDataFrame(rows, "run_id int, round int, test_accuracy double, test_loss double")
@@ -263,14 +263,14 @@ def mlp_fit_sigmoid(spark, sf_dir):
 
 def _dense_fit(spark, sf_dir, keep_prob, rounds=20):
     train, test = _train_rows(spark, sf_dir)
-    train = train.persist()
+    train = materialize(train)
     try:
         layers, hist = NN.dense_net_fit(train, MLP_SIZES, rounds, rate=0.005, optimizer="adam",
                                         hidden="relu", keep_prob=keep_prob, seed=11,
                                         decay_steps=10 if keep_prob < 1 else None,
                                         decay_rate=0.96 if keep_prob < 1 else None)
     finally:
-        train.unpersist()
+        release(train)
     scored = NN.score_rows(test.withColumnRenamed("k", "vec_id"), layers, hidden="relu", digits=None,
                            carry=("label",))
     return scored.select("vec_id", "label", V.argmax("scores").alias("prediction"))

@@ -85,3 +85,27 @@ def spread(df):
     except Exception:  # noqa: BLE001 - no JVM handles (e.g. a Connect session)
         pass
     return df
+
+
+def materialize(df, mode: str = "persist"):
+    """Keep rows that several jobs will read.
+
+    ``persist`` (memory, spilling to disk) keeps the lineage: a lost
+    executor's blocks are recomputed from the source, right when the
+    lineage is a short scan-and-project.  ``checkpoint`` writes the rows to
+    the shared checkpoint folder and cuts the lineage, for inputs behind a
+    long or costly chain (never a machine-local checkpoint)."""
+    from pyspark import StorageLevel
+
+    if mode == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "checkpoint":
+        checkpoint_root(df.sparkSession)
+        return df.checkpoint(eager=True)
+    raise ValueError(f"unknown mode {mode}")
+
+
+def release(df) -> None:
+    """Undo ``materialize(..., "persist")`` (checkpointed data stays with the
+    checkpoint folder's lifecycle)."""
+    df.unpersist()

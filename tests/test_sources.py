@@ -51,3 +51,12 @@ def test_empty_table(spark):
     e = spark.read.parquet(f"{SF}/orders.parquet").filter("false")
     assert R.count_rows(e).first()[0] == 0
     assert R.count_per_group(e, "o_orderstatus").count() == 0
+
+
+def test_materialize_checkpoint_cuts_lineage(spark):
+    from tessera.session import materialize
+
+    df = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey")
+    c = materialize(df, "checkpoint")
+    assert c.count() == df.count()
+    assert "parquet" not in c._jdf.queryExecution().executedPlan().toString().lower()
