@@ -114,11 +114,11 @@ def prep_stages(features_out="features", start=1):
     ]
 
 
-@register("prep_pipeline", """
+@register("prep_stages_fit", """
   SELECT vec_id, CAST(label AS DOUBLE) - min(CAST(label AS DOUBLE)) FILTER (WHERE vec_id % 5 < 4) OVER () AS label,
          list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS features
   FROM embeddings""")
-def prep_pipeline(spark, sf_dir):
+def prep_stages_fit(spark, sf_dir):
     lines = I.embedding_lines(spark, sf_dir)
     train, _ = RG.key_split(lines, "vec_id")
     model = Pipeline(stages=prep_stages()).fit(train)
@@ -203,7 +203,7 @@ POLY_TRAIN = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 < 4"
 POLY_TEST = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 >= 4"
 
 
-def poly_pipeline():
+def poly_stages():
     stages = prep_stages(features_out="npFeatures")
     stages[-1] = S.ArraySlicer(inputCol="vector", outputCol="npFeatures", indices=[1, 2, 3])
     return Pipeline(stages=stages + [
@@ -214,11 +214,11 @@ def poly_pipeline():
 def _fit_poly(spark, sf_dir):
     lines = I.embedding_lines(spark, sf_dir)
     train, test = RG.key_split(lines, "vec_id")
-    return poly_pipeline().fit(train), test
+    return poly_stages().fit(train), test
 
 
-@register("gd_poly_pipeline", gd_weights_sql(POLY_TRAIN, 9, ROUNDS, ALPHA))
-def gd_poly_pipeline(spark, sf_dir):
+@register("gd_poly_fit", gd_weights_sql(POLY_TRAIN, 9, ROUNDS, ALPHA))
+def gd_poly_fit(spark, sf_dir):
     model, _ = _fit_poly(spark, sf_dir)
     return _weights_df(spark, model.stages[-1].weights)
 
