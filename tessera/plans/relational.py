@@ -116,9 +116,9 @@ def first_n_rows(spark, sf_dir):
 # -- S1 + P1/P2/P3: text rows written, read back, split, typed, named --------
 
 def parse_song_lines(lines):
-    """``value`` lines -> ``year int, feat1..3 float`` (split, pick, cast,
-    name), as the first job does by hand."""
-    f = T.split_fields("value", ",")
+    """``value`` lines -> ``year int, feat1..3 float``: the part before the
+    first tab, split on commas, first four fields picked, cast and named."""
+    f = T.split_fields(T.split_fields("value", "\t")[0], ",")
     return lines.select(f.alias("f")).select(
         T.truncate_to_int(F.col("f")[0]).alias("year"),
         F.col("f")[1].cast("float").alias("feat1"),

@@ -88,8 +88,11 @@ def write_idx(df: DataFrame, path: str, pixels: str = "pixels", label: str = "la
 
 
 def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
-    """``(file, idx, label int, pixels array<double>)`` from the part files
-    under ``path``; pixels are scaled to 0..1 when ``scale``.
+    """``(file, idx, label int, pixels array<double>)`` from the idx files
+    under ``path`` - part files written by ``write_idx`` or the usual
+    ``<set>-images-idx3-ubyte[.gz]`` / ``<set>-labels-idx1-ubyte[.gz]``
+    pairs (``file`` is then ``train``, ``t10k``, ...); pixels are scaled to
+    0..1 when ``scale``.
 
     The image and label files of one part are paired by their stem before
     parsing: the shuffle moves the compressed file bytes (a few bytes per
@@ -116,7 +119,7 @@ def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
         return pd.DataFrame({"file": [stem] * n, "idx": np.arange(n, dtype=np.int64),
                              "label": labels.astype(np.int32), "pixels": list(flat)})
 
-    files = spark.read.format("binaryFile").load(f"{root}/*-ubyte.gz")
+    files = spark.read.format("binaryFile").load(f"{root}/*-ubyte*")
     stem = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)-(images|labels)-", 1)
     return files.select(stem.alias("stem"), "content").groupBy("stem").applyInPandas(
         parse_pair, "file string, idx long, label int, pixels array<double>")

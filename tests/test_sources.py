@@ -60,3 +60,33 @@ def test_materialize_checkpoint_cuts_lineage(spark):
     c = materialize(df, "checkpoint")
     assert c.count() == df.count()
     assert "parquet" not in c._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_idx_reads_the_usual_file_names(spark):
+    import gzip
+    import os
+
+    path = shared_dir(spark, "idx-names")
+    local = path.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    imgs = np.arange(3 * 4 * 4, dtype=np.uint8).reshape(3, 4, 4)
+    with open(f"{local}/train-images-idx3-ubyte.gz", "wb") as f:
+        f.write(gzip.compress(idx_src.encode_images(imgs)))
+    with open(f"{local}/train-labels-idx1-ubyte.gz", "wb") as f:
+        f.write(gzip.compress(idx_src.encode_labels(np.array([7, 8, 9]))))
+    with open(f"{local}/t10k-images-idx3-ubyte", "wb") as f:      # not compressed
+        f.write(idx_src.encode_images(imgs[:1]))
+    with open(f"{local}/t10k-labels-idx1-ubyte", "wb") as f:
+        f.write(idx_src.encode_labels(np.array([4])))
+    back = idx_src.read_idx(spark, path, scale=False).toPandas().sort_values(["file", "idx"])
+    assert list(back["file"]) == ["t10k", "train", "train", "train"]
+    assert list(back["label"]) == [4, 7, 8, 9]
+    assert list(back["pixels"].iloc[2]) == list(imgs[1].ravel().astype(float))
+
+
+def test_song_lines_take_the_part_before_a_tab(spark):
+    from tessera.plans.relational import parse_song_lines
+
+    df = spark.createDataFrame([("2001.7,0.5,1.5,2.5\tignored,9",)], "value string")
+    r = parse_song_lines(df).first()
+    assert (r.year, r.feat1, r.feat2, r.feat3) == (2001, 0.5, 1.5, 2.5)
