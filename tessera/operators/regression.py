@@ -333,7 +333,7 @@ def cv_refit_best(df: DataFrame, fold_col: str, grid: list[dict], label: str = "
     Returns ``(results, best row, GDLinearRegressionModel)``."""
     res, total = cv_one_pass(df, fold_col, grid, label, features, feature_sets, return_total=True)
     ranked = res.assign(_r=res["avg_rmse"].round(digits)).sort_values(["_r", "grid_id"])
-    best = ranked.iloc[0]
+    best = ranked.drop(columns="_r").iloc[0]
     idx = (feature_sets or {}).get(best.get("features")) if "features" in best else None
     stats = total.subset(idx) if idx is not None else total
     w, err, _ = descend(stats, int(best["rounds"]), float(best["alpha"]))
