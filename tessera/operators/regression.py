@@ -281,6 +281,18 @@ def key_split(df: DataFrame, key: str, modulus: int = 5, keep: int = 4):
 
 # --------------------------------------------------------- one-pass searching --
 
+def param_grid(spark, axes: dict[str, list]) -> DataFrame:
+    """A parameter grid as a table ``(grid_id, <axis>...)``: the cross
+    product of the value lists, in PySpark ``ParamGridBuilder``'s order (the
+    first axis added varies slowest).  Its size is the product of the list
+    lengths, fixed by the caller."""
+    import itertools
+
+    names = list(axes)
+    rows = [(i, *c) for i, c in enumerate(itertools.product(*[axes[n] for n in names]))]
+    return spark.createDataFrame(rows, ["grid_id", *names])
+
+
 def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label",
                 features: str = "features", feature_sets: dict | None = None,
                 return_total: bool = False):

@@ -236,13 +236,6 @@ CV_ALPHAS = [0.5, 1.0, 2.0]
 CV_GRID = [{"rounds": r, "alpha": a} for a in CV_ALPHAS for r in CV_ROUNDS]
 
 
-def param_grid_table(spark, grid):
-    """The grid as a small table (``ParamGridBuilder`` as rows)."""
-    keys = sorted(grid[0])
-    return spark.createDataFrame([(i, *[g[k] for k in keys]) for i, g in enumerate(grid)],
-                                 ["grid_id", *keys])
-
-
 def _grid_values(grid, cols):
     return ", ".join("(" + ", ".join([str(i)] + [repr(g[c]) for c in cols]) + ")"
                      for i, g in enumerate(grid))

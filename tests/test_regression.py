@@ -129,3 +129,15 @@ def test_cv_refit_best_equals_direct_fit(spark):
     assert best["grid_id"] == res.assign(q=res["avg_rmse"].round(6)).sort_values(["q", "grid_id"]).iloc[0]["grid_id"]
     w, _ = brute_gd(X, y, int(best["rounds"]), float(best["alpha"]))
     assert np.allclose(model.weights, w, rtol=1e-10)
+
+
+def test_param_grid_matches_param_grid_builder(spark):
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    iters, regs = [10, 50, 100, 150, 200, 250], [0.1, 0.25, 0.4, 0.6, 0.75, 0.9]
+    lr = LinearRegression()
+    maps = ParamGridBuilder().addGrid(lr.maxIter, iters).addGrid(lr.regParam, regs).build()
+    t = RG.param_grid(spark, {"max_iter": iters, "reg_param": regs}).orderBy("grid_id").collect()
+    assert len(t) == len(maps) == 36
+    assert [(r.max_iter, r.reg_param) for r in t] == [(m[lr.maxIter], m[lr.regParam]) for m in maps]
