@@ -207,3 +207,10 @@ def test_direct_and_distributed_sums_agree(spark, monkeypatch):
     shuffled = CL.softmax_pass(tr.repartition(5), W, b, eps=1e-5)
     assert np.allclose(direct["gW"], shuffled["gW"]) and np.allclose(direct["gb"], shuffled["gb"])
     assert np.array_equal(direct["hits"], shuffled["hits"]) and direct["n"] == shuffled["n"]
+
+
+def test_stepped_rate_column_matches_driver_schedule(spark):
+    df = spark.range(25).withColumnRenamed("id", "step")
+    got = df.select("step", CL.stepped_rate_col(0.005, "step", 10, 0.96).alias("r")).orderBy("step").collect()
+    for r in got:
+        assert abs(r.r - CL.stepped_rate(0.005, r.step, 10, 0.96)) < 1e-18
