@@ -256,7 +256,11 @@ def mlp_forward_sigmoid(spark, sf_dir):
 def mlp_fit_sigmoid(spark, sf_dir):
     r = _rows(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
     train, test = key_split(r, "vec_id")
-    m = MultilayerPerceptronClassifier(layers=MLP_SIZES, maxIter=50, seed=7).fit(train)
+    train = materialize(train)  # L-BFGS reads the rows once per iteration
+    try:
+        m = MultilayerPerceptronClassifier(layers=MLP_SIZES, maxIter=50, seed=7).fit(train)
+    finally:
+        release(train)
     return m.transform(test).select("vec_id", F.col("label").cast("int").alias("label"),
                                     F.col("prediction").cast("int").alias("prediction"))
 
