@@ -73,7 +73,7 @@ def softmax(z) -> Column:
     z = _c(z)
     shifted = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
     total = F.aggregate(shifted, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    # one pass for the total, then divide: arrays_zip keeps both in reach
+    # bind the total once (a one-element array) instead of re-summing per element
     return F.transform(F.array_repeat(total, 1), lambda t: F.transform(shifted, lambda x: x / t))[0]
 
 
