@@ -356,7 +356,38 @@ def conv_stack():
     return convs, dense
 
 
-@register("conv_stack_scores")
+def _conv_layer_sql(src: str, h: int, k: int, ci: int, co: int, stride: int, salt: int, div: float) -> str:
+    """One SAME convolution + bias + ReLU over ``src(id, y, x, ci, v)`` as a
+    join with the kernel and a grouped sum; yields ``(id, y, x, ci, v)``."""
+    out, pad = CV.same_geometry(h, k, stride)
+    kern = conv_kernel_sql(k, ci, co, salt).replace(" AS w ", f" / {div} AS w ", 1)
+    return f"""(SELECT id, CAST(ny // {stride} AS INTEGER) AS y, CAST(nx // {stride} AS INTEGER) AS x,
+       CAST(co AS INTEGER) AS ci, greatest(sum(vw) + ((((co + {salt}) % 5) - 2) / 16.0), 0.0) AS v
+  FROM (SELECT id, co, y - ky + {pad} AS ny, x - kx + {pad} AS nx, v * w AS vw
+        FROM {src} s JOIN ({kern}) kr USING (ci)) j
+  WHERE ny >= 0 AND nx >= 0 AND ny % {stride} = 0 AND nx % {stride} = 0
+    AND ny < {out * stride} AND nx < {out * stride}
+  GROUP BY id, ny // {stride}, nx // {stride}, co)"""
+
+
+def _conv_stack_sql() -> str:
+    px = ("(SELECT vec_id AS id, CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x, "
+          "0 AS ci, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) t(i))")
+    l1 = _conv_layer_sql(px, 8, 5, 1, 4, 1, 1, 1.0)
+    l2 = _conv_layer_sql(l1, 8, 5, 4, 8, 2, 2, 4.0)
+    l3 = _conv_layer_sql(l2, 4, 4, 8, 12, 2, 3, 8.0)
+    h1 = (f"list_transform(range(200), lambda o: greatest(list_dot_product(f, list_transform(range(48), "
+          f"lambda i: {W.layer_weights_sql('i', 'o', 4)})) + {W.layer_bias_sql('o', 4)}, 0.0))")
+    z = (f"list_transform(range(10), lambda o: list_dot_product(h, list_transform(range(200), "
+         f"lambda i: {W.layer_weights_sql('i', 'o', 5)})) + {W.layer_bias_sql('o', 5)})")
+    return f"""
+SELECT vec_id, list_transform(z, lambda q: round(q, 6) + 0.0) AS scores FROM (
+  SELECT vec_id, {z} AS z FROM (
+    SELECT vec_id, {h1} AS h FROM (
+      SELECT id AS vec_id, list(v ORDER BY y, x, ci) AS f FROM {l3} l3 GROUP BY id) fl) hh) zz"""
+
+
+@register("conv_stack_scores", _conv_stack_sql())
 def conv_stack_scores(spark, sf_dir):
     convs, dense = conv_stack()
     return CV.score_conv_stack(_rows(spark, sf_dir), convs, dense, 8, 8)
