@@ -29,8 +29,11 @@ def song_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None
     o = table(spark, sf_dir, "orders")
     if years is not None:
         lo, hi = years
-        o = o.filter((F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01").cast("timestamp"))
-                     & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01").cast("timestamp")))
+        # bounds in the column's own type (timestamp_ntz here), so the
+        # comparison is wall-clock and independent of the session time zone
+        ts = o.schema["o_orderdate"].dataType.simpleString()
+        o = o.filter((F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01 00:00:00").cast(ts))
+                     & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast(ts)))
     return o.select(
         "o_orderkey",
         (F.year("o_orderdate").cast("double")
