@@ -25,8 +25,14 @@ def con():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
+def no_row_python(df):
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return "BatchEvalPython" not in plan
+
+
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
+    assert no_row_python(df), "row-at-a-time Python UDF in the plan"
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     rel = con.execute(ORACLES[name])
     cols = [d[0] for d in rel.description]
@@ -42,7 +48,9 @@ def test_dataframe_form_equals_sql_form(spark, a, b):
 
 def test_every_query_without_oracle_runs(spark):
     for name in sorted(set(QUERIES) - set(ORACLES)):
-        assert QUERIES[name](spark, SF).count() >= 1, name
+        df = QUERIES[name](spark, SF)
+        assert no_row_python(df), name
+        assert df.count() >= 1, name
 
 
 def test_entry_smoke(spark):
