@@ -89,3 +89,49 @@ def cap_tasks(df: DataFrame, waves: int = 4) -> DataFrame:
     # coalesce never raises the count, so this is a no-op below the cap; the
     # count is not inspected (that would run any shuffle below ``df``).
     return df.coalesce(cap)
+
+
+BROADCAST_MIN_BYTES = 16 * 1024
+
+
+def _nbytes(value) -> int:
+    if isinstance(value, np.ndarray):
+        return value.nbytes
+    if isinstance(value, (list, tuple)):
+        return sum(_nbytes(v) for v in value)
+    return 64
+
+
+class Shared:
+    """Model-sized values for one job.  Above ``BROADCAST_MIN_BYTES`` they go
+    out as a broadcast variable - once per executor instead of once per
+    task, which matters when a round runs thousands of tasks; small values
+    ride in the task closure, where they cost less than a broadcast's set-up.
+    ``release()`` after the job frees the executors' copies."""
+
+    def __init__(self, spark, value):
+        self._bc = None
+        self._value = value
+        if _nbytes(value) >= BROADCAST_MIN_BYTES:
+            try:
+                self._bc = spark.sparkContext.broadcast(value)
+            except Exception:  # noqa: BLE001 - no context handle
+                self._bc = None
+
+    @property
+    def handle(self):
+        """What a task function captures: the broadcast, or the value."""
+        return self._bc if self._bc is not None else _Plain(self._value)
+
+    def release(self) -> None:
+        if self._bc is not None:
+            try:
+                self._bc.destroy()
+            except Exception:  # noqa: BLE001
+                pass
+            self._bc = None
+
+
+class _Plain:
+    def __init__(self, value):
+        self.value = value

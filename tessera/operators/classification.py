@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
 EPS = 1e-5  # the constant inside log(p + eps) of the first classifier's loss
@@ -68,9 +68,11 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
     bs = np.asarray(bs, dtype=np.float64)
     R, d, c = Ws.shape
     S = n_splits
-    Wcat = Ws.transpose(1, 0, 2).reshape(d, R * c)
+    shared = Shared(rows.sparkSession, (Ws.transpose(1, 0, 2).reshape(d, R * c), bs))
+    weights = shared.handle
 
     def per_task(batches):
+        Wcat, bs = weights.value
         gW = np.zeros((R, d, c))
         gb = np.zeros((R, c))
         le = np.zeros((S, R))
@@ -116,7 +118,10 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
 
     cols = ["label", "x"] + (["split"] if S > 1 else [])
     width = (R * d * c + R * c if with_grad else 0) + 3 * S * R + S
-    total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA), width)
+    try:
+        total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA), width)
+    finally:
+        shared.release()
     v = total.get(0)
     if v is None:
         raise ValueError("no rows")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.classification import EPS, _Adam, softmax_np, stepped_rate
 
 
@@ -148,9 +148,11 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
     c = sizes[-1]
     history = []
     for i in range(rounds):
-        cur = [(W.copy(), b.copy()) for W, b in layers]
+        shared = Shared(rows.sparkSession, [(W.copy(), b.copy()) for W, b in layers])
+        weights = shared.handle
 
-        def per_task(batches, cur=cur, i=i):
+        def per_task(batches, weights=weights, i=i):
+            cur = weights.value
             acc = None
             loss = hits = n = 0.0
             for batch in batches:
@@ -169,8 +171,11 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
                 acc = np.zeros(sum(sizes_flat))
             yield emit_blocks(np.concatenate([acc, [loss, hits, n]]))
 
-        v = sum_blocks(cap_tasks(rows.select("k", "label", "x")).mapInArrow(per_task, BLOCK_SCHEMA),
-                       sum(sizes_flat) + 3)[0]
+        try:
+            v = sum_blocks(cap_tasks(rows.select("k", "label", "x")).mapInArrow(per_task, BLOCK_SCHEMA),
+                           sum(sizes_flat) + 3)[0]
+        finally:
+            shared.release()
         n = v[-1]
         if n == 0:
             raise ValueError("no training rows")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 from tessera.session import materialize, release
 
@@ -167,8 +167,11 @@ def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str
     for the current weights (the wide-feature path)."""
     w = np.asarray(w, dtype=np.float64)
     d = len(w)
+    shared = Shared(df.sparkSession, w)
+    weights = shared.handle
 
     def per_task(batches):
+        w = weights.value
         g = np.zeros(d)
         sse = 0.0
         n = 0.0
@@ -182,7 +185,10 @@ def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str
             n += len(r)
         yield emit_blocks(np.concatenate([g, [sse, n]]))
 
-    v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA), d + 2)[0]
+    try:
+        v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA), d + 2)[0]
+    finally:
+        shared.release()
     return v[:d], float(v[d]), float(v[d + 1])
 
 

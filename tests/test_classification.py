@@ -214,3 +214,16 @@ def test_stepped_rate_column_matches_driver_schedule(spark):
     got = df.select("step", CL.stepped_rate_col(0.005, "step", 10, 0.96).alias("r")).orderBy("step").collect()
     for r in got:
         assert abs(r.r - CL.stepped_rate(0.005, r.step, 10, 0.96)) < 1e-18
+
+
+def test_broadcast_and_closure_weights_agree(spark, monkeypatch):
+    import tessera.operators.aggregates as AG
+
+    tr, _, _ = _rows(spark)
+    W = np.random.default_rng(5).normal(size=(1, 64, 10)) * 0.1
+    b = np.zeros((1, 10))
+    monkeypatch.setattr(AG, "BROADCAST_MIN_BYTES", 0)
+    a = CL.softmax_pass(tr, W, b)
+    monkeypatch.setattr(AG, "BROADCAST_MIN_BYTES", 1 << 40)
+    c = CL.softmax_pass(tr, W, b)
+    assert np.array_equal(a["gW"], c["gW"]) and a["n"] == c["n"]
