@@ -99,7 +99,7 @@ def _nbytes(value) -> int:
         return value.nbytes
     if isinstance(value, (list, tuple)):
         return sum(_nbytes(v) for v in value)
-    return 64
+    return 64  # scalars, strides and other small fields
 
 
 class Shared:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
+from tessera.operators.aggregates import Shared
 
 
 def same_geometry(size: int, k: int, stride: int):
@@ -115,12 +116,15 @@ def conv_stack_forward(X: np.ndarray, convs, dense, h: int, w: int) -> np.ndarra
 def score_conv_stack(rows: DataFrame, convs, dense, h: int, w: int, key: str = "vec_id",
                      features: str = "x", digits: int = 6) -> DataFrame:
     """``(key, scores)`` by the stacked network, one numpy pass per batch."""
+    shared = Shared(rows.sparkSession, (list(convs), list(dense))).handle
+
     def per_batch(batches):
+        convs_, dense_ = shared.value
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = AB.matrix(batch, features)
-            Z = np.round(conv_stack_forward(X, convs, dense, h, w), digits) + 0.0
+            Z = np.round(conv_stack_forward(X, convs_, dense_, h, w), digits) + 0.0
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)),
                                               AB.list_column(Z)], names=[key, "scores"])
 

@@ -41,10 +41,14 @@ def score_rows(rows: DataFrame, layers, hidden: str = "relu", key: str = "vec_id
                carry: tuple[str, ...] = ()) -> DataFrame:
     """``(key, *carry, scores array<double>)`` by the network ``layers``;
     ``carry`` columns pass through the batch untouched (no re-join)."""
-    layers = [(np.asarray(W, float), np.asarray(b, float)) for W, b in layers]
+    # the scan may run one task per input split: large weights go out once
+    # per executor (kept for the life of the returned DataFrame)
+    weights = Shared(rows.sparkSession, [(np.asarray(W, float), np.asarray(b, float))
+                                         for W, b in layers]).handle
     keep = [key, *carry]
 
     def per_batch(batches):
+        layers = weights.value
         for batch in batches:
             if batch.num_rows == 0:
                 continue
