@@ -38,8 +38,8 @@ def class_bias_sql(k: str) -> str:
 
 
 def layer_weights(d_in: int, d_out: int, salt: int) -> np.ndarray:
-    """Dense-layer weights ``(((5i + 3o + salt) mod 13) - 6) / (16 * sqrt-ish)``:
-    kept as ``/ 64`` so activations stay in range through five layers."""
+    """Dense-layer weights ``(((5i + 3o + salt) mod 13) - 6) / 64``: small
+    enough that activations stay in range through five layers."""
     i = np.arange(d_in)[:, None]
     o = np.arange(d_out)[None, :]
     return (((5 * i + 3 * o + salt) % 13) - 6) / 64.0
