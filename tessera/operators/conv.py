@@ -29,6 +29,21 @@ def same_geometry(size: int, k: int, stride: int):
     return out, pad // 2
 
 
+def grid_rows(rows: DataFrame, key: str, vec: str, w: int) -> DataFrame:
+    """Flat row-major arrays to one row per grid line: ``(id, r, grid_row)``;
+    slices of the array, no shuffle."""
+    n_rows = F.ceil(F.size(vec) / F.lit(w)).cast("int")
+    lines = F.transform(F.sequence(F.lit(0), n_rows - 1), lambda i: F.slice(vec, i * w + 1, w))
+    return rows.select(F.col(key).alias("id"), F.posexplode(lines).alias("r", "grid_row"))
+
+
+def grid_flatten(lines: DataFrame) -> DataFrame:
+    """Back from grid lines to flat arrays: ``(id, flat)``.  One group per
+    image (its lines only), ordered by line number before concatenating."""
+    g = lines.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("r", "grid_row"))).alias("ls"))
+    return g.select("id", F.flatten(F.transform("ls", lambda t: t["grid_row"])).alias("flat"))
+
+
 def pixels_long(rows: DataFrame, key: str, vec: str, h: int, w: int, ch: int = 1) -> DataFrame:
     """Flat row-major ``h x w x ch`` arrays to ``(id, y, x, ci, v)`` rows."""
     e = rows.select(F.col(key).alias("id"), F.posexplode(vec).alias("pos", "v"))

@@ -116,9 +116,9 @@ def feature_count(spark, sf_dir):
   SELECT vec_id, CAST(r AS INTEGER) AS r, x[r * 8 + 1 : r * 8 + 8] AS grid_row
   FROM {EMB}, range(8) t(r)""")
 def grid_reshape(spark, sf_dir):
-    r = _rows(spark, sf_dir)
-    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("x", i * 8 + 1, 8))
-    return r.select("vec_id", F.posexplode(rows).alias("r", "grid_row"))
+    from tessera.operators.conv import grid_rows
+
+    return grid_rows(_rows(spark, sf_dir), "vec_id", "x", 8).withColumnRenamed("id", "vec_id")
 
 
 # -- P13: 0..1 floats to 0..255 integers -------------------------------------------

@@ -227,3 +227,12 @@ def test_broadcast_and_closure_weights_agree(spark, monkeypatch):
     monkeypatch.setattr(AG, "BROADCAST_MIN_BYTES", 1 << 40)
     c = CL.softmax_pass(tr, W, b)
     assert np.array_equal(a["gW"], c["gW"]) and a["n"] == c["n"]
+
+
+def test_grid_reshape_round_trip(spark):
+    r = I.embedding_rows(spark, SF)
+    lines = CV.grid_rows(r, "vec_id", "x", 8)
+    assert lines.count() == r.count() * 8
+    back = CV.grid_flatten(lines.repartition(5)).withColumnRenamed("id", "vec_id")
+    joined = back.join(r, "vec_id")
+    assert joined.filter("flat != x").count() == 0 and joined.count() == r.count()
