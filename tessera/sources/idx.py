@@ -121,5 +121,15 @@ def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(f"{root}/*-ubyte*")
     stem = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)-(images|labels)-", 1)
-    return files.select(stem.alias("stem"), "content").groupBy("stem").applyInPandas(
+    out = files.select(stem.alias("stem"), "content").groupBy("stem").applyInPandas(
         parse_pair, "file string, idx long, label int, pixels array<double>")
+    # A few large files (the usual train/test pair) decode in a few tasks;
+    # spread their rows so later stages do not run on those few partitions.
+    # With many part files the decode is already spread and this is skipped.
+    try:
+        par = spark.sparkContext.defaultParallelism
+        if len(files.inputFiles()) < 2 * par:
+            out = out.repartition(par, "file", "idx")
+    except Exception:  # noqa: BLE001 - no context handle
+        pass
+    return out
