@@ -17,3 +17,4 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and set(d["queries"]) == {"count_songs", "gd_weights"}
     assert d["value"] > 0 and "failed" not in d
+    assert set(d["spark_jobs"]) == {"count_songs", "gd_weights"} and d["spark_jobs"]["gd_weights"] <= 6
