@@ -49,6 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - conf lookup failures
         root = None
+    if root and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)  # so DataFrame.checkpoint() uses it too
     if not root:
         root = sc.getCheckpointDir()
     if not root:
