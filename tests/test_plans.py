@@ -51,3 +51,28 @@ def test_group_counts_aggregate_before_the_shuffle(spark):
     for name in ("vector_sum", "songs_per_year", "accuracy_by_class", "src_inline_rows"):
         plan = formatted(QUERIES[name](spark, SF))
         assert re.search(r"Functions \[\d+\]: \[partial_", plan), name
+
+
+def test_spread_only_touches_plain_small_scans(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.session import spread
+
+    par = spark.sparkContext.defaultParallelism
+    scan = spark.read.parquet(f"{SF}/documents.parquet")
+    assert spread(scan).rdd.getNumPartitions() == max(par, scan.rdd.getNumPartitions())
+    st = spark.sparkContext.statusTracker()
+    shuffled = scan.groupBy("lang").agg(F.count("*"))
+    spark.sparkContext.setJobGroup("spread-check", "spread-check")
+    out = spread(shuffled)
+    assert out is shuffled and len(st.getJobIdsForGroup("spread-check")) == 0
+
+
+def test_cap_tasks_limits_partial_sum_tasks(spark):
+    from tessera.operators.aggregates import cap_tasks
+
+    par = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 10000, numPartitions=8 * par)
+    assert cap_tasks(many).rdd.getNumPartitions() == 4 * par
+    few = spark.range(0, 10, numPartitions=2)
+    assert cap_tasks(few).rdd.getNumPartitions() == 2
