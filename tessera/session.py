@@ -40,8 +40,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir);
-    only when neither is set - a local test session - a folder is made
-    and registered, so later calls in the same session reuse it.
+    only when neither is set and the master is local (tests) a folder is
+    made and registered, so later calls in the same session reuse it; on a
+    cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     root = None
@@ -54,6 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
