@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, suffix_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +24,11 @@ def query(fn):
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document; 4-word shingles, 4 bits."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_distance=4)
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_bytes, n_removed, n_spans and kept_sha256 of every document; 200 bytes."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return suffix_dedup.with_kept(docs, length=200).select(
+        F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
