@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, suffix_dedup
+from . import mixing, pieces, simhash, suffix_dedup, tokenbin
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,25 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return suffix_dedup.with_kept(docs, length=200).select(
         F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_tokens and digests of ids and decoded text of every document."""
+    return pieces.digest_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """start, n_tokens and ids_crc32 of every document, from the written files."""
+    return tokenbin.round_trip(documents(spark, sf_dir), tokenizer_path=public_tokenizers.path("word_bpe_49k.json"),
+                               vocab_size=49_408, end_id=1)
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """size, source_size, target and taken of every document; weights 5, 2, 1, 150% of all, at most twice."""
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_source_mixing"] = mixing.oracle()
