@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, simhash, suffix_dedup, tokenbin
+from . import langid, mixing, pieces, quality, simhash, suffix_dedup, tokenbin
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,15 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_source_mixing"] = mixing.oracle()
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document against references from all of them."""
+    return quality.rate(documents(spark, sf_dir))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """held_out, lang_pred and score of every document."""
+    return langid.identify(documents(spark, sf_dir))
