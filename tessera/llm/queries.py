@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, pieces, quality, simhash, suffix_dedup, tokenbin
+from . import langid, licenses, mixing, pieces, quality, simhash, suffix_dedup, tokenbin, tokencount
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """held_out, lang_pred and score of every document."""
     return langid.identify(documents(spark, sf_dir))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical length, digest and licence of every document."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+ORACLES["op5_license_scan"] = licenses.oracle()
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits that insert its source's name."""
+    docs = documents(spark, sf_dir)
+    edits = tokencount.derived_edits(F.col("doc_id"), F.col("text"), F.concat(F.lit(" the "), F.coalesce("source", F.lit("")), F.lit("'s ")))
+    return tokencount.count(docs, edits, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
