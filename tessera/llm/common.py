@@ -24,7 +24,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     that were costly to make."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, pieces, quality, simhash, suffix_dedup, tokenbin, tokencount
+from . import langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     edits = tokencount.derived_edits(F.col("doc_id"), F.col("text"), F.concat(F.lit(" the "), F.coalesce("source", F.lit("")), F.lit("'s ")))
     return tokencount.count(docs, edits, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found of every embedding whose vec_id is divisible by 50."""
+    return rpforest.neighbours(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
