@@ -110,16 +110,12 @@ def block_ranges(slots: DataFrame, targets: DataFrame, block: int) -> DataFrame:
         "slot", "pos", "block", "start", "stop")
 
 
-def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = 32) -> DataFrame:
-    """(doc_id, source, begin, size, source_size, target, taken) for every row
-    of ``docs``; taken counts the words that the schedule's blocks take from it.
-
-    Null or empty texts have size 0 and are never taken; a null source is a
-    source of its own; rows with equal doc_id follow each other in their
-    source's line; an empty table gives an empty result; other columns are not
-    looked at.  The same rows give the same mix, whatever their partitions."""
-    rows = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), source_key(F.col("source")).alias("key"),
-                               word_count(F.col("text").cast("string")).alias("size")), "sizes")
+def _mix(docs: DataFrame, carry: list[str], weights, share: float, most: float, block: int) -> DataFrame:
+    """``mix`` with the columns ``carry`` of ``docs`` in a struct ``row``."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), source_key(F.col("source")).alias("key"),
+                       word_count(text).alias("size"), *([F.struct(*carry).alias("row")] if carry else []))
+    rows = written(rows, "sizes")
     targets = written(source_targets(rows, weights, share, most, block), "targets")
     placed = written(lines(rows).join(targets.select("key", "pos", "source_size", "target"), "key").drop("key"), "lines")
     slots = block_ranges(schedule(targets), targets, block)
@@ -129,8 +125,32 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.
     taken = slots.join(pieces, ["pos", "block"]).withColumn("n", words).filter("n > 0").groupBy("pos", "begin").agg(F.sum("n").alias("taken"))
     # begin names a document of its source: only those without words share one
     return placed.filter("size > 0").join(taken, ["pos", "begin"], "left").unionByName(
-        placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))).select(
-        "doc_id", "source", "begin", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+        placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))).withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+
+
+def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = 32) -> DataFrame:
+    """(doc_id, source, begin, size, source_size, target, taken) for every row
+    of ``docs``; taken counts the words that the schedule's blocks take from it.
+
+    Null or empty texts have size 0 and are never taken; a null source is a
+    source of its own; rows with equal doc_id follow each other in their
+    source's line; an empty table gives an empty result; other columns are not
+    looked at.  The same rows give the same mix, whatever their partitions."""
+    return _mix(docs, [], weights, share, most, block).select("doc_id", "source", "begin", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = 32) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: a row for each whole time
+    that a document is taken, and one with its first words, single spaces
+    between them, where its source's target is met inside it; n_chars, if there
+    is one, is the text's length.  Documents that are not taken go."""
+    rows = _mix(docs, docs.columns, weights, share, most, block).filter("taken > 0")
+    rows = rows.withColumn("time", F.explode(F.expr("sequence(1L, (taken + size - 1) div size)")))
+    text = F.col("row.text").cast("string")
+    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD_RE})"), F.lit(1)), F.lit(1), F.expr("cast(taken % size as int)")), " ")
+    rows = rows.withColumn("text", F.when(F.col("time") * F.col("size") <= F.col("taken"), text).otherwise(first))
+    pick = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[pick[c].alias(c) if c in pick else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def oracle(weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> str:

@@ -32,7 +32,7 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept_sha256 of every document; 200 bytes."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return suffix_dedup.with_kept(docs, length=200).select(
-        F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        F.col("row.doc_id").cast("long").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query

@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, texts, written
@@ -156,6 +156,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _groups(classes: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, least, root) of fingerprints (fp, least): root is the same for all
+    that links connect."""
+    roots = components(links(classes, max_distance))
+    return classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -167,9 +174,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
     are not looked at."""
     fp = written(fingerprints(docs, shingle), "fingerprints")
     classes = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes, max_distance))
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _groups(classes, max_distance)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.join(ids, "root").select("fp", "component_id")
     return fp.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
+    """One row of ``docs`` of each group of linked fingerprints, all columns
+    unchanged: the one with the least doc_id (nulls last, then by fingerprint
+    and text).  Repeated rows are of one group."""
+
+    def run(batch: pa.RecordBatch):
+        fps = np.array([fingerprint(t, shingle) for t in texts(batch.column(0))], dtype=np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), batch.column(1)], ["fp", "row"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+    schema = rows.select(F.lit(0).cast("long").alias("fp"), "row").schema
+    rows = written(arrow_map(rows, run, schema), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min("row.doc_id").alias("least"))
+    grouped = rows.join(_groups(classes, max_distance).select("fp", "root"), "fp")
+    # a task keeps its first row of a group before it sends any
+    order = Window.partitionBy("root").orderBy(F.col("row.doc_id").asc_nulls_last(), "fp", "row.text")
+    return grouped.withColumn("n", F.row_number().over(order)).filter("n <= 1").select("row.*")

@@ -304,10 +304,17 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
 
 
 def with_kept(docs: DataFrame, length: int = 200) -> DataFrame:
-    """Every row of ``docs`` with n_bytes, n_removed, n_spans and kept (the
-    remaining bytes) added."""
+    """(row, n_bytes, n_removed, n_spans, kept) for every row of ``docs``: row is
+    the row as it was but for its text, kept the remaining bytes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    h1, h2 = digests(text)
-    rows = docs.withColumns({"__h1": h1, "__h2": h2})
-    kept = kept_texts(docs, length)
-    return rows.join(kept, (rows["__h1"] == kept.h1) & (rows["__h2"] == kept.h2)).drop("__h1", "__h2", "h1", "h2")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), *digests(text))
+    return rows.join(kept_texts(docs.select("text"), length), ["h1", "h2"]).drop("h1", "h2")
+
+
+def remaining_documents(docs: DataFrame, length: int = 200) -> DataFrame:
+    """Every row of ``docs``, all columns, with the remaining bytes as its text
+    (empty where it was null; a character cut in two leaves the
+    replacement mark) and, if there is one, n_chars set to its length."""
+    rows = with_kept(docs, length).withColumn("text", F.make_valid_utf8(F.col("kept").cast("string")))
+    pick = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[pick[c].alias(c) if c in pick else F.col("row")[c].alias(c) for c in docs.columns])
