@@ -1 +1,3 @@
-"""Column-expression helpers (JVM-side, whole-stage-codegen friendly)."""
+"""Column-expression helpers, evaluated in the JVM.  Plain expressions take
+part in whole-stage code generation; higher-order functions (lambdas over
+arrays) are interpreted per row."""

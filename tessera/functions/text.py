@@ -1,7 +1,7 @@
 """Text helpers: splitting, tokenizing, quote stripping and number parsing.
 
-All are native Spark expressions, so they stay inside whole-stage codegen
-and let Catalyst prune columns around them.
+All are native Spark expressions: Catalyst prunes columns around them; those
+with lambdas are interpreted, the others take part in code generation.
 """
 
 from __future__ import annotations
@@ -14,20 +14,12 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def split_fields(col, delimiter: str, drop_trailing_empty: bool = False) -> Column:
-    """Split a line on a literal delimiter.
-
-    By default every field is kept (``a,,b,`` gives four fields).  With
-    ``drop_trailing_empty`` trailing delimiters are removed first, like
-    Java's ``String.split`` on a non-empty line.
-    """
+def split_fields(col, delimiter: str) -> Column:
+    """Split a line on a literal delimiter; every field is kept (``a,,b,``
+    gives four fields)."""
     import re
 
-    esc = re.escape(delimiter)
-    src = _c(col)
-    if drop_trailing_empty:
-        src = F.regexp_replace(src, f"({esc})+$", "")
-    return F.split(src, esc)
+    return F.split(_c(col), re.escape(delimiter))
 
 
 def regex_tokenize(col, pattern: str = "\\s+", to_lowercase: bool = True,

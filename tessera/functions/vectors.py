@@ -64,24 +64,24 @@ def gradient_summand(weights, features, label) -> Column:
     return scale(features, predict_linear(weights, features) - _c(label))
 
 
-def array_max(a) -> Column:
-    return F.array_max(_c(a))
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row (an expression inside
+    a lambda would be computed per element)."""
+    return F.transform(F.array(value), use)[0]
 
 
 def softmax(z) -> Column:
     """``exp(z - max z) / sum(exp(z - max z))`` per row."""
     z = _c(z)
-    shifted = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
-    total = F.aggregate(shifted, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    # bind the total once (a one-element array) instead of re-summing per element
-    return F.transform(F.array_repeat(total, 1), lambda t: F.transform(shifted, lambda x: x / t))[0]
+    total = lambda e: F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    shifted = _bind(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(x - m)))
+    return _bind(shifted, lambda e: _bind(total(e), lambda t: F.transform(e, lambda x: x / t)))
 
 
 def log_sum_exp(z) -> Column:
     z = _c(z)
-    m = F.array_max(z)
-    return m + F.log(F.aggregate(F.transform(z, lambda x: F.exp(x - m)),
-                                 F.lit(0.0).cast("double"), lambda acc, x: acc + x))
+    return _bind(F.array_max(z), lambda m: m + F.log(F.aggregate(F.transform(z, lambda x: F.exp(x - m)),
+                                 F.lit(0.0).cast("double"), lambda acc, x: acc + x)))
 
 
 def relu(a) -> Column:
@@ -110,11 +110,6 @@ def one_hot_decode(v) -> Column:
     return (F.array_position(_c(v), F.lit(1.0)) - 1).cast("int")
 
 
-def l2_norm(a) -> Column:
-    return F.sqrt(F.aggregate(F.transform(_c(a), lambda x: x * x),
-                              F.lit(0.0).cast("double"), lambda acc, x: acc + x))
-
-
 def poly_expand_2(a) -> Column:
     """Degree-2 polynomial expansion in MLlib's order.
 
@@ -141,21 +136,3 @@ def slice_positions(a, positions: Sequence[int]) -> Column:
 def round_array(a, digits: int = 6) -> Column:
     """Round each element; ``+ 0.0`` folds a negative zero into zero."""
     return F.transform(_c(a), lambda x: F.round(x, digits) + F.lit(0.0))
-
-
-def matrix_literal(m) -> Column:
-    """A literal ``array<array<double>>`` holding the columns of ``m``
-    (shape (d, c) -> c arrays of d values)."""
-    import numpy as np
-
-    m = np.asarray(m, dtype=float)
-    return F.array(*[as_array(m[:, k]) for k in range(m.shape[1])])
-
-
-def affine_scores(x, weights, bias) -> Column:
-    """``x . W + b`` per row as an array of ``c`` scores, from literal
-    weights (small, fixed parameters)."""
-    x = _c(x)
-    b = as_array(bias)
-    return F.transform(matrix_literal(weights),
-                       lambda wc, k: dot(x, wc) + F.element_at(b, k + 1))

@@ -2,136 +2,65 @@
 
 Iterative fits emit one partial-sum vector per task.  Summing those in one
 reducer would funnel ``#tasks x width`` numbers into one place; instead the
-vector is cut into blocks of ``block`` numbers, each block id is a grouping
-key, and ``Summarizer.sum`` adds the blocks in parallel reducers (with a
-partial aggregate before the shuffle).  Only the final ``width`` numbers
-reach the driver - a bound set by the model size, not the data.
+vector is cut into blocks of ``block`` numbers and summed by Spark in two
+levels, first per block id and salt (a function of the emitting task), then per
+block id, so a reducer adds ``#tasks / SALTS`` blocks at most.  Only the final
+``width`` numbers reach the driver - a bound set by the model size, not the
+data.  The same two levels run at every size.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+SALTS = 64
+
+BLOCK_SCHEMA = "key long, blk long, salt int, part array<double>"
 
 
 def emit_blocks(vec: np.ndarray, block: int = BLOCK, key: int = 0) -> pa.RecordBatch:
-    """A task's partial-sum vector as ``(key, blk, part)`` rows."""
+    """A task's partial-sum vector as ``(key, blk, salt, part)`` rows."""
     vec = np.asarray(vec, dtype=np.float64).ravel()
     n = max(1, -(-len(vec) // block))
     offsets = np.minimum(np.arange(n + 1, dtype=np.int64) * block, len(vec)).astype(np.int32)
     parts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(vec))
+    task = TaskContext.get()
+    salt = task.partitionId() % SALTS if task is not None else 0
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, key, dtype=np.int64)), pa.array(np.arange(n, dtype=np.int64)), parts],
-        names=["key", "blk", "part"])
-
-
-BLOCK_SCHEMA = "key long, blk long, part array<double>"
-
-
-DIRECT_SUM_LIMIT = 8 * 1024 * 1024  # doubles (64 MB) the driver may add up itself
+        [pa.array(np.full(n, key, dtype=np.int64)), pa.array(np.arange(n, dtype=np.int64)),
+         pa.array(np.full(n, salt, dtype=np.int32)), parts],
+        names=["key", "blk", "salt", "part"])
 
 
-def _task_count(df: DataFrame) -> int | None:
-    """Partitions of ``df`` if that is known without running anything
-    (no shuffle below it), else None."""
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        if "Exchange" in plan:
-            return None
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM handles
-        return None
-
+def block_sums(parts: DataFrame) -> DataFrame:
+    """``(key, blk, s vector)``: the blocks of ``parts`` added up."""
+    salted = parts.groupBy("key", "blk", "salt").agg(
+        Summarizer.sum(array_to_vector(F.col("part"))).alias("s"))
+    return salted.groupBy("key", "blk").agg(Summarizer.sum(F.col("s")).alias("s"))
 
-def sum_blocks(parts: DataFrame, width: int | None = None) -> dict[int, np.ndarray]:
-    """Sum ``(key, blk, part)`` rows per (key, blk) and reassemble per key.
 
-    When the partial sums are provably small - ``#tasks x width`` at most
-    ``DIRECT_SUM_LIMIT`` doubles, ``width`` being the numbers one task emits
-    - they are collected and added on the driver (one stage, no shuffle);
-    otherwise the blocks are summed in parallel reducers."""
-    tasks = _task_count(parts) if width is not None else None
-    if tasks is not None and tasks * width <= DIRECT_SUM_LIMIT:
-        acc: dict[int, dict[int, np.ndarray]] = {}
-        for r in parts.collect():
-            cur = acc.setdefault(r["key"], {})
-            v = np.asarray(r["part"], dtype=np.float64)
-            cur[r["blk"]] = cur[r["blk"]] + v if r["blk"] in cur else v
-        return {k: np.concatenate([v[b] for b in sorted(v)]) for k, v in acc.items()}
-    summed = parts.groupBy("key", "blk").agg(
-        Summarizer.sum(array_to_vector(F.col("part"))).alias("s"))
+def sum_blocks(parts: DataFrame) -> dict[int, np.ndarray]:
+    """The sums of ``parts``, reassembled per key."""
     out: dict[int, dict[int, np.ndarray]] = {}
-    for r in summed.collect():
+    for r in block_sums(parts).collect():
         out.setdefault(r["key"], {})[r["blk"]] = r["s"].toArray()
     return {k: np.concatenate([v[b] for b in sorted(v)]) for k, v in out.items()}
 
 
-def cap_tasks(df: DataFrame, waves: int = 4) -> DataFrame:
-    """Limit a partial-sum pass to ``waves x cores`` tasks.
-
-    Each task of such a pass emits one model-sized vector, so the shuffle
-    carries ``#tasks x width`` numbers; with 100k input splits and a wide
-    model that dwarfs the model itself.  ``coalesce`` merges input splits
-    into fewer tasks without a shuffle, so the partial sums scale with the
-    cluster's cores instead of the input's file count, and every core still
-    gets ``waves`` tasks for load balance."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no context handle (e.g. a Connect session)
-        return df
-    cap = max(1, waves * cores)
-    # coalesce never raises the count, so this is a no-op below the cap; the
-    # count is not inspected (that would run any shuffle below ``df``).
-    return df.coalesce(cap)
-
-
-BROADCAST_MIN_BYTES = 16 * 1024
-
-
-def _nbytes(value) -> int:
-    if isinstance(value, np.ndarray):
-        return value.nbytes
-    if isinstance(value, (list, tuple)):
-        return sum(_nbytes(v) for v in value)
-    return 64  # scalars, strides and other small fields
-
-
 class Shared:
-    """Model-sized values for one job.  Above ``BROADCAST_MIN_BYTES`` they go
-    out as a broadcast variable - once per executor instead of once per
-    task, which matters when a round runs thousands of tasks; small values
-    ride in the task closure, where they cost less than a broadcast's set-up.
-    ``release()`` after the job frees the executors' copies."""
+    """Model-sized values for one job as a broadcast variable: sent once per
+    executor, not once per task.  ``release()`` after the job frees the
+    executors' copies."""
 
     def __init__(self, spark, value):
-        self._bc = None
-        self._value = value
-        if _nbytes(value) >= BROADCAST_MIN_BYTES:
-            try:
-                self._bc = spark.sparkContext.broadcast(value)
-            except Exception:  # noqa: BLE001 - no context handle
-                self._bc = None
-
-    @property
-    def handle(self):
-        """What a task function captures: the broadcast, or the value."""
-        return self._bc if self._bc is not None else _Plain(self._value)
+        self.handle = spark.sparkContext.broadcast(value)
 
     def release(self) -> None:
-        if self._bc is not None:
-            try:
-                self._bc.destroy()
-            except Exception:  # noqa: BLE001
-                pass
-            self._bc = None
-
-
-class _Plain:
-    def __init__(self, value):
-        self.value = value
+        self.handle.destroy()

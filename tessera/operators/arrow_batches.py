@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 def matrix(batch: pa.RecordBatch, col: str, width: int | None = None) -> np.ndarray:
     """The list column ``col`` as a float64 ``(n, d)`` matrix; rows must be
-    non-null and of one width."""
+    non-null, without null elements and of one width."""
     arr = batch.column(batch.schema.get_field_index(col))
     n = len(arr)
     if n == 0:
@@ -24,13 +24,19 @@ def matrix(batch: pa.RecordBatch, col: str, width: int | None = None) -> np.ndar
     d = int(lens[0])
     if (lens != d).any() or (width is not None and d != width):
         raise ValueError("rows of uneven feature width")
-    vals = arr.flatten().to_numpy(zero_copy_only=False)
+    flat = arr.flatten()
+    if flat.null_count:
+        raise ValueError(f"null elements in {col}")
+    vals = flat.to_numpy(zero_copy_only=False)
     return np.asarray(vals, dtype=np.float64).reshape(n, d)
 
 
 def vector(batch: pa.RecordBatch, col: str, dtype=np.float64) -> np.ndarray:
-    return np.asarray(batch.column(batch.schema.get_field_index(col)).to_numpy(zero_copy_only=False),
-                      dtype=dtype)
+    """A scalar column; nulls raise (cast to integers they would be garbage)."""
+    arr = batch.column(batch.schema.get_field_index(col))
+    if arr.null_count:
+        raise ValueError(f"null values in {col}")
+    return np.asarray(arr.to_numpy(zero_copy_only=False), dtype=dtype)
 
 
 def list_column(m: np.ndarray) -> pa.Array:

@@ -2,7 +2,7 @@
 descent or Adam, with stepped learning-rate decay, and its metrics.
 
 Each round is one distributed job over persisted rows: every task scores
-its Arrow batches with the current weights (broadcast as a closure value of
+its Arrow batches with the current weights (a broadcast variable of
 size ``runs x (d+1) x c``), forms ``X'(P - Y)`` and the loss / hit counts,
 and emits one block vector; blocks are summed in parallel
 (``operators.aggregates``).  Several runs (a sweep) share the same pass.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 
 EPS = 1e-5  # the constant inside log(p + eps) of the first classifier's loss
@@ -37,6 +37,12 @@ def stepped_rate_col(rate, step_col, decay_steps: int, decay_rate: float):
     return F.lit(rate) * F.pow(F.lit(decay_rate), F.floor(F.col(step_col) / F.lit(decay_steps)))
 
 
+def batch_of(key: str, size: int):
+    """The batch of a row, ``key div size`` in whole numbers (a quotient of
+    doubles would lose the digits of keys above 2^53)."""
+    return F.expr(f"cast(`{key}` as bigint) div {int(size)}")
+
+
 def softmax_np(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=-1, keepdims=True)
     e = np.exp(z)
@@ -117,9 +123,8 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
         yield emit_blocks(np.concatenate([np.asarray(p, dtype=np.float64).ravel() for p in parts]))
 
     cols = ["label", "x"] + (["split"] if S > 1 else [])
-    width = (R * d * c + R * c if with_grad else 0) + 3 * S * R + S
     try:
-        total = sum_blocks(cap_tasks(rows.select(*cols)).mapInArrow(per_task, BLOCK_SCHEMA), width)
+        total = sum_blocks(rows.select(*cols).mapInArrow(per_task, BLOCK_SCHEMA))
     finally:
         shared.release()
     v = total.get(0)
@@ -203,7 +208,7 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     b_lo = b_span = None
     if batch_size is not None:
         # the range of batch ids: one aggregate, two numbers to the driver
-        b = F.floor(F.col("k") / F.lit(batch_size))
+        b = batch_of("k", batch_size)
         lo_hi = rows.agg(F.min(b), F.max(b)).first()
         if lo_hi[0] is None:
             raise ValueError("no training rows")
@@ -222,7 +227,7 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
         if batch_size is not None:
             b = b_lo + i % b_span
             src = src.filter((F.col("split") != 0)
-                             | (F.floor(F.col("k") / F.lit(batch_size)) == F.lit(b)))
+                             | (batch_of("k", batch_size) == F.lit(b)))
         last = i == rounds
         res = softmax_pass(src, Ws, bs, eps=eps, with_grad=not last, n_splits=S)
         if i in wanted:

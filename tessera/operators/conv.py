@@ -1,13 +1,10 @@
 """2-D convolution with SAME padding over images stored as rows.
 
-Join form: pixels are rows ``(id, y, x, ch, v)``; the kernel is a table of
-``k*k*ci*co`` weights (bounded by the layer shape, so it is broadcast); each
-pixel meets each kernel tap on the input channel, taps landing on a strided
-output position are kept, and ``groupBy(id, oy, ox, co)`` sums the products.
-Dense form: the same arithmetic in numpy per Arrow batch, for stacks of
-layers where the join would multiply rows by the kernel size at each layer.
-SAME padding: ``out = ceil(in / s)``, ``pad = max((out - 1) s + k - in, 0)``,
-the smaller half before; the kernel is not flipped.
+An image arrives as one row, so a layer is numpy per Arrow batch, without join
+or shuffle; its result leaves as one flat array per image, taken apart by
+``posexplode`` where rows per position are wanted.  SAME padding:
+``out = ceil(in / s)``, ``pad = max((out - 1) s + k - in, 0)``, the smaller half
+before; the kernel is not flipped.
 """
 
 from __future__ import annotations
@@ -16,7 +13,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
@@ -44,58 +41,6 @@ def grid_flatten(lines: DataFrame) -> DataFrame:
     return g.select("id", F.flatten(F.transform("ls", lambda t: t["grid_row"])).alias("flat"))
 
 
-def pixels_long(rows: DataFrame, key: str, vec: str, h: int, w: int, ch: int = 1) -> DataFrame:
-    """Flat row-major ``h x w x ch`` arrays to ``(id, y, x, ci, v)`` rows."""
-    e = rows.select(F.col(key).alias("id"), F.posexplode(vec).alias("pos", "v"))
-    return e.select("id", (F.col("pos") / (w * ch)).cast("int").alias("y"),
-                    (F.pmod(F.floor(F.col("pos") / ch), F.lit(w))).cast("int").alias("x"),
-                    F.pmod(F.col("pos"), F.lit(ch)).cast("int").alias("ci"), "v")
-
-
-def kernel_table(spark: SparkSession, W: np.ndarray) -> DataFrame:
-    """``W`` of shape (k, k, ci, co) as ``(ky, kx, ci, co, w)`` rows."""
-    k1, k2, ci, co = W.shape
-    rows = [(a, b, c, d, float(W[a, b, c, d]))
-            for a in range(k1) for b in range(k2) for c in range(ci) for d in range(co)]
-    return spark.createDataFrame(rows, "ky int, kx int, ci int, co int, w double")
-
-
-def conv2d_join(pixels: DataFrame, kernel: DataFrame, h: int, w: int, k: int, stride: int,
-                bias: np.ndarray | None = None, relu: bool = False) -> DataFrame:
-    """SAME convolution as a broadcast join + grouped sum:
-    ``(id, oy, ox, co, value)``."""
-    oh, pt = same_geometry(h, k, stride)
-    ow, pl = same_geometry(w, k, stride)
-    # A tap (ky, kx) reaches an output only when y + pad - ky is a multiple
-    # of the stride: joining on the residues keeps 1/stride^2 of the pairs
-    # instead of filtering them after the join.
-    px = pixels.withColumn("ry", F.pmod(F.col("y") + F.lit(pt), F.lit(stride))) \
-        .withColumn("rx", F.pmod(F.col("x") + F.lit(pl), F.lit(stride)))
-    kr = kernel.withColumn("ry", F.pmod("ky", F.lit(stride))).withColumn("rx", F.pmod("kx", F.lit(stride)))
-    j = px.join(F.broadcast(kr), ["ci", "ry", "rx"])
-    ny = F.col("y") - F.col("ky") + F.lit(pt)
-    nx = F.col("x") - F.col("kx") + F.lit(pl)
-    j = j.select("id", "co", ny.alias("ny"), nx.alias("nx"), (F.col("v") * F.col("w")).alias("vw"))
-    j = j.filter((F.col("ny") >= 0) & (F.col("nx") >= 0)
-                 & (F.col("ny") < oh * stride) & (F.col("nx") < ow * stride))
-    out = j.groupBy("id", (F.col("ny") / stride).cast("int").alias("oy"),
-                    (F.col("nx") / stride).cast("int").alias("ox"), "co") \
-        .agg(F.sum("vw").alias("value"))
-    if bias is not None:
-        b = F.element_at(F.array(*[F.lit(float(v)) for v in bias]), F.col("co") + 1)
-        out = out.withColumn("value", F.col("value") + b)
-    if relu:
-        out = out.withColumn("value", F.greatest(F.col("value"), F.lit(0.0)))
-    return out
-
-
-def as_pixels(conv_out: DataFrame) -> DataFrame:
-    """A layer's ``(id, oy, ox, co, value)`` output as the next layer's
-    ``(id, y, x, ci, v)`` input, so join-form layers chain."""
-    return conv_out.select("id", F.col("oy").alias("y"), F.col("ox").alias("x"),
-                           F.col("co").alias("ci"), F.col("value").alias("v"))
-
-
 def conv2d_np(X: np.ndarray, W: np.ndarray, stride: int) -> np.ndarray:
     """Batch ``X`` (n, h, w, ci), kernel (k, k, ci, co) -> (n, oh, ow, co)."""
     n, h, w, ci = X.shape
@@ -145,3 +90,30 @@ def score_conv_stack(rows: DataFrame, convs, dense, h: int, w: int, key: str = "
 
     kt = rows.schema[key].dataType.simpleString()
     return rows.select(key, features).mapInArrow(per_batch, f"{key} {kt}, scores array<double>")
+
+
+def conv2d_rows(rows: DataFrame, kernel: np.ndarray, h: int, w: int, stride: int, bias: np.ndarray | None = None,
+                relu: bool = False, key: str = "vec_id", features: str = "x") -> DataFrame:
+    """One SAME convolution of flat row-major images (channels last):
+    ``(key, oy, ox, co, value)``."""
+    co = kernel.shape[3]
+    ow = same_geometry(w, kernel.shape[0], stride)[0]
+    shared = Shared(rows.sparkSession, (kernel, np.zeros(co) if bias is None else np.asarray(bias, float))).handle
+
+    def per_batch(batches):
+        kern, b = shared.value
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            X = AB.matrix(batch, features)
+            Z = conv2d_np(X.reshape(len(X), h, w, -1), kern, stride) + b
+            Z = np.maximum(Z, 0.0) if relu else Z
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)),
+                                              AB.list_column(Z.reshape(len(Z), -1))], names=[key, "flat"])
+
+    kt = rows.schema[key].dataType.simpleString()
+    flat = rows.select(key, features).mapInArrow(per_batch, f"{key} {kt}, flat array<double>")
+    line = ow * co
+    return flat.select(key, F.posexplode("flat").alias("pos", "value")).select(
+        key, F.expr(f"cast(pos div {line} as int)").alias("oy"), F.expr(f"cast(pos % {line} div {co} as int)").alias("ox"),
+        F.expr(f"pos % {co}").alias("co"), "value")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
 from tessera.operators.classification import EPS, _Adam, softmax_np, stepped_rate
 
 
@@ -176,8 +176,7 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
             yield emit_blocks(np.concatenate([acc, [loss, hits, n]]))
 
         try:
-            v = sum_blocks(cap_tasks(rows.select("k", "label", "x")).mapInArrow(per_task, BLOCK_SCHEMA),
-                           sum(sizes_flat) + 3)[0]
+            v = sum_blocks(rows.select("k", "label", "x").mapInArrow(per_task, BLOCK_SCHEMA))[0]
         finally:
             shared.release()
         n = v[-1]

@@ -1,13 +1,16 @@
 """Linear regression by gradient descent, in one pass over the data.
 
-For the squared loss the gradient is ``G w - b`` with ``G = X'X`` and
-``b = X'y``, and ``RMSE^2 = (y'y - 2 b'w + w'G w) / n``.  One distributed pass
-(``mapInArrow`` partial sums per task, summed per block id) yields
-``G, b, y'y, n``; every round then runs on the driver in ``d x d`` - a size
-bound set by the width, never by the row count.  Above ``max_gram_width``
-features the rounds run as one distributed gradient job each instead.
-Grouping the pass by fold gives every cross-validation fit from the same scan:
-training sums are total minus fold.
+With rows and labels taken relative to a centre ``(c, c0)`` - one of the rows -
+the residual is ``k + u.w - v`` (``u = x - c``, ``v = y - c0``, ``k = c.w - c0``),
+so the gradient and the squared error of any weights follow from
+``n, sum u, sum v, U'U, U'v, v'v``.  One distributed pass (``mapInArrow``
+partial sums per task, summed per block id) yields them; every round then runs
+on the driver in ``d x d`` - a size bound set by the width, never by the row
+count.  The caller may ask for ``solver="rounds"`` instead: one distributed
+gradient job per round, with nothing wider than ``d``; the right choice where
+``d x d`` numbers per task or on the driver are too many.  Grouping the pass by
+fold gives every cross-validation fit from the same scan: training sums are
+total minus fold.  Reported errors come from a direct pass over the rows.
 """
 
 from __future__ import annotations
@@ -22,47 +25,76 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter,
                                      HasPredictionCol, HasStepSize)
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import arrow_batches as AB
-from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, cap_tasks, emit_blocks, sum_blocks
+from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
 from tessera.operators.stages import as_array_col
 from tessera.session import materialize, release
 
-DEFAULT_MAX_GRAM_WIDTH = 2048
+SOLVERS = ("gram", "rounds")
 
 
 # ---------------------------------------------------------------- sums pass --
 
 @dataclass
 class GramStats:
-    """Sufficient statistics of a least-squares problem."""
-    G: np.ndarray
-    b: np.ndarray
-    yy: float
+    """Sufficient statistics of a least-squares problem without intercept,
+    as sums relative to the centre ``(c, c0)``."""
+    c: np.ndarray
+    c0: float
     n: float
+    su: np.ndarray
+    sv: float
+    uu: np.ndarray
+    uv: np.ndarray
+    vv: float
 
     @property
     def d(self) -> int:
-        return len(self.b)
+        return len(self.c)
+
+    def _combine(self, o: "GramStats", sign: float) -> "GramStats":
+        if not (np.array_equal(self.c, o.c) and self.c0 == o.c0):
+            raise ValueError("sums around different centres")
+        return GramStats(self.c, self.c0, self.n + sign * o.n, self.su + sign * o.su, self.sv + sign * o.sv,
+                         self.uu + sign * o.uu, self.uv + sign * o.uv, self.vv + sign * o.vv)
 
     def __add__(self, o: "GramStats") -> "GramStats":
-        return GramStats(self.G + o.G, self.b + o.b, self.yy + o.yy, self.n + o.n)
+        return self._combine(o, 1.0)
 
     def __sub__(self, o: "GramStats") -> "GramStats":
-        return GramStats(self.G - o.G, self.b - o.b, self.yy - o.yy, self.n - o.n)
+        return self._combine(o, -1.0)
 
     def subset(self, idx) -> "GramStats":
-        idx = np.asarray(idx)
-        return GramStats(self.G[np.ix_(idx, idx)], self.b[idx], self.yy, self.n)
+        i = np.asarray(idx)
+        return GramStats(self.c[i], self.c0, self.n, self.su[i], self.sv, self.uu[np.ix_(i, i)], self.uv[i], self.vv)
+
+    @property
+    def G(self) -> np.ndarray:
+        """``X'X`` of the rows as they are."""
+        cross = np.outer(self.su, self.c)
+        return self.uu + cross + cross.T + self.n * np.outer(self.c, self.c)
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """``sum (w.x - y) x``."""
+        k = self.c @ w - self.c0
+        return self.c * (self.n * k + self.su @ w - self.sv) + k * self.su + self.uu @ w - self.uv
 
     def sse(self, w: np.ndarray) -> float:
-        return float(self.yy - 2.0 * self.b @ w + w @ self.G @ w)
+        """``sum (w.x - y)^2``; raises where rounding has left nothing of it."""
+        k = self.c @ w - self.c0
+        parts = (self.n * k * k, 2.0 * k * (self.su @ w - self.sv), w @ self.uu @ w, -2.0 * (w @ self.uv), self.vv)
+        total, size = float(sum(parts)), float(sum(abs(p) for p in parts))
+        if total < -1e-9 * size:
+            raise FloatingPointError("squared error below zero: the sums do not belong together")
+        return max(total, 0.0)
 
     def rmse(self, w: np.ndarray) -> float:
-        return math.sqrt(max(self.sse(w), 0.0) / self.n)
+        return math.sqrt(self.sse(w) / self.n)
 
 
 def _prepared(df: DataFrame, label: str, features: str, group: str | None) -> DataFrame:
@@ -72,204 +104,245 @@ def _prepared(df: DataFrame, label: str, features: str, group: str | None) -> Da
 
 
 _WIDTH_KEY = 1 << 24  # key = group * 2^24 + width
+MAX_GROUPS = 4096     # of a grouped pass: each brings d^2 / 2 numbers to the driver
+
+
+def _centre(prepared: DataFrame) -> tuple[np.ndarray, float]:
+    """Features and label of one row, to take the sums around."""
+    first = prepared.select("x", "y").head(1)
+    if not first:
+        raise ValueError("no training rows")
+    x, y = first[0]
+    if x is None or any(v is None for v in x):
+        raise ValueError("null feature vectors or elements")
+    if y is None:
+        raise ValueError("null labels")
+    return np.array(x, dtype=np.float64), float(y)
 
 
 def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
-              group: str | None = None) -> DataFrame:
-    """Per-task partial sums of ``[upper-triangle G, b, y'y, n]``, one
-    block vector per (group, width) and task, keyed ``(key, blk, part)`` with
+              group: str | None = None, centre: tuple[np.ndarray, float] | None = None) -> DataFrame:
+    """Per-task partial sums of ``[upper-triangle U'U, U'v, sum u, sum v, v'v, n]``,
+    one block vector per group and task, keyed ``(key, blk, salt, part)`` with
     ``key = group * 2^24 + width``.  A task emits a handful of rows whatever
     its size, and partial aggregation happens before the shuffle."""
+    prepared = _prepared(df, label, features, group)
+    shared = Shared(df.sparkSession, centre or _centre(prepared)).handle
 
     def per_task(batches):
+        c, c0 = shared.value
+        d = len(c)
         acc: dict[int, list] = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             grp = AB.vector(batch, "grp", np.int64)
-            y_all = AB.vector(batch, "y")
-            X_all = AB.matrix(batch, "x")
-            if np.isnan(y_all).any():
-                raise ValueError("null labels")
+            v_all = AB.vector(batch, "y") - c0
+            u_all = AB.matrix(batch, "x", d) - c
+            if np.isnan(v_all).any():
+                raise ValueError("labels that are not numbers")
             for g in np.unique(grp):
                 sel = grp == g
-                X, y = (X_all, y_all) if sel.all() else (X_all[sel], y_all[sel])
-                cur = acc.get(int(g))
-                if cur is not None and cur[0] != X.shape[1]:
-                    raise ValueError("rows of uneven feature width")
-                if cur is None:
-                    d = X.shape[1]
-                    cur = acc[int(g)] = [d, np.zeros((d, d)), np.zeros(d), 0.0, 0.0]
-                cur[1] += X.T @ X
-                cur[2] += X.T @ y
-                cur[3] += float(y @ y)
-                cur[4] += float(len(y))
-        for g, (d, G, b, yy, n) in acc.items():
-            iu, ju = np.triu_indices(d)
-            yield emit_blocks(np.concatenate([G[iu, ju], b, [yy, n]]), key=g * _WIDTH_KEY + d)
-
-    return cap_tasks(_prepared(df, label, features, group)).mapInArrow(per_task, BLOCK_SCHEMA)
-
-
-def collect_gram(sums: DataFrame, width: int | None = None) -> dict[int, GramStats]:
-    """Sum the blocks and unpack per group: ``#groups x (d(d+1)/2 + d + 2)``
-    numbers reach the driver, bounded by the width and the group count."""
-    out: dict[int, GramStats] = {}
-    for key, v in sum_blocks(sums, width).items():
-        g, d = divmod(int(key), _WIDTH_KEY)
-        if g in out:
-            raise ValueError("rows of uneven feature width across tasks")
-        t = d * (d + 1) // 2
-        G = np.zeros((d, d))
+                U, v = (u_all, v_all) if sel.all() else (u_all[sel], v_all[sel])
+                cur = acc.setdefault(int(g), [np.zeros((d, d)), np.zeros(d), np.zeros(d), 0.0, 0.0, 0.0])
+                for i, part in enumerate((U.T @ U, U.T @ v, U.sum(axis=0), float(v.sum()), float(v @ v), float(len(v)))):
+                    cur[i] = cur[i] + part
         iu, ju = np.triu_indices(d)
-        G[iu, ju] = v[:t]
-        G[ju, iu] = v[:t]
-        out[g] = GramStats(G, v[t:t + d].copy(), float(v[t + d]), float(v[t + d + 1]))
-    return out
+        for g, (uu, uv, su, sv, vv, n) in acc.items():
+            yield emit_blocks(np.concatenate([uu[iu, ju], uv, su, [sv, vv, n]]), key=g * _WIDTH_KEY + d)
+
+    return prepared.mapInArrow(per_task, BLOCK_SCHEMA)
 
 
 def gram_stats(df: DataFrame, label: str = "label", features: str = "features",
-               group: str | None = None, width_hint: int | None = None) -> dict[int, GramStats]:
-    """``width_hint``: the feature width when known (one group), which lets a
-    small summary be added up in one stage."""
-    width = None
-    if width_hint is not None and group is None:
-        width = width_hint * (width_hint + 1) // 2 + width_hint + 2
-    return collect_gram(gram_sums(df, label, features, group), width)
+               group: str | None = None) -> dict[int, GramStats]:
+    """The summary per group (key 0 without one): ``#groups x d^2 / 2`` numbers
+    reach the driver, bounded by the width and ``MAX_GROUPS``."""
+    prepared = _prepared(df, label, features, group)
+    c, c0 = _centre(prepared)
+    if group and (found := prepared.agg(F.approx_count_distinct("grp")).first()[0]) > MAX_GROUPS:
+        raise ValueError(f"about {found} groups; at most {MAX_GROUPS} summaries fit the driver")
+    out: dict[int, GramStats] = {}
+    d = len(c)
+    t = d * (d + 1) // 2
+    iu, ju = np.triu_indices(d)
+    for key, s in sum_blocks(gram_sums(df, label, features, group, (c, c0))).items():
+        uu = np.zeros((d, d))
+        uu[iu, ju] = uu[ju, iu] = s[:t]
+        uv, su = s[t:t + d].copy(), s[t + d:t + 2 * d].copy()
+        sv, vv, n = (float(v) for v in s[t + 2 * d:])
+        out[int(key) // _WIDTH_KEY] = GramStats(c, c0, n, su, sv, uu, uv, vv)
+    return out
 
 
 # ------------------------------------------------------------- descent rounds --
 
+def _step(w, gradient, n, i, alpha):
+    w = w - (alpha / (n * math.sqrt(i + 1))) * gradient
+    if not np.all(np.isfinite(w)):
+        raise FloatingPointError(f"weights diverged at round {i + 1}; scale the features")
+    return w
+
+
 def descend(stats: GramStats, iters: int, alpha: float = 1.0,
             record: set[int] | None = None):
-    """Rounds of ``w -= alpha / (n sqrt(i+1)) (G w - b)`` from ``w = 0``; the
+    """Rounds of ``w -= alpha / (n sqrt(i+1)) X'(Xw - y)`` from ``w = 0``; the
     error curve holds the training RMSE before each update.  Returns the
     final weights, the curve and the weights after each round in ``record``."""
-    d, n = stats.d, stats.n
-    if n <= 0:
+    if stats.n <= 0:
         raise ValueError("no training rows")
-    w = np.zeros(d)
+    w = np.zeros(stats.d)
     err = np.empty(iters)
     kept = {}
     # overflow on the way to divergence is expected; it is reported below
     with np.errstate(over="ignore", invalid="ignore"):
         for i in range(iters):
             err[i] = stats.rmse(w)
-            g = stats.G @ w - stats.b
-            w = w - (alpha / (n * math.sqrt(i + 1))) * g
-            if not np.all(np.isfinite(w)):
-                raise FloatingPointError(f"weights diverged at round {i + 1}; scale the features")
+            w = _step(w, stats.gradient(w), stats.n, i, alpha)
             if record and (i + 1) in record:
                 kept[i + 1] = w.copy()
     return w, err, kept
 
 
-def gradient_pass(df: DataFrame, w: np.ndarray, label: str = "y", features: str = "x"):
-    """One distributed job: ``sum (w.x - y) x``, ``sum (w.x - y)^2`` and ``n``
-    for the current weights (the wide-feature path)."""
-    w = np.asarray(w, dtype=np.float64)
-    d = len(w)
-    shared = Shared(df.sparkSession, w)
+def gradient_pass(df: DataFrame, W: np.ndarray, label: str = "y", features: str = "x"):
+    """One distributed job for the runs ``W`` (runs x d): per run the sums of
+    ``(w.x - y) x`` and ``(w.x - y)^2``, and the number of rows."""
+    W = np.atleast_2d(np.asarray(W, dtype=np.float64))
+    runs, d = W.shape
+    shared = Shared(df.sparkSession, W)
     weights = shared.handle
 
     def per_task(batches):
-        w = weights.value
-        g = np.zeros(d)
-        sse = 0.0
-        n = 0.0
+        W = weights.value
+        g, sse, n = np.zeros((runs, d)), np.zeros(runs), 0.0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = AB.matrix(batch, features, d)
-            r = X @ w - AB.vector(batch, label)
-            g += X.T @ r
-            sse += float(r @ r)
-            n += len(r)
-        yield emit_blocks(np.concatenate([g, [sse, n]]))
+            R = X @ W.T - AB.vector(batch, label)[:, None]
+            g += R.T @ X
+            sse += (R * R).sum(axis=0)
+            n += len(X)
+        yield emit_blocks(np.concatenate([g.ravel(), sse, [n]]))
 
     try:
-        v = sum_blocks(cap_tasks(df.select(label, features)).mapInArrow(per_task, BLOCK_SCHEMA), d + 2)[0]
+        v = sum_blocks(df.select(label, features).mapInArrow(per_task, BLOCK_SCHEMA))[0]
     finally:
         shared.release()
-    return v[:d], float(v[d]), float(v[d + 1])
+    return v[:runs * d].reshape(runs, d), v[runs * d:-1], float(v[-1])
 
 
 def descend_distributed(df: DataFrame, iters: int, alpha: float = 1.0):
     """The same rounds with one gradient job per round over persisted rows
-    (``y``, ``x``); used when ``G`` would be too wide to hold."""
-    first = df.select(F.size("x").alias("d")).head(1)
-    if not first:
-        raise ValueError("no training rows")
-    d = first[0]["d"]
+    (``y``, ``x``): nothing wider than ``d`` leaves a task."""
+    d = len(_centre(df)[0])
     w = np.zeros(d)
     err = np.empty(iters)
     for i in range(iters):
         g, sse, n = gradient_pass(df, w)
-        err[i] = math.sqrt(sse / n)
-        w = w - (alpha / (n * math.sqrt(i + 1))) * g
-        if not np.all(np.isfinite(w)):
-            raise FloatingPointError(f"weights diverged at round {i + 1}; scale the features")
+        err[i] = math.sqrt(sse[0] / n)
+        w = _step(w, g[0], n, i, alpha)
     return w, err
 
 
+def fold_errors(df: DataFrame, weights: dict[int, np.ndarray], label: str, features: str, fold_col: str):
+    """One pass: per fold the squared errors of its own runs (``weights[fold]``,
+    runs x d) summed over the fold's rows, and its rows: ``{fold: (sse, n)}``."""
+    shared = Shared(df.sparkSession, weights)
+    runs = len(next(iter(weights.values())))
+    handle = shared.handle
+
+    def per_task(batches):
+        acc: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            grp, y, X = AB.vector(batch, "grp", np.int64), AB.vector(batch, "y"), AB.matrix(batch, "x")
+            for g in np.unique(grp):
+                sel = grp == g
+                R = X[sel] @ handle.value[int(g)].T - y[sel][:, None]
+                acc[int(g)] = acc.get(int(g), 0.0) + np.concatenate([(R * R).sum(axis=0), [sel.sum()]])
+        for g, v in acc.items():
+            yield emit_blocks(v, key=g)
+
+    try:
+        sums = sum_blocks(_prepared(df, label, features, fold_col).mapInArrow(per_task, BLOCK_SCHEMA))
+    finally:
+        shared.release()
+    return {g: (v[:runs], float(v[runs])) for g, v in sums.items()}
+
+
 # ---------------------------------------------------------- estimator / model --
 
 class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasStepSize):
-    maxGramWidth = Param(Params._dummy(), "maxGramWidth",
-                         "widest input solved from the one-pass Gram summary",
-                         typeConverter=TypeConverters.toInt)
+    solver = Param(Params._dummy(), "solver", "gram: one pass, d x d sums; rounds: a pass per round, d sums",
+                   typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(maxIter=100, stepSize=1.0, maxGramWidth=DEFAULT_MAX_GRAM_WIDTH,
+        self._setDefault(maxIter=100, stepSize=1.0, solver="gram",
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
-class GDLinearRegression(Estimator, _GDParams):
+class GDLinearRegression(Estimator, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     """Linear regression without intercept by batch gradient descent
-    (``w = 0``, step ``stepSize / (n sqrt(i+1))``, ``maxIter`` rounds)."""
+    (``w = 0``, step ``stepSize / (n sqrt(i+1))``, ``maxIter`` rounds).
+    ``solver`` is the caller's choice and never changes with the data."""
 
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 maxIter=100, stepSize=1.0, maxGramWidth=DEFAULT_MAX_GRAM_WIDTH):
+                 maxIter=100, stepSize=1.0, solver="gram"):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "GDLinearRegressionModel":
-        iters = self.getMaxIter()
-        alpha = self.getStepSize()
+        solver = self.getOrDefault(self.solver)
+        if solver not in SOLVERS:
+            raise ValueError(f"solver is one of {SOLVERS}")
         prepared = _prepared(df, self.getLabelCol(), self.getFeaturesCol(), None).drop("grp")
-        first = prepared.select(F.size("x").alias("d")).head(1)
-        if not first:
-            raise ValueError("no training rows")
-        if first[0]["d"] <= self.getOrDefault(self.maxGramWidth):
-            stats = gram_stats(prepared, "y", "x", width_hint=first[0]["d"])[0]
-            w, err, _ = descend(stats, iters, alpha)
+        if solver == "gram":
+            w, err, _ = descend(gram_stats(prepared, "y", "x")[0], self.getMaxIter(), self.getStepSize())
         else:
             prepared = materialize(prepared)
             try:
-                w, err = descend_distributed(prepared, iters, alpha)
+                w, err = descend_distributed(prepared, self.getMaxIter(), self.getStepSize())
             finally:
                 release(prepared)
-        model = GDLinearRegressionModel(w, err)
-        return self._copyValues(model)
+        return self._copyValues(GDLinearRegressionModel(w, err))
+
+
+class GDLinearRegressionModel(Model, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted weights and the training RMSE before each round; both are
+    params, so ``save`` and ``load`` keep them."""
 
+    fitted = Param(Params._dummy(), "fitted", "weights", typeConverter=TypeConverters.toListFloat)
+    curve = Param(Params._dummy(), "curve", "training RMSE before each round", typeConverter=TypeConverters.toListFloat)
 
-class GDLinearRegressionModel(Model, _GDParams):
     def __init__(self, weights=None, trainingError=None):
         super().__init__()
-        self.weights = np.asarray(weights if weights is not None else [], dtype=float)
-        self.trainingError = np.asarray(trainingError if trainingError is not None else [],
-                                        dtype=float)
+        self._setDefault(fitted=[], curve=[])
+        if weights is not None:
+            self._set(fitted=[float(v) for v in weights])
+        if trainingError is not None:
+            self._set(curve=[float(v) for v in trainingError])
+
+    @property
+    def weights(self) -> np.ndarray:
+        return np.array(self.getOrDefault(self.fitted), dtype=np.float64)
+
+    @property
+    def trainingError(self) -> np.ndarray:
+        return np.array(self.getOrDefault(self.curve), dtype=np.float64)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        x = as_array_col(df, self.getFeaturesCol())
-        return df.withColumn(self.getPredictionCol(), V.predict_linear(list(self.weights), x))
+        return with_prediction(df, self.weights, self.getFeaturesCol(), self.getPredictionCol())
+
 
-    def copy(self, extra=None):
-        that = super().copy(extra)
-        that.weights, that.trainingError = self.weights.copy(), self.trainingError.copy()
-        return that
+def with_prediction(df: DataFrame, weights, features: str, out: str = "prediction") -> DataFrame:
+    """``df`` with ``w . x`` added; the weights come as a broadcast one-row
+    table, not as literals in the plan."""
+    one = df.sparkSession.createDataFrame([([float(v) for v in weights],)], "__w array<double>")
+    return df.crossJoin(F.broadcast(one)).withColumn(out, V.dot("__w", as_array_col(df, features))).drop("__w")
 
 
 # -------------------------------------------------------------------- metrics --
@@ -280,10 +353,15 @@ def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction",
     return df.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2))).alias(alias))
 
 
+def in_train(key: str, modulus: int = 5, keep: int = 4):
+    return F.coalesce(F.pmod(F.col(key), F.lit(modulus)) < keep, F.lit(False))
+
+
 def key_split(df: DataFrame, key: str, modulus: int = 5, keep: int = 4):
     """Deterministic train/test split by key: stable under repartitioning
-    and re-execution after a lost executor (a seeded ``randomSplit`` is not)."""
-    cond = F.pmod(F.col(key), F.lit(modulus)) < keep
+    and re-execution after a lost executor (a seeded ``randomSplit`` is not).
+    Rows with a null key are in the second part."""
+    cond = in_train(key, modulus, keep)
     return df.filter(cond), df.filter(~cond)
 
 
@@ -302,61 +380,114 @@ def param_grid(spark, axes: dict[str, list]) -> DataFrame:
 
 
 def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label",
-                features: str = "features", feature_sets: dict | None = None,
-                return_total: bool = False):
+                features: str = "features", feature_sets: dict | None = None):
     """Cross-validate gradient descent over ``grid`` (dicts with ``rounds``,
-    ``alpha`` and optionally ``features`` naming an entry of
-    ``feature_sets``) from one pass grouped by fold.  For each fold the
-    training summary is total minus fold, and the validation RMSE comes from
-    the fold's own summary.  Returns one row per grid point with the mean
-    RMSE over folds (a driver-side table of ``len(grid)`` rows)."""
-    per_fold = gram_stats(df, label, features, fold_col)
-    return _cv_from_stats(per_fold, grid, feature_sets, return_total)
-
+    ``alpha`` and optionally ``features`` naming an entry of ``feature_sets``).
 
-def _cv_from_stats(per_fold, grid, feature_sets=None, return_total=False):
+    One pass grouped by fold gives the summaries; each fold's fits run on total
+    minus fold, and one more pass takes the squared errors of all fits on their
+    held-out rows.  Returns ``(results, total)``: a row per grid point with the
+    mean RMSE over folds, and the summary of all rows."""
+    per_fold = gram_stats(df, label, features, fold_col)
     folds = sorted(per_fold)
     if len(folds) < 2:
         raise ValueError("cross-validation needs at least two non-empty folds")
     total = per_fold[folds[0]]
     for f in folds[1:]:
         total = total + per_fold[f]
-    feature_sets = feature_sets or {}
-    runs: dict[tuple, set[int]] = {}
-    for p in grid:
-        runs.setdefault((p.get("features"), float(p["alpha"])), set()).add(int(p["rounds"]))
-    scores: dict[tuple, list[float]] = {}
-    for (fs, alpha), rounds in runs.items():
-        idx = feature_sets.get(fs) if fs is not None else None
+    points = _grid_points(grid)
+    weights = {f: np.zeros((len(grid), total.d)) for f in folds}
+    for (name, alpha), rounds in points.items():
+        idx = (feature_sets or {}).get(name) if name is not None else None
         for f in folds:
             train = total - per_fold[f]
-            val = per_fold[f]
-            if idx is not None:
-                train, val = train.subset(idx), val.subset(idx)
-            _, _, kept = descend(train, max(rounds), alpha, record=rounds)
-            for r in rounds:
-                scores.setdefault((fs, alpha, r), []).append(val.rmse(kept[r]))
-    out = []
-    for gid, p in enumerate(grid):
-        s = scores[(p.get("features"), float(p["alpha"]), int(p["rounds"]))]
-        out.append({**p, "grid_id": gid, "avg_rmse": float(np.mean(s))})
-    res = pd.DataFrame(out)
-    return (res, total) if return_total else res
+            _, _, kept = descend(train if idx is None else train.subset(idx), max(rounds), alpha, record=set(rounds))
+            for r, ids in rounds.items():
+                for i in ids:
+                    weights[f][i, slice(None) if idx is None else idx] = kept[r]
+    return _mean_errors(df, weights, grid, label, features, fold_col), total
+
+
+def cv_rounds(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label", features: str = "features",
+              feature_sets: dict | None = None) -> pd.DataFrame:
+    """``cv_one_pass`` for features too many for ``d x d`` sums: every round is
+    one distributed job in which all fits (grid x folds, a longer fit giving the
+    shorter ones too) take their gradients together.  ``df`` should be persisted."""
+    rows = _prepared(df, label, features, fold_col)
+    d = len(_centre(rows)[0])
+    folds = [r[0] for r in rows.groupBy("grp").count().orderBy("grp").limit(MAX_GROUPS + 1).select("grp").collect()]
+    if not 2 <= len(folds) <= MAX_GROUPS:
+        raise ValueError(f"cross-validation needs 2 to {MAX_GROUPS} non-empty folds")
+    fits = [(name, alpha, rounds, f) for (name, alpha), rounds in _grid_points(grid).items() for f in folds]
+    masks = np.zeros((len(fits), d))
+    for k, (name, *_) in enumerate(fits):
+        masks[k, (feature_sets or {}).get(name, slice(None)) if name is not None else slice(None)] = 1.0
+    held = np.array([f for *_, f in fits])
+    W = np.zeros((len(fits), d))
+    weights = {f: np.zeros((len(grid), d)) for f in folds}
+    for i in range(max(r for _, _, rounds, _ in fits for r in rounds)):
+        grad, n = _held_out_gradients(rows, W, held)
+        for k, (_, alpha, rounds, f) in enumerate(fits):
+            if i < max(rounds):
+                W[k] = _step(W[k], grad[k] * masks[k], n[k], i, alpha)
+            for point in rounds.get(i + 1, ()):
+                weights[f][point] = W[k]
+    return _mean_errors(df, weights, grid, label, features, fold_col)
+
+
+def _held_out_gradients(rows: DataFrame, W: np.ndarray, held: np.ndarray):
+    """Per fit k the gradient at W[k] over the rows of all folds but held[k],
+    and their number, in one job."""
+    runs, d = W.shape
+    shared = Shared(rows.sparkSession, (W, held))
+    handle = shared.handle
+
+    def per_task(batches):
+        W, held = handle.value
+        g, n = np.zeros((runs, d)), np.zeros(runs)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            X, grp = AB.matrix(batch, "x", d), AB.vector(batch, "grp", np.int64)
+            inside = grp[:, None] != held
+            R = (X @ W.T - AB.vector(batch, "y")[:, None]) * inside
+            g += R.T @ X
+            n += inside.sum(axis=0)
+        yield emit_blocks(np.concatenate([g.ravel(), n]))
+
+    try:
+        v = sum_blocks(rows.mapInArrow(per_task, BLOCK_SCHEMA))[0]
+    finally:
+        shared.release()
+    return v[:runs * d].reshape(runs, d), v[runs * d:]
+
+
+def _grid_points(grid: list[dict]) -> dict[tuple, dict[int, list[int]]]:
+    """(features, alpha) -> rounds -> the grid points that ask for them."""
+    out: dict[tuple, dict[int, list[int]]] = {}
+    for i, p in enumerate(grid):
+        out.setdefault((p.get("features"), float(p["alpha"])), {}).setdefault(int(p["rounds"]), []).append(i)
+    return out
+
+
+def _mean_errors(df, weights, grid, label, features, fold_col) -> pd.DataFrame:
+    errors = fold_errors(df, weights, label, features, fold_col)
+    rmse = np.mean([np.sqrt(sse / n) for sse, n in errors.values()], axis=0)
+    return pd.DataFrame([{**p, "grid_id": i, "avg_rmse": float(rmse[i])} for i, p in enumerate(grid)])
 
 
 def cv_refit_best(df: DataFrame, fold_col: str, grid: list[dict], label: str = "label",
                   features: str = "features", feature_sets: dict | None = None,
                   digits: int = 6):
     """Search the grid, then refit the best point (lowest mean RMSE, rounded
-    to ``digits``; ties to the lower grid id) on all training rows - from
-    the same one-pass summary, so search and refit read the data once.
+    to ``digits``; ties to the lower grid id) on all training rows, from the
+    summary the search has made.
     Returns ``(results, best row, GDLinearRegressionModel)``."""
-    res, total = cv_one_pass(df, fold_col, grid, label, features, feature_sets, return_total=True)
+    res, total = cv_one_pass(df, fold_col, grid, label, features, feature_sets)
     ranked = res.assign(_r=res["avg_rmse"].round(digits)).sort_values(["_r", "grid_id"])
     best = ranked.drop(columns="_r").iloc[0]
     idx = (feature_sets or {}).get(best.get("features")) if "features" in best else None
-    stats = total.subset(idx) if idx is not None else total
-    w, err, _ = descend(stats, int(best["rounds"]), float(best["alpha"]))
+    w, err, _ = descend(total.subset(idx) if idx is not None else total, int(best["rounds"]), float(best["alpha"]))
     model = GDLinearRegressionModel(w, err)
     model._set(featuresCol=features, labelCol=label)
     return res, best, model

@@ -6,6 +6,8 @@ column choice into the parquet scan and plans a partial + final aggregate.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,7 @@ def with_min_of(df: DataFrame, col: str, source: DataFrame | None = None,
 def vector_sum_long(df: DataFrame, keys: list[str], vec: str) -> DataFrame:
     """Element-wise sum of an array column per key, as ``(keys.., i, total)``.
 
-    ``posexplode`` feeds a partial aggregate in the same stage, so each task
-    ships at most ``#keys x width`` rows to the shuffle, whatever its size.
-    """
-    exploded = df.select(*keys, F.posexplode(vec).alias("i", "v"))
-    return exploded.groupBy(*keys, "i").agg(F.sum("v").alias("total"))
+    ``Summarizer.sum`` adds whole vectors with a partial aggregate per task:
+    one vector per key and task is shuffled, and only sums are taken apart."""
+    summed = df.groupBy(*keys).agg(Summarizer.sum(array_to_vector(F.col(vec))).alias("s"))
+    return summed.select(*keys, F.posexplode(vector_to_array("s")).alias("i", "total"))

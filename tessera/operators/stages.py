@@ -48,9 +48,10 @@ class ColumnTransform(Transformer, _InOut):
         return df.withColumn(self.getOutputCol(), F.expr(self.getOrDefault(self.expr).format(x=x)))
 
 
-class PandasColumnTransform(Transformer, _InOut):
+class PandasColumnTransform(Transformer, HasInputCol, HasOutputCol):
     """Free Python code as a stage: a vectorised function over a pandas
-    Series of doubles or of numpy arrays (Arrow batches, never per row)."""
+    Series of doubles or of numpy arrays (Arrow batches, never per row).
+    It holds code, so it has no reader or writer."""
 
     def __init__(self, fn, inputCol: str, outputCol: str, returnType: str = "double",
                  rowwise_arrays: bool = False):
@@ -144,8 +145,8 @@ class PolyExpand2(Transformer, _InOut):
 
 class LabelShift(Estimator, _InOut):
     """Shift a column so that the smallest value seen in the fit data is 0.
-    The minimum is one aggregate over the fit data; the model applies it as
-    a literal, so transforming other rows (test rows) reuses it."""
+    The minimum is one aggregate over the fit data and a param of the model,
+    so it is kept by ``save`` and reused for other rows (test rows)."""
 
     @keyword_only
     def __init__(self, *, inputCol=None, outputCol=None):
@@ -156,16 +157,18 @@ class LabelShift(Estimator, _InOut):
         m = df.agg(F.min(self.getInputCol())).first()[0]
         if m is None:
             raise ValueError("LabelShift: no rows to take the minimum from")
-        return LabelShiftModel(float(m), self.getInputCol(), self.getOutputCol())
+        return LabelShiftModel(minimum=float(m), inputCol=self.getInputCol(), outputCol=self.getOutputCol())
 
 
 class LabelShiftModel(Model, _InOut):
-    def __init__(self, minimum: float = 0.0, inputCol=None, outputCol=None):
+    minimum = Param(Params._dummy(), "minimum", "smallest value of the fit data",
+                    typeConverter=TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, minimum=0.0, inputCol=None, outputCol=None):
         super().__init__()
-        self.minimum = minimum
-        if inputCol:
-            self._set(inputCol=inputCol, outputCol=outputCol)
+        self._set(**self._input_kwargs)
 
     def _transform(self, df):
         return df.withColumn(self.getOutputCol(),
-                             F.col(self.getInputCol()).cast("double") - F.lit(self.minimum))
+                             F.col(self.getInputCol()).cast("double") - F.lit(self.getOrDefault(self.minimum)))

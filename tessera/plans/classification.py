@@ -19,7 +19,7 @@ from tessera.plans import weights as W
 from tessera.plans.registry import register
 from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte
 from tessera.plans.vectors import EMB, SCORES_SQL
-from tessera.session import materialize, release, shared_dir, table
+from tessera.session import drop_at_exit, materialize, release, shared_dir, table
 from tessera.sources import idx as idx_src
 
 D = 64
@@ -144,10 +144,10 @@ def softmax_mllib(spark, sf_dir):
 # -- C9: batches and the training curve ---------------------------------------------------
 
 @register("minibatch_ids", """
-  SELECT vec_id, CAST(vec_id // 100 AS INTEGER) AS batch_id FROM embeddings""")
+  SELECT vec_id, CAST(vec_id // 100 AS BIGINT) AS batch_id FROM embeddings""")
 def minibatch_ids(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.floor(F.col("vec_id") / 100).cast("int").alias("batch_id"))
+    return e.select("vec_id", CL.batch_of("vec_id", 100).alias("batch_id"))
 
 
 CURVE_ROUNDS, CURVE_EVERY = 6, 2
@@ -290,7 +290,7 @@ def mlp_fit_dropout(spark, sf_dir):
     return _dense_fit(spark, sf_dir, keep_prob=0.75)
 
 
-# -- C11: convolution as a join; C12: a stack of them, scored densely ------------------
+# -- C11: convolution per image; C12: a stack of them, scored densely ------------------
 
 def conv_kernel(k, ci, co, salt):
     a = np.arange(k)[:, None, None, None]
@@ -328,11 +328,8 @@ GROUP BY id, ny // {stride}, nx // {stride}, co"""
 
 
 def _conv_query(spark, sf_dir, k, co, stride, salt):
-    r = _rows(spark, sf_dir)
-    px = CV.pixels_long(r, "vec_id", "x", 8, 8, 1)
-    kern = CV.kernel_table(spark, conv_kernel(k, 1, co, salt))
-    out = CV.conv2d_join(px, kern, 8, 8, k, stride, bias=conv_bias(co, salt), relu=True)
-    return out.select(F.col("id").alias("vec_id"), "oy", "ox", "co", _r6(F.col("value")).alias("value"))
+    out = CV.conv2d_rows(_rows(spark, sf_dir), conv_kernel(k, 1, co, salt), 8, 8, stride, bias=conv_bias(co, salt), relu=True)
+    return out.select("vec_id", "oy", "ox", "co", _r6(F.col("value")).alias("value"))
 
 
 @register("grid_conv2d_s1", _conv_sql(3, 4, 1, 1))
@@ -405,4 +402,4 @@ def src_idx_images(spark, sf_dir):
     path = shared_dir(spark, "idx")
     idx_src.write_idx(r, path, "pixels", "label", 8, 8)
     back = idx_src.read_idx(spark, path)
-    return back.select("label", V.round_array("pixels").alias("pixels"))
+    return drop_at_exit(back.select("label", V.round_array("pixels").alias("pixels")), path)

@@ -1,6 +1,6 @@
-"""DuckDB oracles for the iterative regression jobs: recursive CTEs that
-carry the weight list from round to round, with RMSE taken directly over
-the rows (not from the summary), so they check the one-pass algebra too."""
+"""DuckDB oracles for the regression jobs: recursive CTEs that carry the weight
+list from round to round.  Every round takes the gradient row by row and every
+RMSE is taken over the rows, so they share no algebra with the one-pass sums."""
 
 from __future__ import annotations
 
@@ -8,20 +8,18 @@ from __future__ import annotations
 def gd_cte(train_sql: str, d: int, rounds: int, alpha: float) -> str:
     """Defines ``tr(y, x, ...)`` and ``gd(k, w)`` for k = 0..rounds."""
     return f"""
-WITH RECURSIVE tr AS ({train_sql}),
-gl AS (SELECT a.i, b.j, sum(x[a.i + 1] * x[b.j + 1]) AS g
-       FROM tr, range({d}) a(i), range({d}) b(j) GROUP BY a.i, b.j),
-gm AS (SELECT list(grow ORDER BY i) AS gmat
-       FROM (SELECT i, list(g ORDER BY j) AS grow FROM gl GROUP BY i) r),
-bv AS (SELECT list(bi ORDER BY i) AS bvec
-       FROM (SELECT a.i, sum(x[a.i + 1] * y) AS bi FROM tr, range({d}) a(i) GROUP BY a.i) q),
+WITH RECURSIVE tr AS MATERIALIZED ({train_sql}),
 nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM tr),
 gd(k, w) AS (
   SELECT 0, list_transform(range({d}), lambda i: CAST(0.0 AS DOUBLE))
   UNION ALL
-  SELECT k + 1, list_transform(range({d}), lambda i: w[i + 1] - {float(alpha)} / (n * sqrt(k + 1))
-                                     * (list_dot_product(gmat[i + 1], w) - bvec[i + 1]))
-  FROM gd, gm, bv, nn WHERE k < {rounds})
+  SELECT k + 1, list_transform(range({d}), lambda i: w[i + 1] - {float(alpha)} / (n * sqrt(k + 1)) * G[i + 1])
+  FROM gd, nn, LATERAL (
+    SELECT list(g ORDER BY i) AS G FROM (
+      SELECT i, sum(r * v) AS g FROM (
+        SELECT unnest(range({d})) AS i, unnest(x) AS v, r
+        FROM (SELECT x, list_dot_product(x, gd.w) - y AS r FROM tr) q) u GROUP BY i) s) t
+  WHERE k < {rounds})
 """
 
 
@@ -44,39 +42,69 @@ SELECT t.vec_id, t.y AS label, round(list_dot_product(t.x, w), 6) + 0.0 AS predi
 FROM gd, ({test_sql}) t WHERE k = {rounds}"""
 
 
-def cv_cte(rows_sql: str, max_width: int, max_rounds: int) -> str:
+def cv_cte(rows_sql: str, fits_sql: str, max_rounds: int) -> str:
     """Cross-validated descent for several variants at once.
 
-    ``rows_sql`` yields ``(v, alpha, fold, y, x)``: one copy of each training
-    row per variant ``v`` (a feature set and step).  For every variant and
-    held-out fold ``f`` the summary is built from the other folds and the
-    rounds run to ``max_rounds``; ``gd(v, f, k, w)`` holds every round.
-    Fold ``-1`` holds out nothing: it is the refit on all training rows."""
-    m = max_width
+    ``rows_sql`` yields ``(s, fold, y, x)``: the training rows per feature set
+    ``s``; ``fits_sql`` yields ``(v, s, alpha)``: a variant's feature set and step.
+    For every variant and held-out fold ``f`` the rounds run over the other
+    folds' rows; ``gd(v, f, k, w)`` holds every round and ``val`` the held-out
+    RMSE.  Fold ``-1`` holds out nothing: it is the refit on all rows."""
     return f"""
-WITH RECURSIVE tr AS ({rows_sql}),
+WITH RECURSIVE tr AS MATERIALIZED ({rows_sql}),
+va AS MATERIALIZED ({fits_sql}),
 fl AS (SELECT DISTINCT fold AS f FROM tr UNION ALL SELECT -1),
-trn AS (SELECT fl.f, tr.* FROM tr JOIN fl ON tr.fold <> fl.f),
-gl AS (SELECT v, f, a.i, b.j, sum(x[a.i + 1] * x[b.j + 1]) AS g
-       FROM trn, range({m}) a(i), range({m}) b(j)
-       WHERE a.i < len(x) AND b.j < len(x) GROUP BY v, f, a.i, b.j),
-gm AS (SELECT v, f, list(grow ORDER BY i) AS gmat
-       FROM (SELECT v, f, i, list(g ORDER BY j) AS grow FROM gl GROUP BY v, f, i) r GROUP BY v, f),
-bv AS (SELECT v, f, list(bi ORDER BY i) AS bvec
-       FROM (SELECT v, f, a.i, sum(x[a.i + 1] * y) AS bi FROM trn, range({m}) a(i)
-             WHERE a.i < len(x) GROUP BY v, f, a.i) q GROUP BY v, f),
-st AS (SELECT gm.v, gm.f, gmat, bvec, n, al.alpha
-       FROM gm JOIN bv USING (v, f)
-       JOIN (SELECT v, f, CAST(count(*) AS DOUBLE) AS n FROM trn GROUP BY v, f) c USING (v, f)
-       JOIN (SELECT DISTINCT v, alpha FROM tr) al USING (v)),
+st AS MATERIALIZED (SELECT va.v, va.s, va.alpha, fl.f, c.n, c.d FROM va, fl, LATERAL (
+         SELECT CAST(count(*) AS DOUBLE) AS n, max(len(x)) AS d FROM tr WHERE tr.s = va.s AND tr.fold <> fl.f) c),
 gd(v, f, k, w) AS (
-  SELECT v, f, 0, list_transform(bvec, lambda q: CAST(0.0 AS DOUBLE)) FROM st
+  SELECT v, f, 0, list_transform(range(d), lambda q: CAST(0.0 AS DOUBLE)) FROM st
   UNION ALL
-  SELECT gd.v, gd.f, gd.k + 1,
-         list_transform(range(len(w)), lambda i: w[i + 1] - alpha / (n * sqrt(gd.k + 1))
-                                           * (list_dot_product(gmat[i + 1], w) - bvec[i + 1]))
-  FROM gd JOIN st ON st.v = gd.v AND st.f = gd.f WHERE gd.k < {max_rounds}),
-val AS (SELECT gd.v, gd.f, gd.k AS rounds,
-               sqrt(avg(power(tr.y - list_dot_product(tr.x, gd.w), 2))) AS rmse
-        FROM gd JOIN tr ON tr.fold = gd.f AND tr.v = gd.v GROUP BY gd.v, gd.f, gd.k)
+  SELECT g.v, g.f, g.k + 1, list_transform(range(len(g.w)), lambda i: g.w[i + 1] - st.alpha / (st.n * sqrt(g.k + 1)) * t.G[i + 1])
+  FROM gd g JOIN st ON st.v = g.v AND st.f = g.f, LATERAL (
+    SELECT list(gi ORDER BY i) AS G FROM (
+      SELECT i, sum(r * xv) AS gi FROM (
+        SELECT unnest(range(len(x))) AS i, unnest(x) AS xv, r
+        FROM (SELECT x, list_dot_product(x, g.w) - y AS r FROM tr WHERE tr.s = st.s AND tr.fold <> g.f) q) u GROUP BY i) b) t
+  WHERE g.k < {max_rounds}),
+val AS (SELECT gd.v, gd.f, gd.k AS rounds, sqrt(avg(power(tr.y - list_dot_product(tr.x, gd.w), 2))) AS rmse
+        FROM gd JOIN va ON va.v = gd.v JOIN tr ON tr.s = va.s AND tr.fold = gd.f GROUP BY gd.v, gd.f, gd.k)
+"""
+
+
+def elastic_cte(rows_sql: str, fits_sql: str, d: int, rounds: int) -> str:
+    """Elastic net with intercept on standardised features and label, as MLlib
+    poses it: minimise ``|v - U b|^2 / (2 n) + reg (mix |b|_1 + (1 - mix) / 2 |b|^2)``
+    by accelerated proximal gradient rounds, then back to the scale of the rows.
+
+    ``rows_sql``: ``(s, y, x)``, one set of rows per ``s``; ``fits_sql``:
+    ``(v, s, reg, mix)``.  Defines ``en(v, w, b0)``."""
+    return f"""
+WITH RECURSIVE tr AS MATERIALIZED ({rows_sql}),
+va AS MATERIALIZED ({fits_sql}),
+el AS (SELECT s, y, unnest(range({d})) AS i, unnest(x) AS xv FROM tr),
+mo AS MATERIALIZED (SELECT s, list(m ORDER BY i) AS mx, list(sd ORDER BY i) AS sx
+       FROM (SELECT s, i, avg(xv) AS m, stddev_samp(xv) AS sd FROM el GROUP BY s, i) q GROUP BY s),
+ym AS MATERIALIZED (SELECT s, avg(y) AS my, stddev_samp(y) AS sy, CAST(count(*) AS DOUBLE) AS n FROM tr GROUP BY s),
+zs AS MATERIALIZED (SELECT tr.s, (y - my) / sy AS v, list_transform(range({d}), lambda i: (x[i + 1] - mx[i + 1]) / sx[i + 1]) AS u
+       FROM tr JOIN mo ON mo.s = tr.s JOIN ym ON ym.s = tr.s),
+gr AS MATERIALIZED (SELECT s, list(row ORDER BY i) AS A FROM (
+         SELECT s, i, list(a ORDER BY j) AS row FROM (
+           SELECT z.s, p.i, q.j, sum(z.u[p.i + 1] * z.u[q.j + 1]) AS a FROM zs z, range({d}) p(i), range({d}) q(j) GROUP BY z.s, p.i, q.j) c
+         GROUP BY s, i) e GROUP BY s),
+gv AS MATERIALIZED (SELECT s, list(a ORDER BY i) AS c FROM (
+         SELECT z.s, p.i, sum(z.u[p.i + 1] * z.v) AS a FROM zs z, range({d}) p(i) GROUP BY z.s, p.i) e GROUP BY s),
+pr AS MATERIALIZED (SELECT va.v, va.s, va.reg / ym.sy AS reg, va.mix, A, c, ym.n, ym.sy, ym.my,
+         list_max(list_transform(A, lambda r: list_sum(list_transform(r, lambda t: abs(t))))) / ym.n + va.reg / ym.sy * (1 - va.mix) AS L
+       FROM va JOIN gr ON gr.s = va.s JOIN gv ON gv.s = va.s JOIN ym ON ym.s = va.s),
+it(v, k, b, z) AS (
+  SELECT v, 0, list_transform(c, lambda q: CAST(0.0 AS DOUBLE)), list_transform(c, lambda q: CAST(0.0 AS DOUBLE)) FROM pr
+  UNION ALL
+  SELECT v, k + 1, nb, list_transform(range({d}), lambda i: nb[i + 1] + CAST(k AS DOUBLE) / (k + 3) * (nb[i + 1] - b[i + 1]))
+  FROM (SELECT it.v, k, b, list_transform(range({d}), lambda i: sign(h[i + 1]) * greatest(abs(h[i + 1]) - reg * mix / L, 0.0)) AS nb
+        FROM (SELECT it.v, it.k, it.b, pr.reg, pr.mix, pr.L, list_transform(range({d}), lambda i: it.z[i + 1]
+                     - ((list_dot_product(pr.A[i + 1], it.z) - pr.c[i + 1]) / pr.n + pr.reg * (1 - pr.mix) * it.z[i + 1]) / pr.L) AS h
+              FROM it JOIN pr ON pr.v = it.v WHERE it.k < {rounds}) it) st),
+en AS MATERIALIZED (SELECT v, s, w, my - list_dot_product(w, mx) AS b0 FROM (
+        SELECT it.v, pr.s, pr.my, mo.mx, list_transform(range({d}), lambda i: it.b[i + 1] * pr.sy / mo.sx[i + 1]) AS w
+        FROM it JOIN pr ON pr.v = it.v JOIN mo ON mo.s = pr.s WHERE it.k = {rounds}) f)
 """

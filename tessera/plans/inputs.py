@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from tessera.session import table
 
-TRAIN_MOD = 5       # train = key % 5 < 4, test = the rest
-TRAIN_KEEP = 4
 FOLD_MOD = 3        # fold = key % 3
 
 
@@ -35,7 +33,7 @@ def song_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None
         o = o.filter((F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01 00:00:00").cast(ts))
                      & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast(ts)))
     return o.select(
-        "o_orderkey",
+        "o_orderkey", F.col("o_orderdate").alias("played"),
         (F.year("o_orderdate").cast("double")
          + (F.month("o_orderdate") - 1).cast("double") / F.lit(12.0)).alias("year_raw"),
         (F.col("o_totalprice") / F.lit(1000.0)).alias("f1"),
@@ -56,17 +54,19 @@ SONG_VALUES_SQL = """
 
 def song_lines(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """Comma-separated song text rows ``value`` (``year,f1,f2,f3``)."""
-    v = song_values(spark, sf_dir)
+    v = song_values(spark, sf_dir).drop("played")
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in ("year_raw", "f1", "f2", "f3")])
     cols = ([F.col("o_orderkey")] if with_key else []) + [line.alias("value")]
     return v.select(*cols)
 
 
-def song_table(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
-    """``year int, feat1 float, feat2 float, feat3 float`` (with key)."""
+def song_table(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None,
+               dated: bool = False) -> DataFrame:
+    """``year int, feat1 float, feat2 float, feat3 float`` (with key, and the
+    date column ``played`` if ``dated``)."""
     v = song_values(spark, sf_dir, years)
     return v.select(
-        "o_orderkey",
+        "o_orderkey", *(["played"] if dated else []),
         F.col("year_raw").cast("float").cast("int").alias("year"),
         F.col("f1").cast("float").alias("feat1"),
         F.col("f2").cast("float").alias("feat2"),
@@ -100,9 +100,5 @@ def embedding_lines(spark: SparkSession, sf_dir: str, dims: int | None = None) -
                     F.array_join(F.transform("x", lambda v: v.cast("string")), ",")).alias("value"))
 
 
-def is_train(key_col: str) -> F.Column:
-    return F.pmod(F.col(key_col), F.lit(TRAIN_MOD)) < TRAIN_KEEP
-
-
 def fold_of(key_col: str) -> F.Column:
     return F.pmod(F.col(key_col), F.lit(FOLD_MOD)).cast("int")

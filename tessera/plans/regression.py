@@ -17,13 +17,15 @@ from tessera.operators import regression as RG
 from tessera.operators import stages as S
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
-from tessera.plans.gd_sql import (cv_cte, gd_cte, gd_error_curve_sql, gd_predict_sql,
-                                  gd_weights_sql)
+from tessera.plans.gd_sql import (cv_cte, elastic_cte, gd_cte, gd_error_curve_sql,
+                                  gd_predict_sql, gd_weights_sql)
 from tessera.plans.registry import register
-from tessera.session import table
+from tessera.session import materialize, release, table
 
-D = 8          # regression width on embeddings
-ROUNDS = 100   # rounds of the hand-written descent
+D = 64            # all elements of an embedding
+D2 = D * (D + 3) // 2  # and of their degree-2 expansion
+ROUNDS = 100      # rounds of the hand-written descent
+POLY_ROUNDS = 15  # and on the expansion, a setting
 ALPHA = 1.0
 
 
@@ -31,18 +33,13 @@ def _r6(c):
     return (F.round(c, 6) + F.lit(0.0))
 
 
-def _x_sql(d: int) -> str:
-    return f"list_transform(embedding[1:{d}], lambda v: CAST(v AS DOUBLE))"
+X_SQL = "list_transform(embedding, lambda v: CAST(v AS DOUBLE))"
+ALL_SQL = f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {X_SQL} AS x FROM embeddings"
+TRAIN_SQL = f"{ALL_SQL} WHERE vec_id % 5 < 4"
 
 
-TRAIN8_SQL = (f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x "
-              f"FROM embeddings WHERE vec_id % 5 < 4")
-ALL8_SQL = f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x FROM embeddings"
-
-
-def _train8(spark, sf_dir):
-    r = I.embedding_rows(spark, sf_dir, D)
-    return r.filter(I.is_train("vec_id"))
+def _train(spark, sf_dir):
+    return RG.key_split(I.embedding_rows(spark, sf_dir), "vec_id")[0]
 
 
 def _curve_df(spark, err):
@@ -61,9 +58,9 @@ def _weights_df(spark, w):
   SELECT CASE WHEN vec_id % 5 < 4 THEN 'train' ELSE 'test' END AS part, count(*) AS n
   FROM embeddings GROUP BY 1""")
 def key_split(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    return e.groupBy(F.when(I.is_train("vec_id"), "train").otherwise("test").alias("part")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    train, test = RG.key_split(table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id")
+    both = train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- U1: double -> double function as a stage ------------------------------------------
@@ -132,11 +129,10 @@ W_LIN_SQL = f"list_transform(range({D}), lambda j: {W.linear_weights_sql('j')})"
 
 @register("rmse", f"""
   SELECT round(sqrt(avg(power(y - list_dot_product(x, {W_LIN_SQL}), 2))), 6) + 0.0 AS rmse
-  FROM ({ALL8_SQL}) t""")
+  FROM ({ALL_SQL}) t""")
 def rmse(spark, sf_dir):
-    r = I.embedding_rows(spark, sf_dir, D)
-    p = r.select("label", V.predict_linear(list(W.linear_weights(D)), "x").alias("prediction"))
-    return RG.rmse(p).select(_r6(F.col("rmse")).alias("rmse"))
+    r = I.embedding_rows(spark, sf_dir)
+    return RG.rmse(RG.with_prediction(r, W.linear_weights(D), "x")).select(_r6(F.col("rmse")).alias("rmse"))
 
 
 # -- R6: Gram summary and the gradient at fixed weights --------------------------------
@@ -144,20 +140,21 @@ def rmse(spark, sf_dir):
 @register("gram_matrix", f"""
   SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j,
          round(sum(x[a.i + 1] * x[b.j + 1]), 6) + 0.0 AS g
-  FROM ({ALL8_SQL}) t, range({D}) a(i), range({D}) b(j) GROUP BY a.i, b.j""")
+  FROM ({ALL_SQL}) t, range({D}) a(i), range({D}) b(j) GROUP BY a.i, b.j""")
 def gram_matrix(spark, sf_dir):
-    st = RG.gram_stats(I.embedding_rows(spark, sf_dir, D), "label", "x")[0]
-    rows = [(i, j, float(round(st.G[i, j], 6)) + 0.0) for i in range(st.d) for j in range(st.d)]
+    """Runs the pass when called; returns its d x d numbers."""
+    G = RG.gram_stats(I.embedding_rows(spark, sf_dir), "label", "x")[0].G
+    rows = [(i, j, float(round(G[i, j], 6)) + 0.0) for i in range(D) for j in range(D)]
     return spark.createDataFrame(rows, "i int, j int, g double")
 
 
 @register("gradient", f"""
   SELECT CAST(a.i AS INTEGER) AS i,
          round(sum(x[a.i + 1] * (list_dot_product(x, {W_LIN_SQL}) - y)), 6) + 0.0 AS g
-  FROM ({ALL8_SQL}) t, range({D}) a(i) GROUP BY a.i""")
+  FROM ({ALL_SQL}) t, range({D}) a(i) GROUP BY a.i""")
 def gradient(spark, sf_dir):
-    st = RG.gram_stats(I.embedding_rows(spark, sf_dir, D), "label", "x")[0]
-    g = st.G @ W.linear_weights(D) - st.b
+    """Runs the pass when called; returns its d numbers."""
+    g = RG.gradient_pass(I.embedding_rows(spark, sf_dir), W.linear_weights(D), "label", "x")[0][0]
     return spark.createDataFrame([(i, float(round(v, 6)) + 0.0) for i, v in enumerate(g)],
                                  "i int, g double")
 
@@ -166,49 +163,51 @@ def gradient(spark, sf_dir):
 
 def _fit_gd(spark, sf_dir):
     est = RG.GDLinearRegression(featuresCol="x", labelCol="label", maxIter=ROUNDS, stepSize=ALPHA)
-    return est.fit(_train8(spark, sf_dir))
+    return est.fit(_train(spark, sf_dir))
 
 
-@register("gd_weights", gd_weights_sql(TRAIN8_SQL, D, ROUNDS, ALPHA))
+@register("gd_weights", gd_weights_sql(TRAIN_SQL, D, ROUNDS, ALPHA))
 def gd_weights(spark, sf_dir):
     return _weights_df(spark, _fit_gd(spark, sf_dir).weights)
 
 
-@register("gd_error_curve", gd_error_curve_sql(TRAIN8_SQL, D, ROUNDS, ALPHA))
+@register("gd_error_curve", gd_error_curve_sql(TRAIN_SQL, D, ROUNDS, ALPHA))
 def gd_error_curve(spark, sf_dir):
     return _curve_df(spark, _fit_gd(spark, sf_dir).trainingError)
 
 
-@register("gd_rmse_parts", gd_cte(TRAIN8_SQL, D, ROUNDS, ALPHA) + f"""
+@register("gd_rmse_parts", gd_cte(TRAIN_SQL, D, ROUNDS, ALPHA) + f"""
 SELECT CASE WHEN a.vec_id % 5 < 4 THEN 'train' ELSE 'test' END AS part,
        round(sqrt(avg(power(a.y - list_dot_product(a.x, gd.w), 2))), 6) + 0.0 AS rmse
-FROM gd, ({ALL8_SQL}) a WHERE gd.k = {ROUNDS} GROUP BY 1""")
+FROM gd, ({ALL_SQL}) a WHERE gd.k = {ROUNDS} GROUP BY 1""")
 def gd_rmse_parts(spark, sf_dir):
     """RMSE of the fitted model on both parts, in one grouped pass."""
     model = _fit_gd(spark, sf_dir)
-    rows = I.embedding_rows(spark, sf_dir, D)
+    rows = I.embedding_rows(spark, sf_dir)
     pred = model.transform(rows).select(
-        F.when(I.is_train("vec_id"), "train").otherwise("test").alias("part"), "label", "prediction")
+        F.when(RG.in_train("vec_id"), "train").otherwise("test").alias("part"), "label", "prediction")
     return pred.groupBy("part").agg(
         _r6(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))).alias("rmse"))
 
 
 # -- R8/R9: text rows -> prep -> polynomial features -> descent, then test rows ------
 
-POLY_ROWS = """SELECT vec_id, CAST(label AS DOUBLE) - (SELECT min(label) FROM embeddings WHERE vec_id % 5 < 4) AS y,
-       [a, a*a, b, a*b, b*b, c, a*c, b*c, c*c] AS x
-FROM (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-             CAST(embedding[3] AS DOUBLE) AS c FROM embeddings) e"""
+def poly_sql(x: str) -> str:
+    """The degree-2 expansion of a list in SQL, MLlib's order."""
+    return (f"flatten(list_transform(range(len({x})), lambda k: list_concat([{x}[k + 1]], "
+            f"list_transform(range(k + 1), lambda i: {x}[i + 1] * {x}[k + 1]))))")
+
+
+POLY_ROWS = f"""SELECT vec_id, CAST(label AS DOUBLE) - (SELECT min(label) FROM embeddings WHERE vec_id % 5 < 4) AS y,
+       {poly_sql('x')} AS x FROM (SELECT vec_id, label, {X_SQL} AS x FROM embeddings) e"""
 POLY_TRAIN = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 < 4"
 POLY_TEST = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 >= 4"
 
 
 def poly_stages():
-    stages = prep_stages(features_out="npFeatures")
-    stages[-1] = S.ArraySlicer(inputCol="vector", outputCol="npFeatures", indices=[1, 2, 3])
-    return Pipeline(stages=stages + [
+    return Pipeline(stages=prep_stages(features_out="npFeatures") + [
         S.PolyExpand2(inputCol="npFeatures", outputCol="features"),
-        RG.GDLinearRegression(maxIter=ROUNDS, stepSize=ALPHA)])
+        RG.GDLinearRegression(maxIter=POLY_ROUNDS, stepSize=ALPHA, solver="rounds")])
 
 
 def _fit_poly(spark, sf_dir):
@@ -217,13 +216,13 @@ def _fit_poly(spark, sf_dir):
     return poly_stages().fit(train), test
 
 
-@register("gd_poly_fit", gd_weights_sql(POLY_TRAIN, 9, ROUNDS, ALPHA))
+@register("gd_poly_fit", gd_weights_sql(POLY_TRAIN, D2, POLY_ROUNDS, ALPHA))
 def gd_poly_fit(spark, sf_dir):
     model, _ = _fit_poly(spark, sf_dir)
     return _weights_df(spark, model.stages[-1].weights)
 
 
-@register("gd_test_predictions", gd_predict_sql(POLY_TRAIN, POLY_TEST, 9, ROUNDS, ALPHA))
+@register("gd_test_predictions", gd_predict_sql(POLY_TRAIN, POLY_TEST, D2, POLY_ROUNDS, ALPHA))
 def gd_test_predictions(spark, sf_dir):
     model, test = _fit_poly(spark, sf_dir)
     return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
@@ -231,8 +230,9 @@ def gd_test_predictions(spark, sf_dir):
 
 # -- R10-R12: grid x folds from one scan ----------------------------------------------
 
-CV_ROUNDS = [25, 50, 100]
-CV_ALPHAS = [0.5, 1.0, 2.0]
+CV_ROUNDS = [10, 20, 30, 40, 50, 60]
+CV_ALPHAS = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0]
+CV_FOLDS = 6
 CV_GRID = [{"rounds": r, "alpha": a} for a in CV_ALPHAS for r in CV_ROUNDS]
 
 
@@ -241,49 +241,64 @@ def _grid_values(grid, cols):
                      for i, g in enumerate(grid))
 
 
-CV_ROWS = f"""SELECT CAST(al.v AS INTEGER) AS v, al.alpha, CAST(vec_id % 3 AS INTEGER) AS fold,
-       CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x
-FROM embeddings, (VALUES {', '.join(f'({i}, {a})' for i, a in enumerate(CV_ALPHAS))}) al(v, alpha)
-WHERE vec_id % 5 < 4"""
+CV_ROWS = f"SELECT 0 AS s, CAST(vec_id % {CV_FOLDS} AS INTEGER) AS fold, y, x FROM ({TRAIN_SQL}) t"
+CV_FITS = f"SELECT v, 0 AS s, CAST(alpha AS DOUBLE) AS alpha FROM (VALUES {', '.join(f'({i}, {a})' for i, a in enumerate(CV_ALPHAS))}) al(v, alpha)"
 
-CV_GRID_SQL = cv_cte(CV_ROWS, D, max(CV_ROUNDS)) + f"""
+CV_GRID_SQL = cv_cte(CV_ROWS, CV_FITS, max(CV_ROUNDS)) + f"""
 , res AS (
   SELECT g.grid_id, CAST(g.rounds AS INTEGER) AS rounds, CAST(g.alpha AS DOUBLE) AS alpha, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
-  FROM val JOIN (SELECT DISTINCT v, alpha FROM tr) va USING (v)
+  FROM val JOIN va USING (v)
   JOIN (VALUES {_grid_values(CV_GRID, ['rounds', 'alpha'])}) g(grid_id, rounds, alpha)
     ON g.rounds = val.rounds AND g.alpha = va.alpha
   GROUP BY g.grid_id, g.rounds, g.alpha)
 """
 
 
+def _cv_rows(spark, sf_dir):
+    return _train(spark, sf_dir).withColumn("fold", F.pmod("vec_id", F.lit(CV_FOLDS)).cast("int"))
+
+
 def _cv_result(spark, sf_dir):
-    r = _train8(spark, sf_dir).withColumn("fold", I.fold_of("vec_id"))
-    res = RG.cv_one_pass(r, "fold", CV_GRID, "label", "x")
+    res, _ = RG.cv_one_pass(_cv_rows(spark, sf_dir), "fold", CV_GRID, "label", "x")
     rows = [(int(t.grid_id), int(t.rounds), float(t.alpha), float(round(t.avg_rmse, 6)) + 0.0)
             for t in res.itertuples()]
     return spark.createDataFrame(rows, "grid_id int, rounds int, alpha double, avg_rmse double")
 
 
-TEST8_SQL = (f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {_x_sql(D)} AS x "
-             f"FROM embeddings WHERE vec_id % 5 >= 4")
+CV_BEST_SQL = CV_GRID_SQL + """
+, best AS (SELECT grid_id, rounds, alpha, avg_rmse FROM res ORDER BY avg_rmse, grid_id LIMIT 1),
+  bw AS (SELECT gd.w FROM gd JOIN va USING (v) JOIN best ON best.alpha = va.alpha AND best.rounds = gd.k WHERE gd.f = -1)
+"""
 
 
-@register("cv_best_test_predictions", CV_GRID_SQL + f"""
-, best AS (SELECT grid_id, rounds, alpha FROM res ORDER BY avg_rmse, grid_id LIMIT 1),
-  bw AS (SELECT gd.w FROM gd JOIN (SELECT DISTINCT v, alpha FROM tr) va USING (v)
-         JOIN best ON best.alpha = va.alpha AND best.rounds = gd.k WHERE gd.f = -1)
+@register("cv_best_test_predictions", CV_BEST_SQL + f"""
 SELECT t.vec_id, t.y AS label, round(list_dot_product(t.x, bw.w), 6) + 0.0 AS prediction
-FROM ({TEST8_SQL}) t, bw""")
+FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, bw""")
 def cv_best_test_predictions(spark, sf_dir):
     """Test predictions from the tuned model (the best grid point refit on
     all training rows), not from an untuned one."""
-    rows = I.embedding_rows(spark, sf_dir, D)
-    train, test = RG.key_split(rows, "vec_id")
-    _, _, model = RG.cv_refit_best(train.withColumn("fold", I.fold_of("vec_id")), "fold", CV_GRID,
-                                   "label", "x")
+    _, test = RG.key_split(I.embedding_rows(spark, sf_dir), "vec_id")
+    _, _, model = RG.cv_refit_best(_cv_rows(spark, sf_dir), "fold", CV_GRID, "label", "x")
     return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
 
 
+@register("cv_best_summary", CV_BEST_SQL + f"""
+SELECT CAST(grid_id AS INTEGER) AS grid_id, rounds, alpha, avg_rmse,
+       (SELECT round(sqrt(avg(power(y - list_dot_product(x, bw.w), 2))), 6) + 0.0 FROM ({TRAIN_SQL}) t) AS train_rmse,
+       (SELECT round(sqrt(avg(power(y - list_dot_product(x, bw.w), 2))), 6) + 0.0 FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t) AS test_rmse
+FROM best, bw""")
+def cv_best_summary(spark, sf_dir):
+    """The best grid point with the refit model's RMSE on both parts."""
+    _, best, model = RG.cv_refit_best(_cv_rows(spark, sf_dir), "fold", CV_GRID, "label", "x")
+    pred = model.transform(I.embedding_rows(spark, sf_dir))
+    part = F.pow(F.col("label") - F.col("prediction"), 2)
+    out = pred.agg(_r6(F.sqrt(F.avg(F.when(RG.in_train("vec_id"), part)))).alias("train_rmse"),
+                   _r6(F.sqrt(F.avg(F.when(~RG.in_train("vec_id"), part)))).alias("test_rmse"))
+    return out.select(F.lit(int(best["grid_id"])).alias("grid_id"), F.lit(int(best["rounds"])).alias("rounds"),
+                      F.lit(float(best["alpha"])).alias("alpha"), F.lit(float(round(best["avg_rmse"], 6)) + 0.0).alias("avg_rmse"),
+                      "train_rmse", "test_rmse")
+
+
 @register("cv_gd_grid", CV_GRID_SQL + "SELECT CAST(grid_id AS INTEGER) AS grid_id, rounds, alpha, avg_rmse FROM res")
 def cv_gd_grid(spark, sf_dir):
     return _cv_result(spark, sf_dir)
@@ -297,29 +312,30 @@ def cv_best(spark, sf_dir):
 
 # -- R13: polynomial features inside the search (degree 1 vs 2, same scan) -----------
 
-POLY_GRID = [{"degree": d, "rounds": r} for d in (1, 2) for r in (50, 100)]
-CV_POLY_ROWS = f"""SELECT CAST(dg.degree AS INTEGER) AS v, 1.0 AS alpha, CAST(vec_id % 3 AS INTEGER) AS fold,
-       CAST(label AS DOUBLE) AS y,
-       CASE WHEN dg.degree = 1 THEN [a, b, c] ELSE [a, a*a, b, a*b, b*b, c, a*c, b*c, c*c] END AS x
-FROM (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-             CAST(embedding[3] AS DOUBLE) AS c FROM embeddings WHERE vec_id % 5 < 4) e,
-     (VALUES (1), (2)) dg(degree)"""
+POLY_GRID = [{"degree": d, "rounds": r} for d in (1, 2) for r in (5, 10)]
+CV_POLY_ROWS = f"""SELECT CAST(dg.degree AS INTEGER) AS s, CAST(vec_id % 3 AS INTEGER) AS fold, y,
+       CASE WHEN dg.degree = 1 THEN x ELSE {poly_sql('x')} END AS x
+FROM ({TRAIN_SQL}) e, (VALUES (1), (2)) dg(degree)"""
 
 
-@register("cv_poly", cv_cte(CV_POLY_ROWS, 9, 100) + f"""
+@register("cv_poly", cv_cte(CV_POLY_ROWS, "SELECT v, v AS s, 1.0::DOUBLE AS alpha FROM (VALUES (1), (2)) t(v)", 10) + f"""
 SELECT CAST(g.grid_id AS INTEGER) AS grid_id, CAST(g.degree AS INTEGER) AS degree,
        CAST(g.rounds AS INTEGER) AS rounds, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
 FROM val JOIN (VALUES {_grid_values(POLY_GRID, ['degree', 'rounds'])}) g(grid_id, degree, rounds)
   ON g.degree = val.v AND g.rounds = val.rounds
 GROUP BY g.grid_id, g.degree, g.rounds""")
 def cv_poly(spark, sf_dir):
-    r = _train8(spark, sf_dir).select("vec_id", "label", F.slice("x", 1, 3).alias("x3"))
-    r = r.select("label", I.fold_of("vec_id").alias("fold"), V.poly_expand_2("x3").alias("x"))
+    """3 folds over all elements and their whole expansion; 10 rounds, a setting."""
+    r = _train(spark, sf_dir).select("label", I.fold_of("vec_id").alias("fold"), V.poly_expand_2("x").alias("x"))
     grid = [{"features": f"deg{g['degree']}", "rounds": g["rounds"], "alpha": 1.0, "degree": g["degree"]}
             for g in POLY_GRID]
-    # degree-1 terms sit at positions 0, 2, 5 of the degree-2 expansion
-    res = RG.cv_one_pass(r, "fold", grid, "label", "x",
-                         feature_sets={"deg1": [0, 2, 5], "deg2": list(range(9))})
+    # element k of a row is number k (k + 3) / 2 of its expansion
+    first = [k * (k + 3) // 2 for k in range(D)]
+    r = materialize(r)
+    try:
+        res = RG.cv_rounds(r, "fold", grid, "label", "x", feature_sets={"deg1": first, "deg2": list(range(D2))})
+    finally:
+        release(r)
     rows = [(int(t.grid_id), int(t.degree), int(t.rounds), float(round(t.avg_rmse, 6)) + 0.0)
             for t in res.itertuples()]
     return spark.createDataFrame(rows, "grid_id int, degree int, rounds int, avg_rmse double")
@@ -332,30 +348,38 @@ def _ml_rows(spark, sf_dir):
     return r.select("vec_id", "label", array_to_vector("x").alias("features"))
 
 
-def _elastic(max_iter=50, reg=0.1, mix=0.1):
-    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=mix)
+def _elastic(max_iter=200, reg=0.1, mix=0.1):
+    """Fits that end by convergence: within about 3e-4 of the optimum whatever the
+    tolerance, so their results are compared to one to three decimals."""
+    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=mix, tol=1e-10)
+
+
+ELASTIC_SQL = elastic_cte(f"SELECT 0 AS s, y, x FROM ({TRAIN_SQL}) t", "SELECT 0 AS v, 0 AS s, 0.1::DOUBLE AS reg, 0.1::DOUBLE AS mix", D, 400)
+_FIT_SQL = "list_dot_product(t.x, en.w) + en.b0"
 
 
-@register("linreg_elastic")
+@register("linreg_elastic", ELASTIC_SQL + f"""
+SELECT t.vec_id, t.y AS label, round({_FIT_SQL}, 1) + 0.0 AS prediction FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en""")
 def linreg_elastic(spark, sf_dir):
-    rows = _ml_rows(spark, sf_dir)
-    train, test = RG.key_split(rows, "vec_id")
+    train, test = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
     model = _elastic().fit(train)
-    return model.transform(test).select("vec_id", "label", "prediction")
+    return model.transform(test).select("vec_id", "label", (F.round("prediction", 1) + F.lit(0.0)).alias("prediction"))
 
 
-@register("linreg_summary")
+@register("linreg_summary", ELASTIC_SQL + f"""
+SELECT (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 3) + 0.0 FROM ({TRAIN_SQL}) t, en) AS train_rmse,
+       (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 3) + 0.0 FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en) AS test_rmse,
+       200 AS max_iter, 0.1::DOUBLE AS reg_param, {D} AS num_features,
+       (SELECT CAST(len(list_filter(w, lambda v: abs(v) > 1e-9)) AS INTEGER) FROM en) AS num_nonzero""")
 def linreg_summary(spark, sf_dir):
-    rows = _ml_rows(spark, sf_dir)
-    train, test = RG.key_split(rows, "vec_id")
+    train, test = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
     model = _elastic().fit(train)
-    s = model.summary
     test_rmse = RegressionEvaluator(metricName="rmse").evaluate(model.transform(test))
     return spark.createDataFrame(
-        [(float(s.rootMeanSquaredError), float(test_rmse), int(model.getMaxIter()),
-          float(model.getRegParam()), int(model.numFeatures), int(s.totalIterations))],
+        [(round(float(model.summary.rootMeanSquaredError), 3), round(float(test_rmse), 3), int(model.getMaxIter()),
+          float(model.getRegParam()), int(model.numFeatures), int((np.abs(model.coefficients.toArray()) > 1e-9).sum()))],
         "train_rmse double, test_rmse double, max_iter int, reg_param double, "
-        "num_features int, total_iterations int")
+        "num_features int, num_nonzero int")
 
 
 @register("linreg_ols", """
@@ -373,15 +397,38 @@ def linreg_ols(spark, sf_dir):
         "slope double, intercept double")
 
 
-@register("cv_mllib")
+ML_ITERS = [100, 120, 140, 160, 180, 200]
+ML_REGS = [0.05, 0.1, 0.2, 0.3, 0.5, 0.9]
+ML_GRID = [(m, r) for m in ML_ITERS for r in ML_REGS]
+
+
+def _ml_cv_sql() -> str:
+    folds = f"range({CV_FOLDS}) f(f)"
+    rows = f"SELECT f.f AS s, y, x FROM ({TRAIN_SQL}) t, {folds} WHERE vec_id % {CV_FOLDS} <> f.f"
+    regs = ", ".join(f"({i}, {r})" for i, r in enumerate(ML_REGS))
+    fits = f"SELECT f.f * 100 + i AS v, f.f AS s, r::DOUBLE AS reg, 0.1::DOUBLE AS mix FROM {folds}, (VALUES {regs}) g(i, r)"
+    grid = ", ".join(f"({i}, {m}, {r})" for i, (m, r) in enumerate(ML_GRID))
+    return elastic_cte(rows, fits, D, 400) + f"""
+, er AS (SELECT en.v % 100 AS i, en.s, sqrt(avg(power(y - ({_FIT_SQL}), 2))) AS rmse
+         FROM en JOIN ({TRAIN_SQL}) t ON t.vec_id % {CV_FOLDS} = en.s GROUP BY en.v, en.s)
+SELECT CAST(g.id AS INTEGER) AS grid_id, CAST(g.m AS INTEGER) AS max_iter, CAST(g.r AS DOUBLE) AS reg_param, round(avg(er.rmse), 2) + 0.0 AS avg_rmse
+FROM er JOIN (VALUES {regs}) q(i, r) ON q.i = er.i JOIN (VALUES {grid}) g(id, m, r) ON g.r = q.r GROUP BY g.id, g.m, g.r"""
+
+
+@register("cv_mllib", _ml_cv_sql())
 def cv_mllib(spark, sf_dir):
-    rows = _ml_rows(spark, sf_dir).filter(I.is_train("vec_id")) \
-        .withColumn("fold", I.fold_of("vec_id"))
-    lr = LinearRegression(elasticNetParam=0.1)
-    grid = ParamGridBuilder().addGrid(lr.maxIter, [10, 50]).addGrid(lr.regParam, [0.1, 0.9]).build()
+    """MLlib's search over 6 x 6 settings and 6 folds of shared, persisted rows;
+    every setting of maxIter lets the fits converge."""
+    rows, _ = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
+    rows = materialize(rows.withColumn("fold", F.pmod("vec_id", F.lit(CV_FOLDS)).cast("int")))
+    lr = _elastic()
+    grid = ParamGridBuilder().addGrid(lr.maxIter, ML_ITERS).addGrid(lr.regParam, ML_REGS).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(),
-                        foldCol="fold", parallelism=4)
-    cvm = cv.fit(rows)
-    out = [(i, int(pm[lr.maxIter]), float(pm[lr.regParam]), float(m))
+                        numFolds=CV_FOLDS, foldCol="fold", parallelism=8)
+    try:
+        cvm = cv.fit(rows)
+    finally:
+        release(rows)
+    out = [(i, int(pm[lr.maxIter]), float(pm[lr.regParam]), round(float(m), 2))
            for i, (pm, m) in enumerate(zip(grid, cvm.avgMetrics))]
     return spark.createDataFrame(out, "grid_id int, max_iter int, reg_param double, avg_rmse double")

@@ -9,17 +9,27 @@ from tessera.functions import text as T
 from tessera.operators import relational as R
 from tessera.plans import inputs as I
 from tessera.plans.registry import register
-from tessera.session import shared_dir, spread, table
+from tessera.session import drop_at_exit, shared_dir, table
 from tessera.sources import csv as csv_src
 from tessera.sources import inline, text as text_src
 
 
+_kept = drop_at_exit
+
+
 def _songs(spark, sf_dir, years=None):
     return I.song_table(spark, sf_dir, years)
 
 
 def _songs_view(spark, sf_dir):
-    _songs(spark, sf_dir).createOrReplaceTempView("songs")
+    """The view carries the order date, so that a query can also name a range
+    of dates, which reaches the scan (the year is computed and can't)."""
+    I.song_table(spark, sf_dir, dated=True).createOrReplaceTempView("songs")
+
+
+def _year_range_sql(lo: int, hi: int) -> str:
+    return (f"year >= {lo} AND year <= {hi} AND played >= TIMESTAMP_NTZ '{lo:04d}-01-01 00:00:00' "
+            f"AND played < TIMESTAMP_NTZ '{hi + 1:04d}-01-01 00:00:00'")
 
 
 SONGS = f"({I.SONG_TABLE_SQL}) songs"
@@ -41,7 +51,7 @@ def songs_per_year(spark, sf_dir):
 def songs_per_year_sql(spark, sf_dir):
     _songs_view(spark, sf_dir)
     return spark.sql("SELECT year, count(*) AS n FROM songs "
-                     "WHERE year >= 2000 AND year <= 2010 GROUP BY year ORDER BY year")
+                     f"WHERE {_year_range_sql(2000, 2010)} GROUP BY year ORDER BY year")
 
 
 # -- A1: row count ------------------------------------------------------------
@@ -69,7 +79,7 @@ def songs_in_range(spark, sf_dir):
   SELECT count(*) AS n FROM {SONGS} WHERE year >= 1998 AND year <= 2000""")
 def songs_in_range_sql(spark, sf_dir):
     _songs_view(spark, sf_dir)
-    return spark.sql("SELECT count(*) AS n FROM songs WHERE year >= 1998 AND year <= 2000")
+    return spark.sql(f"SELECT count(*) AS n FROM songs WHERE {_year_range_sql(1998, 2000)}")
 
 
 # -- A3: avg / max / min --------------------------------------------------------
@@ -131,7 +141,7 @@ def parse_song_lines(lines):
 def src_text_rows(spark, sf_dir):
     path = shared_dir(spark, "song-lines")
     text_src.write_text_rows(I.song_lines(spark, sf_dir), path)
-    return parse_song_lines(text_src.read_text_rows(spark, path))
+    return _kept(parse_song_lines(text_src.read_text_rows(spark, path)), path)
 
 
 @register("song_table", f"SELECT o_orderkey, year, feat1, feat2, feat3 FROM {SONGS}")
@@ -158,8 +168,8 @@ CUSTOMER_CSV_SCHEMA = ("c_custkey long, c_name string, c_nationkey int, "
 def src_csv_semicolon(spark, sf_dir):
     path = shared_dir(spark, "customer-csv")
     csv_src.write_semicolon_csv(table(spark, sf_dir, "customer"), path)
-    return csv_src.read_semicolon_csv(spark, path, CUSTOMER_CSV_SCHEMA,
-                                      ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
+    return _kept(csv_src.read_semicolon_csv(spark, path, CUSTOMER_CSV_SCHEMA,
+                                            ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]), path)
 
 
 # -- F4 + P4: raw ';' text with a header line, dropped by value, quotes stripped
@@ -167,20 +177,16 @@ def src_csv_semicolon(spark, sf_dir):
 @register("drop_header", """
   SELECT n_nationkey, n_name, n_regionkey FROM nation""")
 def drop_header(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    header = spark.createDataFrame([('"n_nationkey";"n_name";"n_regionkey"',)], "value string").coalesce(1)
-    body = nation.select(F.concat_ws(";", *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
-                                           for c in ("n_nationkey", "n_name", "n_regionkey")]
-                                     ).alias("value"))
+    """Text with a header line: the CSV writer's, read back as plain lines."""
     path = shared_dir(spark, "nation-text")
-    text_src.write_text_rows(header.unionByName(body), path)
+    csv_src.write_semicolon_csv(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), path)
     f = T.split_fields("value", ";")
     rows = text_src.read_text_rows(spark, path).select(f.alias("f")) \
         .filter(F.col("f")[0] != F.lit('"n_nationkey"'))
-    return rows.select(
+    return _kept(rows.select(
         T.strip_quotes(F.col("f")[0]).cast("int").alias("n_nationkey"),
         T.strip_quotes(F.col("f")[1]).alias("n_name"),
-        T.strip_quotes(F.col("f")[2]).cast("int").alias("n_regionkey"))
+        T.strip_quotes(F.col("f")[2]).cast("int").alias("n_regionkey")), path)
 
 
 @register("strip_quotes", """
@@ -193,33 +199,21 @@ def strip_quotes(spark, sf_dir):
 # -- P1: split whole texts on a delimiter ---------------------------------------
 
 @register("split_fields", """
-  SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_fields,
-         string_split(text, ' ')[1] AS first_field,
-         string_split(text, ' ')[-1] AS last_field
-  FROM documents""")
+  SELECT doc_id, string_split(text, ' ') AS fields FROM documents""")
 def split_fields(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    f = T.split_fields("text", " ")
-    return d.select("doc_id", f.alias("f")).select(
-        "doc_id", F.size("f").alias("n_fields"), F.col("f")[0].alias("first_field"),
-        F.element_at("f", -1).alias("last_field"))
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.split_fields("text", " ").alias("fields"))
 
 
 # -- P5: regex tokenizer (lower-case, empty tokens dropped) ----------------------
 
 @register("regex_tokenize", r"""
-  SELECT doc_id, CAST(len(tok) AS INTEGER) AS n_tokens, tok[1] AS first_token,
-         tok[-1] AS last_token
-  FROM (SELECT doc_id,
-               list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+'),
-                           lambda t: length(t) >= 1) AS tok
-        FROM documents) d""")
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+'),
+                             lambda t: length(t) >= 1) AS tokens
+  FROM documents""")
 def regex_tokenize(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    tok = T.regex_tokenize("text", r"\s+")
-    return d.select("doc_id", tok.alias("tok")).select(
-        "doc_id", F.size("tok").alias("n_tokens"), F.col("tok")[0].alias("first_token"),
-        F.element_at("tok", -1).alias("last_token"))
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.regex_tokenize("text", r"\s+").alias("tokens"))
 
 
 # -- S3 + P15: inline label-name table and the lookup ---------------------------

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.functions import vectors as V
+from tessera.operators import conv
 from tessera.operators import relational as R
+from tessera.operators import stages as S
+from tessera.operators.networks import score_rows
+from tessera.operators.regression import with_prediction
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
 from tessera.plans.registry import register
@@ -76,14 +80,11 @@ def vector_first(spark, sf_dir):
 
 # -- P9: degree-2 polynomial expansion (MLlib order) ----------------------------
 
-@register("poly_expand", """
-  SELECT vec_id,
-    [a, a*a, b, a*b, b*b, c, a*c, b*c, c*c] AS poly
-  FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-               CAST(embedding[3] AS DOUBLE) AS c FROM embeddings) t""")
+@register("poly_expand", f"""
+  SELECT vec_id, flatten(list_transform(range(len(x)), lambda k: list_concat([x[k + 1]],
+           list_transform(range(k + 1), lambda i: x[i + 1] * x[k + 1])))) AS poly FROM {EMB}""")
 def poly_expand(spark, sf_dir):
-    r = _rows(spark, sf_dir, 3)
-    return r.select("vec_id", V.poly_expand_2("x").alias("poly"))
+    return _rows(spark, sf_dir).select("vec_id", V.poly_expand_2("x").alias("poly"))
 
 
 # -- P10 (+U3 over all rows): label and features only --------------------------
@@ -93,10 +94,13 @@ def poly_expand(spark, sf_dir):
          {X_SQL} AS features
   FROM embeddings""")
 def label_features(spark, sf_dir):
-    v = _vectors(spark, sf_dir).select(F.col("vector")[0].alias("double"),
-                                       F.slice("vector", 2, F.size("vector") - 1).alias("features"))
-    shifted = R.with_min_of(v, "double", alias="minimum")
-    return shifted.select((F.col("double") - F.col("minimum")).alias("label"), "features")
+    """The shift is fitted on the parsed label alone (its scan reads no
+    features) and applied in the one pass that parses the rows."""
+    v = _vectors(spark, sf_dir)
+    labels = I.embedding_lines(spark, sf_dir, 0).select(T.parse_doubles(T.regex_tokenize("value", ","))[0].alias("double"))
+    shift = S.LabelShift(inputCol="double", outputCol="label").fit(labels)
+    rows = v.select(F.col("vector")[0].alias("double"), F.slice("vector", 2, F.size("vector") - 1).alias("features"))
+    return shift.transform(rows).select("label", "features")
 
 
 # -- P11: feature width checked over all rows ------------------------------------
@@ -116,9 +120,14 @@ def feature_count(spark, sf_dir):
   SELECT vec_id, CAST(r AS INTEGER) AS r, x[r * 8 + 1 : r * 8 + 8] AS grid_row
   FROM {EMB}, range(8) t(r)""")
 def grid_reshape(spark, sf_dir):
-    from tessera.operators.conv import grid_rows
+    return conv.grid_rows(_rows(spark, sf_dir), "vec_id", "x", 8).withColumnRenamed("id", "vec_id")
 
-    return grid_rows(_rows(spark, sf_dir), "vec_id", "x", 8).withColumnRenamed("id", "vec_id")
+
+@register("grid_flatten", f"SELECT vec_id, x AS flat FROM {EMB}")
+def grid_flatten(spark, sf_dir):
+    """Grid lines back to flat rows (one group an image: its lines)."""
+    lines = grid_reshape(spark, sf_dir).withColumnRenamed("vec_id", "id")
+    return conv.grid_flatten(lines).withColumnRenamed("id", "vec_id")
 
 
 # -- P13: 0..1 floats to 0..255 integers -------------------------------------------
@@ -150,7 +159,7 @@ def one_hot_labels(spark, sf_dir):
   FROM embeddings""")
 def min_label(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    m = R.with_min_of(e, "label", alias="min_label")
+    m = R.with_min_of(e, "label", alias="min_label", source=e.select("label"))
     return m.select("vec_id", "label", "min_label", (F.col("label") - F.col("min_label")).alias("shifted"))
 
 
@@ -204,26 +213,25 @@ def vec_fill(spark, sf_dir):
 
 # -- V5/V6: (label, prediction) with fixed weights; V7: per-row gradient ------------
 
-D_LIN = 8
+D_LIN = 64
 W_LIN_SQL = f"list_transform(range({D_LIN}), lambda j: {W.linear_weights_sql('j')})"
 
 
 @register("predict_linear", f"""
-  SELECT vec_id, label, {_r(f'list_dot_product(x[1:{D_LIN}], {W_LIN_SQL})')} AS prediction
+  SELECT vec_id, label, {_r(f'list_dot_product(x, {W_LIN_SQL})')} AS prediction
   FROM {EMB}""")
 def predict_linear(spark, sf_dir):
-    r = _rows(spark, sf_dir, D_LIN)
-    p = V.predict_linear(list(W.linear_weights(D_LIN)), "x")
-    return r.select("vec_id", "label", (F.round(p, 6) + F.lit(0.0)).alias("prediction"))
+    p = with_prediction(_rows(spark, sf_dir), W.linear_weights(D_LIN), "x")
+    return p.select("vec_id", "label", (F.round("prediction", 6) + F.lit(0.0)).alias("prediction"))
 
 
 @register("grad_rows", f"""
-  SELECT vec_id, {_rl(f'list_transform(x[1:{D_LIN}], lambda v: v * (list_dot_product(x[1:{D_LIN}], {W_LIN_SQL}) - label))')} AS grad
-  FROM {EMB}""")
+  SELECT vec_id, list_transform(x, lambda v: round(v * r, 6) + 0.0) AS grad
+  FROM (SELECT vec_id, x, list_dot_product(x, {W_LIN_SQL}) - label AS r FROM {EMB}) t""")
 def grad_rows(spark, sf_dir):
-    r = _rows(spark, sf_dir, D_LIN)
-    g = V.gradient_summand(list(W.linear_weights(D_LIN)), "x", "label")
-    return r.select("vec_id", V.round_array(g).alias("grad"))
+    p = with_prediction(_rows(spark, sf_dir), W.linear_weights(D_LIN), "x")
+    g = V.scale("x", F.col("prediction") - F.col("label"))
+    return p.select("vec_id", V.round_array(g).alias("grad"))
 
 
 # -- V8/V10 + C1-style scores with fixed class weights --------------------------------
@@ -235,24 +243,23 @@ SOFTMAX_SQL = ("list_transform(z, lambda v: exp(v - list_max(z)) / "
                "list_sum(list_transform(z, lambda u: exp(u - list_max(z)))))")
 
 
-def scores_col(x="x"):
-    return V.affine_scores(x, W.class_weights(D_IMG), W.class_bias())
+def class_score_rows(spark, sf_dir):
+    """Class scores ``z`` per row: a matmul per Arrow batch."""
+    return score_rows(_rows(spark, sf_dir), [(W.class_weights(D_IMG), W.class_bias())], digits=None, out="z")
 
 
 @register("softmax_rows", f"""
   SELECT vec_id, {_rl(SOFTMAX_SQL)} AS probs
   FROM (SELECT vec_id, {SCORES_SQL} AS z FROM {EMB}) s""")
 def softmax_rows(spark, sf_dir):
-    z = _rows(spark, sf_dir).select("vec_id", scores_col().alias("z"))
-    return z.select("vec_id", V.round_array(V.softmax("z")).alias("probs"))
+    return class_score_rows(spark, sf_dir).select("vec_id", V.round_array(V.softmax("z")).alias("probs"))
 
 
 @register("argmax_label", f"""
   SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred
   FROM (SELECT vec_id, {SCORES_SQL} AS z FROM {EMB}) s""")
 def argmax_label(spark, sf_dir):
-    z = _rows(spark, sf_dir).select("vec_id", scores_col().alias("z"))
-    return z.select("vec_id", V.argmax("z").alias("pred"))
+    return class_score_rows(spark, sf_dir).select("vec_id", V.argmax("z").alias("pred"))
 
 
 # -- V9: activations ------------------------------------------------------------------
@@ -261,8 +268,8 @@ def argmax_label(spark, sf_dir):
   SELECT vec_id,
          {_rl('list_transform(z, lambda v: greatest(v, 0.0))')} AS relu,
          {_rl('list_transform(z, lambda v: 1.0 / (1.0 + exp(-v)))')} AS sigmoid
-  FROM (SELECT vec_id, list_transform(x[1:8], lambda v: v * 8.0 - 0.25) AS z FROM {EMB}) s""")
+  FROM (SELECT vec_id, list_transform(x, lambda v: v * 8.0 - 0.25) AS z FROM {EMB}) s""")
 def activations(spark, sf_dir):
-    r = _rows(spark, sf_dir, 8).select("vec_id", F.transform("x", lambda v: v * 8.0 - 0.25).alias("z"))
+    r = _rows(spark, sf_dir).select("vec_id", F.transform("x", lambda v: v * 8.0 - 0.25).alias("z"))
     return r.select("vec_id", V.round_array(V.relu("z")).alias("relu"),
                     V.round_array(V.sigmoid("z")).alias("sigmoid"))

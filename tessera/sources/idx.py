@@ -1,36 +1,31 @@
 """idx-ubyte image and label files (optionally gzip), the format of the
 classic handwritten-digit and clothing image sets.
 
-Reading: ``binaryFile`` gives one row per file; the image and label files of
-a part are grouped by stem and one task decodes the pair (so parallelism is
-across parts - large sets come as many part files).  Writing: every partition writes its own pair
-of part files through ``pyarrow.fs`` (local, HDFS or object stores alike);
-a retried task rewrites the same names, so a lost executor leaves no debris.
+Reading: ``binaryFile`` gives one row per file; each file is decoded by itself,
+some records at a time, into (stem, idx, payload) rows, and images meet labels
+by a join on (stem, idx).  Writing: a task writes a pair of files for every
+``chunk`` of its rows, so it never holds more; a retried task writes the same
+names again, so a lost executor leaves no debris.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import arrow_batches as AB
+from tessera.session import qualified
+
 IMAGE_MAGIC = 2051
 LABEL_MAGIC = 2049
 
 
-def _fs_and_path(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        local = "/" + uri[len("file:"):].lstrip("/")
-        return fs.LocalFileSystem(), local
-    return fs.FileSystem.from_uri(uri)
-
-
 def encode_images(pixels: np.ndarray) -> bytes:
     n, h, w = pixels.shape
     return struct.pack(">IIII", IMAGE_MAGIC, n, h, w) + pixels.astype(np.uint8).tobytes()
@@ -40,51 +35,61 @@ def encode_labels(labels: np.ndarray) -> bytes:
     return struct.pack(">II", LABEL_MAGIC, len(labels)) + labels.astype(np.uint8).tobytes()
 
 
-def decode(content: bytes):
-    """Parse one idx file; returns ``("images", array (n, h, w))`` or
-    ``("labels", array (n,))``."""
+def records(content: bytes, chunk: int = 4096):
+    """The records of one idx file, ``chunk`` at a time: ``(first, values)``,
+    values (n, h * w) for images and (n,) for labels."""
+    stream = io.BytesIO(content)
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    magic = struct.unpack(">I", content[:4])[0]
-    if magic == IMAGE_MAGIC:
-        n, h, w = struct.unpack(">III", content[4:16])
-        arr = np.frombuffer(content, dtype=np.uint8, count=n * h * w, offset=16)
-        return "images", arr.reshape(n, h, w)
-    if magic == LABEL_MAGIC:
-        n = struct.unpack(">I", content[4:8])[0]
-        return "labels", np.frombuffer(content, dtype=np.uint8, count=n, offset=8)
-    raise ValueError(f"not an idx image/label file (magic {magic})")
+        stream = gzip.GzipFile(fileobj=stream)
+    magic, n = struct.unpack(">II", stream.read(8))
+    if magic not in (IMAGE_MAGIC, LABEL_MAGIC):
+        raise ValueError(f"not an idx image/label file (magic {magic})")
+    shape = (int(np.prod(struct.unpack(">II", stream.read(8)))),) if magic == IMAGE_MAGIC else ()
+    size = int(np.prod(shape)) if shape else 1
+    for first in range(0, n, chunk):
+        take = min(chunk, n - first)
+        raw = stream.read(take * size)
+        if len(raw) != take * size:
+            raise ValueError("the file ends before its last record")
+        yield first, np.frombuffer(raw, np.uint8).reshape(take, *shape)
 
 
 def write_idx(df: DataFrame, path: str, pixels: str = "pixels", label: str = "label",
-              h: int = 8, w: int = 8) -> int:
-    """Write ``pixels`` (0..255 ints, ``h*w`` per row) and ``label`` as
-    gzip idx part files under ``path``; returns the number of rows written."""
-    root = path.rstrip("/")
+              h: int = 8, w: int = 8, chunk: int = 65_536) -> int:
+    """Write ``pixels`` (0..255 ints, ``h*w`` per row) and ``label`` as gzip idx
+    part files under ``path`` - resolved by Spark's own file systems, so tasks
+    and readers mean the same place; returns the number of rows written."""
+    root = qualified(df.sparkSession, path.rstrip("/"))
 
     def per_task(batches):
+        from pyarrow import fs
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        imgs, labs = [], []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            imgs.append(np.stack(pdf[pixels].to_numpy()).reshape(-1, h, w))
-            labs.append(pdf[label].to_numpy())
-        if not imgs:
-            yield pd.DataFrame({"n": pd.Series([], dtype="int64")})
-            return
-        im, lb = np.concatenate(imgs), np.concatenate(labs)
-        filesys, base = _fs_and_path(root)
+        task, part, held, rows = TaskContext.get().partitionId(), 0, [], 0
+        filesys, base = fs.FileSystem.from_uri("file://" + root[5:] if root.startswith("file:/") and not root.startswith("file://") else root)
         filesys.create_dir(base, recursive=True)
-        for kind, blob in (("images-idx3-ubyte", encode_images(im)), ("labels-idx1-ubyte", encode_labels(lb))):
-            with filesys.open_output_stream(f"{base}/part-{pid:05d}-{kind}.gz", compression=None) as out:
-                out.write(gzip.compress(blob))
-        yield pd.DataFrame({"n": [len(lb)]})
 
-    res = df.select(pixels, label).mapInPandas(per_task, "n long").agg(F.sum("n")).first()[0]
-    return int(res or 0)
+        def flush():
+            nonlocal part, held, rows
+            images = np.concatenate([x for x, _ in held]).reshape(-1, h, w)
+            labels = np.concatenate([y for _, y in held])
+            for kind, blob in (("images-idx3-ubyte", encode_images(images)), ("labels-idx1-ubyte", encode_labels(labels))):
+                with filesys.open_output_stream(f"{base}/part-{task:05d}-{part:04d}-{kind}.gz", compression=None) as out:
+                    out.write(gzip.compress(blob, mtime=0))
+            part, held, rows = part + 1, [], 0
+            return pa.RecordBatch.from_arrays([pa.array([len(labels)], pa.int64())], ["n"])
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, chunk):
+                piece = batch.slice(i, chunk)
+                held.append((AB.matrix(piece, pixels, h * w), AB.vector(piece, label, np.int64)))
+                rows += piece.num_rows
+                if rows >= chunk:
+                    yield flush()
+        if rows:
+            yield flush()
+
+    return int(df.select(pixels, label).mapInArrow(per_task, "n long").agg(F.sum("n")).first()[0] or 0)
 
 
 def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
@@ -92,44 +97,27 @@ def read_idx(spark: SparkSession, path: str, scale: bool = True) -> DataFrame:
     under ``path`` - part files written by ``write_idx`` or the usual
     ``<set>-images-idx3-ubyte[.gz]`` / ``<set>-labels-idx1-ubyte[.gz]``
     pairs (``file`` is then ``train``, ``t10k``, ...); pixels are scaled to
-    0..1 when ``scale``.
-
-    The image and label files of one part are paired by their stem before
-    parsing: the shuffle moves the compressed file bytes (a few bytes per
-    image) rather than parsed pixel rows, and one task then decodes the pair
-    and zips images with labels.  A group is one file pair, so its size is
-    set by how the files were written, not by the whole set."""
-    root = path.rstrip("/")
-
-    def parse_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        images = labels = None
-        stem = pdf["stem"].iloc[0]
-        for content in pdf["content"]:
-            kind, arr = decode(bytes(content))
-            if kind == "images":
-                images = arr
-            else:
-                labels = arr
-        if images is None or labels is None or len(images) != len(labels):
-            raise ValueError(f"idx part {stem}: images and labels do not pair up")
-        n = len(labels)
-        flat = images.reshape(n, -1).astype(np.float64)
-        if scale:
-            flat = flat / 255.0
-        return pd.DataFrame({"file": [stem] * n, "idx": np.arange(n, dtype=np.int64),
-                             "label": labels.astype(np.int32), "pixels": list(flat)})
-
-    files = spark.read.format("binaryFile").load(f"{root}/*-ubyte*")
-    stem = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)-(images|labels)-", 1)
-    out = files.select(stem.alias("stem"), "content").groupBy("stem").applyInPandas(
-        parse_pair, "file string, idx long, label int, pixels array<double>")
-    # A few large files (the usual train/test pair) decode in a few tasks;
-    # spread their rows so later stages do not run on those few partitions.
-    # With many part files the decode is already spread and this is skipped.
-    try:
-        par = spark.sparkContext.defaultParallelism
-        if len(files.inputFiles()) < 2 * par:
-            out = out.repartition(par, "file", "idx")
-    except Exception:  # noqa: BLE001 - no context handle
-        pass
-    return out
+    0..1 when ``scale``.  An image without a label, or the reverse, raises."""
+    files = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/*-ubyte*")
+    name = F.element_at(F.split("path", "/"), -1)
+    files = files.select(F.regexp_extract(name, r"^(.*)-(images|labels)-", 1).alias("file"),
+                         F.regexp_extract(name, r"^(.*)-(images|labels)-", 2).alias("kind"), "content")
+
+    def rows_of(kind: str, column: str, convert, ddl: str) -> DataFrame:
+        def per_file(batches):
+            for batch in batches:
+                for file, content in zip(batch.column(0), batch.column(1)):
+                    for first, values in records(content.as_py()):
+                        n = len(values)
+                        yield pa.RecordBatch.from_arrays([pa.array([file.as_py()] * n), pa.array(np.arange(first, first + n)), convert(values)],
+                                                         ["file", "idx", column])
+
+        return files.filter(F.col("kind") == kind).select("file", "content").mapInArrow(per_file, f"file string, idx long, {column} {ddl}")
+
+    factor = 255.0 if scale else 1.0
+    images = rows_of("images", "pixels", lambda v: AB.list_column(v / factor), "array<double>")
+    labels = rows_of("labels", "label", lambda v: pa.array(v.astype(np.int32)), "int")
+    both = images.join(labels, ["file", "idx"], "full_outer")
+    paired = F.col("label").isNotNull() & F.col("pixels").isNotNull()
+    return both.select("file", "idx", F.when(paired, F.col("label")).otherwise(
+        F.raise_error(F.concat(F.lit("idx part "), "file", F.lit(": images and labels do not pair up")))).cast("int").alias("label"), "pixels")

@@ -10,6 +10,7 @@ from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
 from pyspark.sql import functions as F  # noqa: F401
 
+import conv_join as CJ
 from conftest import SF
 
 
@@ -100,8 +101,8 @@ def test_conv_join_matches_dense(spark, k, co, stride):
     r = I.embedding_rows(spark, SF).limit(20)
     pdf = r.toPandas()
     Wk = np.random.default_rng(k).normal(size=(k, k, 1, co))
-    px = CV.pixels_long(r, "vec_id", "x", 8, 8, 1)
-    got = CV.conv2d_join(px, CV.kernel_table(spark, Wk), 8, 8, k, stride).toPandas()
+    px = CJ.pixels_long(r, "vec_id", "x", 8, 8, 1)
+    got = CJ.conv2d_join(px, CJ.kernel_table(spark, Wk), 8, 8, k, stride).toPandas()
     X = np.stack(pdf["x"].to_numpy()).reshape(-1, 8, 8, 1)
     dense = CV.conv2d_np(X, Wk, stride)
     pos = {v: i for i, v in enumerate(pdf["vec_id"])}
@@ -109,6 +110,10 @@ def test_conv_join_matches_dense(spark, k, co, stride):
         assert abs(dense[pos[t.id], t.oy, t.ox, t.co] - t.value) < 1e-9
     oh = math.ceil(8 / stride)
     assert len(got) == len(pdf) * oh * oh * co
+    rows = CV.conv2d_rows(r, Wk, 8, 8, stride).toPandas()
+    assert len(rows) == len(got)
+    for t in rows.itertuples():
+        assert abs(dense[pos[t.vec_id], t.oy, t.ox, t.co] - t.value) < 1e-9
 
 
 def test_same_geometry():
@@ -177,9 +182,9 @@ def test_two_layer_join_stack_matches_dense(spark):
     rng = np.random.default_rng(9)
     W1, b1 = rng.normal(size=(3, 3, 1, 2)), rng.normal(size=2)
     W2, b2 = rng.normal(size=(3, 3, 2, 3)), rng.normal(size=3)
-    px = CV.pixels_long(r, "vec_id", "x", 8, 8, 1)
-    l1 = CV.conv2d_join(px, CV.kernel_table(spark, W1), 8, 8, 3, 1, bias=b1, relu=True)
-    l2 = CV.conv2d_join(CV.as_pixels(l1), CV.kernel_table(spark, W2), 8, 8, 3, 2, bias=b2, relu=True)
+    px = CJ.pixels_long(r, "vec_id", "x", 8, 8, 1)
+    l1 = CJ.conv2d_join(px, CJ.kernel_table(spark, W1), 8, 8, 3, 1, bias=b1, relu=True)
+    l2 = CJ.conv2d_join(CJ.as_pixels(l1), CJ.kernel_table(spark, W2), 8, 8, 3, 2, bias=b2, relu=True)
     got = l2.toPandas()
     X = np.stack(pdf["x"].to_numpy()).reshape(-1, 8, 8, 1)
     a1 = np.maximum(CV.conv2d_np(X, W1, 1) + b1, 0)
@@ -196,19 +201,6 @@ def test_one_class_labels_train(spark):
     assert np.argmax(bs[0]) == 3 and np.all(np.isfinite(Ws))
 
 
-def test_direct_and_distributed_sums_agree(spark, monkeypatch):
-    import tessera.operators.aggregates as AG
-
-    tr, _, _ = _rows(spark)
-    W = np.random.default_rng(4).normal(size=(3, 64, 10)) * 0.1
-    b = np.zeros((3, 10))
-    direct = CL.softmax_pass(tr.repartition(5), W, b, eps=1e-5)
-    monkeypatch.setattr(AG, "DIRECT_SUM_LIMIT", 0)
-    shuffled = CL.softmax_pass(tr.repartition(5), W, b, eps=1e-5)
-    assert np.allclose(direct["gW"], shuffled["gW"]) and np.allclose(direct["gb"], shuffled["gb"])
-    assert np.array_equal(direct["hits"], shuffled["hits"]) and direct["n"] == shuffled["n"]
-
-
 def test_stepped_rate_column_matches_driver_schedule(spark):
     df = spark.range(25).withColumnRenamed("id", "step")
     got = df.select("step", CL.stepped_rate_col(0.005, "step", 10, 0.96).alias("r")).orderBy("step").collect()
@@ -216,17 +208,17 @@ def test_stepped_rate_column_matches_driver_schedule(spark):
         assert abs(r.r - CL.stepped_rate(0.005, r.step, 10, 0.96)) < 1e-18
 
 
-def test_broadcast_and_closure_weights_agree(spark, monkeypatch):
-    import tessera.operators.aggregates as AG
-
+def test_sums_do_not_depend_on_the_partitions(spark):
     tr, _, _ = _rows(spark)
-    W = np.random.default_rng(5).normal(size=(1, 64, 10)) * 0.1
-    b = np.zeros((1, 10))
-    monkeypatch.setattr(AG, "BROADCAST_MIN_BYTES", 0)
-    a = CL.softmax_pass(tr, W, b)
-    monkeypatch.setattr(AG, "BROADCAST_MIN_BYTES", 1 << 40)
-    c = CL.softmax_pass(tr, W, b)
-    assert np.array_equal(a["gW"], c["gW"]) and a["n"] == c["n"]
+    W, b = np.random.default_rng(4).normal(size=(3, 64, 10)) * 0.1, np.zeros((3, 10))
+    one = CL.softmax_pass(tr.repartition(1), W, b, eps=1e-5)
+    many = CL.softmax_pass(tr.repartition(70), W, b, eps=1e-5)
+    assert np.allclose(one["gW"], many["gW"]) and np.allclose(one["hits"], many["hits"]) and np.isclose(one["n"], many["n"])
+
+
+def test_batches_are_whole_numbers(spark):
+    df = spark.createDataFrame([((1 << 60) + 199,), (99,), (100,)], "k long")
+    assert [r[0] for r in df.select(CL.batch_of("k", 100)).collect()] == [((1 << 60) + 199) // 100, 0, 1]
 
 
 def test_grid_reshape_round_trip(spark):

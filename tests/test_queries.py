@@ -1,20 +1,16 @@
 """Every registered query against its DuckDB oracle (sf0.001), DataFrame
 forms against SQL forms, and the no-oracle queries against their checks."""
 
-import math
-
 import duckdb
 import numpy as np
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import ORACLES, QUERIES
 from tools.check_oracles import TABLES, rows_of
 
 from conftest import SF
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -68,23 +64,3 @@ def test_conv_stack_scores_match_dense_numpy(spark):
     want = CV.conv_stack_forward(np.stack(pdf["x"].to_numpy()), convs, dense, 8, 8)
     got = QUERIES["conv_stack_scores"](spark, SF).toPandas().sort_values("vec_id")
     assert np.allclose(np.stack(got["scores"].to_numpy()), want, atol=1e-6)
-
-
-def test_linreg_summary_shape(spark):
-    r = QUERIES["linreg_summary"](spark, SF).first()
-    assert r["max_iter"] == 50 and r["num_features"] == 64 and math.isfinite(r["train_rmse"])
-
-
-def test_dense_fit_learns_something(spark):
-    df = QUERIES["mlp_fit_relu"](spark, SF).toPandas()
-    assert len(df) == 100 and df["prediction"].between(0, 9).all()
-
-
-def test_mllib_backed_queries(spark):
-    cv = QUERIES["cv_mllib"](spark, SF).toPandas()
-    assert len(cv) == 4 and np.isfinite(cv["avg_rmse"]).all()
-    sm = QUERIES["softmax_mllib"](spark, SF).toPandas()
-    n_test = spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 5 >= 4").count()
-    assert len(sm) == n_test and sm["prediction"].between(0, 9).all()
-    el = QUERIES["linreg_elastic"](spark, SF).toPandas()
-    assert len(el) == n_test and np.isfinite(el["prediction"]).all()

@@ -12,7 +12,7 @@ def test_idx_roundtrip(spark):
     rows = [([i % 256 for i in range(j, j + 64)], j % 10) for j in range(50)]
     df = spark.createDataFrame(rows, "pixels array<int>, label int").repartition(3)
     path = shared_dir(spark, "idx-test")
-    assert idx_src.write_idx(df, path) == 50
+    assert idx_src.write_idx(df, path, chunk=7) == 50  # several parts a task
     back = idx_src.read_idx(spark, path, scale=False).toPandas()
     assert len(back) == 50
     got = sorted((int(l), tuple(int(v) for v in p)) for l, p in zip(back["label"], back["pixels"]))
@@ -23,9 +23,27 @@ def test_idx_decode_rejects_other_files():
     import pytest
 
     with pytest.raises(ValueError):
-        idx_src.decode(b"\x00\x00\x00\x01junk")
-    kind, arr = idx_src.decode(idx_src.encode_labels(np.array([1, 2, 3])))
-    assert kind == "labels" and list(arr) == [1, 2, 3]
+        list(idx_src.records(b"\x00\x00\x00\x01junkjunk"))
+    with pytest.raises(ValueError):
+        list(idx_src.records(idx_src.encode_labels(np.array([1, 2, 3]))[:-1]))
+    got = list(idx_src.records(idx_src.encode_labels(np.array([1, 2, 3])), chunk=2))
+    assert [(first, v.tolist()) for first, v in got] == [(0, [1, 2]), (2, [3])]
+
+
+def test_idx_parts_that_do_not_pair_raise(spark):
+    import os
+
+    import pytest
+
+    path = shared_dir(spark, "idx-odd")
+    local = path.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/a-images-idx3-ubyte", "wb") as f:
+        f.write(idx_src.encode_images(np.zeros((2, 2, 2))))
+    with open(f"{local}/a-labels-idx1-ubyte", "wb") as f:
+        f.write(idx_src.encode_labels(np.array([1])))
+    with pytest.raises(Exception, match="pair"):
+        idx_src.read_idx(spark, path).collect()
 
 
 def test_semicolon_csv_roundtrip(spark):

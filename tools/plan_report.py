@@ -55,7 +55,7 @@ def main():
     from tessera.operators import regression as RG
     from tessera.plans import inputs as I
 
-    spark = get_spark()
+    spark = get_spark(master=f"local[{os.environ.get('BENCH_CPUS', '8')}]", spark__driver__memory="16g", spark__sql__shuffle__partitions=os.environ.get("BENCH_CPUS", "8"))
     out = ["# PLANS", "",
            f"Physical plans of the registered queries (`tools/plan_report.py`, {sf_dir}, AQE on, "
            "before runtime re-planning). *Shuffles* counts Exchange nodes, *Bcast* broadcast "
