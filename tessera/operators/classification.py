@@ -193,7 +193,8 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
 
     Returns the final ``(Ws, bs)`` and a metrics list of
     ``(run, round, split, accuracy, loss_eps, loss_scores)`` taken after the
-    update of every round ``i`` with ``i % eval_every == 0``.
+    update of every round ``i`` with ``i % eval_every == 0``; with batches also
+    split "batch": each round's own batch before its update.
     """
     R = len(runs)
     Ws = np.zeros((R, d, c))
@@ -237,6 +238,9 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
         n = res["n"][0] if S > 1 else res["n"]
         if n == 0:
             continue  # a batch id with no rows (a gap in the keys): no step
+        if batch_size is not None:
+            own = [res[k][0] if S > 1 else res[k] for k in ("hits", "loss_eps", "loss_scores")]
+            metrics += [(r, i, "batch", *(float(v[r]) / n for v in own)) for r in range(R)]
         for r, run in enumerate(runs):
             gW, gb = res["gW"][r] / n, res["gb"][r] / n
             rate = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
@@ -244,7 +248,7 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
                 Ws[r], bs[r] = adams[r].step([Ws[r], bs[r]], [gW, gb], rate)
             else:
                 Ws[r], bs[r] = Ws[r] - rate * gW, bs[r] - rate * gb
-    metrics.sort(key=lambda t: (t[1], names.index(t[2]), t[0]))
+    metrics.sort(key=lambda t: (t[1], ["batch", *names].index(t[2]), t[0]))
     return Ws, bs, metrics
 
 

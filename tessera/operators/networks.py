@@ -9,9 +9,12 @@ gradient vector, summed block-wise in parallel reducers.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
@@ -78,25 +81,21 @@ def init_layers(sizes, seed=0, std=0.1, bias=0.0):
             for a, b in zip(sizes[:-1], sizes[1:])]
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
-    """splitmix64 finaliser on uint64 arrays."""
-    x = x.astype(np.uint64)
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x = x ^ (x >> np.uint64(31))
-    return x
+#: Modulus and multipliers of the mask's hash: small enough for 64-bit products.
+MASK_MODULUS = (1 << 31) - 1
+MASK_STEPS = (48271, 69621, 40692, 16807)
 
 
 def dropout_mask(keys, layer: int, width: int, round_: int, seed: int, keep: float):
-    """Keep-mask from a hash of (seed, row key, layer, unit, round): the same
+    """Keep-mask from a hash of (row key, unit, layer, round, seed): the same
     on every re-execution of a task, so a lost executor changes nothing."""
-    k = np.asarray(keys, dtype=np.uint64)[:, None]
-    u = np.arange(width, dtype=np.uint64)[None, :]
-    with np.errstate(over="ignore"):
-        h = _mix64(k * np.uint64(0x9E3779B97F4A7C15) + u * np.uint64(0xD1B54A32D192ED03)
-                   + np.uint64((seed * 1000003 + layer * 7919 + round_ * 104729) & 0xFFFFFFFF))
-    return ((h >> np.uint64(11)).astype(np.float64) / float(1 << 53)) < keep
+    m, (a, b, c, d) = MASK_MODULUS, MASK_STEPS
+    k = np.asarray(keys, dtype=np.int64)[:, None] % m
+    u = np.arange(width, dtype=np.int64)[None, :]
+    h = (k * a + u * b + layer * c + round_ * d + seed) % m
+    h = h * a % m
+    h = (h ^ (h >> 13)) * b % m
+    return h < keep * m
 
 
 def backprop_np(X, y, keys, layers, hidden, keep, round_, seed, c):
@@ -137,61 +136,105 @@ def backprop_np(X, y, keys, layers, hidden, keep, round_, seed, c):
     return grads, float(-np.log(py + EPS).sum()), float((P.argmax(axis=1) == y).sum())
 
 
-def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: str = "adam",
-                  hidden: str = "relu", keep_prob: float = 1.0, seed: int = 0,
-                  decay_steps: int | None = None, decay_rate: float | None = None,
-                  init_bias: float = 0.0):
-    """Train a dense network; ``rows`` has ``(k, label, x)`` (see
+@dataclass
+class DenseRun:
+    """One configuration of a dense network's training."""
+    rate: float
+    keep_prob: float = 1.0
+    optimizer: str = "adam"
+    decay_steps: int | None = None
+    decay_rate: float | None = None
+
+
+def dense_nets_fit(rows: DataFrame, sizes, rounds: int, runs: list[DenseRun], hidden: str = "relu", seed: int = 0,
+                   start=None, eval_rows: DataFrame | None = None, eval_every: int = 1):
+    """Train a dense network per run; ``rows`` has ``(k, label, x)`` (see
     ``classification.prepare_rows``) and should be persisted by the caller.
-    Returns the layers and a per-round ``(round, loss, accuracy)`` list of
-    the training pass (under dropout, before the update)."""
-    layers = init_layers(sizes, seed, bias=init_bias)
-    shapes = [s for W, b in layers for s in (W.shape, b.shape)]
-    sizes_flat = [int(np.prod(s)) for s in shapes]
-    adam = _Adam(shapes) if optimizer == "adam" else None
-    c = sizes[-1]
-    history = []
-    for i in range(rounds):
-        shared = Shared(rows.sparkSession, [(W.copy(), b.copy()) for W, b in layers])
+    All runs share one job a round, and the rows of ``eval_rows`` ride along:
+    what a pass says of them belongs to the weights before its update, and one
+    more pass follows the last round.
+
+    ``start``: the layers to begin with (default: truncated normal draws by
+    ``seed``).  Returns the layers per run and metrics ``(run, round, split,
+    loss, accuracy)``: split "train" from the pass of each round, under its
+    dropout; "eval" at keep probability 1 for rounds divisible by ``eval_every``
+    and for ``round = rounds``, the final weights."""
+    first = start if start is not None else init_layers(sizes, seed)
+    nets = [[(W.copy(), b.copy()) for W, b in first] for _ in runs]
+    shapes = [s for W, b in first for s in (W.shape, b.shape)]
+    flat_size = sum(int(np.prod(s)) for s in shapes)
+    adams = [_Adam(shapes) if run.optimizer == "adam" else None for run in runs]
+    c, metrics, R = sizes[-1], [], len(runs)
+    both = rows.select("k", "label", "x").withColumn("split", F.lit(0))
+    if eval_rows is not None:
+        both = both.unionByName(eval_rows.select("k", "label", "x").withColumn("split", F.lit(1)))
+    for i in range(rounds + (eval_rows is not None)):
+        last = i == rounds
+        evaluate = eval_rows is not None and (last or i % eval_every == 0)
+        src = both if evaluate else both.filter("split = 0")
+        if last:
+            src = both.filter("split = 1")
+        shared = Shared(rows.sparkSession, nets)
         weights = shared.handle
 
         def per_task(batches, weights=weights, i=i):
-            cur = weights.value
-            acc = None
-            loss = hits = n = 0.0
+            grads, stats, n = np.zeros((R, flat_size)), np.zeros((R, 2, 2)), np.zeros(2)
             for batch in batches:
                 if batch.num_rows == 0:
                     continue
-                X = AB.matrix(batch, "x")
-                y = AB.vector(batch, "label", np.int64)
-                keys = AB.vector(batch, "k", np.int64)
-                g, l_, h_ = backprop_np(X, y, keys, cur, hidden, keep_prob, i, seed, c)
-                flat = np.concatenate([a.ravel() for pair in g for a in pair])
-                acc = flat if acc is None else acc + flat
-                loss += l_
-                hits += h_
-                n += len(y)
-            if acc is None:
-                acc = np.zeros(sum(sizes_flat))
-            yield emit_blocks(np.concatenate([acc, [loss, hits, n]]))
+                split = AB.vector(batch, "split", np.int64)
+                X_all, y_all, k_all = AB.matrix(batch, "x"), AB.vector(batch, "label", np.int64), AB.vector(batch, "k", np.int64)
+                for part in (0, 1):
+                    own = split == part
+                    if not own.any():
+                        continue
+                    X, y, keys = X_all[own], y_all[own], k_all[own]
+                    n[part] += len(y)
+                    for r, net in enumerate(weights.value):
+                        if part == 0:
+                            g, loss, hits = backprop_np(X, y, keys, net, hidden, runs[r].keep_prob, i, seed, c)
+                            grads[r] += np.concatenate([a.ravel() for pair in g for a in pair])
+                        else:
+                            P = softmax_np(forward_np(X, net, hidden))
+                            loss, hits = -np.log(P[np.arange(len(y)), y] + EPS).sum(), (P.argmax(axis=1) == y).sum()
+                        stats[r, part] += loss, hits
+            yield emit_blocks(np.concatenate([grads.ravel(), stats.ravel(), n]))
 
         try:
-            v = sum_blocks(rows.select("k", "label", "x").mapInArrow(per_task, BLOCK_SCHEMA))[0]
+            v = sum_blocks(src.mapInArrow(per_task, BLOCK_SCHEMA))[0]
         finally:
             shared.release()
-        n = v[-1]
-        if n == 0:
+        n = v[-2:]
+        stats = v[R * flat_size:-2].reshape(R, 2, 2)
+        if n[0] == 0 and not last:
             raise ValueError("no training rows")
-        grads, o = [], 0
-        for s, sz in zip(shapes, sizes_flat):
-            grads.append(v[o:o + sz].reshape(s) / n)
-            o += sz
-        params = [a for W, b in layers for a in (W, b)]
-        lr = stepped_rate(rate, i, decay_steps, decay_rate)
-        if adam is not None:
-            params = adam.step(params, grads, lr)
-        else:
-            params = [p - lr * g for p, g in zip(params, grads)]
-        layers = [(params[2 * j], params[2 * j + 1]) for j in range(len(layers))]
-        history.append((i, v[-3] / n, v[-2] / n))
-    return layers, history
+        for part, name in ((0, "train"), (1, "eval")):
+            if n[part]:
+                metrics += [(r, i, name, *(stats[r, part] / n[part])) for r in range(R)]
+        if last:
+            break
+        grads = v[:R * flat_size].reshape(R, flat_size) / n[0]
+        for r, run in enumerate(runs):
+            parts, o = [], 0
+            for s in shapes:
+                size = int(np.prod(s))
+                parts.append(grads[r, o:o + size].reshape(s))
+                o += size
+            params = [a for W, b in nets[r] for a in (W, b)]
+            lr = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
+            params = adams[r].step(params, parts, lr) if adams[r] else [p - lr * g for p, g in zip(params, parts)]
+            nets[r] = [(params[2 * j], params[2 * j + 1]) for j in range(len(first))]
+    return nets, metrics
+
+
+def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: str = "adam",
+                  hidden: str = "relu", keep_prob: float = 1.0, seed: int = 0,
+                  decay_steps: int | None = None, decay_rate: float | None = None,
+                  init_bias: float = 0.0, start=None):
+    """One run of ``dense_nets_fit``: its layers and a per-round
+    ``(round, loss, accuracy)`` list of the training pass (under dropout,
+    before the update)."""
+    first = start if start is not None else init_layers(sizes, seed, bias=init_bias)
+    nets, metrics = dense_nets_fit(rows, sizes, rounds, [DenseRun(rate, keep_prob, optimizer, decay_steps, decay_rate)],
+                                   hidden, seed, first)
+    return nets[0], [(i, loss, hits) for _, i, _, loss, hits in metrics]

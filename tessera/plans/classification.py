@@ -16,8 +16,9 @@ from tessera.operators import networks as NN
 from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
+from tessera.plans.dense_sql import dense_fit_sql
 from tessera.plans.registry import register
-from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte
+from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte, standard_rows_sql
 from tessera.plans.vectors import EMB, SCORES_SQL
 from tessera.session import drop_at_exit, materialize, release, shared_dir, table
 from tessera.sources import idx as idx_src
@@ -132,11 +133,21 @@ def softmax_adam(spark, sf_dir):
     return spark.createDataFrame(CL.weights_long(Ws[0], bs[0]), "j int, c int, w double")
 
 
-@register("softmax_mllib")
+ML_L2 = 0.5  # a penalty, so that the optimum is one
+
+
+@register("softmax_mllib", softmax_cte("(0, 0.6, 0, NULL, NULL)", 150, False, l2=ML_L2, rows=standard_rows_sql) + f"""
+SELECT vec_id, label, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS prediction
+FROM (SELECT te.vec_id, te.label, list_transform(range({C}), lambda q: list_dot_product(te.x, sm.W[q + 1])) AS z
+      FROM te, sm WHERE sm.k = 150) s""")
 def softmax_mllib(spark, sf_dir):
     r = _rows(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
     train, test = key_split(r, "vec_id")
-    m = LogisticRegression(family="multinomial", maxIter=100, regParam=0.0).fit(train)
+    train = materialize(train)  # L-BFGS reads the rows once per iteration
+    try:
+        m = LogisticRegression(family="multinomial", maxIter=200, regParam=ML_L2, tol=1e-10).fit(train)
+    finally:
+        release(train)
     return m.transform(test).select("vec_id", F.col("label").cast("int").alias("label"),
                                     F.col("prediction").cast("int").alias("prediction"))
 
@@ -168,6 +179,30 @@ def softmax_training_curve(spark, sf_dir):
     return spark.createDataFrame(rows, "round int, split string, accuracy double, loss double")
 
 
+BATCH, BATCH_ROUNDS = 100, 6  # rounds: a setting
+_BATCH_TEST = eval_sql("te", f"sm.k BETWEEN 1 AND {BATCH_ROUNDS}")
+_BATCH_OWN = eval_sql(f"(SELECT x, label, vec_id // {BATCH} - lo AS b, span FROM xs, bats)", f"sm.k < {BATCH_ROUNDS} AND r.b = sm.k % r.span").replace("SELECT x, label FROM", "SELECT * FROM")
+
+
+@register("softmax_minibatch", softmax_cte("(0, 0.5, 0, NULL, NULL)", BATCH_ROUNDS, True, batch=BATCH) + f"""
+, own AS ({_BATCH_OWN}), evt AS ({_BATCH_TEST})
+SELECT CAST(k AS INTEGER) AS round, 'batch' AS split, round(accuracy, 6) + 0.0 AS accuracy, round(loss, 6) + 0.0 AS loss FROM own
+UNION ALL SELECT CAST(k - 1 AS INTEGER), 'test', round(accuracy, 6) + 0.0, round(loss, 6) + 0.0 FROM evt""")
+def softmax_minibatch(spark, sf_dir):
+    """Batches of 100 in turn: metrics of each round's batch before its update,
+    and of the whole test part after it."""
+    train, test = (materialize(r) for r in _train_rows(spark, sf_dir))
+    try:
+        _, _, metrics = CL.train_softmax(train, [CL.Run(rate=0.5)], BATCH_ROUNDS, D, C, eps=CL.EPS,
+                                         eval_sets={"test": test}, batch_size=BATCH)
+    finally:
+        release(train)
+        release(test)
+    rows = [(int(i), split, float(round(a, 6)) + 0.0, float(round(le, 6)) + 0.0)
+            for _, i, split, a, le, _ in metrics]
+    return spark.createDataFrame(rows, "round int, split string, accuracy double, loss double")
+
+
 # -- C10: sweep sharing one pass per round --------------------------------------------
 
 SWEEP_RATES = [0.005, 0.01, 0.05]
@@ -265,29 +300,75 @@ def mlp_fit_sigmoid(spark, sf_dir):
                                     F.col("prediction").cast("int").alias("prediction"))
 
 
-def _dense_fit(spark, sf_dir, keep_prob, rounds=20):
-    train, test = _train_rows(spark, sf_dir)
+FIT_ROUNDS = 2    # a setting: the oracle writes every round out
+FIT_SEED = 11
+FIT_RATE = 0.005
+
+
+def _dense_fit(spark, sf_dir, keep_prob, decay=(None, None)):
+    train, _ = _train_rows(spark, sf_dir)
     train = materialize(train)
     try:
-        layers, hist = NN.dense_net_fit(train, MLP_SIZES, rounds, rate=0.005, optimizer="adam",
-                                        hidden="relu", keep_prob=keep_prob, seed=11,
-                                        decay_steps=10 if keep_prob < 1 else None,
-                                        decay_rate=0.96 if keep_prob < 1 else None)
+        layers, _ = NN.dense_net_fit(train, MLP_SIZES, FIT_ROUNDS, rate=FIT_RATE, keep_prob=keep_prob, seed=FIT_SEED,
+                                     decay_steps=decay[0], decay_rate=decay[1], start=mlp_layers())
     finally:
         release(train)
-    scored = NN.score_rows(test.withColumnRenamed("k", "vec_id"), layers, hidden="relu", digits=None,
-                           carry=("label",))
-    return scored.select("vec_id", "label", V.argmax("scores").alias("prediction"))
+    rows = [(li + 1, int(i), int(o), float(round(v, 6)) + 0.0) for li, (Wl, bl) in enumerate(layers)
+            for i, line in enumerate(np.vstack([Wl, bl[None, :]])) for o, v in enumerate(line)]
+    return spark.createDataFrame(rows, "layer int, i int, o int, w double")
+
+
+_DENSE_ROWS = "SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings WHERE vec_id % 5 < 4"
 
 
-@register("mlp_fit_relu")
+@register("mlp_fit_relu", dense_fit_sql(_DENSE_ROWS, MLP_SIZES, FIT_ROUNDS, FIT_RATE, 1.0, FIT_SEED, None, None))
 def mlp_fit_relu(spark, sf_dir):
+    """Weights after two Adam rounds from weights by rule (bias as input ``i = d``)."""
     return _dense_fit(spark, sf_dir, keep_prob=1.0)
 
 
-@register("mlp_fit_dropout")
+@register("mlp_fit_dropout", dense_fit_sql(_DENSE_ROWS, MLP_SIZES, FIT_ROUNDS, FIT_RATE, 0.75, FIT_SEED, 1, 0.96))
 def mlp_fit_dropout(spark, sf_dir):
-    return _dense_fit(spark, sf_dir, keep_prob=0.75)
+    """The same under dropout by a hash rule, with a decaying rate."""
+    return _dense_fit(spark, sf_dir, keep_prob=0.75, decay=(1, 0.96))
+
+
+# -- C9/C10 on the dense network: its curve, and a sweep with dropout -------------------
+
+NET_ROUNDS = 6  # a setting
+
+
+def _dense_metrics(spark, sf_dir, runs, eval_every):
+    train, test = (materialize(r) for r in _train_rows(spark, sf_dir))
+    try:
+        return NN.dense_nets_fit(train, MLP_SIZES, NET_ROUNDS, runs, seed=FIT_SEED, start=mlp_layers(),
+                                 eval_rows=test, eval_every=eval_every)[1]
+    finally:
+        release(train)
+        release(test)
+
+
+@register("mlp_training_curve")
+def mlp_training_curve(spark, sf_dir):
+    """Loss and accuracy of the training pass and of the test part by round."""
+    rows = [(int(i), split, float(round(a, 6)) + 0.0, float(round(loss, 6)) + 0.0)
+            for _, i, split, loss, a in _dense_metrics(spark, sf_dir, [NN.DenseRun(FIT_RATE)], 1)]
+    return spark.createDataFrame(rows, "round int, split string, accuracy double, loss double")
+
+
+DROPOUT_SWEEP = [(r, k, s, d) for r in (0.001, 0.005, 0.01) for k in (0.5, 0.75, 1.0) for s in (2, 4) for d in (0.9, 0.5)]
+
+
+@register("sweep_dropout")
+def sweep_dropout(spark, sf_dir):
+    """36 runs (rate, keep probability, decay steps, decay rate) that share each
+    pass: last and best test accuracy."""
+    runs = [NN.DenseRun(r, k, "adam", s, d) for r, k, s, d in DROPOUT_SWEEP]
+    rows = [(int(r), int(i), float(round(a, 6)) + 0.0) for r, i, split, _, a in _dense_metrics(spark, sf_dir, runs, 2) if split == "eval"]
+    grid = spark.createDataFrame([(i, *g) for i, g in enumerate(DROPOUT_SWEEP)], "run_id int, rate double, keep_prob double, decay_steps int, decay_rate double")
+    m = spark.createDataFrame(rows, "run_id int, round int, accuracy double").groupBy("run_id").agg(
+        F.max_by("accuracy", "round").alias("last_accuracy"), F.max("accuracy").alias("max_accuracy"))
+    return m.join(grid, "run_id").select("run_id", "rate", "keep_prob", "decay_steps", "decay_rate", "last_accuracy", "max_accuracy")
 
 
 # -- C11: convolution per image; C12: a stack of them, scored densely ------------------

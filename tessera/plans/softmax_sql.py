@@ -17,12 +17,32 @@ def xs_sql(where: str) -> str:
             f"FROM embeddings WHERE {where}")
 
 
-def softmax_cte(runs_values: str, rounds: int, eps: bool, d: int = 64, c: int = 10) -> str:
+def standard_rows_sql(where: str, d: int = 64) -> str:
+    """Rows with features divided by the training part's sample deviation
+    (MLlib's scale for its penalty) after taking off its mean."""
+    return f"""SELECT vec_id, label, list_concat(list_transform(range({d}), lambda i: (CAST(embedding[i + 1] AS DOUBLE) - mx[i + 1]) / sx[i + 1]), [1.0]) AS x
+FROM embeddings, (SELECT list(m ORDER BY i) AS mx, list(sd ORDER BY i) AS sx FROM (
+  SELECT i, avg(v) AS m, stddev_samp(v) AS sd FROM (
+    SELECT unnest(range({d})) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings WHERE vec_id % 5 < 4) u GROUP BY i) q) sc WHERE {where}"""
+
+
+def softmax_cte(runs_values: str, rounds: int, eps: bool, d: int = 64, c: int = 10, l2: float = 0.0,
+                batch: int | None = None, rows=None) -> str:
     """``runs_values``: rows ``(run, rate, adam, decay_steps, decay_rate)``.
-    Defines ``xs`` (training rows), ``te`` (test rows) and ``sm(run, k, W, M, V)``."""
+    Defines ``xs`` (training rows), ``te`` (test rows) and ``sm(run, k, W, M, V)``.
+    ``l2`` weighs half the squares of the weights but the bias; with ``batch``
+    round k takes the rows whose ``vec_id // batch`` is the least plus k, around."""
+    rows = rows or xs_sql
     dd = d + 1
     factor = " * s.p[s.label + 1] / (s.p[s.label + 1] + 1e-5)" if eps else ""
-    g = "(G[cc + 1][jj + 1] / n)"
+    n = "nb" if batch else "n"
+    g = f"(G[cc + 1][jj + 1] / {n})"
+    if l2:
+        g = f"({g} + {l2!r}::DOUBLE * CASE WHEN jj < {d} THEN W[cc + 1][jj + 1] ELSE 0.0 END)"
+    pick = f"WHERE vec_id // {batch} = lo + sm.k % span" if batch else ""
+    bats = f"bats AS (SELECT min(vec_id // {batch}) AS lo, max(vec_id // {batch}) - min(vec_id // {batch}) + 1 AS span FROM xs)," if batch else ""
+    of = ", bats" if batch else ""
+    count = f", LATERAL (SELECT CAST(count(*) AS DOUBLE) AS nb FROM xs {pick}) cb" if batch else ""
     rate_k = ("(CASE WHEN decay_steps IS NULL THEN rate "
               "ELSE rate * power(decay_rate, floor(k / decay_steps)) END)")
     m_new = f"({B1} * M[cc + 1][jj + 1] + (1.0 - {B1}) * {g})"
@@ -32,8 +52,9 @@ def softmax_cte(runs_values: str, rounds: int, eps: bool, d: int = 64, c: int =
              f"ELSE W[cc + 1][jj + 1] - {rate_k} * {g} END")
     zeros = f"list_transform(range({c}), lambda cc: list_transform(range({dd}), lambda jj: CAST(0.0 AS DOUBLE)))"
     return f"""
-WITH RECURSIVE xs AS ({xs_sql('vec_id % 5 < 4')}),
-te AS ({xs_sql('vec_id % 5 >= 4')}),
+WITH RECURSIVE xs AS MATERIALIZED ({rows('vec_id % 5 < 4')}),
+te AS MATERIALIZED ({rows('vec_id % 5 >= 4')}),
+{bats}
 nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM xs),
 runs AS (SELECT * FROM (VALUES {runs_values}) r(run, rate, adam, decay_steps, decay_rate)),
 sm(run, k, W, M, V) AS (
@@ -43,7 +64,7 @@ sm(run, k, W, M, V) AS (
     list_transform(range({c}), lambda cc: list_transform(range({dd}), lambda jj: {w_new})),
     list_transform(range({c}), lambda cc: list_transform(range({dd}), lambda jj: {m_new})),
     list_transform(range({c}), lambda cc: list_transform(range({dd}), lambda jj: {v_new}))
-  FROM sm JOIN runs ON runs.run = sm.run, nn, LATERAL (
+  FROM sm JOIN runs ON runs.run = sm.run, nn{of}{count}, LATERAL (
      SELECT list(gc ORDER BY c) AS G FROM (
         SELECT c, list(gj ORDER BY j) AS gc FROM (
            SELECT ci.c, ji.j,
@@ -51,7 +72,7 @@ sm(run, k, W, M, V) AS (
            FROM (SELECT x, label, {SOFTMAX_P} AS p
                  FROM (SELECT x, label,
                               list_transform(range({c}), lambda q: list_dot_product(x, sm.W[q + 1])) AS z
-                       FROM xs) q0) s,
+                       FROM xs {pick}) q0) s,
                 range({c}) ci(c), range({dd}) ji(j)
            GROUP BY ci.c, ji.j) a GROUP BY c) b) g
   WHERE k < {rounds})

@@ -228,3 +228,64 @@ def test_grid_reshape_round_trip(spark):
     back = CV.grid_flatten(lines.repartition(5)).withColumnRenamed("id", "vec_id")
     joined = back.join(r, "vec_id")
     assert joined.filter("flat != x").count() == 0 and joined.count() == r.count()
+
+
+def test_dense_runs_share_a_pass_and_match_single_runs(spark):
+    tr, X, y = _rows(spark)
+    te = CL.prepare_rows(I.embedding_rows(spark, SF), "label", "x", key="vec_id").filter("k % 5 = 4")
+    pdf = te.toPandas()
+    Xt, yt = np.stack(pdf["x"].to_numpy()), pdf["label"].to_numpy()
+    sizes, runs = [64, 12, 10], [NN.DenseRun(0.01), NN.DenseRun(0.02, 0.5, "adam", 1, 0.5), NN.DenseRun(0.1, 1.0, "gd")]
+    nets, metrics = NN.dense_nets_fit(tr, sizes, 2, runs, seed=3, eval_rows=te)
+    for r, run in enumerate(runs):
+        one, hist = NN.dense_net_fit(tr, sizes, 2, run.rate, run.optimizer, keep_prob=run.keep_prob, seed=3,
+                                     decay_steps=run.decay_steps, decay_rate=run.decay_rate)
+        assert all(np.allclose(a, b) for p, q in zip(nets[r], one) for a, b in zip(p, q))
+        mine = [m for m in metrics if m[0] == r]
+        assert np.allclose([(i, loss, acc) for _, i, split, loss, acc in mine if split == "train"], hist)
+        P = CL.softmax_np(NN.forward_np(Xt, one))
+        last = [m for m in mine if m[1:3] == (2, "eval")][0]
+        assert last[3] == pytest.approx(-np.log(P[np.arange(len(yt)), yt] + CL.EPS).mean())
+        assert last[4] == pytest.approx((P.argmax(axis=1) == yt).mean())
+
+
+def test_dense_fit_matches_numpy(spark):
+    tr, X, y = _rows(spark)
+    keys = np.array([r.k for r in tr.select("k").collect()])
+    layers = NN.init_layers([64, 9, 10], seed=5)
+    got, _ = NN.dense_net_fit(tr, [64, 9, 10], 3, 0.05, "gd", keep_prob=0.5, seed=2, start=layers)
+    for i in range(3):
+        grads, _, _ = NN.backprop_np(X, y, keys, layers, "relu", 0.5, i, 2, 10)
+        layers = [(W - 0.05 * gW / len(y), b - 0.05 * gb / len(y)) for (W, b), (gW, gb) in zip(layers, grads)]
+    assert all(np.allclose(a, b, atol=1e-12) for p, q in zip(got, layers) for a, b in zip(p, q))
+
+
+def test_library_network_scores_and_learns(spark):
+    """The sigmoid network of the library: its weights, laid out by layer, give
+    its predictions by our forward pass, and a lower loss than at the start."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors
+
+    tr, X, y = _rows(spark)
+    sizes = [64, 12, 10]
+    start = NN.init_layers(sizes, seed=4)
+    flat = np.concatenate([np.concatenate([W.ravel(), b]) for W, b in start])
+    m = MultilayerPerceptronClassifier(layers=sizes, maxIter=30, initialWeights=Vectors.dense(flat)).fit(
+        tr.select("k", "label", array_to_vector("x").alias("features")))
+
+    def unpack(v):
+        out, o = [], 0
+        for a, b in zip(sizes[:-1], sizes[1:]):
+            out.append((v[o:o + a * b].reshape(a, b), v[o + a * b:o + a * b + b]))
+            o += a * b + b
+        return out
+
+    def loss(net):
+        P = CL.softmax_np(NN.forward_np(X, net, "sigmoid"))
+        return -np.log(P[np.arange(len(y)), y]).mean()
+
+    net = unpack(m.weights.toArray())
+    assert loss(net) < 0.8 * loss(start)
+    pred = m.transform(tr.select("k", array_to_vector("x").alias("features"))).select("prediction").toPandas()["prediction"]
+    assert (pred.to_numpy() == NN.forward_np(X, net, "sigmoid").argmax(axis=1)).all()
