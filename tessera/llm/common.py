@@ -43,3 +43,23 @@ def texts(column: pa.Array) -> Iterator[bytes]:
     for value in column.cast(pa.large_binary()):
         raw = value.as_py()
         yield b"" if raw is None else raw
+
+
+class Memo(dict):
+    """A bounded cache: ``memo[key]`` makes what it does not hold.  When it has
+    ``most`` keys they become the older half, from which those still in use are
+    taken back; keys over ``longest`` characters are not kept."""
+
+    def __init__(self, make: Callable, most: int = 250_000, longest: int = 64):
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, key: str):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value

@@ -9,7 +9,11 @@ by itself and unpacked with numpy.  Parts are in doc_id order too.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +23,15 @@ from pyspark.sql import functions as F
 
 from tessera.session import shared_dir
 
+from .common import Memo
+
 SCHEMA = ("part int, block int, first long, n_ids long, width int, doc_ids array<long>, offsets array<long>, payload binary")
 
 
+#: Marks that make a part of their own behind letters.
+SENTENCE_MARKS = frozenset(".,;:!?")
+
+
 def width_of(vocab_size: int) -> int:
     return max(1, int(vocab_size - 1).bit_length())
 
@@ -42,28 +52,62 @@ def unpack(payload: bytes, width: int, lo: int, hi: int) -> np.ndarray:
     return np.packbits(np.pad(bits, ((0, 0), (0, 32 - width))), axis=1, bitorder="little").view("<u4").ravel() if hi > lo else np.empty(0, "<u4")
 
 
-class PieceCache(dict):
-    """Ids (little-endian uint32 bytes) of the stretches between spaces.
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write bytes as: printable Latin-1
+    stands for itself, the rest follows from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+class StretchEncoder:
+    """Ids (little-endian uint32 bytes) of texts by their stretches between spaces.
 
     The tokenizer's normalizer and pre-tokenizer treat white space as a break
-    and no id or added token spans it, so a text's ids are its stretches' ids
-    in turn; long ones are not kept and a full cache starts anew."""
+    and no id or added token spans it, so a text's ids are its stretches' ids in
+    turn.  Texts that normalisation only lower-cases have their stretches split
+    by the tokenizer's own pattern and given to its merges; for others each
+    stretch takes the library's whole way."""
 
     def __init__(self, path: str, most: int = 400_000):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in spec["normalizer"]["normalizers"]], [x["type"] for x in spec["pre_tokenizer"]["pretokenizers"]]
+        if steps != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+            raise ValueError(f"unknown steps {steps}")
+        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.added = [x["content"][:2] for x in spec["added_tokens"]]
+        self.letters = _byte_letters()
+        self.whole, self.lower, self.parts = Memo(self._whole, most), Memo(self._lower, most), Memo(self._part, most)
+
+    def _whole(self, stretch: str) -> bytes:
+        return np.array(self.tokenizer.encode(stretch, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        letters = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _lower(self, stretch: str) -> bytes:
+        if stretch.isalpha():  # letters alone are one part
+            return self._part(stretch)
+        if stretch[-1:] in SENTENCE_MARKS and stretch[:-1].isalpha():
+            return self.lower[stretch[:-1]] + self.parts[stretch[-1]]
+        return b"".join(map(self.parts.__getitem__, self.split.findall(stretch)))
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        # a capital sigma's lower case depends on its place here, but not in the library
+        plain = unicodedata.is_normalized("NFC", text) and "Σ" not in text and not any(x in text for x in self.added)
+        held = self.lower if plain else self.whole
+        return b"".join(map(held.__getitem__, (text.lower() if plain else text).replace("\n", " ").split(" ")))
+
+
+@lru_cache(maxsize=2)
+def stretch_encoder(path: str) -> StretchEncoder:
+    """One per worker process: its caches serve all its tasks."""
+    return StretchEncoder(path)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, vocab_size: int, end_id: int, block_ids: int = 65_536) -> DataFrame:
@@ -77,7 +121,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, vocab_size: int, end_
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        cache, part = PieceCache(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = stretch_encoder(tokenizer_path), TaskContext.get().partitionId()
         block = first = held = 0
         doc_ids, offsets, data = [], [], []
 
@@ -93,7 +137,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, vocab_size: int, end_
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = cache.encode(text.as_py() or "") + end
+                ids = encoder.encode(text.as_py() or "") + end
                 doc_ids.append(doc_id), offsets.append(held), data.append(ids)
                 held += len(ids) // 4
                 if held >= block_ids:
