@@ -49,7 +49,7 @@ def summarise(plan: str) -> dict:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from tessera.plans import QUERIES
     from tessera.session import get_spark
     from tessera.operators import classification as CL
     from tessera.operators import regression as RG
@@ -61,12 +61,10 @@ def main():
            "before runtime re-planning). *Shuffles* counts Exchange nodes, *Bcast* broadcast "
            "exchanges; scans list pushed filters and the columns read. Queries marked "
            "*driver-side fit* return a small result table built from a data pass that already ran "
-           "(that pass's plan is shown at the end). The one shuffle of `split_fields` and "
-           "`regex_tokenize` is `spread()` round-robining a single-row-group test file over the cores; "
-           "on inputs with many splits it is absent.", "",
+           "(that pass's plan is shown at the end).", "",
            "| Query | Shuffles | Bcast | Python | Scans (pushed filters; columns read) |",
            "| --- | --- | --- | --- | --- |"]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         s = summarise(plan_text(df))
         scans = "; ".join(f"{n}" + (f" [{pf}]" if pf else "") + (f" ({', '.join(c)})" if c else "")
@@ -76,27 +74,16 @@ def main():
             scans = "*driver-side fit*: small result table"
         out.append(f"| `{name}` | {s['exchanges']} | {s['broadcasts']} | {', '.join(s['python']) or '–'} | {scans} |")
     out += ["", "## The data passes behind the driver-side fits", ""]
-    rows = I.embedding_rows(spark, sf_dir, 8)
-    out += ["### Gram summary (`gram_sums`, one pass for descent and cross-validation)", "", "```",
-            plan_text(RG.gram_sums(rows.withColumn("fold", I.fold_of("vec_id")), "label", "x", "fold")
-                      .groupBy("key", "blk").count()).split("\n\n")[0], "```", ""]
-    from tessera.operators.aggregates import BLOCK_SCHEMA  # noqa: F401
-    import numpy as np
-    r = CL.prepare_rows(I.embedding_rows(spark, sf_dir), "label", "x", key="vec_id")
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-    from pyspark.sql import functions as F
-    Ws, bs = np.zeros((1, 64, 10)), np.zeros((1, 10))
-
-    def noop(batches):
-        for b in batches:
-            if False:
-                yield b
-
-    parts = r.select("label", "x").coalesce(32).mapInArrow(noop, BLOCK_SCHEMA)
-    summed = parts.groupBy("key", "blk").agg(Summarizer.sum(array_to_vector(F.col("part"))).alias("s"))
-    out += ["### One round of a softmax / network fit (per-task partial sums, block-wise sum)", "", "```",
-            plan_text(summed).split("\n\n")[0], "```", ""]
+    from tessera.operators.aggregates import BLOCK_SCHEMA, block_sums
+
+    rows = I.embedding_rows(spark, sf_dir)
+    out += ["### Gram summary (`gram_sums` and `block_sums`, one pass for descent and cross-validation)", "", "```",
+            plan_text(block_sums(RG.gram_sums(rows.withColumn("fold", I.fold_of("vec_id")), "label", "x", "fold"))).split("\n\n")[0],
+            "```", ""]
+    r = CL.prepare_rows(rows, "label", "x", key="vec_id")
+    parts = r.select("label", "x").mapInArrow(lambda batches: iter(()), BLOCK_SCHEMA)
+    out += ["### One round of a softmax / network fit (per-task partial sums, summed by block and salt, then by block)", "", "```",
+            plan_text(block_sums(parts)).split("\n\n")[0], "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out) + "\n")
     spark.stop()
