@@ -8,7 +8,8 @@ anywhere else.  Three steps, all over whole texts:
    offsets, so windows whose gram occurs once in the corpus are unique and are
    settled here; the rest is cut into *units*: the runs of windows that share
    one anchor, aligned at it.  Nothing that could repeat is dropped.
-2. **Transforms.**  Units are shuffled by their anchor's hash.  A task splits
+2. **Transforms.**  Distinct units are shuffled by their anchor's hash (a task
+   sends equal ones once, so copies don't gather in one place).  A task splits
    its units into shards, and each shard builds its transform column by column
    from the right (the symbols before the sorted suffixes of each column).
 3. **Merge.**  The shards' transforms are merged by iterative interleave
@@ -24,6 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,28 +184,36 @@ def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_intervals(units: DataFrame, length: int, shard_rows: int = 8192, band_rows: int = 65_536) -> DataFrame:
-    """(h1, h2, lo, hi): byte intervals covered by repeated windows, from units
-    (key, h1, h2, start, n_starts, offset, bytes) that are partitioned by key.
-    Rows of one key are never split over bands."""
+    """(u1, u2, lo, hi): the intervals of each distinct unit that repeated
+    windows cover, from rows (key, u1, u2, n_starts, offset, bytes) that are
+    partitioned and sorted by key.  u1, u2 name a unit by its content; a second
+    row of a name, its bytes null or not, says that the unit occurs again.  The
+    rows of one key are never split over bands."""
     width = 2 * length - GRAM
 
     def solve(table: pa.Table):
+        u1, u2 = table.column("u1").to_numpy(), table.column("u2").to_numpy()
+        empty = table.column("bytes").is_null().to_numpy()
+        order = np.lexsort((empty, u2, u1))
+        head = np.r_[True, (u1[order][1:] != u1[order][:-1]) | (u2[order][1:] != u2[order][:-1])]
+        copies = np.diff(np.r_[np.flatnonzero(head), len(order)])
+        table = table.take(pa.array(order[head]))
         offset, n_starts = table.column("offset").to_numpy(), table.column("n_starts").to_numpy()
         first = (length - GRAM) - offset
         rows = np.zeros((len(first), width), np.uint8)
-        raw = table.column("bytes").to_pylist()
-        for i, b in enumerate(raw):
+        for i, b in enumerate(table.column("bytes").to_pylist()):
             rows[i, first[i] : first[i] + len(b)] = np.frombuffer(b, np.uint8)
-        row, lo, hi = _spans(repeated_starts(rows, first, n_starts, length, shard_rows))
-        base = table.column("start").to_numpy()[row] - first[row]
-        picked = pa.array(row)
+        flags = repeated_starts(rows, first, n_starts, length, shard_rows)
+        at = np.arange(flags.shape[1])
+        flags |= (copies > 1)[:, None] & (at >= first[:, None]) & (at < (first + n_starts)[:, None])
+        row, lo, hi = _spans(flags)
         return pa.RecordBatch.from_arrays(
-            [table.column("h1").combine_chunks().take(picked), table.column("h2").combine_chunks().take(picked),
-             pa.array(base + lo), pa.array(base + hi - 1 + length)], ["h1", "h2", "lo", "hi"])
+            [table.column(c).combine_chunks().take(pa.array(row)) for c in ("u1", "u2")]
+            + [pa.array((lo - first[row]).astype(np.int32)), pa.array((hi - 1 + length - first[row]).astype(np.int32))], ["u1", "u2", "lo", "hi"])
 
     def run(batches):
         held, rows = [], 0
-        for batch in batches:  # sorted by key: a band ends where a key does
+        for batch in batches:
             held.append(batch)
             rows += batch.num_rows
             if rows < band_rows:
@@ -218,7 +228,7 @@ def repeated_intervals(units: DataFrame, length: int, shard_rows: int = 8192, ba
         if rows:
             yield solve(pa.Table.from_batches(held).combine_chunks())
 
-    return units.mapInArrow(run, "h1 long, h2 long, lo long, hi long")
+    return units.mapInArrow(run, "u1 long, u2 long, lo int, hi int")
 
 
 def digests(text):
@@ -240,7 +250,7 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (docs.select(text.alias("text")).select("text", *digests(F.col("text")))
      .groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
-     .write.bucketBy(n, "h1", "h2").saveAsTable(name))  # both joins below find the texts in place
+     .write.option("compression", "zstd").bucketBy(n, "h1", "h2").saveAsTable(name))  # both joins below find the texts in place
     whole = spark.table(name)
 
     def cut(batch: pa.RecordBatch):
@@ -255,28 +265,51 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
 
     units = written(arrow_map(whole.select("h1", "h2", "text"), cut,
                               "h1 long, h2 long, key long, start int, n_starts short, offset short"), "units")
-    often = units.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    often = written(units.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "anchors")
     again = units.join(often, "key", "left_semi")
     wanted = again.groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "start", "n_starts", "offset")).alias("units"))
 
     def slices(batch: pa.RecordBatch):
-        h1, h2, units = batch.column(0), batch.column(1), batch.column(3)
-        raw = _raw(batch.column(2))
+        """(positions of the units' texts in the batch, units, their bytes, names u1 and u2), some at a time"""
+        raw, units = _raw(batch.column(2)), batch.column(3)
         part = units.flatten()
         owner = np.repeat(np.arange(batch.num_rows), units.value_lengths().to_numpy())
-        start, size = part.field("start").to_numpy(), part.field("n_starts").to_numpy()
-        for i in range(0, len(owner), 65_536):
-            o, s = owner[i : i + 65_536], start[i : i + 65_536].tolist()
-            e = (start[i : i + 65_536] + size[i : i + 65_536] + (length - 1)).tolist()
-            bits = pa.array([raw[a][b:c] for a, b, c in zip(o.tolist(), s, e)], pa.binary())
-            p = part.slice(i, 65_536)
-            yield pa.RecordBatch.from_arrays([p.field("key"), h1.take(pa.array(o)), h2.take(pa.array(o)), p.field("start"),
-                                              p.field("n_starts"), p.field("offset"), bits],
-                                             ["key", "h1", "h2", "start", "n_starts", "offset", "bytes"])
+        for i in range(0, len(owner), 16_384):
+            p, own = part.slice(i, 16_384), owner[i : i + 16_384]
+            start, size = p.field("start").to_numpy(), p.field("n_starts").to_numpy()
+            bits = [raw[a][b:c] for a, b, c in zip(own.tolist(), start.tolist(), (start + size + (length - 1)).tolist())]
+            name = b"".join([xxhash.xxh3_128_digest(x, o) for x, o in zip(bits, p.field("offset").to_pylist())])
+            u = np.frombuffer(name, np.int64).reshape(-1, 2)
+            yield own, p, bits, u
+
+    def distinct_units(batches):
+        # a task sends a unit's bytes once, and a bare second row if it has it again
+        seen: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            for _, p, bits, u in slices(batch):
+                take = []
+                for i, name in enumerate(map(tuple, u.tolist())):
+                    n = seen[name] = seen.get(name, 0) + 1
+                    if n > 1:
+                        bits[i] = None
+                    if n <= 2:
+                        take.append(i)
+                at = pa.array(take, pa.int64())
+                yield pa.RecordBatch.from_arrays([p.field("key").take(at), pa.array(u[take, 0]), pa.array(u[take, 1]), p.field("n_starts").take(at), p.field("offset").take(at),
+                                                  pa.array(bits, pa.binary()).take(at)], ["key", "u1", "u2", "n_starts", "offset", "bytes"])
+
+    def places(batch: pa.RecordBatch):
+        for own, p, _, u in slices(batch):
+            own = pa.array(own)
+            yield pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1]), batch.column(0).take(own), batch.column(1).take(own), p.field("start")],
+                                             ["u1", "u2", "h1", "h2", "start"])
 
     joined = whole.join(wanted, ["h1", "h2"]).select("h1", "h2", "text", "units")
-    cuts = arrow_map(joined, slices, "key long, h1 long, h2 long, start int, n_starts short, offset short, bytes binary")
-    spans = repeated_intervals(cuts.repartition(n, "key").sortWithinPartitions("key"), length)
+    cuts = joined.mapInArrow(distinct_units, "key long, u1 long, u2 long, n_starts short, offset short, bytes binary")
+    found = repeated_intervals(cuts.repartition(n, "key").sortWithinPartitions("key"), length)
+    members = arrow_map(joined, places, "u1 long, u2 long, h1 long, h2 long, start int")
+    spans = members.join(found, ["u1", "u2"]).select(
+        "h1", "h2", (F.col("start") + F.col("lo")).cast("long").alias("lo"), (F.col("start") + F.col("hi")).cast("long").alias("hi"))
     covered = spans.groupBy("h1", "h2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
     def remove(batch: pa.RecordBatch):
