@@ -16,7 +16,7 @@ from tessera.operators import networks as NN
 from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
-from tessera.plans.dense_sql import dense_fit_sql
+from tessera.plans.dense_sql import dense_curve_sql, dense_fit_sql
 from tessera.plans.registry import register
 from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte, standard_rows_sql
 from tessera.plans.vectors import EMB, SCORES_SQL
@@ -348,7 +348,7 @@ def _dense_metrics(spark, sf_dir, runs, eval_every):
         release(test)
 
 
-@register("mlp_training_curve")
+@register("mlp_training_curve", dense_curve_sql(_DENSE_ROWS, _DENSE_ROWS.replace("% 5 < 4", "% 5 >= 4"), MLP_SIZES, NET_ROUNDS, FIT_RATE))
 def mlp_training_curve(spark, sf_dir):
     """Loss and accuracy of the training pass and of the test part by round."""
     rows = [(int(i), split, float(round(a, 6)) + 0.0, float(round(loss, 6)) + 0.0)

@@ -17,10 +17,10 @@ def _mask_sql(layer: int, round_: int, seed: int, keep: float) -> str:
     return f"(CASE WHEN (xor({h}, {h} >> 13) * {b}) % {m} < {keep * m!r}::DOUBLE THEN {1 / keep!r}::DOUBLE ELSE 0.0::DOUBLE END)"
 
 
-def dense_fit_sql(rows_sql: str, sizes: list[int], rounds: int, rate: float, keep: float, seed: int,
-                  decay_steps: int | None, decay_rate: float | None) -> str:
-    """Defines ``w{rounds}_{l}(c, r, b)`` for each layer l: weights by output
-    unit (c) and by input unit (r), and the bias.  ``rows_sql``: (vec_id, label, x)."""
+def _fit_tables(rows_sql: str, sizes: list[int], rounds: int, rate: float, keep: float, seed: int,
+                decay_steps: int | None, decay_rate: float | None) -> list[str]:
+    """Tables ``w{k}_{l}(c, b, ...)`` of every round k and layer l: weights by
+    output unit and the bias.  ``rows_sql``: (vec_id, label, x)."""
     L = len(sizes) - 1
     parts = [f"tr AS MATERIALIZED ({rows_sql})", "nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM tr)"]
     pairs = list(enumerate(zip(sizes[:-1], sizes[1:]), 1))
@@ -67,7 +67,32 @@ def dense_fit_sql(rows_sql: str, sizes: list[int], rounds: int, rate: float, kee
             parts.append(f"w{k + 1}_{l} AS MATERIALIZED (SELECT list_transform(range({b}), lambda o: list_transform(range({a}), lambda i: "
                          f"c[o + 1][i + 1] - {lr_t} * m[o + 1][i + 1] / (sqrt(v[o + 1][i + 1]) + 1e-8))) AS c, "
                          f"list_transform(range({b}), lambda o: b[o + 1] - {lr_t} * mb[o + 1][1] / (sqrt(vb[o + 1][1]) + 1e-8)) AS b, m, v, mb, vb FROM ({moments}) t)")
+    return parts
+
+
+def dense_fit_sql(rows_sql: str, sizes: list[int], rounds: int, *fit) -> str:
+    """The weights after ``rounds``: (layer, i, o, w), the bias as input i = d."""
+    parts = _fit_tables(rows_sql, sizes, rounds, *fit)
     out = " UNION ALL ".join(
-        f"SELECT {l} AS layer, unnest(range({a + 1})) AS i, o, unnest(list_concat(c[o + 1], [b[o + 1]])) AS w FROM w{rounds}_{l}, range({b}) t(o)" for l, (a, b) in pairs)
+        f"SELECT {l} AS layer, unnest(range({a + 1})) AS i, o, unnest(list_concat(c[o + 1], [b[o + 1]])) AS w FROM w{rounds}_{l}, range({b}) t(o)"
+        for l, (a, b) in enumerate(zip(sizes[:-1], sizes[1:]), 1))
     return f"""WITH {", ".join(parts)}
 SELECT CAST(layer AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(o AS INTEGER) AS o, round(w, 6) + 0.0 AS w FROM ({out}) q"""
+
+
+def dense_curve_sql(rows_sql: str, test_sql: str, sizes: list[int], rounds: int, rate: float) -> str:
+    """Loss and accuracy of the training rows at the weights before each round's
+    update, and of the test rows at those and the final weights."""
+    parts = _fit_tables(rows_sql, sizes, rounds, rate, 1.0, 0, None, None)
+
+    def metrics(src: str, split: str, k: int) -> str:
+        h = f"SELECT label, x AS h FROM ({src}) s0"
+        for l in range(1, len(sizes)):
+            a = f"list_dot_product(h, w.c[o + 1]) + w.b[o + 1]"
+            h = f"SELECT label, list_transform(range({sizes[l]}), lambda o: {a if l == len(sizes) - 1 else f'greatest({a}, 0.0)'}) AS h FROM ({h}) s, w{k}_{l} w"
+        p = "exp(h[label + 1] - list_max(h)) / list_sum(list_transform(h, lambda u: exp(u - list_max(h))))"
+        return (f"SELECT CAST({k} AS INTEGER) AS round, '{split}' AS split, round(avg(CAST(list_position(h, list_max(h)) - 1 = label AS DOUBLE)), 6) + 0.0 AS accuracy, "
+                f"round(avg(-ln({p} + 1e-5)), 6) + 0.0 AS loss FROM ({h}) f")
+
+    rows = [metrics("SELECT * FROM tr", "train", k) for k in range(rounds)] + [metrics(test_sql, "eval", k) for k in range(rounds + 1)]
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(rows)}"
