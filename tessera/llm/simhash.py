@@ -3,7 +3,7 @@
 Every fingerprint emits all variants within half the radius (2 of 4 bits:
 2,081 variants).  Two fingerprints within the radius share a variant; two that
 share a variant are within the radius.  The variants are shuffled by their
-first ``prefix_bits`` bits: a fingerprint travels once to each prefix that one
+first ``prefix_bits`` bits (10 or more): a fingerprint travels once to each prefix that one
 of its variants has, and spells out the variants below that prefix there, so
 the shuffle holds 1 + p + p(p-1)/2 rows a fingerprint and not 2,081.
 """
@@ -11,6 +11,7 @@ the shuffle holds 1 + p + p(p-1)/2 rows a fingerprint and not 2,081.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -105,13 +106,25 @@ def _meet(fps: np.ndarray, left: np.ndarray, bits: int, most_variants: int) -> l
     return [np.unique(pair, axis=0)] if len(pair) else []
 
 
-def links(fps: DataFrame, max_distance: int = 4, prefix_bits: int = 10, most_variants: int = 4_000_000) -> DataFrame:
+def prefix_bits_for(fingerprints: int, half: int, group_rows: int = 1_000_000) -> int:
+    """The fewest prefix bits (10 or more) that keep the fingerprints of a
+    prefix at about ``group_rows``, half-radius neighbours included."""
+    bits = 10
+    while bits < 40 and fingerprints * sum(comb(bits, k) for k in range(half + 1)) > group_rows << bits:
+        bits += 1
+    return bits
+
+
+def links(fps: DataFrame, max_distance: int = 4, prefix_bits: int | None = None, most_variants: int = 4_000_000) -> DataFrame:
     """(a, b) links between distinct fingerprints of ``fps`` (column fp) that
     connect exactly those within ``max_distance`` bits: of the fingerprints at
-    one variant each is linked to the least."""
+    one variant each is linked to the least.  ``prefix_bits`` sizes the groups
+    that a task holds, by default from the number of fingerprints."""
     half = max_distance // 2
     if max_distance % 2:
         raise ValueError("the radius must be even to be met in the middle")
+    if prefix_bits is None:
+        prefix_bits = prefix_bits_for(fps.select("fp").distinct().count(), half)
     shift = BITS - prefix_bits
     masks = F.array(*[F.lit(int(m)) for m in _flips(prefix_bits, half)])
     rows = fps.select("fp").distinct().select(

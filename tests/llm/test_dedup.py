@@ -72,6 +72,12 @@ def test_links_join_what_lies_within_the_radius(spark):
         assert groups == brute
 
 
+def test_groups_stay_bounded_as_fingerprints_grow():
+    for n in (0, 10**3, 10**6, 10**9, 3 * 10**10):
+        bits = simhash.prefix_bits_for(n, 2)
+        assert bits >= 10 and n * (1 + bits + bits * (bits - 1) // 2) <= 10**6 << bits
+
+
 def test_one_of_each_keeps_the_least(edge, edge_rows):
     kept = simhash.one_of_each(edge)
     assert kept.schema == edge.schema
@@ -97,8 +103,8 @@ def brute_removal(texts, length):
     return out
 
 
-def removal(df, length):
-    return sorted((r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.with_kept(df, length).collect())
+def removal(df, length, **options):
+    return sorted((r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.with_kept(df, length, **options).collect())
 
 
 @pytest.mark.parametrize("length", [200, 61])
@@ -113,7 +119,9 @@ def test_removal_on_planted_repeats(spark):
     texts = [letters(rng.randint(0, 150)) + "".join(rng.choice(passages) + letters(rng.randint(0, 40)) for _ in range(rng.randint(0, 3))) for _ in range(80)]
     texts += [passages[0][:60], passages[1][1:] + "q", "z" * 500, letters(100) + passages[3][:60] + "-" + passages[3][:60]]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
-    assert removal(df, 61) == sorted(brute_removal(texts, 61))
+    want = sorted(brute_removal(texts, 61))
+    assert removal(df, 61) == want
+    assert removal(df, 61, crowd=2) == want and removal(df, 61, crowd=0) == want
 
 
 def test_merged_order_is_the_sorted_order():
