@@ -11,18 +11,21 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, texts
+from .common import arrow_map, texts, written
 
 SYMBOLS = b"#*$%&|<>"
 #: Lower case, upper case, digits, white space, marks of a
 #: sentence, other ASCII, first bytes of other characters; their further bytes.
 CLASSES = 7
+#: Kinds of rows that tasks add up.
+WORD, TOTAL, CLASS = 0, 1, 2
 
 
 def _class_table() -> np.ndarray:
@@ -71,12 +74,13 @@ def language_references(docs: DataFrame, common_share: float = 0.001, max_langs:
         words, classes = defaultdict(Counter), defaultdict(lambda: np.zeros(CLASSES, np.int64))
 
         def flush():
-            rows = [(g, w.hex(), n) for g, c in words.items() for w, n in c.items()]
-            rows += [(g, None, int(n)) for g, c in words.items() for n in [c.total()]]
-            rows += [(g, f"#{k}", int(n)) for g, v in classes.items() for k, n in enumerate(v)]
+            rows = [(g, WORD, w, n) for g, c in words.items() for w, n in c.items()]
+            rows += [(g, TOTAL, b"", c.total()) for g, c in words.items()]
+            rows += [(g, CLASS, b"%d" % k, int(n)) for g, v in classes.items() for k, n in enumerate(v)]
             words.clear(), classes.clear()
-            lang, word, n = zip(*rows) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())], ["lang", "word", "n"])
+            lang, kind, word, n = zip(*rows) if rows else ((),) * 4
+            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.int32()), pa.array(word, pa.binary()), pa.array(n, pa.int64())],
+                                              ["lang", "kind", "word", "n"])
 
         for batch in batches:
             for lang, raw in zip(batch.column(1).to_pylist(), texts(batch.column(0))):
@@ -87,36 +91,39 @@ def language_references(docs: DataFrame, common_share: float = 0.001, max_langs:
         yield flush()
 
     rows = docs.filter("lang is not null and text is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    counts = rows.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(run, "lang string, kind int, word binary, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    counts = written(counts, "words")  # read twice, made once
     # a word is sent on only if it can be common in a language: a thousand words a language at most
-    totals = counts.filter("word is null").select("lang", F.col("n").alias("total"))
-    kept = counts.join(totals, "lang").filter((F.col("word").isNull()) | F.col("word").startswith("#") | (F.col("n") >= F.col("total") * common_share))
+    totals = counts.filter(F.col("kind") == TOTAL).select("lang", F.col("n").alias("total"))
+    kept = counts.join(totals, "lang").filter((F.col("kind") != WORD) | (F.col("n") >= F.col("total") * common_share))
     big = totals.orderBy(F.desc("total"), "lang").limit(max_langs).select("lang")
-    got = kept.join(big, "lang").select("lang", "word", "n").collect()
+    got = kept.join(big, "lang").select("lang", "kind", "word", "n").collect()
     langs = sorted({r.lang for r in got})
-    names = sorted({r.word for r in got if r.word and r.word[0] != "#"})
+    names = sorted({bytes(r.word) for r in got if r.kind == WORD})
     classes, shares = np.zeros((len(langs), CLASSES)), np.zeros((len(langs), len(names) + 1))
     at, row = {w: i for i, w in enumerate(names)}, {g: i for i, g in enumerate(langs)}
     for r in got:
-        if r.word is None:
+        if r.kind == TOTAL:
             shares[row[r.lang], -1] += r.n
-        elif r.word[0] == "#":
-            classes[row[r.lang], int(r.word[1:])] = r.n
+        elif r.kind == CLASS:
+            classes[row[r.lang], int(r.word)] = r.n
         else:
-            shares[row[r.lang], at[r.word]] = r.n
+            shares[row[r.lang], at[bytes(r.word)]] = r.n
             shares[row[r.lang], -1] -= r.n
     norm = lambda x: x / np.maximum(1, x.sum(axis=1, keepdims=True))
-    return References(langs, norm(classes), {bytes.fromhex(w): i for w, i in at.items()}, norm(shares))
+    return References(langs, norm(classes), at, norm(shares))
 
 
 def repeat_words(words: list[bytes]) -> int:
     """Words that lie in a window of three words found twice or more."""
     if len(words) < 4:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+    number = defaultdict(count().__next__)
+    ids = np.array(list(map(number.__getitem__, words)), np.int64)
     k = len(number)
-    pair = np.unique(ids[:-1] * k + ids[1:], return_inverse=True)[1]
+    pair = ids[:-1] * k + ids[1:]
+    if k > 2_000_000:  # three numbers would not fit 64 bits
+        pair = np.unique(pair, return_inverse=True)[1]
     _, which, counts = np.unique(pair[:-1] * k + ids[2:], return_inverse=True, return_counts=True)
     hit = counts[which] > 1
     covered = np.zeros(len(words), bool)
@@ -142,10 +149,8 @@ def judge(raw: bytes, ref: References, max_class: float, max_words: float, min_c
     if ref.langs and chars >= min_chars:
         by_class = distances(class_counts(raw), ref.classes)
     if ref.langs and n >= min_words:
-        counts = np.zeros(ref.shares.shape[1])
-        for w, k in Counter(raw.lower().split()).items():
-            counts[ref.words.get(w, -1)] += k
-        by_word = distances(counts, ref.shares)
+        at = np.array(list(map(ref.words.get, raw.lower().split(), repeat(len(ref.words)))))
+        by_word = distances(np.bincount(at, minlength=ref.shares.shape[1]), ref.shares)
     both = [x for x in (by_class, by_word) if x is not None]
     if both:
         near = int(sum(both).argmin())
