@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Memo
+
 SPACE = "▁"
 
 
@@ -109,9 +112,9 @@ class Normalizer:
 
 
 class Codec:
-    """Encodes with spans and decodes; one per task."""
+    """Encodes with spans and decodes."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 250_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as model
 
@@ -133,25 +136,17 @@ class Codec:
         bpe = proto.trainer_spec.model_type == model.TrainerSpec.BPE and proto.trainer_spec.byte_fallback
         apart = bpe and not any(SPACE in x.lstrip(SPACE) or "\n" in x for x in plain)
         self.parts = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if apart else r"(?s).+")
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.most = most
+        self.memo = Memo(self._part, most)
 
     def _part(self, part: str) -> tuple[tuple[int, ...], str]:
-        got = self.cache.get(part)
-        if got is None:
-            ids = self.merges.encode(part)
-            got = tuple(ids), ",".join(map(str, ids))
-            if len(part) <= 64:
-                if len(self.cache) >= self.most:
-                    self.cache.clear()
-                self.cache[part] = got
-        return got
+        ids = self.merges.encode(part)
+        return tuple(ids), ",".join(map(str, ids))
 
     def encode(self, raw: bytes) -> tuple[list[int], str, np.ndarray]:
         """(ids, decimal ids joined by commas, bounds): piece i spans the source
         bytes bounds[i] to bounds[i + 1]."""
         norm, align = self.normalize(raw)
-        got = [self._part(x) for x in self.parts.findall(norm.decode())]
+        got = list(map(self.memo.__getitem__, self.parts.findall(norm.decode())))
         ids = list(chain.from_iterable([x[0] for x in got]))
         n = self.lengths[np.array(ids, np.int64)]
         if self.unknown in ids:
@@ -163,19 +158,25 @@ class Codec:
         return self.library.decode(ids)
 
 
+@lru_cache(maxsize=2)
+def codec(path: str) -> Codec:
+    """One per worker process: its cache serves all its tasks."""
+    return Codec(path)
+
+
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, ids array<int>, bounds array<long>, decoded) for every row of
     ``docs``: the pieces' ids, their source byte bounds (one more than ids) and
     the decoded text.  A null text is empty and has no pieces."""
 
     def run(batches):
-        codec = Codec(model_path)
+        own = codec(model_path)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids, _, bounds = codec.encode((text.as_py() or "").encode())
+                ids, _, bounds = own.encode((text.as_py() or "").encode())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc_id.as_py()], pa.int64()), pa.array([ids], pa.list_(pa.int32())),
-                     pa.array([bounds], pa.list_(pa.int64())), pa.array([codec.decode(ids)])], ["doc_id", "ids", "bounds", "decoded"])
+                     pa.array([bounds], pa.list_(pa.int64())), pa.array([own.decode(ids)])], ["doc_id", "ids", "bounds", "decoded"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids array<int>, bounds array<long>, decoded string")
@@ -189,13 +190,13 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
     whole; other columns are not looked at."""
 
     def run(batches):
-        codec = Codec(model_path)
+        own = codec(model_path)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                ids, decimal, bounds = codec.encode((text.as_py() or "").encode())
-                rows.append((len(ids), sha(decimal.encode()), sha(codec.decode(ids).encode()), zlib.crc32(bounds.astype("<i8").tobytes())))
+                ids, decimal, bounds = own.encode((text.as_py() or "").encode())
+                rows.append((len(ids), sha(decimal.encode()), sha(own.decode(ids).encode()), zlib.crc32(bounds.astype("<i8").tobytes())))
             n, a, b, c = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "bounds_crc32"])

@@ -8,35 +8,39 @@ then the sums above the changed leaves are updated.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import Memo
 
 #: The split pattern looks this many characters ahead of a pre-token's end at most.
 LOOK = 3
 
 
-class Counter(dict):
-    """Tokens of a pre-token; long ones are not kept, a full cache starts anew."""
+class Counter(Memo):
+    """Tokens of a pre-token, by the library."""
 
-    def __init__(self, path: str, pattern: str, most: int = 400_000):
+    def __init__(self, path: str, pattern: str, most: int = 250_000):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        super().__init__(self._tokens, most)
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = regex.compile(pattern)
 
-    def __missing__(self, piece: str) -> int:
-        n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = n
-        return n
+    def _tokens(self, piece: str) -> int:
+        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+
+@lru_cache(maxsize=2)
+def piece_counter(path: str, pattern: str) -> Counter:
+    """One per worker process: its cache serves all its tasks."""
+    return Counter(path, pattern)
 
 
 class CountedText:
@@ -146,7 +150,7 @@ def count(docs: DataFrame, edits: Column, tokenizer_path: str, pattern: str) ->
     an empty result; other columns are not looked at."""
 
     def run(batches):
-        counter = Counter(tokenizer_path, pattern)
+        counter = piece_counter(tokenizer_path, pattern)
         for batch in batches:
             rows = []
             for text, todo in zip(batch.column(1), batch.column(2).to_pylist()):
