@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import shared_dir
+from tessera.session import drop_dir, shared_dir
 
 #: Words are maximal runs of anything but the six ASCII white-space bytes; the
 #: same class that ``bytes.split()`` uses.
@@ -25,7 +25,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing will read it again."""
+    for df in tables:
+        drop_dir(df.sparkSession, df.written_to)
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

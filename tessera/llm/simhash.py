@@ -196,17 +196,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
 def one_of_each(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
     """One row of ``docs`` of each group of linked fingerprints, all columns
     unchanged: the one with the least doc_id (nulls last, then by fingerprint
-    and text).  Repeated rows are of one group."""
+    and a hash of the text).  Rows with equal doc_id and text are one.
+
+    The rows to keep are chosen from ids, hashes and fingerprints; texts are
+    shuffled once, to meet them."""
+    text = F.col("text").cast("string")
+    named = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("hash"),
+                        F.struct(*docs.columns).alias("row"))
 
     def run(batch: pa.RecordBatch):
-        fps = np.array([fingerprint(t, shingle) for t in texts(batch.column(0))], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), batch.column(1)], ["fp", "row"])
-
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
-    schema = rows.select(F.lit(0).cast("long").alias("fp"), "row").schema
-    rows = written(arrow_map(rows, run, schema), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("row.doc_id").alias("least"))
-    grouped = rows.join(_groups(classes, max_distance).select("fp", "root"), "fp")
-    # a task keeps its first row of a group before it sends any
-    order = Window.partitionBy("root").orderBy(F.col("row.doc_id").asc_nulls_last(), "fp", "row.text")
-    return grouped.withColumn("n", F.row_number().over(order)).filter("n <= 1").select("row.*")
+        fps = np.array([fingerprint(t, shingle) for t in texts(batch.column(3))], dtype=np.uint64)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps.view(np.int64))], ["doc_id", "id", "hash", "fp"])
+
+    rows = written(arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+                                         F.xxhash64(text).alias("hash"), text.alias("text")), run, "doc_id long, id string, hash long, fp long"), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "hash", "id")).alias("first")
+    keep = rows.join(_groups(classes, max_distance).select("fp", "root"), "fp").groupBy("root").agg(first).select("first.id", "first.hash").distinct()
+    # a task keeps one of equal rows before it sends any
+    order = Window.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
+    single = named.withColumn("n", F.row_number().over(order)).filter("n <= 1")
+    return single.join(keep, ["id", "hash"], "left_semi").select("row.*")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, written
+from .common import arrow_map, dropped, written
 
 GRAM = 40
 _POS_BITS = np.uint64(21)
@@ -333,6 +333,7 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
     both = whole.join(covered, ["h1", "h2"], "left").select("h1", "h2", "text", "copies", "spans")
     out = written(arrow_map(both, remove, "h1 long, h2 long, n_bytes long, n_removed long, n_spans long, kept binary"), "kept")
     spark.sql(f"DROP TABLE {name}")
+    dropped(units, often)
     return out
 
 
