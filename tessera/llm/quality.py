@@ -47,12 +47,21 @@ def class_counts(raw: bytes) -> np.ndarray:
 
 @dataclass
 class References:
-    """One row a language: shares of classes, and of ``words`` and all others."""
+    """Of every language: its shares of classes (a row each), of words common in
+    it, and of ``others``, the words common in no language.  Word w has the
+    entries first[w] to first[w + 1] of ``owners`` (languages) and ``shares``:
+    a thousand entries a language at most, however many words there are."""
 
     langs: list[str]
     classes: np.ndarray
     words: dict[bytes, int]
+    first: np.ndarray
+    owners: np.ndarray
     shares: np.ndarray
+    others: np.ndarray
+
+    def __post_init__(self):
+        self.whole = np.bincount(self.owners, self.shares, len(self.langs)) + self.others  # 1, or 0 without a word
 
 
 def distances(counts: np.ndarray, references: np.ndarray) -> np.ndarray:
@@ -66,12 +75,31 @@ def distances(counts: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((a + b) / 2, 0.0, 1.0))
 
 
-def language_references(docs: DataFrame, common_share: float = 0.001, max_langs: int = 200, held_words: int = 200_000) -> References:
-    """References of the ``max_langs`` languages with most characters, from all
-    of ``docs`` (text, lang).  A task adds up words before it sends them."""
+def word_distances(counts: np.ndarray, ref: References) -> np.ndarray:
+    """``distances`` of one histogram of words (``others`` last) to every
+    language; where only one side has a share it adds that share, so only words
+    that both have are looked at."""
+    p = counts / max(1, counts.sum())
+    at = np.flatnonzero(counts[:-1])
+    size = ref.first[at + 1] - ref.first[at]
+    entry = np.arange(size.sum()) + np.repeat(ref.first[at] - (np.cumsum(size) - size), size)
+    p_at, q_at, own = np.repeat(p[at], size), ref.shares[entry], ref.owners[entry]
+    both = lambda a, b: a * np.log2(a / (a + b)) + b * np.log2(b / (a + b))
+    total = p.sum() + ref.whole
+    total += np.bincount(own, both(p_at, q_at), len(ref.langs))
+    if p[-1] > 0:
+        has = ref.others > 0
+        total[has] += both(p[-1], ref.others[has])
+    return np.sqrt(np.clip(total / 2, 0.0, 1.0))
+
+
+def language_references(docs: DataFrame, common_share: float = 0.001, held_words: int = 200_000) -> References:
+    """References of all languages, from all of ``docs`` (text, lang).  A task
+    adds up words before it sends them, ``held_words`` or a text more at once."""
 
     def run(batches):
         words, classes = defaultdict(Counter), defaultdict(lambda: np.zeros(CLASSES, np.int64))
+        held = 0
 
         def flush():
             rows = [(g, WORD, w, n) for g, c in words.items() for w, n in c.items()]
@@ -84,10 +112,14 @@ def language_references(docs: DataFrame, common_share: float = 0.001, max_langs:
 
         for batch in batches:
             for lang, raw in zip(batch.column(1).to_pylist(), texts(batch.column(0))):
-                words[lang].update(raw.lower().split())
+                own = words[lang]
+                held -= len(own)
+                own.update(raw.lower().split())
+                held += len(own)
                 classes[lang] += class_counts(raw)
-                if len(words[lang]) > held_words:
+                if held > held_words:
                     yield flush()
+                    held = 0
         yield flush()
 
     rows = docs.filter("lang is not null and text is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"))
@@ -96,22 +128,24 @@ def language_references(docs: DataFrame, common_share: float = 0.001, max_langs:
     # a word is sent on only if it can be common in a language: a thousand words a language at most
     totals = counts.filter(F.col("kind") == TOTAL).select("lang", F.col("n").alias("total"))
     kept = counts.join(totals, "lang").filter((F.col("kind") != WORD) | (F.col("n") >= F.col("total") * common_share))
-    big = totals.orderBy(F.desc("total"), "lang").limit(max_langs).select("lang")
-    got = kept.join(big, "lang").select("lang", "kind", "word", "n").collect()
-    langs = sorted({r.lang for r in got})
-    names = sorted({bytes(r.word) for r in got if r.kind == WORD})
-    classes, shares = np.zeros((len(langs), CLASSES)), np.zeros((len(langs), len(names) + 1))
-    at, row = {w: i for i, w in enumerate(names)}, {g: i for i, g in enumerate(langs)}
-    for r in got:
-        if r.kind == TOTAL:
-            shares[row[r.lang], -1] += r.n
-        elif r.kind == CLASS:
-            classes[row[r.lang], int(r.word)] = r.n
-        else:
-            shares[row[r.lang], at[bytes(r.word)]] = r.n
-            shares[row[r.lang], -1] -= r.n
-    norm = lambda x: x / np.maximum(1, x.sum(axis=1, keepdims=True))
-    return References(langs, norm(classes), at, norm(shares))
+    got = kept.select("lang", "kind", "word", "n").toArrow()
+    kind, n = got.column("kind").to_numpy(), got.column("n").to_numpy()
+    lang = got.column("lang").combine_chunks().dictionary_encode()
+    langs = lang.dictionary.to_pylist()
+    rank = np.empty(len(langs), np.int64)
+    rank[sorted(range(len(langs)), key=langs.__getitem__)] = np.arange(len(langs))
+    row = rank[lang.indices.to_numpy()] if len(got) else np.empty(0, np.int64)
+    is_word, is_class = kind == WORD, kind == CLASS
+    word = got.column("word").filter(pa.array(is_word)).combine_chunks().dictionary_encode()
+    totals, classes = np.bincount(row[kind == TOTAL], n[kind == TOTAL], len(langs)), np.zeros((len(langs), CLASSES))
+    classes[row[is_class], [int(k) for k in got.column("word").filter(pa.array(is_class)).to_pylist()]] = n[is_class]
+    at, owners, own = word.indices.to_numpy(), row[is_word], n[is_word]
+    order = np.lexsort((owners, at))
+    at, owners, own = at[order], owners[order], own[order]
+    others = totals - np.bincount(owners, own, len(langs))
+    return References(sorted(langs), classes / np.maximum(1, classes.sum(axis=1, keepdims=True)), {w: i for i, w in enumerate(word.dictionary.to_pylist())},
+                      np.searchsorted(at, np.arange(len(word.dictionary) + 1)), owners.astype(np.int32),
+                      own / np.maximum(1, totals)[owners], others / np.maximum(1, totals))
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -150,7 +184,7 @@ def judge(raw: bytes, ref: References, max_class: float, max_words: float, min_c
         by_class = distances(class_counts(raw), ref.classes)
     if ref.langs and n >= min_words:
         at = np.array(list(map(ref.words.get, raw.lower().split(), repeat(len(ref.words)))))
-        by_word = distances(np.bincount(at, minlength=ref.shares.shape[1]), ref.shares)
+        by_word = word_distances(np.bincount(at, minlength=len(ref.words) + 1), ref)
     both = [x for x in (by_class, by_word) if x is not None]
     if both:
         near = int(sum(both).argmin())

@@ -81,6 +81,31 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert not bad or np.mean(bad) < 0.3
 
 
+def test_documents_of_the_smallest_of_many_languages_stay(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {g: [letters[g // 26] + letters[g % 26] + a + b for a in letters[:8] for b in letters[:20]] for g in range(230)}
+    rows = [(3 * g + i, " ".join(words[g] + words[g][: g % 40]), f"l{g:03}") for g in range(230) for i in range(1 + (g < 200))]
+    got = quality.rate(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()
+    assert len(got) == len(rows) and all(r.kept and r.word_distance < 0.1 for r in got)
+    assert langs_of(spark, rows) == sorted({r[2] for r in rows})
+
+
+def langs_of(spark, rows):
+    return quality.language_references(spark.createDataFrame(rows, "doc_id long, text string, lang string")).langs
+
+
+def test_word_distances_are_those_of_the_whole_tables():
+    rng = np.random.default_rng(8)
+    table = rng.integers(0, 4, (5, 13)) * (rng.random((5, 13)) < 0.5)
+    table[:, -1] = [3, 0, 2, 5, 1]
+    shares = table / table.sum(axis=1, keepdims=True)
+    word, owner = np.nonzero(shares[:, :-1].T)
+    ref = quality.References(list("abcde"), np.zeros((5, 7)), {}, np.searchsorted(word, np.arange(13)), owner, shares[owner, word], shares[:, -1])
+    for _ in range(20):
+        counts = rng.integers(0, 3, 13)
+        assert quality.word_distances(counts, ref) == pytest.approx(quality.distances(counts, shares))
+
+
 def test_distance_is_the_jensen_shannon_distance():
     p, q = np.array([3.0, 1.0, 0.0]), np.array([[0.25, 0.25, 0.5], [0.75, 0.25, 0.0], [0.0, 0.0, 1.0]])
     a, m = p / 4, (p / 4 + q[0]) / 2
