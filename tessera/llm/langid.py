@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +53,14 @@ def split_number(doc_id: Column) -> Column:
 
 @dataclass
 class Model:
-    """langs in order; idf and weights by bucket; bias; temperature."""
+    """langs in order; idf by bucket; the weights that are not zero (bucket b has
+    first[b] to first[b + 1] of ``owners`` (languages) and ``weights``); bias;
+    temperature."""
 
     langs: list[str]
     idf: np.ndarray
+    first: np.ndarray
+    owners: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
@@ -65,7 +70,9 @@ class Model:
         return x / np.sqrt(x @ x) if len(x) else x
 
     def logits(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return self.weights[:, at] @ x + self.bias
+        size = self.first[at + 1] - self.first[at]
+        entry = np.arange(size.sum()) + np.repeat(self.first[at] - (np.cumsum(size) - size), size)
+        return np.bincount(self.owners[entry], self.weights[entry] * np.repeat(x, size), len(self.langs)) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.langs or not has_letter(text):
@@ -147,17 +154,17 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     return int(out[-1]), out[:-1]
 
 
-def train(labelled: DataFrame, sample_rows: int = 3000, max_langs: int = 200, calibrate: int = 5, **penalties) -> Model:
+def train(labelled: DataFrame, sample_rows: int = 3000, calibrate: int = 5, **penalties) -> Model:
     """Fit on ``labelled`` (doc_id, text, lang; nulls in text or lang take no
-    part).  Of each of the ``max_langs`` most frequent languages about
-    sample_rows / languages rows are drawn by a hash of doc_id; every
-    ``calibrate``-th of them sets the temperature and not the weights."""
+    part).  Of each language about sample_rows / languages rows, or 20 if that
+    is more, are drawn by a hash of doc_id; every ``calibrate``-th of them sets
+    the temperature and not the weights."""
     rows = labelled.filter("text is not null and lang is not null").select(
         "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    found = rows.groupBy("lang").count().collect()
     langs = sorted(r.lang for r in found)
     if not langs:
-        return Model([], np.zeros(BUCKETS), np.zeros((0, BUCKETS)), np.zeros(0))
+        return Model([], np.zeros(BUCKETS), np.zeros(BUCKETS + 1, np.int64), np.empty(0, np.int32), np.empty(0), np.zeros(0))
     n, df = document_frequencies(rows)
     share = max(20, sample_rows // len(langs))
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 40))
@@ -169,15 +176,23 @@ def train(labelled: DataFrame, sample_rows: int = 3000, max_langs: int = 200, ca
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p[0].astype(np.int32) for p in pairs], pa.list_(pa.int32())),
                                           pa.array([p[1].astype(np.int32) for p in pairs], pa.list_(pa.int32()))], ["draw", "lang", "at", "n"])
 
-    got = arrow_map(drawn, run, "draw long, lang string, at array<int>, n array<int>").toArrow().to_pydict()
-    order = sorted(range(len(got["lang"])), key=lambda i: (got["draw"][i], got["lang"][i], got["at"][i], got["n"][i]))
-    model = Model(langs, np.log((1 + n) / (1 + df)) + 1.0, np.zeros((len(langs), BUCKETS)), np.zeros(len(langs)))
+    got = arrow_map(drawn, run, "draw long, lang string, at array<int>, n array<int>").toArrow()
+    number = {g: i for i, g in enumerate(langs)}
+    sample = []
+    for batch in got.to_batches():
+        for draw, lang, at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+            at, counts = at.values.to_numpy(), counts.values.to_numpy()
+            sample.append((draw, lang, xxhash.xxh3_128_digest(at.tobytes() + counts.tobytes()), at, counts))
+    sample.sort(key=lambda r: r[:3])
+    model = Model(langs, np.log((1 + n) / (1 + df)) + 1.0, np.zeros(BUCKETS + 1, np.int64), np.empty(0, np.int32), np.empty(0), np.zeros(len(langs)))
     fit, held = [], []
-    for k, i in enumerate(order):
-        at = np.array(got["at"][i], np.int64)
+    for k, (_, lang, _, at, counts) in enumerate(sample):
         if len(at):
-            (held if k % calibrate == calibrate - 1 else fit).append((langs.index(got["lang"][i]), at, model.vector(at, np.array(got["n"][i]))))
-    model.weights, model.bias = fit_ftrl(fit, len(langs), **penalties)
+            (held if k % calibrate == calibrate - 1 else fit).append((number[lang], at, model.vector(at, counts)))
+    weights, model.bias = fit_ftrl(fit, len(langs), **penalties)
+    bucket, model.owners = np.nonzero(weights.T)
+    model.weights, model.first = weights[model.owners, bucket], np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    model.owners = model.owners.astype(np.int32)
     model.temperature = fit_temperature(np.array([model.logits(at, x) for _, at, x in held]).reshape(-1, len(langs)), np.array([c for c, _, _ in held], np.int64))
     return model
 

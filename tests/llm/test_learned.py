@@ -31,6 +31,24 @@ def test_language_edge_rows(edge, empty, edge_rows):
     assert {r.lang_pred for r in nothing.collect()} <= {"und"}
 
 
+def test_the_rarest_of_many_languages_are_learned(spark):
+    rows = [(i, " ".join(chr(0x4E00 + 20 * g + (i * 7 + k) % 20) * 2 for k in range(12)), f"l{g:03}")
+            for g in range(210) for i in range(100 * g, 100 * g + (24 if g < 200 else 16))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("lang >= 'l200'").collect()
+    assert len(got) == 160 and np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+
+
+def test_sparse_weights_give_the_logits_of_the_whole_table():
+    rng = np.random.default_rng(9)
+    table = rng.normal(size=(4, langid.BUCKETS)) * (rng.random((4, langid.BUCKETS)) < 0.1)
+    bucket, owner = np.nonzero(table.T)
+    first = np.searchsorted(bucket, np.arange(langid.BUCKETS + 1))
+    model = langid.Model(list("abcd"), np.ones(langid.BUCKETS), first, owner, table[owner, bucket], rng.normal(size=4))
+    at, x = np.sort(rng.choice(langid.BUCKETS, 500, replace=False)), rng.random(500)
+    assert model.logits(at, x) == pytest.approx(table[:, at] @ x + model.bias)
+
+
 def test_the_penalty_makes_weights_sparse():
     rng = np.random.default_rng(0)
     rows = []
