@@ -17,6 +17,11 @@ anywhere else.  Three steps, all over whole texts:
    refined one symbol at a time from the transforms alone, no suffix is sorted
    again.  In the merged order equal windows are neighbours; those with a
    common prefix of ``length`` bytes or more give the repeated intervals.
+
+Units of a *crowded* anchor, one with more than ``crowd`` units, don't meet by
+the anchor: each distinct unit goes to a task of its own, and its windows are
+counted one by one under 128-bit hashes, with partial sums.  So no task holds
+more than ``crowd`` units of one anchor, however many texts share a passage.
 """
 
 from __future__ import annotations
@@ -231,12 +236,60 @@ def repeated_intervals(units: DataFrame, length: int, shard_rows: int = 8192, ba
     return units.mapInArrow(run, "u1 long, u2 long, lo int, hi int")
 
 
+def unit_windows(units: DataFrame, length: int) -> DataFrame:
+    """(u1, u2, at, w1, w2, copies): every window of each distinct unit, at
+    ``at`` in it, named by its content; copies is 2 if the unit occurs again.
+    Units as in ``repeated_intervals``, sorted by (u1, u2); one is held at once."""
+
+    def windows(name, raw, copies):
+        n = len(raw) - length + 1
+        w = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[i : i + length]) for i in range(n)]), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, name[0])), pa.array(np.full(n, name[1])), pa.array(np.arange(n, dtype=np.int16)),
+                                           pa.array(w[:, 0]), pa.array(w[:, 1]), pa.array(np.full(n, min(copies, 2), np.int32))], ["u1", "u2", "at", "w1", "w2", "copies"])
+
+    def run(batches):
+        last, raw, copies = None, None, 0
+        for batch in batches:
+            for name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                name, value = name[:2], name[2]
+                if name != last:
+                    if last is not None:
+                        yield windows(last, raw, copies)
+                    last, raw, copies = name, None, 0
+                copies += 1
+                if raw is None:
+                    raw = value.as_py()
+        if last is not None:
+            yield windows(last, raw, copies)
+
+    return units.select("u1", "u2", "bytes").mapInArrow(run, "u1 long, u2 long, at short, w1 long, w2 long, copies int")
+
+
+def window_intervals(windows: DataFrame, length: int) -> DataFrame:
+    """(u1, u2, lo, hi): as ``repeated_intervals``, from rows of ``unit_windows``."""
+    again = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).filter("n > 1").select("w1", "w2")
+    places = windows.join(again, ["w1", "w2"], "left_semi").groupBy("u1", "u2").agg(F.sort_array(F.collect_list("at")).alias("at"))
+
+    def run(batch: pa.RecordBatch):
+        row, lo, hi = [], [], []
+        for i, at in enumerate(batch.column(2)):
+            at = at.values.to_numpy()
+            head = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+            row += [i] * len(head)
+            lo += at[head].tolist()
+            hi += (at[np.r_[head[1:] - 1, len(at) - 1]] + length).tolist()
+        row = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], ["u1", "u2", "lo", "hi"])
+
+    return arrow_map(places, run, "u1 long, u2 long, lo int, hi int")
+
+
 def digests(text):
     """Two independent 64-bit hashes of a text, together its 128-bit key."""
     return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(200), text).alias("h2")
 
 
-def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
+def kept_texts(docs: DataFrame, length: int = 200, crowd: int = 4096) -> DataFrame:
     """(h1, h2, n_bytes, n_removed, n_spans, kept binary) of every distinct text
     of ``docs``; join ``docs`` to it by ``digests(coalesce(text, ''))``.
 
@@ -265,8 +318,9 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
 
     units = written(arrow_map(whole.select("h1", "h2", "text"), cut,
                               "h1 long, h2 long, key long, start int, n_starts short, offset short"), "units")
-    often = written(units.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "anchors")
-    again = units.join(often, "key", "left_semi")
+    often = written(units.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", (F.col("n") > crowd).alias("crowded")), "anchors")
+    # hashes of anchors are not negative: -1 stands for any crowded one
+    again = units.join(often, "key").withColumn("key", F.when(F.col("crowded"), F.lit(-1)).otherwise(F.col("key")))
     wanted = again.groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "start", "n_starts", "offset")).alias("units"))
 
     def slices(batch: pa.RecordBatch):
@@ -282,13 +336,15 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
             u = np.frombuffer(name, np.int64).reshape(-1, 2)
             yield own, p, bits, u
 
-    def distinct_units(batches):
+    def distinct_units(batches, crowded=False):
         # a task sends a unit's bytes once, and a bare second row if it has it again
         seen: dict[tuple[int, int], int] = {}
         for batch in batches:
             for _, p, bits, u in slices(batch):
-                take = []
+                take, mine = [], (p.field("key").to_numpy() < 0).tolist()
                 for i, name in enumerate(map(tuple, u.tolist())):
+                    if mine[i] != crowded:
+                        continue
                     n = seen[name] = seen.get(name, 0) + 1
                     if n > 1:
                         bits[i] = None
@@ -305,8 +361,14 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
                                              ["u1", "u2", "h1", "h2", "start"])
 
     joined = whole.join(wanted, ["h1", "h2"]).select("h1", "h2", "text", "units")
-    cuts = joined.mapInArrow(distinct_units, "key long, u1 long, u2 long, n_starts short, offset short, bytes binary")
-    found = repeated_intervals(cuts.repartition(n, "key").sortWithinPartitions("key"), length)
+    kind = "key long, u1 long, u2 long, n_starts short, offset short, bytes binary"
+    found = repeated_intervals(joined.mapInArrow(distinct_units, kind).repartition(n, "key").sortWithinPartitions("key"), length)
+    crowds = []
+    if not often.filter("crowded").isEmpty():
+        some = joined.filter(F.exists("units", lambda u: u["key"] < 0)).withColumn("units", F.filter("units", lambda u: u["key"] < 0))
+        crowded = some.mapInArrow(lambda batches: distinct_units(batches, True), kind).repartition(n, "u1", "u2").sortWithinPartitions("u1", "u2", F.col("bytes").isNull())
+        crowds = [written(unit_windows(crowded, length), "windows")]
+        found = found.union(window_intervals(crowds[0], length))
     members = arrow_map(joined, places, "u1 long, u2 long, h1 long, h2 long, start int")
     spans = members.join(found, ["u1", "u2"]).select(
         "h1", "h2", (F.col("start") + F.col("lo")).cast("long").alias("lo"), (F.col("start") + F.col("hi")).cast("long").alias("hi"))
@@ -333,16 +395,16 @@ def kept_texts(docs: DataFrame, length: int = 200) -> DataFrame:
     both = whole.join(covered, ["h1", "h2"], "left").select("h1", "h2", "text", "copies", "spans")
     out = written(arrow_map(both, remove, "h1 long, h2 long, n_bytes long, n_removed long, n_spans long, kept binary"), "kept")
     spark.sql(f"DROP TABLE {name}")
-    dropped(units, often)
+    dropped(units, often, *crowds)
     return out
 
 
-def with_kept(docs: DataFrame, length: int = 200) -> DataFrame:
+def with_kept(docs: DataFrame, length: int = 200, crowd: int = 4096) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept) for every row of ``docs``: row is
     the row as it was but for its text, kept the remaining bytes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), *digests(text))
-    return rows.join(kept_texts(docs.select("text"), length), ["h1", "h2"]).drop("h1", "h2")
+    return rows.join(kept_texts(docs.select("text"), length, crowd), ["h1", "h2"]).drop("h1", "h2")
 
 
 def remaining_documents(docs: DataFrame, length: int = 200) -> DataFrame:

@@ -122,6 +122,26 @@ def test_removal_on_planted_repeats(spark):
     assert removal(df, 61) == sorted(brute_removal(texts, 61))
 
 
+@pytest.mark.parametrize("crowd", [1, 5])
+def test_removal_with_crowded_anchors(spark, edge, edge_rows, crowd, monkeypatch):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    line, other = letters(150), letters(90)
+    texts = [letters(rng.randint(0, 90)) + line + letters(rng.randint(0, 90)) + (other + "=" if i % 3 else "") for i in range(60)]
+    texts += [line, "x" * 400, texts[0], texts[1] + "!"] + [r[1] for r in edge_rows]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    fullest, merged = [], suffix_dedup.repeated_intervals
+
+    def watched(units, length):
+        fullest.append(units.groupBy("key").agg({"*": "count"}).agg({"count(1)": "max"}).first()[0] or 0)
+        return merged(units, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_intervals", watched)
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.with_kept(df, 61, crowd=crowd).collect())
+    assert got == sorted(brute_removal(texts, 61))
+    assert fullest and max(fullest) <= crowd
+
+
 def test_merged_order_is_the_sorted_order():
     rng = np.random.default_rng(3)
     rows = rng.integers(97, 100, (300, 24), dtype=np.uint8)
