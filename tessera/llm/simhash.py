@@ -5,11 +5,14 @@ Every fingerprint emits all variants within half the radius (2 of 4 bits:
 share a variant are within the radius.  The variants are shuffled by their
 first ``prefix_bits`` bits (10 or more): a fingerprint travels once to each prefix that one
 of its variants has, and spells out the variants below that prefix there, so
-the shuffle holds 1 + p + p(p-1)/2 rows a fingerprint and not 2,081.
+the shuffle holds 1 + p + p(p-1)/2 rows a fingerprint and not 2,081.  Where near
+copies crowd a prefix, it is made longer there: at the full 64 bits at most 2,081
+fingerprints can share one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
@@ -65,24 +68,23 @@ def _flips(bits: int, most: int) -> np.ndarray:
     return np.array(masks, dtype=np.uint64)
 
 
-def _meet(fps: np.ndarray, left: np.ndarray, bits: int, most_variants: int) -> list[np.ndarray]:
-    """Pairs (smaller, larger) of fingerprints that share a variant; ``left``
+def _meet(fps: np.ndarray, left: np.ndarray, bits: int, most_variants: int) -> Iterator[np.ndarray]:
+    """Yields pairs (smaller, larger) of fingerprints that share a variant; ``left``
     flips are still free in the lowest ``bits`` bits of each.  Beyond
     ``most_variants`` variants the set is split by the next bit of the variant,
     so memory stays bounded for any number of fingerprints."""
     if len(fps) < 2:
-        return []
+        return
     tables = {r: _flips(bits, r) for r in np.unique(left).tolist()}
     total = sum(int((left == r).sum()) * len(t) for r, t in tables.items())
     if total > most_variants and bits > 0:
         top = (fps >> np.uint64(bits - 1)) & np.uint64(1)
-        pairs = []
         for side in (0, 1):
             rest = left - (top != side)
             keep = rest >= 0
             # bits above have been agreed on; only the variant's own are compared
-            pairs += _meet(fps[keep], rest[keep], bits - 1, most_variants)
-        return pairs
+            yield from _meet(fps[keep], rest[keep], bits - 1, most_variants)
+        return
     low = np.uint64((1 << bits) - 1) if bits < 64 else np.uint64(0xFFFFFFFFFFFFFFFF)
     variants, owners = [], []
     for r, masks in tables.items():
@@ -93,7 +95,7 @@ def _meet(fps: np.ndarray, left: np.ndarray, bits: int, most_variants: int) -> l
     s = np.sort(v)
     shared = np.unique(s[1:][s[1:] == s[:-1]])
     if not len(shared):
-        return []
+        return
     at = np.searchsorted(shared, v)
     hit = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == v)
     run, own = at[hit], fps[np.concatenate(owners)[hit]]
@@ -103,7 +105,8 @@ def _meet(fps: np.ndarray, left: np.ndarray, bits: int, most_variants: int) -> l
     least = np.repeat(own[first], np.diff(np.r_[first, len(run)]))
     # all that share a variant lie within the radius of each other: a star is enough
     pair = np.stack([least, own], 1)[least != own]
-    return [np.unique(pair, axis=0)] if len(pair) else []
+    if len(pair):
+        yield np.unique(pair, axis=0)
 
 
 def prefix_bits_for(fingerprints: int, half: int, group_rows: int = 1_000_000) -> int:
@@ -115,32 +118,74 @@ def prefix_bits_for(fingerprints: int, half: int, group_rows: int = 1_000_000) -
     return bits
 
 
-def links(fps: DataFrame, max_distance: int = 4, prefix_bits: int | None = None, most_variants: int = 4_000_000) -> DataFrame:
+def prefix_groups(fps: DataFrame, prefix_bits: int, half: int, group_rows: int, step: int = 6) -> DataFrame:
+    """(fp, prefix, bits): each distinct fingerprint at every prefix that one of
+    its variants has, ``bits`` long: ``prefix_bits``, and ``step`` more wherever
+    more than ``group_rows`` fingerprints meet, up to the whole variant.  The
+    counts are partial sums; each two that share a variant meet at its prefix."""
+    flips = lambda n, left: F.array(*[F.lit(int(m)) for m in _flips(n, left)])
+    high = lambda n: F.shiftrightunsigned("fp", BITS - n) if n < BITS else F.col("fp")
+    rows = fps.select("fp").distinct().select("fp", F.explode(F.transform(flips(prefix_bits, half), lambda m: high(prefix_bits).bitwiseXOR(m))).alias("prefix"))
+    bits, settled = prefix_bits, []
+    while bits < BITS:
+        crowded = rows.groupBy("prefix").count().filter(F.col("count") > group_rows).select("prefix")
+        if crowded.isEmpty():
+            break
+        crowded = written(crowded, "prefixes")
+        settled.append(rows.join(crowded, "prefix", "left_anti").select("fp", "prefix", F.lit(bits).alias("bits")))
+        more = min(step, BITS - bits)
+        used = F.bit_count(high(bits).bitwiseXOR(F.col("prefix")))
+        # the next bits of the variant, with as many flips as the prefix has left
+        after = F.when(used == 0, flips(more, half))
+        for n in range(1, half + 1):
+            after = after.when(used == n, flips(more, half - n))
+        own = high(bits + more).bitwiseAND(F.lit((1 << more) - 1))
+        longer = F.transform(after, lambda m: F.shiftleft("prefix", more).bitwiseOR(own.bitwiseXOR(m)))
+        rows = written(rows.join(crowded, "prefix", "left_semi").select("fp", F.explode(longer).alias("prefix")), "prefixes")
+        bits += more
+    out = rows.select("fp", "prefix", F.lit(bits).alias("bits"))
+    for part in settled:
+        out = out.union(part)
+    return out
+
+
+def links(fps: DataFrame, max_distance: int = 4, prefix_bits: int | None = None, most_variants: int = 4_000_000,
+          group_rows: int = 2_000_000) -> DataFrame:
     """(a, b) links between distinct fingerprints of ``fps`` (column fp) that
     connect exactly those within ``max_distance`` bits: of the fingerprints at
     one variant each is linked to the least.  ``prefix_bits`` sizes the groups
-    that a task holds, by default from the number of fingerprints."""
+    that a task holds, by default from the number of fingerprints; a prefix with
+    more than ``group_rows`` is made longer.  Pairs leave a group some at a time."""
     half = max_distance // 2
     if max_distance % 2:
         raise ValueError("the radius must be even to be met in the middle")
     if prefix_bits is None:
         prefix_bits = prefix_bits_for(fps.select("fp").distinct().count(), half)
-    shift = BITS - prefix_bits
-    masks = F.array(*[F.lit(int(m)) for m in _flips(prefix_bits, half)])
-    rows = fps.select("fp").distinct().select(
-        "fp", F.explode(F.transform(masks, lambda m: F.shiftrightunsigned("fp", shift).bitwiseXOR(m))).alias("prefix"))
+    rows = prefix_groups(fps, prefix_bits, half, group_rows)
+
+    def near(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        close = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_distance
+        pairs = np.ascontiguousarray(pairs[close]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    def meet(table: pa.Table) -> pa.Table:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         own = table.column("fp").to_numpy().view(np.uint64)
-        prefix = np.uint64(table.column("prefix")[0].as_py())
+        prefix = table.column("prefix").to_numpy()[:1].view(np.uint64)[0]
+        shift = BITS - table.column("bits")[0].as_py()
         used = np.bitwise_count((own >> np.uint64(shift)) ^ prefix).astype(np.int64)
-        found = _meet(own, half - used, shift, most_variants)
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.uint64)
-        near = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_distance
-        pairs = np.ascontiguousarray(pairs[near]).view(np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-    return rows.groupBy("prefix").applyInArrow(meet, "a long, b long").distinct()
+        found, size = [], 0
+        for pairs in _meet(own, half - used, shift, most_variants):
+            found.append(pairs)
+            size += len(pairs)
+            if size > most_variants // 4:
+                yield near(found)
+                found, size = [], 0
+        if found:
+            yield near(found)
+
+    return rows.groupBy("bits", "prefix").applyInArrow(meet, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

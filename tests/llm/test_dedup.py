@@ -72,6 +72,19 @@ def test_links_join_what_lies_within_the_radius(spark):
         assert groups == brute
 
 
+def test_crowded_prefixes_are_made_longer(spark):
+    rng = random.Random(4)
+    family = {0xF0F0F0F0F0F0F0F0 ^ sum(1 << b for b in rng.sample(range(30), rng.choice((1, 2, 3)))) for _ in range(500)}
+    prints = sorted(family | {rng.getrandbits(64) for _ in range(30)})
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in prints], "fp long")
+    groups = simhash.prefix_groups(df, 10, 2, 60).groupBy("bits", "prefix").count().collect()
+    assert len({r.bits for r in groups}) > 2 and max(r["count"] for r in groups if r.bits < 64) <= 60
+    pairs = [(r.node % (1 << 64), r.root % (1 << 64)) for r in simhash.components(simhash.links(df, group_rows=60, most_variants=3000)).collect()]
+    root, want = dict(pairs), brute_components(prints)
+    got = {frozenset(f for f in prints if root.get(f, f) == r) for r in {root.get(f, f) for f in prints}}
+    assert got == {frozenset(f for f, c in zip(prints, want) if c == r) for r in set(want)}
+
+
 def test_groups_stay_bounded_as_fingerprints_grow():
     for n in (0, 10**3, 10**6, 10**9, 3 * 10**10):
         bits = simhash.prefix_bits_for(n, 2)
