@@ -3,7 +3,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF
+from paths import SF
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

@@ -11,7 +11,7 @@ from tessera.plans import inputs as I
 from pyspark.sql import functions as F  # noqa: F401
 
 import conv_join as CJ
-from conftest import SF
+from paths import SF
 
 
 def _rows(spark):

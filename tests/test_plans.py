@@ -8,7 +8,7 @@ from tessera.operators import regression as RG
 from tessera.plans import QUERIES
 from tessera.plans import inputs as I
 
-from conftest import SF
+from paths import SF
 
 
 def formatted(df) -> str:

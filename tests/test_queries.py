@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tessera.plans import ORACLES, QUERIES
 from tools.check_oracles import TABLES, rows_of
 
-from conftest import SF
+from paths import SF
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import regression as RG
 from tessera.plans import inputs as I
 
-from conftest import SF, SF01
+from paths import SF, SF01
 
 
 def brute_gd(X, y, iters, alpha=1.0):

@@ -5,7 +5,7 @@ from tessera.sources import idx as idx_src
 from tessera.sources import csv as csv_src
 from tessera.sources import text as text_src
 
-from conftest import SF
+from paths import SF
 
 
 def test_idx_roundtrip(spark):

@@ -5,7 +5,7 @@ from tessera.plans import inputs as I
 from tessera.session import shared_dir
 from tessera.streaming import songs_per_year_stream
 
-from conftest import SF
+from paths import SF
 
 
 def test_stream_counts_equal_batch_counts(spark):
