@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
+from . import convrepair, langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest found of every embedding whose vec_id is divisible by 50."""
     return rpforest.neighbours(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired turns of every conversation, after planted damage."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return convrepair.repair_digests(rows, convrepair.damaged(rows))
