@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import convrepair, langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
+from . import collocations, convrepair, langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,12 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and digest of the repaired turns of every conversation, after planted damage."""
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
     return convrepair.repair_digests(rows, convrepair.damaged(rows))
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of 2 to 5 words that occur 100 times or more."""
+    return collocations.collocations(documents(spark, sf_dir), min_count=100, longest=5, top=2000)
+
+
+ORACLES["op12_phrase_collocations"] = collocations.oracle()
