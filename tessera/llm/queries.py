@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, convrepair, langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
+from . import collocations, convrepair, itq, langid, licenses, mixing, pieces, quality, rpforest, simhash, suffix_dedup, tokenbin, tokencount
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,12 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_phrase_collocations"] = collocations.oracle()
+
+
+@query
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and kept of every embedding, at a cosine of 0.98 within its label."""
+    return itq.near_duplicates(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"), min_cosine=0.98)
+
+
+ORACLES["op11_embedding_near_dedup"] = itq.oracle(0.98)
