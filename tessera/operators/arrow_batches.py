@@ -45,3 +45,21 @@ def list_column(m: np.ndarray) -> pa.Array:
     n, d = m.shape
     offsets = pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32)) if n else pa.array([0], pa.int32())
     return pa.ListArray.from_arrays(offsets, pa.array(m.ravel()))
+
+
+def expand_2(m: np.ndarray) -> np.ndarray:
+    """The degree-2 expansion of every row, in the order of ``vectors.poly_expand_2``:
+    per column k itself, then its products with columns 0 to k."""
+    n, d = m.shape
+    out = np.empty((n, d * (d + 3) // 2))
+    for k in range(d):
+        at = k * (k + 3) // 2
+        out[:, at] = m[:, k]
+        np.multiply(m[:, :k + 1], m[:, k:k + 1], out=out[:, at + 1:at + k + 2])
+    return out
+
+
+def expanded(m: np.ndarray, degree: int) -> np.ndarray:
+    if degree not in (1, 2):
+        raise ValueError("degree is 1 or 2")
+    return m if degree == 1 else expand_2(m)

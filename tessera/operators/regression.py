@@ -104,7 +104,8 @@ def _prepared(df: DataFrame, label: str, features: str, group: str | None) -> Da
 
 
 _WIDTH_KEY = 1 << 24  # key = group * 2^24 + width
-MAX_GROUPS = 4096     # of a grouped pass: each brings d^2 / 2 numbers to the driver
+MAX_GROUPS = 4096     # of a grouped pass, by default: each brings d^2 / 2 numbers to the driver
+ROWS_AT_ONCE = 2048   # that are expanded at a time
 
 
 def _centre(prepared: DataFrame) -> tuple[np.ndarray, float]:
@@ -121,52 +122,63 @@ def _centre(prepared: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def gram_sums(df: DataFrame, label: str = "label", features: str = "features",
-              group: str | None = None, centre: tuple[np.ndarray, float] | None = None) -> DataFrame:
+              group: str | None = None, centre: tuple[np.ndarray, float] | None = None, degree: int = 1) -> DataFrame:
     """Per-task partial sums of ``[upper-triangle U'U, U'v, sum u, sum v, v'v, n]``,
     one block vector per group and task, keyed ``(key, blk, salt, part)`` with
     ``key = group * 2^24 + width``.  A task emits a handful of rows whatever
-    its size, and partial aggregation happens before the shuffle."""
+    its size, and partial aggregation happens before the shuffle.
+
+    With ``degree=2`` the rows stay as wide as they are: they are expanded inside the
+    task, some at a time.  The sums are then far larger than a row, so scan tasks
+    are combined, without a shuffle, to one for each core, and each emits its blocks once."""
     prepared = _prepared(df, label, features, group)
-    shared = Shared(df.sparkSession, centre or _centre(prepared)).handle
+    x, y = centre or _centre(prepared)
+    shared = Shared(df.sparkSession, (AB.expanded(x[None, :], degree)[0], y)).handle
+    width = len(x)
+    if degree > 1:
+        prepared = prepared.coalesce(df.sparkSession.sparkContext.defaultParallelism)
 
     def per_task(batches):
         c, c0 = shared.value
         d = len(c)
         acc: dict[int, list] = {}
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            grp = AB.vector(batch, "grp", np.int64)
-            v_all = AB.vector(batch, "y") - c0
-            u_all = AB.matrix(batch, "x", d) - c
-            if np.isnan(v_all).any():
-                raise ValueError("labels that are not numbers")
-            for g in np.unique(grp):
-                sel = grp == g
-                U, v = (u_all, v_all) if sel.all() else (u_all[sel], v_all[sel])
-                cur = acc.setdefault(int(g), [np.zeros((d, d)), np.zeros(d), np.zeros(d), 0.0, 0.0, 0.0])
-                for i, part in enumerate((U.T @ U, U.T @ v, U.sum(axis=0), float(v.sum()), float(v @ v), float(len(v)))):
-                    cur[i] = cur[i] + part
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE if degree > 1 else max(batch.num_rows, 1)):
+                part = batch.slice(lo, ROWS_AT_ONCE) if degree > 1 else batch
+                grp = AB.vector(part, "grp", np.int64)
+                v_all = AB.vector(part, "y") - c0
+                if np.isnan(v_all).any():
+                    raise ValueError("labels that are not numbers")
+                u_all = AB.expanded(AB.matrix(part, "x", width), degree) - c
+                for g in np.unique(grp):
+                    sel = grp == g
+                    U, v = (u_all, v_all) if sel.all() else (u_all[sel], v_all[sel])
+                    cur = acc.setdefault(int(g), [np.zeros((d, d)), np.zeros(d), np.zeros(d), 0.0, 0.0, 0.0])
+                    for i, add in enumerate((U.T @ U, U.T @ v, U.sum(axis=0), float(v.sum()), float(v @ v), float(len(v)))):
+                        cur[i] += add
         iu, ju = np.triu_indices(d)
-        for g, (uu, uv, su, sv, vv, n) in acc.items():
+        for g in list(acc):
+            uu, uv, su, sv, vv, n = acc.pop(g)
             yield emit_blocks(np.concatenate([uu[iu, ju], uv, su, [sv, vv, n]]), key=g * _WIDTH_KEY + d)
 
     return prepared.mapInArrow(per_task, BLOCK_SCHEMA)
 
 
 def gram_stats(df: DataFrame, label: str = "label", features: str = "features",
-               group: str | None = None) -> dict[int, GramStats]:
+               group: str | None = None, degree: int = 1, max_groups: int = MAX_GROUPS) -> dict[int, GramStats]:
     """The summary per group (key 0 without one): ``#groups x d^2 / 2`` numbers
-    reach the driver, bounded by the width and ``MAX_GROUPS``."""
+    reach the driver, bounded by the (expanded) width and ``max_groups``; more
+    groups are an error before the pass begins."""
     prepared = _prepared(df, label, features, group)
-    c, c0 = _centre(prepared)
-    if group and (found := prepared.agg(F.approx_count_distinct("grp")).first()[0]) > MAX_GROUPS:
-        raise ValueError(f"about {found} groups; at most {MAX_GROUPS} summaries fit the driver")
+    x, c0 = _centre(prepared)
+    if group and (found := prepared.agg(F.approx_count_distinct("grp")).first()[0]) > max_groups:
+        raise ValueError(f"about {found} groups; at most {max_groups} summaries fit the driver")
+    c = AB.expanded(x[None, :], degree)[0]
     out: dict[int, GramStats] = {}
     d = len(c)
     t = d * (d + 1) // 2
     iu, ju = np.triu_indices(d)
-    for key, s in sum_blocks(gram_sums(df, label, features, group, (c, c0))).items():
+    for key, s in sum_blocks(gram_sums(df, label, features, group, (x, c0), degree)).items():
         uu = np.zeros((d, d))
         uu[iu, ju] = uu[ju, iu] = s[:t]
         uv, su = s[t:t + d].copy(), s[t + d:t + 2 * d].copy()
@@ -175,6 +187,15 @@ def gram_stats(df: DataFrame, label: str = "label", features: str = "features",
     return out
 
 
+def added(per_group: dict[int, GramStats]) -> GramStats:
+    """The sums of all groups, in the order of their keys."""
+    keys = sorted(per_group)
+    total = per_group[keys[0]]
+    for g in keys[1:]:
+        total = total + per_group[g]
+    return total
+
+
 # ------------------------------------------------------------- descent rounds --
 
 def _step(w, gradient, n, i, alpha):
@@ -204,7 +225,7 @@ def descend(stats: GramStats, iters: int, alpha: float = 1.0,
     return w, err, kept
 
 
-def gradient_pass(df: DataFrame, W: np.ndarray, label: str = "y", features: str = "x"):
+def gradient_pass(df: DataFrame, W: np.ndarray, label: str = "y", features: str = "x", degree: int = 1):
     """One distributed job for the runs ``W`` (runs x d): per run the sums of
     ``(w.x - y) x`` and ``(w.x - y)^2``, and the number of rows."""
     W = np.atleast_2d(np.asarray(W, dtype=np.float64))
@@ -215,14 +236,14 @@ def gradient_pass(df: DataFrame, W: np.ndarray, label: str = "y", features: str
     def per_task(batches):
         W = weights.value
         g, sse, n = np.zeros((runs, d)), np.zeros(runs), 0.0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = AB.matrix(batch, features, d)
-            R = X @ W.T - AB.vector(batch, label)[:, None]
-            g += R.T @ X
-            sse += (R * R).sum(axis=0)
-            n += len(X)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(lo, ROWS_AT_ONCE)
+                X = AB.expanded(AB.matrix(batch, features, d if degree == 1 else None), degree)
+                R = X @ W.T - AB.vector(batch, label)[:, None]
+                g += R.T @ X
+                sse += (R * R).sum(axis=0)
+                n += len(X)
         yield emit_blocks(np.concatenate([g.ravel(), sse, [n]]))
 
     try:
@@ -232,36 +253,41 @@ def gradient_pass(df: DataFrame, W: np.ndarray, label: str = "y", features: str
     return v[:runs * d].reshape(runs, d), v[runs * d:-1], float(v[-1])
 
 
-def descend_distributed(df: DataFrame, iters: int, alpha: float = 1.0):
+def descend_distributed(df: DataFrame, iters: int, alpha: float = 1.0, degree: int = 1):
     """The same rounds with one gradient job per round over persisted rows
     (``y``, ``x``): nothing wider than ``d`` leaves a task."""
-    d = len(_centre(df)[0])
+    d = AB.expanded(_centre(df)[0][None, :], degree).shape[1]
     w = np.zeros(d)
     err = np.empty(iters)
     for i in range(iters):
-        g, sse, n = gradient_pass(df, w)
+        g, sse, n = gradient_pass(df, w, degree=degree)
         err[i] = math.sqrt(sse[0] / n)
         w = _step(w, g[0], n, i, alpha)
     return w, err
 
 
-def fold_errors(df: DataFrame, weights: dict[int, np.ndarray], label: str, features: str, fold_col: str):
+def fold_errors(df: DataFrame, weights: dict[int, np.ndarray], label: str, features: str, fold_col: str,
+                intercepts: dict[int, np.ndarray] | None = None, degree: int = 1):
     """One pass: per fold the squared errors of its own runs (``weights[fold]``,
-    runs x d) summed over the fold's rows, and its rows: ``{fold: (sse, n)}``."""
-    shared = Shared(df.sparkSession, weights)
+    runs x d, and ``intercepts[fold]``) summed over the fold's rows, and its rows:
+    ``{fold: (sse, n)}``."""
+    shifts = intercepts or {f: np.zeros(len(w)) for f, w in weights.items()}
+    shared = Shared(df.sparkSession, {f: (w, shifts[f]) for f, w in weights.items()})
     runs = len(next(iter(weights.values())))
     handle = shared.handle
 
     def per_task(batches):
         acc: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            grp, y, X = AB.vector(batch, "grp", np.int64), AB.vector(batch, "y"), AB.matrix(batch, "x")
-            for g in np.unique(grp):
-                sel = grp == g
-                R = X[sel] @ handle.value[int(g)].T - y[sel][:, None]
-                acc[int(g)] = acc.get(int(g), 0.0) + np.concatenate([(R * R).sum(axis=0), [sel.sum()]])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(lo, ROWS_AT_ONCE)
+                grp, y = AB.vector(batch, "grp", np.int64), AB.vector(batch, "y")
+                X = AB.expanded(AB.matrix(batch, "x"), degree)
+                for g in np.unique(grp):
+                    sel = grp == g
+                    W, b0 = handle.value[int(g)]
+                    R = X[sel] @ W.T + b0 - y[sel][:, None]
+                    acc[int(g)] = acc.get(int(g), 0.0) + np.concatenate([(R * R).sum(axis=0), [sel.sum()]])
         for g, v in acc.items():
             yield emit_blocks(v, key=g)
 
@@ -277,21 +303,25 @@ def fold_errors(df: DataFrame, weights: dict[int, np.ndarray], label: str, featu
 class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasStepSize):
     solver = Param(Params._dummy(), "solver", "gram: one pass, d x d sums; rounds: a pass per round, d sums",
                    typeConverter=TypeConverters.toString)
+    degree = Param(Params._dummy(), "degree", "1: the features as they are; 2: with all their products, made inside the pass",
+                   typeConverter=TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(maxIter=100, stepSize=1.0, solver="gram",
+        self._setDefault(maxIter=100, stepSize=1.0, solver="gram", degree=1,
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
 class GDLinearRegression(Estimator, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     """Linear regression without intercept by batch gradient descent
     (``w = 0``, step ``stepSize / (n sqrt(i+1))``, ``maxIter`` rounds).
-    ``solver`` is the caller's choice and never changes with the data."""
+    ``solver`` is the caller's choice and never changes with the data.  With
+    ``degree=2`` rows are read, kept and shuffled at their own width and expanded
+    where the sums are made."""
 
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 maxIter=100, stepSize=1.0, solver="gram"):
+                 maxIter=100, stepSize=1.0, solver="gram", degree=1):
         super().__init__()
         self._set(**self._input_kwargs)
 
@@ -299,13 +329,14 @@ class GDLinearRegression(Estimator, _GDParams, DefaultParamsReadable, DefaultPar
         solver = self.getOrDefault(self.solver)
         if solver not in SOLVERS:
             raise ValueError(f"solver is one of {SOLVERS}")
+        degree = self.getOrDefault(self.degree)
         prepared = _prepared(df, self.getLabelCol(), self.getFeaturesCol(), None).drop("grp")
         if solver == "gram":
-            w, err, _ = descend(gram_stats(prepared, "y", "x")[0], self.getMaxIter(), self.getStepSize())
+            w, err, _ = descend(gram_stats(prepared, "y", "x", degree=degree)[0], self.getMaxIter(), self.getStepSize())
         else:
             prepared = materialize(prepared)
             try:
-                w, err = descend_distributed(prepared, self.getMaxIter(), self.getStepSize())
+                w, err = descend_distributed(prepared, self.getMaxIter(), self.getStepSize(), degree)
             finally:
                 release(prepared)
         return self._copyValues(GDLinearRegressionModel(w, err))
@@ -335,14 +366,16 @@ class GDLinearRegressionModel(Model, _GDParams, DefaultParamsReadable, DefaultPa
         return np.array(self.getOrDefault(self.curve), dtype=np.float64)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return with_prediction(df, self.weights, self.getFeaturesCol(), self.getPredictionCol())
+        return with_prediction(df, self.weights, self.getFeaturesCol(), self.getPredictionCol(), degree=self.getOrDefault(self.degree))
 
 
-def with_prediction(df: DataFrame, weights, features: str, out: str = "prediction") -> DataFrame:
-    """``df`` with ``w . x`` added; the weights come as a broadcast one-row
-    table, not as literals in the plan."""
+def with_prediction(df: DataFrame, weights, features: str, out: str = "prediction", intercept: float = 0.0, degree: int = 1) -> DataFrame:
+    """``df`` with ``w . x`` (and the intercept) added; the weights come as a
+    broadcast one-row table, not as literals in the plan."""
     one = df.sparkSession.createDataFrame([([float(v) for v in weights],)], "__w array<double>")
-    return df.crossJoin(F.broadcast(one)).withColumn(out, V.dot("__w", as_array_col(df, features))).drop("__w")
+    x = as_array_col(df, features)
+    value = V.dot("__w", x if degree == 1 else V.poly_expand_2(x))
+    return df.crossJoin(F.broadcast(one)).withColumn(out, value + F.lit(float(intercept)) if intercept else value).drop("__w")
 
 
 # -------------------------------------------------------------------- metrics --
@@ -392,9 +425,7 @@ def cv_one_pass(df: DataFrame, fold_col: str, grid: list[dict], label: str = "la
     folds = sorted(per_fold)
     if len(folds) < 2:
         raise ValueError("cross-validation needs at least two non-empty folds")
-    total = per_fold[folds[0]]
-    for f in folds[1:]:
-        total = total + per_fold[f]
+    total = added(per_fold)
     points = _grid_points(grid)
     weights = {f: np.zeros((len(grid), total.d)) for f in folds}
     for (name, alpha), rounds in points.items():

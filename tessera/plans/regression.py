@@ -1,31 +1,27 @@
-"""Regression jobs: stages and pipelines, the one-pass gradient descent,
-cross-validation from one scan, and MLlib's own estimators."""
+"""Regression jobs: stages and pipelines, the one-pass gradient descent, the elastic
+net, and cross-validation from one scan."""
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import RegexTokenizer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tessera.functions import vectors as V
+from tessera.operators import elastic as EL
 from tessera.operators import regression as RG
 from tessera.operators import stages as S
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
-from tessera.plans.gd_sql import (cv_cte, elastic_cte, gd_cte, gd_error_curve_sql,
-                                  gd_predict_sql, gd_weights_sql)
+from tessera.plans.gd_sql import (cv_cte, elastic_cte, gd_cte, gd_error_curve_sql, gd_predict_sql, gd_weights_sql,
+                                  path_cte, path_points_cte, proximal_cte, proximal_points_cte)
 from tessera.plans.registry import register
-from tessera.session import materialize, release, table
+from tessera.session import table
 
 D = 64            # all elements of an embedding
 D2 = D * (D + 3) // 2  # and of their degree-2 expansion
 ROUNDS = 100      # rounds of the hand-written descent
-POLY_ROUNDS = 15  # and on the expansion, a setting
 ALPHA = 1.0
 
 
@@ -205,9 +201,9 @@ POLY_TEST = f"SELECT * FROM ({POLY_ROWS}) p WHERE vec_id % 5 >= 4"
 
 
 def poly_stages():
-    return Pipeline(stages=prep_stages(features_out="npFeatures") + [
-        S.PolyExpand2(inputCol="npFeatures", outputCol="features"),
-        RG.GDLinearRegression(maxIter=POLY_ROUNDS, stepSize=ALPHA, solver="rounds")])
+    """The expansion is part of the learner: rows keep 64 features up to the sums
+    and are expanded to 2,144 where these are made."""
+    return Pipeline(stages=prep_stages() + [RG.GDLinearRegression(maxIter=ROUNDS, stepSize=ALPHA, degree=2)])
 
 
 def _fit_poly(spark, sf_dir):
@@ -216,13 +212,13 @@ def _fit_poly(spark, sf_dir):
     return poly_stages().fit(train), test
 
 
-@register("gd_poly_fit", gd_weights_sql(POLY_TRAIN, D2, POLY_ROUNDS, ALPHA))
+@register("gd_poly_fit", gd_weights_sql(POLY_TRAIN, D2, ROUNDS, ALPHA))
 def gd_poly_fit(spark, sf_dir):
     model, _ = _fit_poly(spark, sf_dir)
     return _weights_df(spark, model.stages[-1].weights)
 
 
-@register("gd_test_predictions", gd_predict_sql(POLY_TRAIN, POLY_TEST, D2, POLY_ROUNDS, ALPHA))
+@register("gd_test_predictions", gd_predict_sql(POLY_TRAIN, POLY_TEST, D2, ROUNDS, ALPHA))
 def gd_test_predictions(spark, sf_dir):
     model, test = _fit_poly(spark, sf_dir)
     return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
@@ -310,76 +306,151 @@ def cv_best(spark, sf_dir):
     return _cv_result(spark, sf_dir).orderBy("avg_rmse", "grid_id").limit(1)
 
 
-# -- R13: polynomial features inside the search (degree 1 vs 2, same scan) -----------
+# -- R11-R13: the elastic net searched over iterations and penalties -----------------
 
-POLY_GRID = [{"degree": d, "rounds": r} for d in (1, 2) for r in (5, 10)]
-CV_POLY_ROWS = f"""SELECT CAST(dg.degree AS INTEGER) AS s, CAST(vec_id % 3 AS INTEGER) AS fold, y,
-       CASE WHEN dg.degree = 1 THEN x ELSE {poly_sql('x')} END AS x
-FROM ({TRAIN_SQL}) e, (VALUES (1), (2)) dg(degree)"""
+NET_ITERS = [10, 50, 100, 150, 200, 250]
+NET_REGS = [0.1, 0.25, 0.4, 0.6, 0.75, 0.9]
+NET_MIX = 0.1
+NET_FALL = sorted(NET_REGS, reverse=True)  # the path's order
+POLY_FOLDS = 3
 
 
-@register("cv_poly", cv_cte(CV_POLY_ROWS, "SELECT v, v AS s, 1.0::DOUBLE AS alpha FROM (VALUES (1), (2)) t(v)", 10) + f"""
-SELECT CAST(g.grid_id AS INTEGER) AS grid_id, CAST(g.degree AS INTEGER) AS degree,
-       CAST(g.rounds AS INTEGER) AS rounds, round(avg(val.rmse), 6) + 0.0 AS avg_rmse
-FROM val JOIN (VALUES {_grid_values(POLY_GRID, ['degree', 'rounds'])}) g(grid_id, degree, rounds)
-  ON g.degree = val.v AND g.rounds = val.rounds
-GROUP BY g.grid_id, g.degree, g.rounds""")
+def _held_sql(rows: str, folds: int) -> str:
+    """Training rows of every fold s (key % folds <> s) and all of them (s = -1)."""
+    return f"SELECT f.s, vec_id AS id, y, x FROM ({rows}) t, (SELECT unnest(range(-1, {folds})) AS s) f WHERE f.s = -1 OR t.vec_id % {folds} <> f.s"
+
+
+def _grid_sql(rows: str, folds: int, more: str) -> str:
+    """``res``: a row per grid point, after ``ap``."""
+    points = ", ".join(f"({i}, {g['maxIter']}, {NET_FALL.index(g['regParam'])}, {g['regParam']!r}::DOUBLE)" for i, g in enumerate(EL.elastic_grid(NET_ITERS, NET_REGS)))
+    return f"""
+, er AS MATERIALIZED (SELECT ap.s, ap.g, ap.m, {more} sqrt(avg(power(t.y - list_dot_product(t.x, ap.w) - ap.b0, 2))) AS rmse
+    FROM ap JOIN ({rows}) t ON t.vec_id % {folds} = ap.s WHERE ap.s >= 0 GROUP BY ALL)
+, pt AS (SELECT * FROM (VALUES {points}) p(grid_id, m, g, reg))
+"""
+
+
+NET_CTE = path_cte(_held_sql(TRAIN_SQL, CV_FOLDS), D, NET_FALL, NET_MIX, max(NET_ITERS), EL.TOL) + "," + path_points_cte(NET_ITERS) + _grid_sql(TRAIN_SQL, CV_FOLDS, "ap.k, ap.done,") + """
+, res AS (SELECT CAST(pt.grid_id AS INTEGER) AS grid_id, CAST(pt.m AS INTEGER) AS max_iter, pt.reg AS reg_param, round(avg(rmse), 6) + 0.0 AS avg_rmse,
+            round(avg(er.k), 6) + 0.0 AS iterations, CAST(sum(CAST(er.done AS INTEGER)) AS INTEGER) AS converged
+          FROM pt JOIN er ON er.m = pt.m AND er.g = pt.g GROUP BY ALL)"""
+POLY_ALL = f"SELECT vec_id, CAST(label AS DOUBLE) AS y, {poly_sql('x')} AS x FROM (SELECT vec_id, label, {X_SQL} AS x FROM embeddings) e"
+POLY_CTE = proximal_cte(_held_sql(f"{POLY_ALL} WHERE vec_id % 5 < 4", POLY_FOLDS), D2, NET_FALL, NET_MIX, max(NET_ITERS)) + "," + proximal_points_cte(NET_ITERS) + _grid_sql(f"{POLY_ALL} WHERE vec_id % 5 < 4", POLY_FOLDS, "") + """
+, res AS (SELECT CAST(pt.grid_id AS INTEGER) AS grid_id, CAST(pt.m AS INTEGER) AS max_iter, pt.reg AS reg_param, round(avg(rmse), 6) + 0.0 AS avg_rmse
+          FROM pt JOIN er ON er.m = pt.m AND er.g = pt.g GROUP BY ALL)"""
+
+
+def _best_sql(all_rows: str, digits: int = 6) -> str:
+    return f"""
+, best AS (SELECT * FROM res ORDER BY avg_rmse, grid_id LIMIT 1)
+, bw AS (SELECT ap.w, ap.b0 FROM ap JOIN pt ON pt.m = ap.m AND pt.g = ap.g JOIN best USING (grid_id) WHERE ap.s = -1)
+, pd AS (SELECT vec_id, y, list_dot_product(x, bw.w) + bw.b0 AS p FROM ({all_rows}) t, bw)"""
+
+
+_PREDICT_SQL = "SELECT vec_id, y AS label, round(p, 6) + 0.0 AS prediction FROM pd WHERE vec_id % 5 >= 4"
+_SUMMARY_SQL = """SELECT grid_id, max_iter, reg_param, avg_rmse, (SELECT round(sqrt(avg(power(y - p, 2))), 6) + 0.0 FROM pd WHERE vec_id % 5 < 4) AS train_rmse,
+  (SELECT round(sqrt(avg(power(y - p, 2))), 6) + 0.0 FROM pd WHERE vec_id % 5 >= 4) AS test_rmse, CAST(len(bw.w) AS INTEGER) AS num_features,
+  CAST(len(list_filter(bw.w, lambda v: abs(v) > 1e-9)) AS INTEGER) AS num_nonzero FROM best, bw"""
+
+
+def _net_search(spark, sf_dir, folds, degree):
+    rows = _train(spark, sf_dir).withColumn("fold", F.pmod("vec_id", F.lit(folds)).cast("int"))
+    solver = "coordinate" if degree == 1 else "proximal"
+    return EL.search(rows, "fold", NET_ITERS, NET_REGS, NET_MIX, "label", "x", degree, solver)
+
+
+def _net_grid(spark, res, *more):
+    cols = {"iterations": "iterations double", "converged": "converged int"}
+    rows = [(int(t.grid_id), int(t.maxIter), float(t.regParam), float(round(t.avg_rmse, 6)) + 0.0,
+             *[float(round(t.iterations, 6)) if c == "iterations" else int(t.converged) for c in more]) for t in res.itertuples()]
+    return spark.createDataFrame(rows, ", ".join(["grid_id int, max_iter int, reg_param double, avg_rmse double", *[cols[c] for c in more]]))
+
+
+def _net_predictions(spark, sf_dir, model):
+    _, test = RG.key_split(I.embedding_rows(spark, sf_dir), "vec_id")
+    return model.transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
+
+
+def _net_summary(spark, sf_dir, best, model):
+    part = F.pow(F.col("label") - F.col("prediction"), 2)
+    out = model.transform(I.embedding_rows(spark, sf_dir)).agg(
+        _r6(F.sqrt(F.avg(F.when(RG.in_train("vec_id"), part)))).alias("train_rmse"),
+        _r6(F.sqrt(F.avg(F.when(~RG.in_train("vec_id"), part)))).alias("test_rmse"))
+    return out.select(F.lit(int(best["grid_id"])).alias("grid_id"), F.lit(int(best["maxIter"])).alias("max_iter"), F.lit(float(best["regParam"])).alias("reg_param"),
+                      F.lit(float(round(best["avg_rmse"], 6)) + 0.0).alias("avg_rmse"), "train_rmse", "test_rmse",
+                      F.lit(model.numFeatures).alias("num_features"), F.lit(int((np.abs(model.weights) > 1e-9).sum())).alias("num_nonzero"))
+
+
+@register("cv_elastic", NET_CTE + " SELECT * FROM res")
+def cv_elastic(spark, sf_dir):
+    """6 x 6 settings and 6 folds from two passes; sweeps made and folds whose
+    duality gap closed show what the limit on the iterations does."""
+    return _net_grid(spark, _net_search(spark, sf_dir, CV_FOLDS, 1)[0], "iterations", "converged")
+
+
+@register("cv_elastic_best", NET_CTE + _best_sql(ALL_SQL) + _SUMMARY_SQL)
+def cv_elastic_best(spark, sf_dir):
+    """The best setting, fitted to all training rows, with its errors on both parts."""
+    _, best, model = _net_search(spark, sf_dir, CV_FOLDS, 1)
+    return _net_summary(spark, sf_dir, best, model)
+
+
+@register("cv_elastic_test_predictions", NET_CTE + _best_sql(ALL_SQL) + _PREDICT_SQL)
+def cv_elastic_test_predictions(spark, sf_dir):
+    return _net_predictions(spark, sf_dir, _net_search(spark, sf_dir, CV_FOLDS, 1)[2])
+
+
+@register("cv_poly", POLY_CTE + " SELECT * FROM res")
 def cv_poly(spark, sf_dir):
-    """3 folds over all elements and their whole expansion; 10 rounds, a setting."""
-    r = _train(spark, sf_dir).select("label", I.fold_of("vec_id").alias("fold"), V.poly_expand_2("x").alias("x"))
-    grid = [{"features": f"deg{g['degree']}", "rounds": g["rounds"], "alpha": 1.0, "degree": g["degree"]}
-            for g in POLY_GRID]
-    # element k of a row is number k (k + 3) / 2 of its expansion
-    first = [k * (k + 3) // 2 for k in range(D)]
-    r = materialize(r)
-    try:
-        res = RG.cv_rounds(r, "fold", grid, "label", "x", feature_sets={"deg1": first, "deg2": list(range(D2))})
-    finally:
-        release(r)
-    rows = [(int(t.grid_id), int(t.degree), int(t.rounds), float(round(t.avg_rmse, 6)) + 0.0)
-            for t in res.itertuples()]
-    return spark.createDataFrame(rows, "grid_id int, degree int, rounds int, avg_rmse double")
+    """6 x 6 settings and 3 folds over the whole degree-2 expansion (2,144 columns): one
+    pass for the Gram sums, one for the held-out errors."""
+    return _net_grid(spark, _net_search(spark, sf_dir, POLY_FOLDS, 2)[0])
 
 
-# -- R3/R4 with MLlib: elastic net, ordinary least squares, summary, CV ---------------
+@register("cv_poly_summary", POLY_CTE + _best_sql(POLY_ALL) + _SUMMARY_SQL)
+def cv_poly_summary(spark, sf_dir):
+    _, best, model = _net_search(spark, sf_dir, POLY_FOLDS, 2)
+    return _net_summary(spark, sf_dir, best, model)
 
-def _ml_rows(spark, sf_dir):
-    r = I.embedding_rows(spark, sf_dir)
-    return r.select("vec_id", "label", array_to_vector("x").alias("features"))
+
+@register("cv_poly_test_predictions", POLY_CTE + _best_sql(POLY_ALL) + _PREDICT_SQL)
+def cv_poly_test_predictions(spark, sf_dir):
+    return _net_predictions(spark, sf_dir, _net_search(spark, sf_dir, POLY_FOLDS, 2)[2])
 
 
-def _elastic(max_iter=200, reg=0.1, mix=0.1):
-    """Fits that end by convergence: within about 3e-4 of the optimum whatever the
-    tolerance, so their results are compared to one to three decimals."""
-    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=mix, tol=1e-10)
+# -- R3/R4: elastic net with its summary, ordinary least squares -----------------------
 
+def _elastic():
+    return EL.ElasticNetRegression(featuresCol="x", labelCol="label", maxIter=50, regParam=0.1, elasticNetParam=0.1)
 
-ELASTIC_SQL = elastic_cte(f"SELECT 0 AS s, y, x FROM ({TRAIN_SQL}) t", "SELECT 0 AS v, 0 AS s, 0.1::DOUBLE AS reg, 0.1::DOUBLE AS mix", D, 400)
+
+ELASTIC_SQL = elastic_cte(f"SELECT 0 AS s, y, x FROM ({TRAIN_SQL}) t", "SELECT 0 AS v, 0 AS s, 0.1::DOUBLE AS reg, 0.1::DOUBLE AS mix", D, 800)
 _FIT_SQL = "list_dot_product(t.x, en.w) + en.b0"
 
 
 @register("linreg_elastic", ELASTIC_SQL + f"""
-SELECT t.vec_id, t.y AS label, round({_FIT_SQL}, 1) + 0.0 AS prediction FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en""")
+SELECT t.vec_id, t.y AS label, round({_FIT_SQL}, 6) + 0.0 AS prediction FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en""")
 def linreg_elastic(spark, sf_dir):
-    train, test = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
-    model = _elastic().fit(train)
-    return model.transform(test).select("vec_id", "label", (F.round("prediction", 1) + F.lit(0.0)).alias("prediction"))
+    """Coordinate descent on the Gram sums until its duality gap closes; the SQL
+    takes proximal gradient rounds to the same optimum."""
+    train, test = RG.key_split(I.embedding_rows(spark, sf_dir), "vec_id")
+    return _elastic().fit(train).transform(test).select("vec_id", "label", _r6(F.col("prediction")).alias("prediction"))
 
 
 @register("linreg_summary", ELASTIC_SQL + f"""
-SELECT (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 3) + 0.0 FROM ({TRAIN_SQL}) t, en) AS train_rmse,
-       (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 3) + 0.0 FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en) AS test_rmse,
-       200 AS max_iter, 0.1::DOUBLE AS reg_param, {D} AS num_features,
+SELECT (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 6) + 0.0 FROM ({TRAIN_SQL}) t, en) AS train_rmse,
+       (SELECT round(sqrt(avg(power(y - ({_FIT_SQL}), 2))), 6) + 0.0 FROM ({ALL_SQL} WHERE vec_id % 5 >= 4) t, en) AS test_rmse,
+       50 AS max_iter, 0.1::DOUBLE AS reg_param, {D} AS num_features,
        (SELECT CAST(len(list_filter(w, lambda v: abs(v) > 1e-9)) AS INTEGER) FROM en) AS num_nonzero""")
 def linreg_summary(spark, sf_dir):
-    train, test = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
+    train, _ = RG.key_split(I.embedding_rows(spark, sf_dir), "vec_id")
     model = _elastic().fit(train)
-    test_rmse = RegressionEvaluator(metricName="rmse").evaluate(model.transform(test))
-    return spark.createDataFrame(
-        [(round(float(model.summary.rootMeanSquaredError), 3), round(float(test_rmse), 3), int(model.getMaxIter()),
-          float(model.getRegParam()), int(model.numFeatures), int((np.abs(model.coefficients.toArray()) > 1e-9).sum()))],
-        "train_rmse double, test_rmse double, max_iter int, reg_param double, "
-        "num_features int, num_nonzero int")
+    part = F.pow(F.col("label") - F.col("prediction"), 2)
+    out = model.transform(I.embedding_rows(spark, sf_dir)).agg(
+        _r6(F.sqrt(F.avg(F.when(RG.in_train("vec_id"), part)))).alias("train_rmse"),
+        _r6(F.sqrt(F.avg(F.when(~RG.in_train("vec_id"), part)))).alias("test_rmse"))
+    return out.select("train_rmse", "test_rmse", F.lit(model.getMaxIter()).alias("max_iter"), F.lit(model.getRegParam()).alias("reg_param"),
+                      F.lit(model.numFeatures).alias("num_features"), F.lit(int((np.abs(model.weights) > 1e-9).sum())).alias("num_nonzero"))
 
 
 @register("linreg_ols", """
@@ -395,40 +466,3 @@ def linreg_ols(spark, sf_dir):
     return spark.createDataFrame(
         [(float(round(m.coefficients[0], 4)) + 0.0, float(round(m.intercept, 4)) + 0.0)],
         "slope double, intercept double")
-
-
-ML_ITERS = [100, 120, 140, 160, 180, 200]
-ML_REGS = [0.05, 0.1, 0.2, 0.3, 0.5, 0.9]
-ML_GRID = [(m, r) for m in ML_ITERS for r in ML_REGS]
-
-
-def _ml_cv_sql() -> str:
-    folds = f"range({CV_FOLDS}) f(f)"
-    rows = f"SELECT f.f AS s, y, x FROM ({TRAIN_SQL}) t, {folds} WHERE vec_id % {CV_FOLDS} <> f.f"
-    regs = ", ".join(f"({i}, {r})" for i, r in enumerate(ML_REGS))
-    fits = f"SELECT f.f * 100 + i AS v, f.f AS s, r::DOUBLE AS reg, 0.1::DOUBLE AS mix FROM {folds}, (VALUES {regs}) g(i, r)"
-    grid = ", ".join(f"({i}, {m}, {r})" for i, (m, r) in enumerate(ML_GRID))
-    return elastic_cte(rows, fits, D, 400) + f"""
-, er AS (SELECT en.v % 100 AS i, en.s, sqrt(avg(power(y - ({_FIT_SQL}), 2))) AS rmse
-         FROM en JOIN ({TRAIN_SQL}) t ON t.vec_id % {CV_FOLDS} = en.s GROUP BY en.v, en.s)
-SELECT CAST(g.id AS INTEGER) AS grid_id, CAST(g.m AS INTEGER) AS max_iter, CAST(g.r AS DOUBLE) AS reg_param, round(avg(er.rmse), 2) + 0.0 AS avg_rmse
-FROM er JOIN (VALUES {regs}) q(i, r) ON q.i = er.i JOIN (VALUES {grid}) g(id, m, r) ON g.r = q.r GROUP BY g.id, g.m, g.r"""
-
-
-@register("cv_mllib", _ml_cv_sql())
-def cv_mllib(spark, sf_dir):
-    """MLlib's search over 6 x 6 settings and 6 folds of shared, persisted rows;
-    every setting of maxIter lets the fits converge."""
-    rows, _ = RG.key_split(_ml_rows(spark, sf_dir), "vec_id")
-    rows = materialize(rows.withColumn("fold", F.pmod("vec_id", F.lit(CV_FOLDS)).cast("int")))
-    lr = _elastic()
-    grid = ParamGridBuilder().addGrid(lr.maxIter, ML_ITERS).addGrid(lr.regParam, ML_REGS).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(),
-                        numFolds=CV_FOLDS, foldCol="fold", parallelism=8)
-    try:
-        cvm = cv.fit(rows)
-    finally:
-        release(rows)
-    out = [(i, int(pm[lr.maxIter]), float(pm[lr.regParam]), round(float(m), 2))
-           for i, (pm, m) in enumerate(zip(grid, cvm.avgMetrics))]
-    return spark.createDataFrame(out, "grid_id int, max_iter int, reg_param double, avg_rmse double")

@@ -191,20 +191,3 @@ def test_block_sums_are_spark_aggregates_in_two_levels(spark):
     parts = RG.gram_sums(I.embedding_rows(spark, SF, 8).repartition(5), "label", "x")
     plan = block_sums(parts)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ObjectHashAggregate") == 4 and "salt" in plan
-
-
-def test_mllib_search_is_the_library_search(spark):
-    """The registered search equals fits made one by one."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-
-    from tessera.plans import regression as PR
-
-    rows, _ = RG.key_split(PR._ml_rows(spark, SF), "vec_id")
-    m, reg = PR.ML_GRID[7]
-    scores = []
-    for f in range(PR.CV_FOLDS):
-        held = F.pmod("vec_id", F.lit(PR.CV_FOLDS)) == f
-        fit = PR._elastic(max_iter=m, reg=reg).fit(rows.filter(~held))
-        scores.append(RegressionEvaluator().evaluate(fit.transform(rows.filter(held))))
-    got = PR.cv_mllib(spark, SF).filter("grid_id = 7").first()
-    assert (got.max_iter, got.reg_param) == (m, reg) and abs(got.avg_rmse - np.mean(scores)) < 6e-3
