@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
+from tessera.operators.batches import batch_of, store_batches  # noqa: F401
 from tessera.operators.stages import as_array_col
 
 EPS = 1e-5  # the constant inside log(p + eps) of the first classifier's loss
@@ -37,12 +38,6 @@ def stepped_rate_col(rate, step_col, decay_steps: int, decay_rate: float):
     return F.lit(rate) * F.pow(F.lit(decay_rate), F.floor(F.col(step_col) / F.lit(decay_steps)))
 
 
-def batch_of(key: str, size: int):
-    """The batch of a row, ``key div size`` in whole numbers (a quotient of
-    doubles would lose the digits of keys above 2^53)."""
-    return F.expr(f"cast(`{key}` as bigint) div {int(size)}")
-
-
 def softmax_np(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=-1, keepdims=True)
     e = np.exp(z)
@@ -128,8 +123,8 @@ def softmax_pass(rows: DataFrame, Ws: np.ndarray, bs: np.ndarray, eps: float | N
     finally:
         shared.release()
     v = total.get(0)
-    if v is None:
-        raise ValueError("no rows")
+    if v is None:  # not even an empty task
+        v = np.zeros((R * (d + 1) * c if with_grad else 0) + (3 * R + 1) * S)
     out, o = {}, 0
     if with_grad:
         out["gW"] = v[o:o + R * d * c].reshape(R, d, c)
@@ -182,9 +177,9 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     """Train every run for ``rounds`` rounds from zero weights; the gradient
     is the mean over the round's rows.  With ``batch_size`` the batch of a
     row is ``k div batch_size`` (its key) and round ``i`` uses batch
-    ``min + i mod (max - min + 1)``; the filter runs on the persisted rows,
-    so a round reads its batch, not the source.  (Small batches suit one
-    machine; on a cluster the full-batch form is the efficient one.)
+    ``min + i mod (max - min + 1)``; the rows are first stored by batch
+    (``operators.batches``), so a round opens its batch only.  (Small batches suit
+    one machine; on a cluster the full-batch form is the efficient one.)
 
     Evaluation shares the training scan: the rows of every eval set ride
     along in each round's pass (split ids 1..), which yields their metrics
@@ -202,18 +197,15 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     adams = {r: _Adam([(d, c), (c,)]) for r, run in enumerate(runs) if run.optimizer == "adam"}
     names = list(eval_sets or {})
     S = 1 + len(names)
-    combined = rows.withColumn("split", F.lit(0))
-    for j, name in enumerate(names):
-        combined = combined.unionByName(eval_sets[name].withColumn("split", F.lit(j + 1)))
+    store = store_batches(rows, "k", batch_size) if batch_size is not None else None
+
+    def source(i, evaluate):
+        src = (store.rows(i) if store else rows).withColumn("split", F.lit(0))
+        for j, name in enumerate(names if evaluate else []):
+            src = src.unionByName(eval_sets[name].withColumn("split", F.lit(j + 1)))
+        return src
+
     wanted = {i + 1 for i in range(rounds) if i % eval_every == 0} if names else set()
-    b_lo = b_span = None
-    if batch_size is not None:
-        # the range of batch ids: one aggregate, two numbers to the driver
-        b = batch_of("k", batch_size)
-        lo_hi = rows.agg(F.min(b), F.max(b)).first()
-        if lo_hi[0] is None:
-            raise ValueError("no training rows")
-        b_lo, b_span = int(lo_hi[0]), int(lo_hi[1]) - int(lo_hi[0]) + 1
     metrics = []
 
     def record(res, after_round):
@@ -223,31 +215,32 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
                 metrics.append((r, after_round, name, res["hits"][j + 1][r] / nn,
                                 res["loss_eps"][j + 1][r] / nn, res["loss_scores"][j + 1][r] / nn))
 
-    for i in range(rounds + (1 if rounds in wanted else 0)):
-        src = combined if i in wanted else rows.withColumn("split", F.lit(0))
-        if batch_size is not None:
-            b = b_lo + i % b_span
-            src = src.filter((F.col("split") != 0)
-                             | (batch_of("k", batch_size) == F.lit(b)))
-        last = i == rounds
-        res = softmax_pass(src, Ws, bs, eps=eps, with_grad=not last, n_splits=S)
-        if i in wanted:
-            record(res, i - 1)
-        if last:
-            break
-        n = res["n"][0] if S > 1 else res["n"]
-        if n == 0:
-            continue  # a batch id with no rows (a gap in the keys): no step
-        if batch_size is not None:
-            own = [res[k][0] if S > 1 else res[k] for k in ("hits", "loss_eps", "loss_scores")]
-            metrics += [(r, i, "batch", *(float(v[r]) / n for v in own)) for r in range(R)]
-        for r, run in enumerate(runs):
-            gW, gb = res["gW"][r] / n, res["gb"][r] / n
-            rate = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
-            if run.optimizer == "adam":
-                Ws[r], bs[r] = adams[r].step([Ws[r], bs[r]], [gW, gb], rate)
-            else:
-                Ws[r], bs[r] = Ws[r] - rate * gW, bs[r] - rate * gb
+    try:
+        for i in range(rounds + (1 if rounds in wanted else 0)):
+            last = i == rounds
+            res = softmax_pass(source(i, i in wanted), Ws, bs, eps=eps, with_grad=not last, n_splits=S)
+            if i in wanted:
+                record(res, i - 1)
+            if last:
+                break
+            n = res["n"][0] if S > 1 else res["n"]
+            if n == 0 and store is None:
+                raise ValueError("no rows")
+            if n == 0:
+                continue  # a batch id with no rows (a gap in the keys): no step
+            if batch_size is not None:
+                own = [res[k][0] if S > 1 else res[k] for k in ("hits", "loss_eps", "loss_scores")]
+                metrics += [(r, i, "batch", *(float(v[r]) / n for v in own)) for r in range(R)]
+            for r, run in enumerate(runs):
+                gW, gb = res["gW"][r] / n, res["gb"][r] / n
+                rate = stepped_rate(run.rate, i, run.decay_steps, run.decay_rate)
+                if run.optimizer == "adam":
+                    Ws[r], bs[r] = adams[r].step([Ws[r], bs[r]], [gW, gb], rate)
+                else:
+                    Ws[r], bs[r] = Ws[r] - rate * gW, bs[r] - rate * gb
+    finally:
+        if store:
+            store.drop()
     metrics.sort(key=lambda t: (t[1], ["batch", *names].index(t[2]), t[0]))
     return Ws, bs, metrics
 

@@ -189,14 +189,14 @@ _BATCH_OWN = eval_sql(f"(SELECT x, label, vec_id // {BATCH} - lo AS b, span FROM
 SELECT CAST(k AS INTEGER) AS round, 'batch' AS split, round(accuracy, 6) + 0.0 AS accuracy, round(loss, 6) + 0.0 AS loss FROM own
 UNION ALL SELECT CAST(k - 1 AS INTEGER), 'test', round(accuracy, 6) + 0.0, round(loss, 6) + 0.0 FROM evt""")
 def softmax_minibatch(spark, sf_dir):
-    """Batches of 100 in turn: metrics of each round's batch before its update,
-    and of the whole test part after it."""
-    train, test = (materialize(r) for r in _train_rows(spark, sf_dir))
+    """Batches of 100 in turn, stored by batch: metrics of each round's batch
+    before its update, and of the whole test part after it."""
+    train, test = _train_rows(spark, sf_dir)
+    test = materialize(test)
     try:
         _, _, metrics = CL.train_softmax(train, [CL.Run(rate=0.5)], BATCH_ROUNDS, D, C, eps=CL.EPS,
                                          eval_sets={"test": test}, batch_size=BATCH)
     finally:
-        release(train)
         release(test)
     rows = [(int(i), split, float(round(a, 6)) + 0.0, float(round(le, 6)) + 0.0)
             for _, i, split, a, le, _ in metrics]
@@ -473,14 +473,28 @@ def conv_stack_scores(spark, sf_dir):
 
 # -- S4: idx image files written from the table and read back --------------------------
 
-@register("src_idx_images", """
+IDX_SQL = """
   SELECT label, list_transform(embedding, lambda v: round(floor(abs(CAST(v AS DOUBLE)) * 255) / 255.0, 6) + 0.0) AS pixels
-  FROM embeddings""")
-def src_idx_images(spark, sf_dir):
+  FROM embeddings"""
+
+
+def _idx_images(spark, sf_dir, compress, records_per_task):
     r = _rows(spark, sf_dir).select(
         F.transform("x", lambda v: F.floor(F.abs(v) * 255).cast("int")).alias("pixels"),
         F.col("label").cast("int").alias("label"))
     path = shared_dir(spark, "idx")
-    idx_src.write_idx(r, path, "pixels", "label", 8, 8)
-    back = idx_src.read_idx(spark, path)
+    idx_src.write_idx(r, path, "pixels", "label", 8, 8, compress=compress)
+    back = idx_src.read_idx(spark, path, records_per_task=records_per_task)
     return drop_at_exit(back.select("label", V.round_array("pixels").alias("pixels")), path)
+
+
+@register("src_idx_images", IDX_SQL)
+def src_idx_images(spark, sf_dir):
+    """gzip files, one task each."""
+    return _idx_images(spark, sf_dir, True, idx_src.RECORDS_PER_TASK)
+
+
+@register("src_idx_ranges", IDX_SQL)
+def src_idx_ranges(spark, sf_dir):
+    """Plain files, a task for every 4,096 records."""
+    return _idx_images(spark, sf_dir, False, 4096)

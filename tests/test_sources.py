@@ -46,6 +46,31 @@ def test_idx_parts_that_do_not_pair_raise(spark):
         idx_src.read_idx(spark, path).collect()
 
 
+def test_one_plain_file_is_many_tasks(spark):
+    import os
+
+    import pytest
+
+    path = shared_dir(spark, "idx-ranges")
+    local = path.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    rng = np.random.default_rng(0)
+    imgs, labels = rng.integers(0, 256, (1000, 5, 3)), rng.integers(0, 10, 1000)
+    for name, blob in (("images-idx3", idx_src.encode_images(imgs)), ("labels-idx1", idx_src.encode_labels(labels)), ("notes", b"other file")):
+        with open(f"{local}/all-{name}-ubyte", "wb") as f:
+            f.write(blob)
+    spark.dataSource.register(idx_src.IdxSource)
+    images = spark.read.format("idx").options(path=path, kind="images", recordsPerTask="128").load()
+    assert images.rdd.getNumPartitions() == 8
+    back = idx_src.read_idx(spark, path, scale=False, records_per_task=128).orderBy("idx").collect()
+    assert [r.idx for r in back] == list(range(1000)) and [r.label for r in back] == labels.tolist()
+    assert np.array_equal(np.array([r.pixels for r in back]), imgs.reshape(1000, 15))
+    with open(f"{local}/cut-images-idx3-ubyte", "wb") as f:
+        f.write(idx_src.encode_images(imgs)[:-1])
+    with pytest.raises(Exception, match="last record"):
+        idx_src.read_idx(spark, path).collect()
+
+
 def test_semicolon_csv_roundtrip(spark):
     cust = spark.read.parquet(f"{SF}/customer.parquet")
     path = shared_dir(spark, "csv-test")
