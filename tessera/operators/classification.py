@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
 from tessera.operators.batches import batch_of, store_batches  # noqa: F401
+from tessera.operators.lbfgs import minimise
 from tessera.operators.stages import as_array_col
 
 EPS = 1e-5  # the constant inside log(p + eps) of the first classifier's loss
@@ -245,6 +246,29 @@ def train_softmax(rows: DataFrame, runs: list[Run], rounds: int, d: int, c: int
     return Ws, bs, metrics
 
 
+def fit_softmax(rows: DataFrame, d: int, c: int = 10, l2: float = 0.0, max_iter: int = 100, tol: float = 1e-9):
+    """Softmax regression to its optimum by L-BFGS from zero weights: mean
+    cross-entropy (from scores) plus ``l2 / 2`` times the squared weights, without the
+    bias.  ``rows`` as in ``softmax_pass``, best persisted.  Returns ``(W, b, Minimum)``."""
+    def parts(x):
+        return x[:d * c].reshape(d, c), x[d * c:]
+
+    def losses(points):
+        Ws, bs = zip(*(parts(x) for x in points))
+        res = softmax_pass(rows, np.stack(Ws), np.stack(bs), with_grad=False)
+        if res["n"] == 0:
+            raise ValueError("no rows")
+        return res["loss_scores"] / res["n"] + np.array([0.5 * l2 * (W * W).sum() for W in Ws])
+
+    def gradient(x):
+        W, b = parts(x)
+        res = softmax_pass(rows, W[None], b[None])
+        return np.concatenate([(res["gW"][0] / res["n"] + l2 * W).ravel(), res["gb"][0] / res["n"]])
+
+    found = minimise(losses, gradient, np.zeros((d + 1) * c), max_iter, tol=tol)
+    return *parts(found.x), found
+
+
 def weights_long(W: np.ndarray, b: np.ndarray, digits: int = 6):
     """``(j, c, w)`` rows with the bias as feature ``j = d``."""
     d, c = W.shape

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.operators import arrow_batches as AB
 from tessera.operators.aggregates import BLOCK_SCHEMA, Shared, emit_blocks, sum_blocks
 from tessera.operators.classification import EPS, _Adam, softmax_np, stepped_rate
+from tessera.operators.lbfgs import Minimum, minimise
 
 
 def _act(name):
@@ -238,3 +239,63 @@ def dense_net_fit(rows: DataFrame, sizes, rounds: int, rate: float, optimizer: s
     nets, metrics = dense_nets_fit(rows, sizes, rounds, [DenseRun(rate, keep_prob, optimizer, decay_steps, decay_rate)],
                                    hidden, seed, first)
     return nets[0], [(i, loss, hits) for _, i, _, loss, hits in metrics]
+
+
+def flat(layers) -> np.ndarray:
+    """All weights in one vector: per layer and output unit its weights, then its bias."""
+    return np.concatenate([np.vstack([W, b]).T.ravel() for W, b in layers])
+
+
+def layered(x: np.ndarray, sizes):
+    """The layers of a vector as ``flat`` makes it."""
+    out, at = [], 0
+    for a, b in zip(sizes[:-1], sizes[1:]):
+        unit = x[at:at + (a + 1) * b].reshape(b, a + 1)
+        out.append((unit[:, :a].T, unit[:, a]))
+        at += (a + 1) * b
+    return out
+
+
+def dense_net_lbfgs(rows: DataFrame, start, max_iter: int, hidden: str = "sigmoid", memory: int = 10, tol: float = 1e-9) -> tuple[list, Minimum]:
+    """Train a dense network on all rows (``label``, ``x``) by L-BFGS from the layers
+    ``start``; the loss is the mean cross-entropy from scores.  Two jobs an iteration:
+    the losses at all tried steps, and the gradient.  ``rows`` are best persisted."""
+    sizes = [start[0][0].shape[0], *[len(b) for _, b in start]]
+    c = sizes[-1]
+
+    def run(points, kernel, width):
+        shared = Shared(rows.sparkSession, [layered(x, sizes) for x in points])
+        nets = shared.handle
+
+        def per_task(batches):
+            total = np.zeros(width + 1)
+            for batch in batches:
+                if batch.num_rows:
+                    X, y = AB.matrix(batch, "x", sizes[0]), AB.vector(batch, "label", np.int64)
+                    total[:-1] += kernel(nets.value, X, y)
+                    total[-1] += len(y)
+            yield emit_blocks(total)
+
+        try:
+            v = sum_blocks(rows.select("label", "x").mapInArrow(per_task, BLOCK_SCHEMA)).get(0, np.zeros(width + 1))
+        finally:
+            shared.release()
+        if not v[-1]:
+            raise ValueError("no training rows")
+        return v[:-1] / v[-1]
+
+    def loss_kernel(nets, X, y):
+        out = []
+        for net in nets:
+            Z = forward_np(X, net, hidden)
+            top = Z.max(axis=1)
+            out.append((top + np.log(np.exp(Z - top[:, None]).sum(axis=1)) - Z[np.arange(len(y)), y]).sum())
+        return np.array(out)
+
+    def gradient_kernel(nets, X, y):
+        return flat(backprop_np(X, y, None, nets[0], hidden, 1.0, 0, 0, c)[0])
+
+    first = flat(start)
+    found = minimise(lambda points: run(points, loss_kernel, len(points)), lambda x: run([x], gradient_kernel, len(first)),
+                     first, max_iter, memory, tol)
+    return layered(found.x, sizes), found

@@ -5,18 +5,19 @@ sweeps, dense networks, convolution and the idx image source."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import classification as CL
 from tessera.operators import conv as CV
+from tessera.operators import lbfgs as LB
 from tessera.operators import networks as NN
 from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
-from tessera.plans.dense_sql import dense_curve_sql, dense_fit_sql
+from tessera.plans.dense_sql import dense_curve_sql, dense_fit_sql, lbfgs_curve_sql, lbfgs_scores_sql
 from tessera.plans.registry import register
 from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte, standard_rows_sql
 from tessera.plans.vectors import EMB, SCORES_SQL
@@ -152,6 +153,19 @@ def softmax_mllib(spark, sf_dir):
                                     F.col("prediction").cast("int").alias("prediction"))
 
 
+@register("softmax_lbfgs", softmax_cte("(0, 3.0, 0, NULL, NULL)", 80, False, l2=ML_L2) + f"""
+SELECT CAST(jj.j AS INTEGER) AS j, CAST(cc.c AS INTEGER) AS c, round(W[cc.c + 1][jj.j + 1], 6) + 0.0 AS w
+FROM sm, range({C}) cc(c), range({D + 1}) jj(j) WHERE k = 80""")
+def softmax_lbfgs(spark, sf_dir):
+    """Own L-BFGS to the optimum, which the SQL reaches by gradient rounds."""
+    train = materialize(_train_rows(spark, sf_dir)[0])
+    try:
+        Wm, b, _ = CL.fit_softmax(train, D, C, l2=ML_L2)
+    finally:
+        release(train)
+    return spark.createDataFrame(CL.weights_long(Wm, b), "j int, c int, w double")
+
+
 # -- C9: batches and the training curve ---------------------------------------------------
 
 @register("minibatch_ids", """
@@ -287,17 +301,35 @@ def mlp_forward_sigmoid(spark, sf_dir):
     return NN.score_rows(_rows(spark, sf_dir), mlp_layers(), hidden="sigmoid")
 
 
-@register("mlp_fit_sigmoid")
-def mlp_fit_sigmoid(spark, sf_dir):
-    r = _rows(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
-    train, test = key_split(r, "vec_id")
-    train = materialize(train)  # L-BFGS reads the rows once per iteration
+_DENSE_ROWS = "SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings WHERE vec_id % 5 < 4"
+_DENSE_TEST = _DENSE_ROWS.replace("% 5 < 4", "% 5 >= 4")
+NEWTON_ITERS = 10  # a setting: the oracle writes every iteration out
+_NEWTON = (MLP_SIZES, NEWTON_ITERS, LB.LADDER, LB.ARMIJO)
+
+
+def _sigmoid_fit(spark, sf_dir):
+    train, _ = _train_rows(spark, sf_dir)
+    train = materialize(train)  # two jobs an iteration read them
     try:
-        m = MultilayerPerceptronClassifier(layers=MLP_SIZES, maxIter=50, seed=7).fit(train)
+        return NN.dense_net_lbfgs(train, mlp_layers(), NEWTON_ITERS, "sigmoid")
     finally:
         release(train)
-    return m.transform(test).select("vec_id", F.col("label").cast("int").alias("label"),
-                                    F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("mlp_fit_sigmoid", lbfgs_scores_sql(_DENSE_ROWS, _DENSE_TEST, *_NEWTON))
+def mlp_fit_sigmoid(spark, sf_dir):
+    """Scores of the test rows after ten L-BFGS iterations from weights by rule."""
+    layers, _ = _sigmoid_fit(spark, sf_dir)
+    _, test = key_split(_rows(spark, sf_dir).withColumn("label", F.col("label").cast("int")), "vec_id")
+    s = NN.score_rows(test, layers, "sigmoid", digits=None, carry=("label",))
+    return s.select("vec_id", "label", V.argmax("scores").alias("prediction"), V.round_array("scores", 5).alias("scores"))
+
+
+@register("mlp_sigmoid_curve", lbfgs_curve_sql(_DENSE_ROWS, *_NEWTON))
+def mlp_sigmoid_curve(spark, sf_dir):
+    """Loss, largest gradient component and step of every iteration."""
+    rows = [(k, float(round(f, 6)) + 0.0, float(round(g, 6)) + 0.0, float(t)) for k, f, g, t in _sigmoid_fit(spark, sf_dir)[1].curve]
+    return spark.createDataFrame(rows, "iteration int, loss double, gradient double, step double")
 
 
 FIT_ROUNDS = 2    # a setting: the oracle writes every round out
@@ -318,9 +350,6 @@ def _dense_fit(spark, sf_dir, keep_prob, decay=(None, None)):
     return spark.createDataFrame(rows, "layer int, i int, o int, w double")
 
 
-_DENSE_ROWS = "SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings WHERE vec_id % 5 < 4"
-
-
 @register("mlp_fit_relu", dense_fit_sql(_DENSE_ROWS, MLP_SIZES, FIT_ROUNDS, FIT_RATE, 1.0, FIT_SEED, None, None))
 def mlp_fit_relu(spark, sf_dir):
     """Weights after two Adam rounds from weights by rule (bias as input ``i = d``)."""

@@ -4,6 +4,7 @@ the rows, and an Adam step."""
 
 from __future__ import annotations
 
+from tessera.operators.lbfgs import SLACK
 from tessera.operators.networks import MASK_MODULUS, MASK_STEPS
 from tessera.plans import weights as W
 
@@ -96,3 +97,88 @@ def dense_curve_sql(rows_sql: str, test_sql: str, sizes: list[int], rounds: int,
 
     rows = [metrics("SELECT * FROM tr", "train", k) for k in range(rounds)] + [metrics(test_sql, "eval", k) for k in range(rounds + 1)]
     return f"WITH {', '.join(parts)} {' UNION ALL '.join(rows)}"
+
+
+def lbfgs_parts(rows_sql: str, sizes: list[int], iterations: int, ladder, armijo: float):
+    """Tables ``t{k}(x, f, g, step)`` of L-BFGS iterations on a sigmoid network, written
+    out one after the other: weights in one list (per layer and unit its weights and its bias), mean
+    cross-entropy, its gradient and the step that led there.  No pairs are dropped."""
+    pairs = list(enumerate(zip(sizes[:-1], sizes[1:]), 1))
+    L, N = len(sizes) - 1, sum((a + 1) * b for a, b in zip(sizes[:-1], sizes[1:]))
+    offs = {l: sum((a + 1) * b for _, (a, b) in pairs[:l - 1]) for l, _ in pairs}
+    parts = [f"tr AS MATERIALIZED ({rows_sql})"]
+
+    def units(src: str) -> str:
+        """Per point its units' weights by layer; ``src``: (id, x)."""
+        return "SELECT id, " + ", ".join(f"list_transform(range({b}), lambda o: x[{offs[l]} + o * {a + 1} + 1:{offs[l]} + (o + 1) * {a + 1}]) AS c{l}" for l, (a, b) in pairs) + f" FROM ({src}) u"
+
+    def forward(rows: str, w: str, keep: bool) -> str:
+        src = f"SELECT w.id, r.vec_id, r.label, list_append(r.x, 1.0::DOUBLE) AS h0 FROM ({rows}) r, {w} w"
+        for l, (a, b) in pairs:
+            pre = f"list_transform(range({b}), lambda o: list_dot_product(h{l - 1}, w.c{l}[o + 1]))"
+            carry = ", ".join(["s.id", "s.vec_id", "s.label", *([f"s.h{j}" for j in range(l)] if keep else [])])
+            step = f"SELECT {carry}, {pre} AS a FROM ({src}) s JOIN {w} w ON w.id = s.id"
+            carry = carry.replace("s.", "")
+            src = f"SELECT {carry}, " + ("a AS z" if l == L else "list_append(list_transform(a, lambda v: 1.0 / (1.0 + exp(-v))), 1.0::DOUBLE) AS h" + str(l)) + f" FROM ({step}) f"
+        return src
+
+    def loss(w: str) -> str:
+        return (f"SELECT id, avg(list_max(z) + ln(list_sum(list_transform(z, lambda u: exp(u - list_max(z))))) - z[label + 1]) AS f "
+                f"FROM ({forward('SELECT * FROM tr', w, False)}) q GROUP BY id")
+
+    def gradient(k: int) -> None:
+        """Tables for the gradient at ``p{k}(id, x)``: ``g{k}(g)``."""
+        parts.append(f"v{k} AS MATERIALIZED (SELECT *, " + ", ".join(
+            f"list_transform(range({a}), lambda i: list_transform(c{l}, lambda q: q[i + 1])) AS ct{l}" for l, (a, _) in pairs if l > 1) + f" FROM ({units(f'SELECT id, x FROM p{k}')}) q)")
+        hs = ", ".join(f"h{j}" for j in range(L))
+        soft = "list_transform(z, lambda v: exp(v - list_max(z)) / list_sum(list_transform(z, lambda u: exp(u - list_max(z)))))"
+        src = (f"SELECT id, vec_id, {hs}, list_transform(range({sizes[-1]}), lambda o: p[o + 1] - CAST(label = o AS DOUBLE)) AS d{L} "
+               f"FROM (SELECT *, {soft} AS p FROM ({forward('SELECT * FROM tr', f'v{k}', True)}) q) q2")
+        for l in range(L, 1, -1):
+            back = f"list_transform(range({sizes[l - 1]}), lambda i: list_dot_product(d{l}, v.ct{l}[i + 1]) * h{l - 1}[i + 1] * (1.0 - h{l - 1}[i + 1]))"
+            src = f"SELECT s.*, {back} AS d{l - 1} FROM ({src}) s JOIN v{k} v ON v.id = s.id"
+        parts.append(f"r{k} AS MATERIALIZED ({src})")
+        cols = lambda name, width: f"SELECT i, list(e ORDER BY vec_id) AS e FROM (SELECT vec_id, unnest(range({width})) AS i, unnest({name}) AS e FROM r{k}) q GROUP BY i"
+        dots = " UNION ALL ".join(f"SELECT {l} AS l, d.i AS o, h.i AS i, list_dot_product(d.e, h.e) / len(d.e) AS g FROM ({cols(f'd{l}', b)}) d, ({cols(f'h{l - 1}', a + 1)}) h" for l, (a, b) in pairs)
+        parts.append(f"g{k} AS MATERIALIZED (SELECT list(g ORDER BY l, o, i) AS g FROM ({dots}) q)")
+
+    each = lambda form: f"list_transform(range({N}), lambda i: {form})"
+    start = "SELECT 0 AS id, flatten([" + ", ".join(
+        f"flatten(list_transform(range({b}), lambda o: list_append(list_transform(range({a}), lambda i: {W.layer_weights_sql('i', 'o', l)}), {W.layer_bias_sql('o', l)})))" for l, (a, b) in pairs) + "]) AS x"
+    parts.append(f"p0 AS MATERIALIZED ({start})")
+    parts.append(f"w0 AS MATERIALIZED ({units('SELECT * FROM p0')})")
+    gradient(0)
+    parts.append(f"t0 AS MATERIALIZED (SELECT p0.x, q.f, g0.g, 0.0::DOUBLE AS step FROM p0, g0, ({loss('w0')}) q)")
+    for k in range(1, iterations + 1):
+        b = k - 1
+        src = f"SELECT g AS q FROM t{b}"
+        for j in range(b, 0, -1):  # newest pair first
+            src = f"SELECT q.* EXCLUDE (q), al AS a{j}, {each('q.q[i + 1] - al * y[i + 1]')} AS q FROM (SELECT q.*, u.y, list_dot_product(u.s, q.q) / u.sy AS al FROM ({src}) q, u{j} u) q".replace("q.* EXCLUDE (q)", "q.* EXCLUDE (q, y, al)")
+        parts.append(f"a{k} AS MATERIALIZED ({src})")
+        src = f"SELECT q.* EXCLUDE (q), {each(f'q.q[i + 1] * u.sy / u.yy')} AS q FROM a{k} q, u{b} u" if b else f"SELECT {each('q[i + 1] / m')} AS q FROM (SELECT q, greatest(1.0, sqrt(list_dot_product(q, q))) AS m FROM a{k}) q"
+        for j in range(1, b + 1):
+            src = f"SELECT q.* EXCLUDE (q, s, be), {each(f'q.q[i + 1] + (a{j} - be) * s[i + 1]')} AS q FROM (SELECT q.*, u.s, list_dot_product(u.y, q.q) / u.sy AS be FROM ({src}) q, u{j} u) q"
+        parts.append(f"d{k} AS MATERIALIZED (SELECT list_transform(q, lambda v: -v) AS d FROM ({src}) q)")
+        steps = ", ".join(f"({i}, {t!r}::DOUBLE)" for i, t in enumerate(ladder))
+        parts.append(f"c{k} AS MATERIALIZED (SELECT s.id, s.t, {each('t.x[i + 1] + s.t * d.d[i + 1]')} AS x, t.f + {armijo!r} * s.t * list_dot_product(t.g, d.d) + {SLACK!r} * abs(t.f) AS most FROM t{b} t, d{k} d, (VALUES {steps}) s(id, t))")
+        parts.append(f"w{k} AS MATERIALIZED ({units(f'SELECT id, x FROM c{k}')})")
+        parts.append(f"b{k} AS MATERIALIZED (SELECT c.id, c.t, c.x, l.f FROM c{k} c JOIN ({loss(f'w{k}')}) l ON l.id = c.id WHERE l.f <= c.most ORDER BY c.id LIMIT 1)")
+        parts.append(f"p{k} AS MATERIALIZED (SELECT id, x FROM b{k})")
+        gradient(k)
+        parts.append(f"t{k} AS MATERIALIZED (SELECT b.x, b.f, g{k}.g, b.t AS step FROM b{k} b, g{k})")
+        parts.append(f"u{k} AS MATERIALIZED (SELECT s, y, list_dot_product(s, y) AS sy, list_dot_product(y, y) AS yy FROM (SELECT {each('t.x[i + 1] - o.x[i + 1]')} AS s, {each('t.g[i + 1] - o.g[i + 1]')} AS y FROM t{k} t, t{b} o) q)")
+    parts.append(f"wz AS MATERIALIZED ({units(f'SELECT 0 AS id, x FROM t{iterations}')})")
+    return parts, forward
+
+
+def lbfgs_curve_sql(rows_sql: str, sizes: list[int], iterations: int, ladder, armijo: float) -> str:
+    parts, _ = lbfgs_parts(rows_sql, sizes, iterations, ladder, armijo)
+    out = " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS iteration, round(f, 6) + 0.0 AS loss, round(list_max(list_transform(g, lambda v: abs(v))), 6) + 0.0 AS gradient, step FROM t{k}" for k in range(iterations + 1))
+    return f"WITH {', '.join(parts)} {out}"
+
+
+def lbfgs_scores_sql(rows_sql: str, test_sql: str, sizes: list[int], iterations: int, ladder, armijo: float) -> str:
+    parts, forward = lbfgs_parts(rows_sql, sizes, iterations, ladder, armijo)
+    return f"""WITH {', '.join(parts)}
+SELECT vec_id, label, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS prediction, list_transform(z, lambda v: round(v, 5) + 0.0) AS scores
+FROM ({forward(test_sql, 'wz', False)}) q"""
