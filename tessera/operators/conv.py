@@ -41,24 +41,50 @@ def grid_flatten(lines: DataFrame) -> DataFrame:
     return g.select("id", F.flatten(F.transform("ls", lambda t: t["grid_row"])).alias("flat"))
 
 
-def conv2d_np(X: np.ndarray, W: np.ndarray, stride: int) -> np.ndarray:
-    """Batch ``X`` (n, h, w, ci), kernel (k, k, ci, co) -> (n, oh, ow, co)."""
+def _padded(X: np.ndarray, k: int, stride: int):
+    """``X`` with its SAME padding, the output's height and width, and the
+    padding above and to the left."""
     n, h, w, ci = X.shape
-    k = W.shape[0]
     oh, pt = same_geometry(h, k, stride)
     ow, pl = same_geometry(w, k, stride)
     ph = max((oh - 1) * stride + k - h, 0)
     pw = max((ow - 1) * stride + k - w, 0)
     Xp = np.zeros((n, h + ph, w + pw, ci))
     Xp[:, pt:pt + h, pl:pl + w, :] = X
-    out = np.zeros((n, oh, ow, W.shape[3]))
+    return Xp, oh, ow, pt, pl
+
+
+def _taps(k: int, oh: int, ow: int, stride: int):
+    """Every kernel place with the slices of the padded image that it meets."""
     for ky in range(k):
-        for kx in range(W.shape[1]):
-            patch = Xp[:, ky:ky + (oh - 1) * stride + 1:stride, kx:kx + (ow - 1) * stride + 1:stride, :]
-            out += patch @ W[ky, kx]
+        for kx in range(k):
+            yield ky, kx, slice(ky, ky + (oh - 1) * stride + 1, stride), slice(kx, kx + (ow - 1) * stride + 1, stride)
+
+
+def conv2d_np(X: np.ndarray, W: np.ndarray, stride: int) -> np.ndarray:
+    """Batch ``X`` (n, h, w, ci), kernel (k, k, ci, co) -> (n, oh, ow, co)."""
+    Xp, oh, ow, _, _ = _padded(X, W.shape[0], stride)
+    out = np.zeros((len(X), oh, ow, W.shape[3]))
+    for ky, kx, ys, xs in _taps(W.shape[0], oh, ow, stride):
+        out += Xp[:, ys, xs, :] @ W[ky, kx]
     return out
 
 
+def conv2d_back(X: np.ndarray, W: np.ndarray, stride: int, D: np.ndarray, inputs: bool = True):
+    """Back through ``conv2d_np``: the loss's gradients by the kernel and (unless
+    not ``inputs``) by ``X``, from those by the output, ``D`` (n, oh, ow, co).  A tap's
+    kernel gradient is its patches times the deltas; the deltas times its weights
+    are scattered to the places that the tap read, and the padding is cut off."""
+    Xp, oh, ow, pt, pl = _padded(X, W.shape[0], stride)
+    flat = D.reshape(-1, D.shape[3])
+    gW, gXp = np.zeros_like(W), np.zeros_like(Xp) if inputs else None
+    for ky, kx, ys, xs in _taps(W.shape[0], oh, ow, stride):
+        gW[ky, kx] = Xp[:, ys, xs, :].reshape(-1, X.shape[3]).T @ flat
+        if inputs:
+            gXp[:, ys, xs, :] += D @ W[ky, kx].T
+    return gW, gXp[:, pt:pt + X.shape[1], pl:pl + X.shape[2], :] if inputs else None
+
+
 def conv_stack_forward(X: np.ndarray, convs, dense, h: int, w: int) -> np.ndarray:
     """Convolutions (each ``(W, b, stride)`` with ReLU), flatten, dense ReLU
     layers, and a final linear layer: the scores."""

@@ -99,9 +99,10 @@ def dropout_mask(keys, layer: int, width: int, round_: int, seed: int, keep: flo
     return h < keep * m
 
 
-def backprop_np(X, y, keys, layers, hidden, keep, round_, seed, c):
+def backprop_np(X, y, keys, layers, hidden, keep, round_, seed, c, inputs=False):
     """Summed gradients of the mean-less cross-entropy (from scores) for a
-    batch, plus loss and hits; dropout after every hidden layer."""
+    batch, plus loss and hits; dropout after every hidden layer.  With ``inputs``
+    also the gradient by ``X``."""
     f, df = _act(hidden)
     hs, acts, masks = [X], [], []
     h = X
@@ -127,14 +128,16 @@ def backprop_np(X, y, keys, layers, hidden, keep, round_, seed, c):
     for i in range(len(layers) - 1, -1, -1):
         W, b = layers[i]
         grads.append((hs[i].T @ D, D.sum(axis=0)))
-        if i > 0:
+        if i > 0 or inputs:
             D = D @ W.T
+        if i > 0:
             if masks[i - 1] is not None:
                 D = D * masks[i - 1] / keep
             D = D * df(acts[i - 1], f(acts[i - 1]))
     grads.reverse()
     py = P[np.arange(len(y)), y]
-    return grads, float(-np.log(py + EPS).sum()), float((P.argmax(axis=1) == y).sum())
+    out = grads, float(-np.log(py + EPS).sum()), float((P.argmax(axis=1) == y).sum())
+    return (*out, D) if inputs else out
 
 
 @dataclass
@@ -161,11 +164,22 @@ def dense_nets_fit(rows: DataFrame, sizes, rounds: int, runs: list[DenseRun], hi
     dropout; "eval" at keep probability 1 for rounds divisible by ``eval_every``
     and for ``round = rounds``, the final weights."""
     first = start if start is not None else init_layers(sizes, seed)
+    return nets_fit(rows, first, rounds, runs,
+                    lambda net, X, y, keys, keep, i: backprop_np(X, y, keys, net, hidden, keep, i, seed, sizes[-1]),
+                    lambda net, X: forward_np(X, net, hidden), eval_rows, eval_every)
+
+
+def nets_fit(rows: DataFrame, first, rounds: int, runs: list[DenseRun], gradient, scores,
+             eval_rows: DataFrame | None = None, eval_every: int = 1):
+    """The rounds of ``dense_nets_fit`` for networks of any kind.  ``first``: the
+    start as (weights, bias) of any shape; ``gradient(net, X, y, keys, keep, round)``
+    gives a batch's summed gradients in that form, its loss and its hits;
+    ``scores(net, X)`` the scores.  Both run inside the tasks."""
     nets = [[(W.copy(), b.copy()) for W, b in first] for _ in runs]
     shapes = [s for W, b in first for s in (W.shape, b.shape)]
     flat_size = sum(int(np.prod(s)) for s in shapes)
     adams = [_Adam(shapes) if run.optimizer == "adam" else None for run in runs]
-    c, metrics, R = sizes[-1], [], len(runs)
+    metrics, R = [], len(runs)
     both = rows.select("k", "label", "x").withColumn("split", F.lit(0))
     if eval_rows is not None:
         both = both.unionByName(eval_rows.select("k", "label", "x").withColumn("split", F.lit(1)))
@@ -193,10 +207,10 @@ def dense_nets_fit(rows: DataFrame, sizes, rounds: int, runs: list[DenseRun], hi
                     n[part] += len(y)
                     for r, net in enumerate(weights.value):
                         if part == 0:
-                            g, loss, hits = backprop_np(X, y, keys, net, hidden, runs[r].keep_prob, i, seed, c)
+                            g, loss, hits = gradient(net, X, y, keys, runs[r].keep_prob, i)
                             grads[r] += np.concatenate([a.ravel() for pair in g for a in pair])
                         else:
-                            P = softmax_np(forward_np(X, net, hidden))
+                            P = softmax_np(scores(net, X))
                             loss, hits = -np.log(P[np.arange(len(y)), y] + EPS).sum(), (P.argmax(axis=1) == y).sum()
                         stats[r, part] += loss, hits
             yield emit_blocks(np.concatenate([grads.ravel(), stats.ravel(), n]))

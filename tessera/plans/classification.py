@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from tessera.functions import vectors as V
 from tessera.operators import classification as CL
 from tessera.operators import conv as CV
+from tessera.operators import conv_nets as CN
 from tessera.operators import lbfgs as LB
 from tessera.operators import networks as NN
 from tessera.operators.regression import key_split
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
+from tessera.plans.conv_sql import conv_step_sql
 from tessera.plans.dense_sql import dense_curve_sql, dense_fit_sql, lbfgs_curve_sql, lbfgs_scores_sql
 from tessera.plans.registry import register
 from tessera.plans.softmax_sql import SOFTMAX_P, eval_sql, softmax_cte, standard_rows_sql
@@ -500,6 +502,40 @@ def conv_stack_scores(spark, sf_dir):
     return CV.score_conv_stack(_rows(spark, sf_dir), convs, dense, 8, 8)
 
 
+# -- C10/C12: training of that stack -----------------------------------------------------
+
+CONV_RATE = 0.05
+CONV_SHAPES = [(5, 1, 4, 1, 1, 1.0), (5, 4, 8, 2, 2, 4.0), (4, 8, 12, 2, 3, 8.0)]  # k, ci, co, stride, salt, divisor
+CONV_STRIDES = [s for _, _, _, s, _, _ in CONV_SHAPES]
+_CONV_LAYERS = [(k, ci, co, s, conv_kernel_sql(k, ci, co, salt).replace(" AS w ", f" / {div} AS w ", 1), f"((((co + {salt}) % 5) - 2) / 16.0)")
+                for k, ci, co, s, salt, div in CONV_SHAPES]
+
+
+def conv_net():
+    """The layers of ``conv_stack`` as a start for training."""
+    convs, dense = conv_stack()
+    return [(Wc, b) for Wc, b, _ in convs] + dense
+
+
+def _conv_fit(spark, sf_dir, rounds, runs, test_too=False):
+    train, test = (materialize(r) for r in _train_rows(spark, sf_dir))
+    try:
+        return CN.conv_nets_fit(train, conv_net(), CONV_STRIDES, 8, 8, rounds, runs, FIT_SEED, test if test_too else None)
+    finally:
+        release(train)
+        release(test)
+
+
+@register("conv_fit", conv_step_sql(_DENSE_ROWS, _CONV_LAYERS, (200, 4), C, CONV_RATE))
+def conv_fit(spark, sf_dir):
+    """Weights of three convolutions and two dense layers after one step against
+    the mean gradient, from weights by rule (the bias as the last input)."""
+    nets, _ = _conv_fit(spark, sf_dir, 1, [NN.DenseRun(CONV_RATE, optimizer="gd")])
+    rows = [(li + 1, int(i), int(o), float(round(v, 6)) + 0.0) for li, (Wl, bl) in enumerate(nets[0])
+            for i, line in enumerate(np.vstack([Wl.reshape(-1, len(bl)), bl[None, :]])) for o, v in enumerate(line)]
+    return spark.createDataFrame(rows, "layer int, i int, o int, w double")
+
+
 # -- S4: idx image files written from the table and read back --------------------------
 
 IDX_SQL = """
