@@ -10,14 +10,16 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tessera.operators import elastic as EL
+from tessera.operators import kept_sums as KS
 from tessera.operators import regression as RG
+from tessera.operators import sampling as SA
 from tessera.operators import stages as S
 from tessera.plans import inputs as I
 from tessera.plans import weights as W
 from tessera.plans.gd_sql import (cv_cte, elastic_cte, gd_cte, gd_error_curve_sql, gd_predict_sql, gd_weights_sql,
                                   path_cte, path_points_cte, proximal_cte, proximal_points_cte)
 from tessera.plans.registry import register
-from tessera.session import table
+from tessera.session import shared_dir, table
 
 D = 64            # all elements of an embedding
 D2 = D * (D + 3) // 2  # and of their degree-2 expansion
@@ -59,6 +61,21 @@ def key_split(spark, sf_dir):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
+SPLIT_SEED = 11
+_SPLIT_ORDER = f"(o_orderkey * 48271 + {SPLIT_SEED}) % 2147483647"
+
+
+@register("split_exact", f"""
+  SELECT o_orderkey, o_orderpriority,
+         CAST(CASE WHEN r < floor(n * 0.8 + 0.5) THEN 0 ELSE 1 END AS INTEGER) AS part
+  FROM (SELECT o_orderkey, o_orderpriority, count(*) OVER (PARTITION BY o_orderpriority) AS n,
+               row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_SPLIT_ORDER}) - 1 AS r FROM orders) t""")
+def split_exact(spark, sf_dir):
+    """80/20, exactly so in every priority, by the order of a hash of the key."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return SA.exact_split(rows, [0.8, 0.2], F.expr(_SPLIT_ORDER), "o_orderpriority", SPLIT_SEED)
+
+
 # -- U1: double -> double function as a stage ------------------------------------------
 
 @register("udf_double", """
@@ -167,6 +184,37 @@ def gd_weights(spark, sf_dir):
     return _weights_df(spark, _fit_gd(spark, sf_dir).weights)
 
 
+KEPT_PARTS = 4
+
+
+def _kept_sql():
+    states = [f"vec_id % {KEPT_PARTS} <= {k}" for k in range(KEPT_PARTS)] + [f"vec_id % {KEPT_PARTS} > 0"]
+    return " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS state, i, weight FROM ({gd_weights_sql(f'{TRAIN_SQL} AND {own}', D, ROUNDS, ALPHA)}) s{k}"
+                              for k, own in enumerate(states))
+
+
+@register("gd_kept_sums", _kept_sql())
+def gd_kept_sums(spark, sf_dir):
+    """The weights after each of four parts of the training rows has arrived, and after the
+    first is taken away again: every part is read once, fits start from the kept sums."""
+    train = _train(spark, sf_dir)
+    kept, rows = KS.KeptSums(spark, shared_dir(spark, "kept-sums")), []
+
+    def fit(state):
+        w, _, _ = RG.descend(kept.stats()[0], ROUNDS, ALPHA)
+        rows.extend((state, int(i), float(round(v, 6)) + 0.0) for i, v in enumerate(w))
+
+    try:
+        for k in range(KEPT_PARTS):
+            kept.append(train.filter(F.col("vec_id") % KEPT_PARTS == k), k, "label", "x")
+            fit(k)
+        kept.remove(0)
+        fit(KEPT_PARTS)
+    finally:
+        kept.drop()
+    return spark.createDataFrame(rows, "state int, i int, weight double")
+
+
 @register("gd_error_curve", gd_error_curve_sql(TRAIN_SQL, D, ROUNDS, ALPHA))
 def gd_error_curve(spark, sf_dir):
     return _curve_df(spark, _fit_gd(spark, sf_dir).trainingError)
