@@ -4,6 +4,8 @@ their params)."""
 
 from __future__ import annotations
 
+import importlib
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
@@ -51,7 +53,7 @@ class ColumnTransform(Transformer, _InOut):
 class PandasColumnTransform(Transformer, HasInputCol, HasOutputCol):
     """Free Python code as a stage: a vectorised function over a pandas
     Series of doubles or of numpy arrays (Arrow batches, never per row).
-    It holds code, so it has no reader or writer."""
+    It holds code, so it has no reader or writer; see ``NamedColumnTransform``."""
 
     def __init__(self, fn, inputCol: str, outputCol: str, returnType: str = "double",
                  rowwise_arrays: bool = False):
@@ -75,6 +77,45 @@ class PandasColumnTransform(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), apply(F.col(self.getInputCol())))
 
 
+def column_function(returnType: str = "double", rowwise_arrays: bool = False):
+    """Mark a module's function for ``NamedColumnTransform``: vectorised over a pandas
+    Series of doubles, or (``rowwise_arrays``) over a batch's arrays as one matrix."""
+
+    def mark(fn):
+        fn.column_function = (returnType, rowwise_arrays)
+        return fn
+
+    return mark
+
+
+class NamedColumnTransform(Transformer, _InOut):
+    """Free Python code as a stage that can be saved: the stage keeps the function's
+    name, ``module:function``, and finds it again when it runs.  Only functions marked
+    with ``column_function`` are run, so a saved stage can't name any other code.  Their module
+    must be importable on the workers too, as this package is."""
+
+    function = Param(Params._dummy(), "function", "module:function of a marked function",
+                     typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, function=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _found(self):
+        name = self.getOrDefault(self.function)
+        module, _, attr = name.partition(":")
+        fn = getattr(importlib.import_module(module), attr, None) if attr else None
+        if not hasattr(fn, "column_function"):
+            raise ValueError(f"{name} is not a marked column function")
+        return fn
+
+    def _transform(self, df):
+        fn = self._found()
+        kind, rowwise = fn.column_function
+        return PandasColumnTransform(fn, self.getInputCol(), self.getOutputCol(), kind, rowwise).transform(df)
+
+
 class Array2Vector(Transformer, _InOut):
     """Array of number strings -> ``array<double>`` (or an ML vector);
     malformed numbers raise, as ``toDouble`` does."""

@@ -4,7 +4,7 @@ net, and cross-validation from one scan."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import RegexTokenizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tessera.plans import weights as W
 from tessera.plans.gd_sql import (cv_cte, elastic_cte, gd_cte, gd_error_curve_sql, gd_predict_sql, gd_weights_sql,
                                   path_cte, path_points_cte, proximal_cte, proximal_points_cte)
 from tessera.plans.registry import register
-from tessera.session import shared_dir, table
+from tessera.session import drop_dir, shared_dir, table
 
 D = 64            # all elements of an embedding
 D2 = D * (D + 3) // 2  # and of their degree-2 expansion
@@ -99,6 +99,27 @@ def udf_vector(spark, sf_dir):
     return st.transform(r).select("vec_id", "norm")
 
 
+@S.column_function(rowwise_arrays=True)
+def vector_norm(m):
+    """Euclidean norms of a batch of vectors."""
+    return np.round(np.sqrt((m * m).sum(axis=1)), 6) + 0.0
+
+
+@register("udf_vector_saved", """
+  SELECT vec_id, 2.0 * (round(sqrt(list_dot_product(x, x)), 6) + 0.0) AS twice
+  FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings) e""")
+def udf_vector_saved(spark, sf_dir):
+    """The vector function as a stage of a pipeline that is saved and loaded again."""
+    stages = [S.NamedColumnTransform(inputCol="x", outputCol="norm", function=f"{__name__}:vector_norm"),
+              S.ColumnTransform(inputCol="norm", outputCol="twice", expr="2.0D * {x}")]
+    rows, path = I.embedding_rows(spark, sf_dir), shared_dir(spark, "pipeline")
+    Pipeline(stages=stages).fit(rows).save(path)
+    try:
+        return PipelineModel.load(path).transform(rows).select("vec_id", "twice")
+    finally:
+        drop_dir(spark, path)
+
+
 # -- U3: label shift with the minimum of the training part --------------------------
 
 @register("label_shift", """
@@ -184,6 +205,22 @@ def gd_weights(spark, sf_dir):
     return _weights_df(spark, _fit_gd(spark, sf_dir).weights)
 
 
+COPY_ROUNDS = 20
+
+
+@register("gd_copied_learner", " UNION ALL ".join(
+    f"SELECT '{name}' AS learner, i, weight FROM ({gd_weights_sql(TRAIN_SQL, D, n, ALPHA)}) {name}"
+    for name, n in (("first", COPY_ROUNDS), ("copied", 2 * COPY_ROUNDS))))
+def gd_copied_learner(spark, sf_dir):
+    """A learner, and its copy with other rounds: each fits by its own parameters."""
+    train = _train(spark, sf_dir)
+    first = RG.GDLinearRegression(featuresCol="x", labelCol="label", maxIter=COPY_ROUNDS, stepSize=ALPHA)
+    copied = first.copy({first.maxIter: 2 * COPY_ROUNDS})
+    fits = [_weights_df(spark, est.fit(train).weights).select(F.lit(name).alias("learner"), "i", "weight")
+            for name, est in (("copied", copied), ("first", first))]
+    return fits[0].unionByName(fits[1])
+
+
 KEPT_PARTS = 4
 
 

@@ -9,7 +9,7 @@ from tessera.functions import text as T
 from tessera.operators import relational as R
 from tessera.plans import inputs as I
 from tessera.plans.registry import register
-from tessera.session import drop_at_exit, shared_dir, table
+from tessera.session import drop_at_exit, materialize, release, shared_dir, table
 from tessera.sources import csv as csv_src
 from tessera.sources import inline, text as text_src
 
@@ -67,6 +67,23 @@ def count_songs_sql(spark, sf_dir):
     return spark.sql("SELECT count(*) AS n FROM songs")
 
 
+# -- S7: parsed rows kept for several questions ---------------------------------
+
+@register("songs_persisted", f"""
+  SELECT year, count(*) AS n, sum(count(*)) OVER ()::BIGINT AS n_all, max(feat1) AS most_feat1
+  FROM {SONGS} GROUP BY year""")
+def songs_persisted(spark, sf_dir):
+    """Two questions on rows that the first one leaves in memory (or spilled), released
+    at the end; what comes back is a row a year."""
+    songs = materialize(_songs(spark, sf_dir))
+    try:
+        n_all = songs.count()  # parses the rows; the next question reads what is kept
+        per_year = songs.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.lit(n_all).cast("long").alias("n_all"), F.max("feat1").alias("most_feat1"))
+        return spark.createDataFrame(per_year.collect(), per_year.schema)
+    finally:
+        release(songs)
+
+
 # -- F1/F2/A2: count in an inclusive range ----------------------------------
 
 @register("songs_in_range", f"""
