@@ -24,6 +24,8 @@ SYMBOLS = b"#*$%&|<>"
 #: Lower case, upper case, digits, white space, marks of a
 #: sentence, other ASCII, first bytes of other characters; their further bytes.
 CLASSES = 7
+#: Parts that a language's words are dealt to where they meet its total.
+SALTS = 256
 #: Kinds of rows that tasks add up.
 WORD, TOTAL, CLASS = 0, 1, 2
 
@@ -126,8 +128,10 @@ def language_references(docs: DataFrame, common_share: float = 0.001, held_words
     counts = rows.mapInArrow(run, "lang string, kind int, word binary, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
     counts = written(counts, "words")  # read twice, made once
     # a word is sent on only if it can be common in a language: a thousand words a language at most
-    totals = counts.filter(F.col("kind") == TOTAL).select("lang", F.col("n").alias("total"))
-    kept = counts.join(totals, "lang").filter((F.col("kind") != WORD) | (F.col("n") >= F.col("total") * common_share))
+    # (a language's total meets its words in SALTS places, so no task gets all words of one)
+    totals = counts.filter(F.col("kind") == TOTAL).select("lang", F.col("n").alias("total"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = counts.withColumn("salt", F.pmod(F.xxhash64("kind", "word"), F.lit(SALTS)).cast("int"))
+    kept = salted.join(totals, ["lang", "salt"]).filter((F.col("kind") != WORD) | (F.col("n") >= F.col("total") * common_share))
     got = kept.select("lang", "kind", "word", "n").toArrow()
     kind, n = got.column("kind").to_numpy(), got.column("n").to_numpy()
     lang = got.column("lang").combine_chunks().dictionary_encode()
