@@ -1,5 +1,7 @@
 """Mixing and licences against their SQL."""
 
+from pathlib import Path
+
 import duckdb
 import pandas as pd
 import pytest
@@ -75,6 +77,17 @@ VARIANTS = [
     ("MIT", "  MIT LICENCE\r\n// Copyright 1999-2020 A, B\n" + licenses._MIT.replace(". ", ".\n\n")),
     ("BSD-3-Clause", licenses._BSD_1 + licenses._BSD_3RD.replace("copyright holder", "copyright owner") + licenses._BSD_END),
     ("Apache-2.0", "LICENSED under the APACHE licence, version 2.0"),
+    ("MIT", licenses._MIT.replace('"Software"', "\u201cSoftware\u201d").replace('"AS IS"', "\u201cAS IS\u201d").replace("and/or", "and\u2009/\u2009or")),
+    ("MIT", licenses._MIT.replace(" of ", "\u00a0of ").replace(". ", " \u2014 ")),
+    ("MIT", "MIT License\n\nCopyright The Kubernetes Authors\n\n" + licenses._MIT),
+    ("MIT", " * Copyright Joyent, Inc. and other Node contributors.\n" + licenses._MIT),
+    ("MIT", "Copyright: \u00c9mile Z\n(c) 2020 Y\n\u00a9 2021 Z\n" + licenses._MIT),
+    ("BSD-3-Clause", "Copyright (c) 2011, X\nAll rights reserved.\n\n" + licenses._BSD_1.replace("above copyright", "above\n  copyright") + "\n" + licenses._BSD_3RD
+     + licenses._BSD_END.replace("BY THE COPYRIGHT", "BY THE\nCOPYRIGHT")),
+    ("BSD-2-Clause", "ALL RIGHTS RESERVED\n" + licenses._BSD_1.replace("1. ", "\u2022 1) ") + "\n" + licenses._BSD_END),
+    ("Unlicense", licenses.KNOWN[-1][1].replace("https://unlicense.org", "http://unlicense.org/")),
+    (None, "Copyright License"), (None, "All rights reserved."),
+    (None, licenses._MIT.replace("free of charge", "free of \u00e7harge")),
     (None, licenses._MIT + " and more"), (None, "Copyright (c) 2020 X"), (None, ""), (None, None), (None, "license"),
 ]
 
@@ -85,6 +98,27 @@ def test_licences_in_other_guises(spark, empty):
     assert licenses.scan(empty).collect() == []
 
 
+def test_whole_licences_match_their_digests(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0"}
+    texts = {name: (folder / f).read_text() for name, f in files.items() if (folder / f).exists()}
+    if not texts:
+        pytest.skip("no licence texts on this machine")
+    end = "END OF TERMS AND CONDITIONS"
+    rows = [(name, t) for name, t in texts.items()] + [(name, " ".join(t.split())) for name, t in texts.items() if name in ("MPL-2.0", "CC0-1.0")]
+    rows += [(name, t[: t.index(end) + len(end)]) for name, t in texts.items() if end in t and name != "LGPL-3.0"]
+    rows += [(None, t[:-300]) for t in texts.values()]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    assert [r.license_id for r in licenses.scan(df).orderBy("doc_id").collect()] == [name for name, _ in rows]
+
+
+def test_licences_of_the_callers_table(spark):
+    known = spark.createDataFrame([("Own-1", "Do as you like."), ("Own-0", "do as you LIKE"), ("Own-2", "Do not.")], "license_id string, body string")
+    df = spark.createDataFrame([(1, "Do \u2014 as you like!"), (2, "do not"), (3, licenses._MIT)], "doc_id long, text string")
+    got = licenses.scan(df, known, digests=()).orderBy("doc_id").collect()
+    assert [r.license_id for r in got] == ["Own-0", "Own-2", None]
+
+
 def test_licences_match_their_sql(edge, edge_rows, spark):
     rows = [*edge_rows, *[(900 + i, t, None, None) for i, (_, t) in enumerate(VARIANTS)]]
     df = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
