@@ -25,7 +25,7 @@ from tessera.session import shared_dir
 
 from .common import Memo
 
-SCHEMA = ("part int, block int, first long, n_ids long, width int, doc_ids array<long>, offsets array<long>, payload binary")
+SCHEMA = ("part int, block int, first long, n_ids long, width int, low long, high long, doc_ids array<long>, offsets array<long>, payload binary")
 
 
 #: Marks that make a part of their own behind letters.
@@ -127,11 +127,13 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, vocab_size: int, end_
 
         def flush():
             nonlocal block, first, held, doc_ids, offsets, data
-            row = {"part": [part], "block": [block], "first": [first], "n_ids": [held], "width": [width], "doc_ids": [doc_ids],
+            named = [x for x in doc_ids if x is not None]
+            row = {"part": [part], "block": [block], "first": [first], "n_ids": [held], "width": [width], "low": [min(named, default=None)],
+                   "high": [max(named, default=None)], "doc_ids": [doc_ids],
                    "offsets": [offsets], "payload": [pack(np.frombuffer(b"".join(data), "<u4"), width)]}
             out = pa.RecordBatch.from_pydict(row, pa.schema([
                 ("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()),
-                ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())]))
+                ("low", pa.int64()), ("high", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())]))
             block, first, held, doc_ids, offsets, data = block + 1, first + held, 0, [], [], []
             return out
 
@@ -178,6 +180,58 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(before, "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def _ids(rows: DataFrame) -> DataFrame:
+    """(doc_id, at, ids) of the pieces ``rows`` (doc_id, at, width, lo, hi, payload); only
+    the bytes of ids lo to hi - 1 are unpacked."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["doc_id"]], pa.int64()), pa.array([r["at"]], pa.int64()),
+                     pa.array([unpack(r["payload"], r["width"], r["lo"], r["hi"]).tolist()], pa.list_(pa.int64()))], ["doc_id", "at", "ids"])
+
+    return rows.select("doc_id", "at", "width", "lo", "hi", "payload").mapInArrow(run, "doc_id long, at long, ids array<long>")
+
+
+def read_documents(spark: SparkSession, path: str, doc_ids) -> DataFrame:
+    """(doc_id, ids) of the named documents, in no order; repeated doc_ids give all their
+    rows, unknown ones none, None those without a doc_id.  Files and row groups that can't
+    hold them are skipped by their least and greatest doc_id."""
+    named = sorted({int(x) for x in doc_ids if x is not None})
+    blocks = spark.read.schema(SCHEMA).parquet(path)
+    holds = F.lit(False)
+    for x in named:
+        holds = holds | ((F.col("low") <= x) & (F.col("high") >= x))
+    wanted = F.col("doc_id").isin(named)
+    if None in doc_ids:
+        # rows without a doc_id come first: such a block starts with one
+        holds = holds | F.col("doc_ids")[0].isNull()
+        wanted = wanted | F.col("doc_id").isNull()
+    stops = F.concat(F.slice("offsets", 2, F.size("offsets") - 1), F.array("n_ids"))
+    rows = blocks.filter(holds).select("width", "payload", F.explode(F.arrays_zip("doc_ids", "offsets", stops.alias("stops"))).alias("d")).select(
+        F.col("d.doc_ids").alias("doc_id"), F.lit(0).cast("long").alias("at"), "width", F.col("d.offsets").alias("lo"), F.col("d.stops").alias("hi"), "payload")
+    return _ids(rows.filter(F.coalesce(wanted, F.lit(False)))).select("doc_id", "ids")
+
+
+def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """(at, ids) of the ids numbered ``start`` to ``stop`` - 1 over all files, a row for each block
+    that holds some; ``at`` is the number of a row's first id.  Two short passes: the sizes of all
+    parts, then the blocks of the parts that overlap; the others are skipped."""
+    blocks = spark.read.schema(SCHEMA).parquet(path)
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    hit = parts.filter((F.col("before") < int(stop)) & (F.col("before") + F.col("n") > int(start))).collect()  # files of the range
+    if not hit or stop <= start:
+        return spark.createDataFrame([], "at long, ids array<long>")
+    rows = blocks.filter(F.col("part").isin([r["part"] for r in hit])).join(
+        F.broadcast(spark.createDataFrame([(r["part"], r["before"]) for r in hit], "part int, before long")), "part")
+    begin = F.col("before") + F.col("first")
+    lo, hi = F.greatest(F.lit(int(start)) - begin, F.lit(0)), F.least(F.lit(int(stop)) - begin, F.col("n_ids"))
+    rows = rows.select(F.lit(None).cast("long").alias("doc_id"), (begin + lo).alias("at"), "width", lo.alias("lo"), hi.alias("hi"), "payload")
+    return _ids(rows.filter("lo < hi")).select("at", "ids")
+
+
 def round_trip(docs: DataFrame, **encoding) -> DataFrame:
     """Write ``docs``' ids to the shared folder and read them back."""
     path = shared_dir(docs.sparkSession, "tokens")

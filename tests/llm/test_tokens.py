@@ -98,6 +98,31 @@ def test_token_files(edge, empty, edge_rows):
     assert tokenbin.round_trip(empty, **options).collect() == []
 
 
+def test_files_are_read_by_document_and_by_range(edge, empty, edge_rows):
+    lib, spark = Tokenizer.from_file(WORDS), edge.sparkSession
+    own, line = {}, []
+    for r in sorted(edge_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+        ids = [*lib.encode(r[1] or "", add_special_tokens=False).ids, 1]
+        own.setdefault(r[0], []).append(ids)
+        line += ids
+    path = tokenbin.shared_dir(spark, "t")
+    tokenbin.write_files(edge.repartition(3), path, tokenizer_path=WORDS, vocab_size=49_408, end_id=1, block_ids=50)
+    known = [x for x in own if x is not None]
+    for asked in ([known[0]], [known[-1], 10**15], known[1:4], [None], [None, known[2]], []):
+        got = sorted((str(r.doc_id), r.ids) for r in tokenbin.read_documents(spark, path, asked).collect())
+        assert got == sorted((str(x), ids) for x in asked for ids in own.get(x, []))
+    n = len(line)
+    for lo, hi in ((0, n), (0, 1), (n - 1, n + 50), (n // 3, n // 3 + 200), (7, 7), (n, n + 5), (49, 51)):
+        rows = sorted(tokenbin.read_range(spark, path, lo, hi).collect())
+        assert [x for r in rows for x in r.ids] == line[lo:hi]
+        assert [r.at for r in rows] == [lo + sum(len(q.ids) for q in rows[:i]) for i in range(len(rows))]
+    plan = tokenbin.read_documents(spark, path, known[:1])._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(low" in plan or "low#" in plan
+    none = tokenbin.shared_dir(spark, "t")
+    tokenbin.write_files(empty, none, tokenizer_path=WORDS, vocab_size=49_408, end_id=1)
+    assert tokenbin.read_documents(spark, none, [1]).collect() == [] and tokenbin.read_range(spark, none, 0, 9).collect() == []
+
+
 def test_edits_keep_the_count():
     counter, rng, letters = tokencount.Counter(BYTES, P.PATTERN, most=50), random.Random(3), "ab '  \n1,sltdvé日!m"
     whole = lambda s: len(counter.tokenizer.encode(s, add_special_tokens=False).ids)
