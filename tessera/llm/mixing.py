@@ -65,16 +65,16 @@ def source_targets(rows: DataFrame, weights=(5, 2, 1), share: float = 1.5, most:
 
 
 def lines(rows: DataFrame) -> DataFrame:
-    """``rows`` (key, doc_id, size) with ``begin``: the words before a document
-    in its source's line.  Sums run over hash buckets first (at most 65,536 a
+    """``rows`` (key, doc_id, size, tie, other) with ``begin``: the words before a document
+    in its source's line; rows of one doc_id stand by size and the hashes ``tie`` and ``other``.  Sums run over hash buckets first (at most 65,536 a
     source), then inside a bucket, so no task holds a whole source."""
     rows = rows.withColumn("mix", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("bucket", F.substring("mix", 1, 4))
     upto = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     heads = rows.groupBy("key", "bucket").agg(F.sum("size").alias("n")).select(
         "key", "bucket", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("head"))
-    inside = Window.partitionBy("key", "bucket").orderBy("mix", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("key", "bucket").orderBy("mix", "size", "tie", "other").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return rows.join(heads, ["key", "bucket"]).withColumn("begin", F.col("head") + F.col("inside")).drop("mix", "bucket", "head", "inside")
+    return rows.join(heads, ["key", "bucket"]).withColumn("begin", F.col("head") + F.col("inside")).drop("mix", "bucket", "head", "inside", "tie", "other")
 
 
 def schedule(targets: DataFrame) -> DataFrame:
@@ -113,8 +113,10 @@ def block_ranges(slots: DataFrame, targets: DataFrame, block: int) -> DataFrame:
 def _mix(docs: DataFrame, carry: list[str], weights, share: float, most: float, block: int) -> DataFrame:
     """``mix`` with the columns ``carry`` of ``docs`` in a struct ``row``."""
     text = F.col("text").cast("string")
+    hashed = [f.name for f in docs.schema if f.name in carry and not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), source_key(F.col("source")).alias("key"),
-                       word_count(text).alias("size"), *([F.struct(*carry).alias("row")] if carry else []))
+                       word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("tie"),
+                       (F.xxhash64(*[f"`{c}`" for c in hashed]) if hashed else F.lit(0).cast("long")).alias("other"), *([F.struct(*carry).alias("row")] if carry else []))
     rows = written(rows, "sizes")
     targets = written(source_targets(rows, weights, share, most, block), "targets")
     placed = written(lines(rows).join(targets.select("key", "pos", "source_size", "target"), "key").drop("key"), "lines")
@@ -134,7 +136,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.
 
     Null or empty texts have size 0 and are never taken; a null source is a
     source of its own; rows with equal doc_id follow each other in their
-    source's line; an empty table gives an empty result; other columns are not
+    source's line, by size and by hashes of text and row; an empty table gives an empty result; other columns are not
     looked at.  The same rows give the same mix, whatever their partitions."""
     return _mix(docs, [], weights, share, most, block).select("doc_id", "source", "begin", "size", "source_size", "target", "taken")
 
@@ -158,7 +160,7 @@ def oracle(weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> str:
     ``words`` words of its line, repeated."""
     case = " ".join(f"WHEN {i} THEN {float(x)}" for i, x in enumerate(weights))
     return f"""
-    WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
+    WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size, md5(coalesce(text, '')) AS tie FROM documents),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
     p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS pos FROM s),
     q AS (SELECT *, CASE (pos - 1) % {len(weights)} {case} END AS w, source_size * {float(most)}::DOUBLE AS cap FROM p),
@@ -168,7 +170,7 @@ def oracle(weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> str:
     l AS (SELECT *, max(CASE WHEN cap / w > lev THEN lev END) OVER () AS level FROM r),
     t AS (SELECT source, source_size, CASE WHEN level IS NULL OR cap <= level * w THEN cap ELSE level * w END AS target FROM l),
     e AS (SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS words,
-                 CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.size
+                 CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.size, d.tie
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin_at
           FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
     SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,

@@ -67,6 +67,18 @@ def test_mixed_documents_hold_the_words_taken(edge, empty, edge_rows):
     assert mixing.mix(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
 
 
+def test_rows_of_one_id_and_size_keep_their_order(spark):
+    rows = [(7, " ".join([w] * 10), lang, "a") for w in "qwertyuiop" for lang in ("x", "y")] + [(None, f"n{i} " * 10, "x", "a") for i in range(20)] + [(1, "z " * 900, "x", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("extra", F.create_map(F.lit("k"), F.col("lang")))
+    one = lambda df: sorted((str(r.doc_id), r.text, r.lang) for r in mixing.mixed_documents(df, share=0.4).collect())
+    first = one(docs.repartition(1))
+    assert 0 < len(first) < 41
+    for n in (3, 7):
+        assert one(docs.repartition(n, F.rand(n))) == first
+    got = sorted((str(r.doc_id), r.taken) for r in mixing.mix(docs, share=0.4).collect())
+    assert got == sorted((str(a), b) for a, *_, b in duck(mixing.oracle(share=0.4), rows))
+
+
 def test_no_python_in_the_mix(edge):
     plan = mixing.mix(edge)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
