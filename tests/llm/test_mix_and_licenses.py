@@ -1,5 +1,6 @@
 """Mixing and licences against their SQL."""
 
+import re
 from pathlib import Path
 
 import duckdb
@@ -84,6 +85,17 @@ def test_no_python_in_the_mix(edge):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_what_grows_with_the_words_is_not_broadcast(spark):
+    """30,000 words are 938 blocks, which Spark takes for 2 rows of a small file."""
+    docs = spark.createDataFrame([(1, "w " * 29_000, "a"), (2, "v " * 1_000, "a")], "doc_id long, text string, source string")
+    rows = docs.select("doc_id", mixing.source_key(F.col("source")).alias("key"), mixing.word_count(F.col("text")).alias("size"), F.lit("").alias("tie"), F.lit(0).alias("other"))
+    for df, keys in ((mixing.mix(docs), ("pos", "block")), (mixing.lines(rows), ("key", "bucket"))):
+        assert len(df.collect()) == 2
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        on = r"\[" + r"#\d+L?, ".join(keys) + r"#"
+        assert re.search(f"SortMergeJoin {on}", plan) and not re.search(f"BroadcastHashJoin {on}", plan)
+
+
 VARIANTS = [
     ("MIT", "Copyright (c) 2019 Some One\n\n" + licenses._MIT.upper()),
     ("MIT", "  MIT LICENCE\r\n// Copyright 1999-2020 A, B\n" + licenses._MIT.replace(". ", ".\n\n")),
